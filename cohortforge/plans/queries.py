@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, TimestampNTZType, TimestampType
 
 from cohortforge.operators import aggregates as ag
 from cohortforge.operators import features as fx
-from cohortforge.operators.joins import match_statistics, merge_features
+from cohortforge.operators.joins import lookup_join, match_statistics, merge_features
 from cohortforge.plans import pipeline as pl
 from cohortforge.plans import sqlparts as S
 from cohortforge.plans.sqlparts import cci, fl, hours_lt, tv, with_ctes
@@ -96,7 +96,9 @@ def _label(spark, d):
     return fx.category_label(A.diagnoses(spark, d), A.crosswalk(spark, d), A.admissions(spark, d))
 
 
-@query("category_label", with_ctes(S.LABEL_CTES, "SELECT * FROM label_full"))
+@query("category_label", with_ctes(S.LABEL_CTES, "SELECT hadm_id, subject_id, hcc_cd_135, "
+                                   "CAST(admittime AS VARCHAR) AS admittime, CAST(dischtime AS VARCHAR) AS dischtime "
+                                   "FROM label_full"))
 def q_category_label(spark, d):
     """Label per admission from code -> category map (m:1 checked) + times."""
     return _label(spark, d)
@@ -192,21 +194,25 @@ def _dedup(spark, d, item_filter=True):
 
 
 @query("clean_events", with_ctes(S.EVENTS_CTES, """
-SELECT hadm_id, subject_id, itemid, charttime, storetime, eventtime, value, valuenum, label, category,
-       _d_items, hcc_cd_135, admittime FROM ev2""".lstrip()))
+SELECT hadm_id, subject_id, itemid, CAST(charttime AS VARCHAR) AS charttime, CAST(storetime AS VARCHAR) AS storetime,
+       CAST(eventtime AS VARCHAR) AS eventtime, value, valuenum, label, category, hcc_cd_135,
+       CAST(admittime AS VARCHAR) AS admittime FROM ev2""".lstrip()))
 def q_clean_events(spark, d):
     """Events + dictionary + parsed times/values + normalised category + label."""
     ev = _clean(spark, d)
     return ev.select("hadm_id", "subject_id", "itemid", "charttime", "storetime", "eventtime", "value", "valuenum",
-                     "label", "category", "_d_items", "hcc_cd_135", "admittime")
+                     "label", "category", "hcc_cd_135", "admittime")
 
 
 @query("match_statistics", with_ctes(S.EVENTS_CTES, "SELECT _d_items, count(*) AS n FROM ev GROUP BY _d_items"))
 def q_match_statistics(spark, d):
-    return match_statistics(_clean(spark, d), "_d_items")
+    """Matched / unmatched event counts of the dictionary join."""
+    joined = lookup_join(A.charts(spark, d), A.items(spark, d), "itemid", indicator="_d_items")
+    return match_statistics(joined, "_d_items")
 
 
-@query("dedupe_first", with_ctes(S.EVENTS_CTES, "SELECT hadm_id, itemid, eventtime, value, valuenum FROM dd"))
+@query("dedupe_first", with_ctes(S.EVENTS_CTES, "SELECT hadm_id, itemid, CAST(eventtime AS VARCHAR) AS eventtime, "
+                                 "value, valuenum FROM dd"))
 def q_dedupe(spark, d):
     """First reading per (admission, item, instant) in file order."""
     return _dedup(spark, d, item_filter=False).select("hadm_id", "itemid", "eventtime", "value", "valuenum")
@@ -275,22 +281,21 @@ def q_keyword(spark, d):
 
 
 # ==================================================================== other visits
-_OV_SQL = with_ctes([A.SQL_ADMISSIONS, A.SQL_STAYS], f"""
-p AS (
+_OV_SQL = with_ctes([A.SQL_ADMISSIONS, A.SQL_STAYS, f"""p AS (
   SELECT x.hadm_id, y.hadm_id AS h2,
          floor((epoch(y.admittime) - epoch(x.dischtime)) / 86400) AS dd
   FROM admissions_r x JOIN admissions_r y ON x.subject_id = y.subject_id AND x.hadm_id <> y.hadm_id),
-q AS (SELECT p.*, s.los, lower(s.last_careunit) AS cu FROM p LEFT JOIN stays_r s ON p.h2 = s.hadm_id)
+q AS (SELECT p.*, s.los, lower(s.last_careunit) AS cu FROM p LEFT JOIN stays_r s ON p.h2 = s.hadm_id)"""], f"""
 SELECT hadm_id,
   max({fl('dd < 30')}) AS ft_prior_admission_30, max({fl('dd < 60')}) AS ft_prior_admission_60,
   max({fl('dd < 90')}) AS ft_prior_admission_90, max({fl('dd < 120')}) AS ft_prior_admission_120,
   {r6('max(CASE WHEN dd < 30 THEN los END)')} AS ft_avg_icu_los_within_30,
   max({fl("cu = 'micu'")} * {fl('dd < 30')}) AS ft_micu_within_30,
   max({fl("cu = 'ccu'")} * {fl('dd < 30')}) AS ft_ccu_within_30
-FROM q GROUP BY hadm_id""".lstrip()).replace("WITH admissions_r", "WITH admissions_r", 1)
+FROM q GROUP BY hadm_id""")
 
 
-@query("other_visits_within_days", _OV_SQL.replace("stays_r AS (", "stays_r AS (", 1))
+@query("other_visits_within_days", _OV_SQL)
 def q_other_visits(spark, d):
     """Other admissions of the same subject within N days (as-of, no self-join)."""
     return fx.other_visits_within_days(A.admissions(spark, d), A.stays(spark, d))
@@ -423,8 +428,7 @@ def q_serial(spark, d):
 
 def _creat_audit_sql() -> str:
     rise = f"CAST({tv('delta >= 0.3')} AND {tv('(epoch(eventtime) - epoch(prev_t)) <= 172800')} AS INTEGER)"
-    return with_ctes(S.EVENTS_CTES + [S.serial_rows()], f"""
-a AS (SELECT *, {rise} AS rise FROM cr2)
+    return with_ctes(S.EVENTS_CTES + [S.serial_rows(), f"a AS (SELECT *, {rise} AS rise FROM cr2)"], f"""
 SELECT hadm_id, {r6('valuenum')} AS valuenum, {r6('delta')} AS delta,
   {r6('(epoch(eventtime) - epoch(prev_t)) / 3600')} AS delta_hours, {r6('baseline')} AS baseline,
   rise AS ft_creatinine_increase_within_48,
@@ -464,18 +468,17 @@ def q_urine(spark, d):
 
 # =========================================================================== merges
 def _merge_sql() -> str:
-    return with_ctes(S.LABEL_CTES + [A.SQL_PROCEDURES, S.LABS_CTES[0], S.LABS_CTES[1], S.LABS], f"""
-f1 AS (SELECT hadm_id, hcc_cd_135 FROM label_g),
+    return with_ctes(S.LABEL_CTES + [A.SQL_PROCEDURES, S.LABS_CTES[0], S.LABS_CTES[1], S.LABS, f"""f1 AS (SELECT hadm_id, hcc_cd_135 FROM label_g),
 f2 AS (SELECT hadm_id, max({fl("cpt_cd IN ('3', '7', '12', '21')")}) AS ft_contrast_imaging
        FROM procedures_r WHERE hadm_id IS NOT NULL GROUP BY hadm_id),
 f3 AS (SELECT hadm_id, max({fl('valuenum < 5')}) AS ft_low_sodium FROM labs
        WHERE {cci('label', 'sodium')} AND {BLOOD} GROUP BY hadm_id),
 f4 AS (SELECT hadm_id, max({fl("cpt_cd = '7'")} * {fl("contains(lower(description), 'ring')")})
          AS ft_mechanical_ventilation FROM procedures_r WHERE hadm_id IS NOT NULL GROUP BY hadm_id),
-k AS (SELECT hadm_id FROM f1 UNION SELECT hadm_id FROM f2 UNION SELECT hadm_id FROM f3 UNION SELECT hadm_id FROM f4)
+k AS (SELECT hadm_id FROM f1 UNION SELECT hadm_id FROM f2 UNION SELECT hadm_id FROM f3 UNION SELECT hadm_id FROM f4)"""], """
 SELECT k.hadm_id, f1.hcc_cd_135, f2.ft_contrast_imaging, f3.ft_low_sodium, f4.ft_mechanical_ventilation
 FROM k LEFT JOIN f1 ON k.hadm_id = f1.hadm_id LEFT JOIN f2 ON k.hadm_id = f2.hadm_id
-LEFT JOIN f3 ON k.hadm_id = f3.hadm_id LEFT JOIN f4 ON k.hadm_id = f4.hadm_id""".lstrip())
+LEFT JOIN f3 ON k.hadm_id = f3.hadm_id LEFT JOIN f4 ON k.hadm_id = f4.hadm_id""")
 
 
 @query("merge_features", _merge_sql())
