@@ -56,3 +56,32 @@ def first_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int
     """First ``n`` rows of each group in the given order (row-cap option)."""
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+
+
+def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges: int = 64) -> DataFrame:
+    """First ``n`` rows of each group in ``order`` without a whole-group window.
+
+    The leading field of the order key (the key itself if it is not a struct)
+    is cut into value ranges at quantiles from a sketch; ranges are monotone
+    in the full order. Counts per (group, range) form a small table whose
+    running sums give each range its offset inside the group; ranges that
+    start beyond ``n`` are dropped unread, and rows are ranked only inside
+    their (group, range). A hot group is thus spread over many tasks."""
+    from pyspark.sql.types import StructType
+    dt = df.schema[order].dataType
+    lead = F.col(f"{order}.{dt.fields[0].name}") if isinstance(dt, StructType) else F.col(order)
+    probe = df.select(lead.cast("double").alias("__v"))
+    bounds = sorted(set(b for b in probe.approxQuantile("__v", [i / sub_ranges for i in range(1, sub_ranges)], 0.001)
+                        if b is not None))
+    rng = F.lit(0)
+    for i, b in enumerate(bounds):
+        rng = F.when(lead.cast("double") > F.lit(b), F.lit(i + 1)).otherwise(rng)
+    r = df.withColumn("__r", rng)
+    counts = r.groupBy(group, "__r").agg(F.count(F.lit(1)).alias("__c"))
+    wc = Window.partitionBy(group).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(group, "__r", F.coalesce(F.sum("__c").over(wc), F.lit(0)).alias("__off")) \
+        .where(F.col("__off") < n)
+    j = r.join(offs, [group, "__r"], "inner")
+    w = Window.partitionBy(group, "__r").orderBy(F.col(order))
+    return (j.withColumn("__rn", F.row_number().over(w) + F.col("__off")).where(F.col("__rn") <= n)
+            .drop("__rn", "__r", "__off"))

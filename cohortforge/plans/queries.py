@@ -335,7 +335,7 @@ def q_demographics(spark, d):
 
 
 # ================================================================== chart features
-def _ph_sql(masked: bool) -> str:
+def _ph_sql(masked: bool, parts: bool = False):
     low = "valuenum < 7.3"
     flags = {"ft_low_blood_ph": tv(low)}
     for h in (6, 12, 24, 36, 48):
@@ -345,10 +345,11 @@ def _ph_sql(masked: bool) -> str:
         v = f"CASE WHEN {c} THEN valuenum END" if masked else "valuenum"
         cols.append(f"{r6(f'avg({v})')} AS {k.replace('ft_', 'ft_avg_', 1)}")
     cols.append(f"{r6('avg(valuenum)')} AS ft_blood_ph")
-    return with_ctes(S.EVENTS_CTES, f"""
+    body = f"""
 SELECT hadm_id, {', '.join(cols)} FROM dd
 WHERE (coalesce(contains(label, 'pH'), false) OR coalesce(contains(label, 'PH'), false)) AND hadm_id IS NOT NULL
-GROUP BY hadm_id""".lstrip())
+GROUP BY hadm_id""".lstrip()
+    return (S.EVENTS_CTES, body) if parts else with_ctes(S.EVENTS_CTES, body)
 
 
 @query("low_value_windows", _ph_sql(False))
@@ -362,23 +363,24 @@ def q_low_value_masked(spark, d):
     return fx.low_value_windows(_dedup(spark, d), masked=True)
 
 
-def _bp_sql(src: str, ctes: list[str]) -> str:
+def _bp_sql(src: str, ctes: list[str], parts: bool = False, low: bool = True):
     excl = " AND ".join(f"NOT {cci('label', w)}" for w in ("unloading", "pulmonary", "pap"))
     s2 = "(s.valuenum BETWEEN 140 AND 179 OR d.valuenum BETWEEN 90 AND 119)"
     cols = [f"max({fl('s.valuenum BETWEEN 120 AND 129')} * {fl('d.valuenum < 80')}) AS ft_elevated_bp",
-            f"max({fl('s.valuenum < 119')} * {fl('d.valuenum < 79')}) AS ft_abnormally_low_bp",
+            *([f"max({fl('s.valuenum < 119')} * {fl('d.valuenum < 79')}) AS ft_abnormally_low_bp"] if low else []),
             f"max({fl('s.valuenum BETWEEN 130 AND 139 OR d.valuenum BETWEEN 80 AND 89')}) AS ft_hbp_stg_1",
             f"max({fl(s2)}) AS ft_hbp_stg_2",
             f"max({fl('s.valuenum > 180 OR d.valuenum > 120')}) AS ft_hbp_crisis"]
     cols += [f"max(CAST({tv(s2)} AND {hours_lt('s.eventtime', 's.admittime', h)} AS INTEGER)) "
              f"AS ft_hbp_stg_2_within_{h}_hours" for h in (6, 12, 24, 36, 48)]
-    return with_ctes(ctes + [f"""
+    ctes = ctes + [f"""
 sy AS (SELECT * FROM {src} WHERE {cci('label', 'systolic')} AND {excl} AND hadm_id IS NOT NULL),
-di AS (SELECT * FROM {src} WHERE {cci('label', 'diastolic')} AND {excl} AND hadm_id IS NOT NULL)""".strip()],
-                     f"""
+di AS (SELECT * FROM {src} WHERE {cci('label', 'diastolic')} AND {excl} AND hadm_id IS NOT NULL)""".strip()]
+    body = f"""
 SELECT s.hadm_id, {', '.join(cols)}
 FROM sy s JOIN di d ON s.hadm_id = d.hadm_id AND s.eventtime IS NOT DISTINCT FROM d.eventtime
-GROUP BY s.hadm_id""".lstrip())
+GROUP BY s.hadm_id""".lstrip()
+    return (ctes, body) if parts else with_ctes(ctes, body)
 
 
 @query("paired_reading_bands", _bp_sql("paired_r", [A.SQL_PAIRED]))
@@ -387,19 +389,21 @@ def q_paired(spark, d):
     return fx.paired_reading_bands(A.paired_readings_input(spark, d))
 
 
-def _hema_sql() -> str:
+def _hema_sql(parts: bool = False):
     v = "valuenum"
     male = tv("g.ft_gender = 1")
     above = f"({male} AND {tv(v + ' > 50')}) OR (NOT {male} AND {tv(v + ' > 47')})"
     below = f"({male} AND {tv(v + ' < 42')}) OR (NOT {male} AND {tv(v + ' < 37')})"
-    return with_ctes(S.EVENTS_CTES + [A.SQL_PATIENTS, S.DEMO_GENDER], f"""
+    ctes = S.EVENTS_CTES + [A.SQL_PATIENTS, S.DEMO_GENDER]
+    body = f"""
 SELECT dd.hadm_id, {r6(f'avg({v})')} AS ft_avg_hematocrit,
   max(CAST({above} AS INTEGER)) AS ft_above_normal_hematocrit,
   max(CAST({below} AS INTEGER)) AS ft_below_normal_hematocrit,
   max({fl(v + ' < 20')}) AS ft_way_below_normal_hematocrit
 FROM dd LEFT JOIN demo_gender g ON dd.hadm_id = g.hadm_id
 WHERE {cci('label', 'hematocrit')} AND NOT {cci('label', 'apache')} AND dd.hadm_id IS NOT NULL
-GROUP BY dd.hadm_id""".lstrip())
+GROUP BY dd.hadm_id""".lstrip()
+    return (ctes, body) if parts else with_ctes(ctes, body)
 
 
 @query("group_reference_range", _hema_sql())
@@ -408,16 +412,17 @@ def q_group_range(spark, d):
     return fx.group_reference_range(_dedup(spark, d), _demo(spark, d))
 
 
-def _creat_sql() -> str:
-    return with_ctes(S.EVENTS_CTES + [S.serial_rows()], f"""
+def _creat_sql(parts: bool = False, baseline: bool = True):
+    ctes = S.EVENTS_CTES + [S.serial_rows()]
+    body = f"""
 SELECT hadm_id,
   max(CAST({tv('delta >= 0.3')} AND {tv('(epoch(eventtime) - epoch(prev_t)) <= 172800')} AS INTEGER))
     AS ft_creatinine_increase_within_48,
   max({fl('valuenum >= 1.5 * baseline')}) AS ft_creatinine_increase_from_baseline,
-  max({fl('baseline > 1')}) AS ft_baseline_creat_gt_1,
-  {r6('avg(baseline)')} AS ft_baseline_creatinine,
+  max({fl('baseline > 1')}) AS ft_baseline_creat_gt_1,{(' ' + r6('avg(baseline)') + ' AS ft_baseline_creatinine,') if baseline else ''}
   {r6('avg(valuenum)')} AS ft_avg_creatinine
-FROM cr2 GROUP BY hadm_id""".lstrip())
+FROM cr2 GROUP BY hadm_id""".lstrip()
+    return (ctes, body) if parts else with_ctes(ctes, body)
 
 
 @query("serial_change", _creat_sql())
@@ -426,12 +431,17 @@ def q_serial(spark, d):
     return fx.serial_change(_dedup(spark, d))
 
 
+_AUDIT = dict(match="e", max_value=150, rise_hours=2400)
+
+
 def _creat_audit_sql() -> str:
-    rise = f"CAST({tv('delta >= 0.3')} AND {tv('(epoch(eventtime) - epoch(prev_t)) <= 172800')} AS INTEGER)"
-    return with_ctes(S.EVENTS_CTES + [S.serial_rows(), f"a AS (SELECT *, {rise} AS rise FROM cr2)"], f"""
+    secs = _AUDIT["rise_hours"] * 3600
+    rise = f"CAST({tv('delta >= 0.3')} AND {tv(f'(epoch(eventtime) - epoch(prev_t)) <= {secs}')} AS INTEGER)"
+    rows = S.serial_rows(match=_AUDIT["match"], max_value=_AUDIT["max_value"])
+    return with_ctes(S.EVENTS_CTES + [rows, f"a AS (SELECT *, {rise} AS rise FROM cr2)"], f"""
 SELECT hadm_id, {r6('valuenum')} AS valuenum, {r6('delta')} AS delta,
   {r6('(epoch(eventtime) - epoch(prev_t)) / 3600')} AS delta_hours, {r6('baseline')} AS baseline,
-  rise AS ft_creatinine_increase_within_48,
+  rise AS ft_creatinine_increase_within_2400,
   {fl('valuenum >= 1.5 * baseline')} AS ft_creatinine_increase_from_baseline,
   {fl('baseline > 1')} AS ft_baseline_creat_gt_1
 FROM a WHERE hadm_id IN (SELECT hadm_id FROM a GROUP BY hadm_id HAVING max(rise) = 1)""".lstrip())
@@ -439,8 +449,9 @@ FROM a WHERE hadm_id IN (SELECT hadm_id FROM a GROUP BY hadm_id HAVING max(rise)
 
 @query("serial_change_audit", _creat_audit_sql())
 def q_serial_audit(spark, d):
-    """Row-level audit of the admissions with a 48-hour rise."""
-    return fx.serial_change_audit(_dedup(spark, d))
+    """Row-level audit of the admissions with a rise (wide match so that the
+    test tables produce rows)."""
+    return fx.serial_change_audit(_dedup(spark, d, item_filter=False), **_AUDIT)
 
 
 _URINE_VALUES = ["clear", "red", "yellow"]
@@ -488,3 +499,112 @@ def q_merge(spark, d):
     proc = A.procedures(spark, d)
     sodium = fx.threshold_flag(_labs(spark, d), "ft_low_sodium", "<", 5, label_contains="sodium", fluid="blood")
     return merge_features([label, fx.code_list_flag(proc, _CODES), sodium, fx.code_and_text_flag(proc, "7", "ring")])
+
+
+# ============================================================ chart features (flagship)
+def _chart_features_sql() -> str:
+    parts = [("f_creat", _creat_sql(parts=True)), ("f_hema", _hema_sql(parts=True)),
+             ("f_bp", _bp_sql("dd", S.EVENTS_CTES, parts=True)), ("f_ph", _ph_sql(False, parts=True))]
+    ctes = []
+    for name, (c, body) in parts:
+        ctes += c + [f"{name} AS ({body})"]
+    keys = " UNION ".join(f"SELECT hadm_id FROM {n}" for n, _ in parts)
+    ctes.append(f"k AS ({keys})")
+    joins = " ".join(f"LEFT JOIN {n} ON k.hadm_id = {n}.hadm_id" for n, _ in parts)
+    return with_ctes(ctes, f"SELECT k.hadm_id, {', '.join(n + '.* EXCLUDE (hadm_id)' for n, _ in parts)} FROM k {joins}")
+
+
+@query("chart_features_all_bins", _chart_features_sql())
+def q_chart_features(spark, d):
+    """Flagship: creatinine, hematocrit, blood pressure and blood pH features
+    of all hash bins in one job, merged per admission in one shuffle."""
+    return pl.chart_features(A.charts(spark, d), A.items(spark, d), _label(spark, d), _demo(spark, d))
+
+
+@query("paired_reading_bands_no_low", _bp_sql("dd", S.EVENTS_CTES, low=False))
+def q_paired_no_low(spark, d):
+    """Older band set (no low band) on the chart events."""
+    bands = {k: v for k, v in fx.DEFAULT_BANDS.items() if k != "ft_abnormally_low_bp"}
+    return fx.paired_reading_bands(_dedup(spark, d), bands=bands)
+
+
+@query("serial_change_no_baseline", _creat_sql(baseline=False))
+def q_serial_v1(spark, d):
+    """Older creatinine set without the baseline level column."""
+    return fx.serial_change(_dedup(spark, d), with_baseline=False)
+
+
+# ====================================================================== bins and io
+def _scratch(spark, name):
+    import uuid
+    from cohortforge.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_BIN = "substr(md5(CAST(hadm_id AS VARCHAR)), 1, 2)"
+
+
+@query("hash_bins", with_ctes([A.SQL_CHARTS], f"SELECT {_BIN} AS bin_id, count(*) AS n FROM charts_r GROUP BY 1"))
+def q_hash_bins(spark, d):
+    """Hash-partitioned sink (256 md5 bins of the entity), read back: rows per bin."""
+    from cohortforge.sources.io import read_bins, write_hash_bins
+    path = _scratch(spark, "bins")
+    write_hash_bins(A.charts(spark, d), path, "hadm_id")
+    return ag.value_counts(read_bins(spark, path), "bin_id")
+
+
+_SOME_BINS = ["00", "ff", "22", "3e"]
+
+
+@query("hash_bin_roundtrip", with_ctes([A.SQL_CHARTS], f"""
+SELECT hadm_id, itemid, CAST(charttime AS VARCHAR) AS charttime, {_BIN} AS bin_id FROM charts_r
+WHERE {_BIN} IN ('00', 'ff', '22', '3e')""".lstrip()))
+def q_hash_bin_roundtrip(spark, d):
+    """Write the bins, read a few back (partition pruning keeps the others unread)."""
+    from cohortforge.sources.io import read_bins, write_hash_bins
+    path = _scratch(spark, "bins")
+    write_hash_bins(A.charts(spark, d), path, "hadm_id")
+    return read_bins(spark, path, _SOME_BINS).select("hadm_id", "itemid", "charttime", "bin_id")
+
+
+@query("bin_row_cap", with_ctes([A.SQL_CHARTS], f"""
+SELECT hadm_id, itemid, bin_id FROM (
+  SELECT hadm_id, itemid, {_BIN} AS bin_id,
+         row_number() OVER (PARTITION BY {_BIN} ORDER BY {A.SQL_ROW_ORDER}) AS rn FROM charts_r)
+WHERE rn <= 50""".lstrip()))
+def q_bin_row_cap(spark, d):
+    """Row-cap option: first n rows of each bin in file order."""
+    from cohortforge.operators.windows import first_n_in_order
+    from cohortforge.sources.io import with_hash_bin
+    c = with_hash_bin(A.charts(spark, d), "hadm_id")
+    return first_n_in_order(c, "bin_id", "row_order", 50).select("hadm_id", "itemid", "bin_id")
+
+
+@query("csv_roundtrip", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, "
+                        "CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+def q_csv_roundtrip(spark, d):
+    """gzip CSV with upper-case headers, read back as text from a folder
+    catalog, lower-cased and typed."""
+    from cohortforge.sources.io import TableSpec, apply_types, read_table_folder, write_table
+    folder = _scratch(spark, "csv")
+    nation = A.table(spark, d, "nation")
+    nation.toDF(*[c.upper() for c in nation.columns]).write.option("header", True) \
+        .option("compression", "gzip").csv(f"{folder}/NATION.csv.gz")
+    tables = read_table_folder(spark, folder)
+    spec = TableSpec("nation", {"n_nationkey": "long", "n_regionkey": "long"})
+    return apply_types(tables["nation"], spec)
+
+
+@query("value_share", """
+SELECT o_orderstatus, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY o_orderstatus""".strip())
+def q_value_share(spark, d):
+    """Normalised value counts."""
+    return ag.value_share(A.table(spark, d, "orders"), "o_orderstatus")
+
+
+@query("label_counts", with_ctes(S.LABEL_CTES, "SELECT hcc_cd_135, count(*) AS n FROM label_full "
+                                               "WHERE hcc_cd_135 IS NOT NULL GROUP BY hcc_cd_135"))
+def q_label_counts(spark, d):
+    """Label frequencies, most frequent first."""
+    return ag.value_counts(_label(spark, d), "hcc_cd_135").orderBy(F.desc("n"))

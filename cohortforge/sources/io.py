@@ -118,7 +118,10 @@ def read_bins(spark: SparkSession, path: str, bins: Iterable[str] | None = None,
               bin_col: str = "bin_id") -> DataFrame:
     """Read the binned table; a bin list becomes a partition filter, so only
     those folders are listed and scanned."""
-    df = spark.read.parquet(path)
+    from pyspark.sql.types import StringType, StructField, StructType
+    inferred = spark.read.option("basePath", path).parquet(path).schema
+    schema = StructType([StructField(f.name, StringType(), True) if f.name == bin_col else f for f in inferred.fields])
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
     if bins is not None:
         df = df.where(F.col(bin_col).isin(list(bins)))
     return df
