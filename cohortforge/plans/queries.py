@@ -608,3 +608,223 @@ def q_value_share(spark, d):
 def q_label_counts(spark, d):
     """Label frequencies, most frequent first."""
     return ag.value_counts(_label(spark, d), "hcc_cd_135").orderBy(F.desc("n"))
+
+
+# ==================================================================== model dataset
+from cohortforge.operators import dataset as ds  # noqa: E402
+from cohortforge.operators import selection as sel  # noqa: E402
+
+_MODEL_COLS = ["hadm_id", "hcc_cd_135"] + A.MODEL_FEATURES
+
+
+def _model(spark, d):
+    return A.model_rows(spark, d)
+
+
+@query("exclude_subgroup", with_ctes([A.SQL_MODEL_ROWS], "SELECT * FROM model_r WHERE ft_admit_type_newborn = 0"))
+def q_exclude(spark, d):
+    """Drop a subgroup (null drops too)."""
+    return ds.exclude_subgroup(_model(spark, d))
+
+
+@query("undersample", with_ctes([A.SQL_MODEL_ROWS], """
+SELECT * FROM model_r WHERE hcc_cd_135 = 1
+UNION ALL
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('42' || CAST(hadm_id AS VARCHAR)), hadm_id) AS rn
+  FROM model_r WHERE hcc_cd_135 = 0)
+WHERE rn <= (SELECT count(*) FROM model_r WHERE hcc_cd_135 = 1)""".lstrip()))
+def q_undersample(spark, d):
+    """As many hash-chosen negatives as positives (exact count)."""
+    return ds.undersample(_model(spark, d))
+
+
+_SPLIT_SQL = ("CASE WHEN b < 7 THEN 'train' WHEN b IN (7, 8) THEN 'valid' WHEN b = 9 THEN 'test' END")
+_BUCKET_SQL = "(('0x' || substr(md5('42' || CAST(hadm_id AS VARCHAR)), 1, 8))::BIGINT % 10)"
+
+
+@query("split_buckets", with_ctes([A.SQL_MODEL_ROWS], f"""
+SELECT hadm_id, {_SPLIT_SQL} AS split FROM (SELECT hadm_id, {_BUCKET_SQL} AS b FROM model_r)""".lstrip()))
+def q_split(spark, d):
+    """Stable hash split 70 / 20 / 10."""
+    return ds.split_buckets(_model(spark, d)).select("hadm_id", "split")
+
+
+_MEAN_FILL = """mean_f AS (
+  SELECT * REPLACE (coalesce(ft_avg_qty, (SELECT avg(ft_avg_qty) FROM model_r)) AS ft_avg_qty,
+                    coalesce(ft_avg_discount, (SELECT avg(ft_avg_discount) FROM model_r)) AS ft_avg_discount)
+  FROM model_r)"""
+_MODE_FILL = """mode_v AS (
+  SELECT ft_returned AS v FROM mean_f WHERE ft_returned IS NOT NULL
+  GROUP BY ft_returned ORDER BY count(*) DESC, ft_returned LIMIT 1),
+mode_f AS (SELECT * REPLACE (coalesce(ft_returned, (SELECT v FROM mode_v)) AS ft_returned) FROM mean_f)"""
+
+
+@query("impute_mean", with_ctes([A.SQL_MODEL_ROWS, _MEAN_FILL], "SELECT * FROM mean_f"))
+def q_impute_mean(spark, d):
+    """Mean-fill the float columns picked by name (age / avg / los)."""
+    df = _model(spark, d)
+    cols = [c for c in df.columns if any(h in c for h in ds.MEAN_HINTS)]
+    return df.fillna({k: v for k, v in ag.column_means(df, cols).items() if v is not None})
+
+
+@query("impute_mode", with_ctes([A.SQL_MODEL_ROWS, _MEAN_FILL, _MODE_FILL], "SELECT * FROM mode_f"))
+def q_impute_mode(spark, d):
+    """Then mode-fill (smallest on ties) every column still holding nulls."""
+    pre = ds.fit_preprocess(_model(spark, d))
+    df = _model(spark, d).fillna({k: v for k, v in pre.means.items() if v is not None})
+    return df.fillna({k: v for k, v in pre.modes.items() if v is not None})
+
+
+@query("drop_all_zero", with_ctes([A.SQL_MODEL_ROWS, _MEAN_FILL, _MODE_FILL], "SELECT * EXCLUDE (ft_zero) FROM mode_f"))
+def q_drop_zero(spark, d):
+    """Then drop the columns whose values are all 0."""
+    return ds.preprocess(_model(spark, d))[1]
+
+
+def _std_sql(src: str) -> str:
+    feats = [c for c in A.MODEL_FEATURES if c != "ft_zero"]
+    cols = ", ".join(f"round((CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM {src})) / "
+                     f"(SELECT stddev_samp(CAST({c} AS DOUBLE)) FROM {src}), 6) AS {c}" for c in feats)
+    return f"SELECT hadm_id, hcc_cd_135, {cols} FROM {src}"
+
+
+@query("standardize", with_ctes([A.SQL_MODEL_ROWS, _MEAN_FILL, _MODE_FILL], _std_sql("mode_f")))
+def q_standardize(spark, d):
+    """Full chain fitted on the frame itself; scaled output (z-scores)."""
+    return ds.preprocess(_model(spark, d))[0]
+
+
+_TRAIN = f"""train_r AS (SELECT * FROM model_r WHERE {_BUCKET_SQL} < 7)"""
+
+
+@query("preprocess", with_ctes([A.SQL_MODEL_ROWS, _TRAIN, _MEAN_FILL.replace("model_r", "train_r"),
+                                _MODE_FILL], _std_sql("mode_f")))
+def q_preprocess(spark, d):
+    """Split, then impute / drop zero columns / standardise the training split."""
+    train, _, _ = ds.split_frames(_model(spark, d))
+    return ds.preprocess(train)[0]
+
+
+# ================================================================ selection / metrics
+_CORR_COLS = ["hcc_cd_135", "ft_avg_qty", "ft_avg_discount", "ft_returned", "ft_urgent", "ft_total"]
+
+
+@query("correlation_matrix", with_ctes([A.SQL_MODEL_ROWS], " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr "
+    f"FROM model_r" for a in _CORR_COLS for b in _CORR_COLS)))
+def q_corr(spark, d):
+    """Pearson correlation of every pair (long form)."""
+    return sel.correlation_matrix(_model(spark, d), _CORR_COLS)
+
+
+_LC_FEATS = _CORR_COLS[1:]
+
+
+@query("label_correlation", with_ctes([A.SQL_MODEL_ROWS], " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round(corr(CAST({f} AS DOUBLE), CAST(hcc_cd_135 AS DOUBLE)), 6) AS importance "
+    f"FROM model_r" for f in _LC_FEATS)))
+def q_label_corr(spark, d):
+    """Correlation with the label as importance."""
+    return sel.label_correlation(_model(spark, d), "hcc_cd_135", _LC_FEATS)
+
+
+_CHI_FEATS = ["ft_avg_qty", "ft_avg_discount", "ft_returned", "ft_urgent", "ft_admit_type_newborn", "ft_zero", "ft_total"]
+
+
+def _chi2_sql(k: int | None) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, hcc_cd_135 AS y, CAST({c} AS DOUBLE) AS x FROM mode_f"
+                              for c in _CHI_FEATS)
+    body = f"""
+sc AS (
+  SELECT o.feature, sum((o.o - p.p * t.t) * (o.o - p.p * t.t) / nullif(p.p * t.t, 0)) AS importance
+  FROM (SELECT feature, y, sum(x) AS o FROM lg GROUP BY feature, y) o
+  JOIN (SELECT hcc_cd_135 AS y, count(*) / (SELECT count(*) FROM mode_f) AS p FROM mode_f GROUP BY hcc_cd_135) p
+    ON o.y = p.y
+  JOIN (SELECT feature, sum(x) AS t FROM lg GROUP BY feature) t ON o.feature = t.feature
+  GROUP BY o.feature)"""
+    tail = (f"SELECT feature, round(importance, 6) AS importance FROM sc WHERE importance IS NOT NULL "
+            f"AND NOT isnan(importance) ORDER BY importance DESC, feature LIMIT {k}") if k else \
+        "SELECT feature, round(importance, 6) AS importance FROM sc"
+    return with_ctes([A.SQL_MODEL_ROWS, _MEAN_FILL, _MODE_FILL, f"lg AS ({long})", body.strip()], tail)
+
+
+def _imputed(spark, d):
+    pre = ds.fit_preprocess(_model(spark, d))
+    df = _model(spark, d).fillna({k: v for k, v in pre.means.items() if v is not None})
+    return df.fillna({k: v for k, v in pre.modes.items() if v is not None})
+
+
+@query("chi2_top_k", _chi2_sql(3))
+def q_chi2(spark, d):
+    """Chi-square scores of class sums on the imputed rows; top 3."""
+    return sel.top_k(sel.chi2_scores(_imputed(spark, d), "hcc_cd_135", _CHI_FEATS), 3)
+
+
+_SCORE = "(0.02 * floor(coalesce(ft_avg_qty, 25)) + 0.3 * ft_urgent + 0.2 * coalesce(ft_returned, 0))"
+
+
+def _scored(spark, d):
+    m = _model(spark, d)
+    score = (F.lit(0.02) * F.floor(F.coalesce(F.col("ft_avg_qty"), F.lit(25.0))).cast("double")
+             + F.lit(0.3) * F.col("ft_urgent") + F.lit(0.2) * F.coalesce(F.col("ft_returned"), F.lit(0)))
+    return m.select("hadm_id", F.col("hcc_cd_135").alias("label"), score.alias("score"))
+
+
+_ROC_CTE = f"""g AS (
+  SELECT {_SCORE} AS threshold, sum(hcc_cd_135) AS tp, sum(1 - hcc_cd_135) AS fp FROM model_r GROUP BY 1),
+roc AS (
+  SELECT threshold, tp, fp, sum(tp) OVER (ORDER BY threshold DESC) AS cum_tp,
+         sum(fp) OVER (ORDER BY threshold DESC) AS cum_fp FROM g)"""
+
+
+@query("roc_points", with_ctes([A.SQL_MODEL_ROWS, _ROC_CTE], """
+SELECT round(threshold, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(cum_tp AS BIGINT) AS cum_tp,
+       CAST(cum_fp AS BIGINT) AS cum_fp, round(cum_tp / (SELECT sum(tp) FROM g), 6) AS tpr,
+       round(cum_fp / (SELECT sum(fp) FROM g), 6) AS fpr FROM roc""".lstrip()))
+def q_roc(spark, d):
+    """ROC points per distinct score of a fixed scoring formula."""
+    return sel.roc_points(_scored(spark, d))
+
+
+@query("auc_precision_recall", with_ctes([A.SQL_MODEL_ROWS, _ROC_CTE], f"""
+SELECT 'fixed-score' AS label,
+  round((SELECT sum(fp * (2 * cum_tp - tp)) FROM roc) / (2.0 * (SELECT sum(tp) FROM g) * (SELECT sum(fp) FROM g)), 6) AS auc,
+  round(sum(CASE WHEN s >= 0.5 THEN hcc_cd_135 ELSE 0 END) / sum(CASE WHEN s >= 0.5 THEN 1 ELSE 0 END), 6) AS precision,
+  round(sum(CASE WHEN s >= 0.5 THEN hcc_cd_135 ELSE 0 END) / sum(hcc_cd_135), 6) AS recall
+FROM (SELECT hcc_cd_135, {_SCORE} AS s FROM model_r)""".lstrip()))
+def q_auc(spark, d):
+    """AUC (trapezoid), precision and recall at score >= 0.5."""
+    return sel.auc_precision_recall(_scored(spark, d), threshold=0.5, name="fixed-score")
+
+
+def _usage_sql() -> str:
+    corr = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, abs(corr(CAST({f} AS DOUBLE), CAST(hcc_cd_135 AS DOUBLE))) AS s FROM model_r"
+        for f in _LC_FEATS)
+    chi = _chi2_sql(None)
+    chi_ctes = chi[len("WITH "):chi.rindex("\nSELECT feature, round(importance, 6) AS importance FROM sc")]
+    return f"""WITH {chi_ctes},
+cs AS ({corr}),
+m AS (
+  SELECT feature, 'all_features' AS method FROM (VALUES {', '.join(f"('{f}')" for f in _CHI_FEATS)}) t(feature)
+  UNION ALL SELECT feature, 'label_correlation' FROM (SELECT feature FROM cs ORDER BY s DESC, feature LIMIT 3)
+  UNION ALL SELECT feature, 'chi2' FROM (SELECT feature FROM sc WHERE importance IS NOT NULL AND NOT isnan(importance)
+                                         ORDER BY importance DESC, feature LIMIT 3))
+SELECT feature, max(CAST(method = 'all_features' AS INTEGER)) AS all_features,
+       max(CAST(method = 'label_correlation' AS INTEGER)) AS label_correlation,
+       max(CAST(method = 'chi2' AS INTEGER)) AS chi2,
+       max(CAST(method = 'all_features' AS INTEGER)) + max(CAST(method = 'label_correlation' AS INTEGER))
+         + max(CAST(method = 'chi2' AS INTEGER)) AS used
+FROM m GROUP BY feature"""
+
+
+@query("feature_usage", _usage_sql())
+def q_usage(spark, d):
+    """Feature x selection-method matrix with the number of methods using it."""
+    m = _model(spark, d)
+    lc = sel.label_correlation(m, "hcc_cd_135", _LC_FEATS).withColumn("importance", F.abs("importance"))
+    chi = sel.chi2_scores(_imputed(spark, d), "hcc_cd_135", _CHI_FEATS)
+    all_f = spark.createDataFrame([(f,) for f in _CHI_FEATS], "feature string")
+    return sel.feature_usage({"all_features": all_f, "label_correlation": sel.top_k(lc, 3),
+                              "chi2": sel.top_k(chi, 3)})
