@@ -828,3 +828,104 @@ def q_usage(spark, d):
     all_f = spark.createDataFrame([(f,) for f in _CHI_FEATS], "feature string")
     return sel.feature_usage({"all_features": all_f, "label_correlation": sel.top_k(lc, 3),
                               "chi2": sel.top_k(chi, 3)})
+
+
+# ===================================================== models (rows-only checks)
+def _splits(spark, d):
+    """Scaled train / valid / test, each preprocessed on itself, restricted to
+    the feature columns all three keep."""
+    tr, va, te = ds.split_frames(_model(spark, d))
+    tr_s, va_s, te_s = (ds.preprocess(x)[0] for x in (tr, va, te))
+    feats = [c for c in tr_s.columns if c.startswith("ft_") and c in va_s.columns and c in te_s.columns]
+    return tr_s, va_s, te_s, feats
+
+
+@query("pca_scores")
+def q_pca_scores(spark, d):
+    """Centred PCA, 3 components, scores of the training rows."""
+    tr, _, _, feats = _splits(spark, d)
+    model = sel.pca_fit(tr, feats, 3)
+    return sel.pca_scores(model, tr)
+
+
+@query("pca_variance_sweep")
+def q_pca_sweep(spark, d):
+    """Explained-variance ratios for 2..5 components (one fit)."""
+    tr, _, _, feats = _splits(spark, d)
+    return sel.pca_variance_sweep(tr, feats, ks=(2, 3, 4, 5))
+
+
+@query("tree_importance")
+def q_tree_importance(spark, d):
+    """Entropy trees at three leaf-size settings; importances, top 25 each."""
+    tr, _, _, feats = _splits(spark, d)
+    out = None
+    for i, setting in enumerate([dict(min_leaf=1), dict(min_leaf=75, min_split=275), dict(min_leaf=50, min_split=500)]):
+        imp = sel.importances(sel.tree_fit(tr, feats, **setting), feats, spark).withColumn("setting", F.lit(i))
+        out = imp if out is None else out.unionByName(imp)
+    return out
+
+
+@query("tree_metrics")
+def q_tree_metrics(spark, d):
+    """Tree fitted on train; AUC / precision / recall on valid and test."""
+    tr, va, te, feats = _splits(spark, d)
+    m = sel.tree_fit(tr, feats, min_leaf=75)
+    return sel.evaluate(m, va, feats, "tree-valid").unionByName(sel.evaluate(m, te, feats, "tree-test"))
+
+
+@query("logistic_metrics")
+def q_logistic(spark, d):
+    """L2 logistic regression (C = 1) on train, metrics on valid."""
+    tr, va, _, feats = _splits(spark, d)
+    return sel.evaluate(sel.logistic_fit(tr, feats), va, feats, "logistic-regression")
+
+
+@query("logistic_on_pca")
+def q_logistic_pca(spark, d):
+    """Logistic regression on PCA scores; the fitted PCA is applied to valid."""
+    tr, va, _, feats = _splits(spark, d)
+    pca = sel.pca_fit(tr, feats, 3)
+    pcs = [f"pc_{i}" for i in range(3)]
+    trp = sel.pca_scores(pca, tr, keep=("hadm_id", "hcc_cd_135"))
+    vap = sel.pca_scores(pca, va, keep=("hadm_id", "hcc_cd_135"))
+    return sel.evaluate(sel.logistic_fit(trp, pcs), vap, pcs, "log-reg-pca")
+
+
+@query("grid_search")
+def q_grid(spark, d):
+    """Cross-validated penalty x C search (small grid), best model on valid."""
+    tr, va, _, feats = _splits(spark, d)
+    best = sel.grid_search(tr, feats, cs=(0.01, 1.0, 100.0), penalties=("l2", "l1"), folds=3, parallelism=4)
+    return sel.evaluate(best, va, feats, "grid-searched-log-reg")
+
+
+@query("model_comparison")
+def q_model_comparison(spark, d):
+    """Comparison table of models, sorted by AUC then precision, with
+    externally computed rows appended."""
+    tr, va, _, feats = _splits(spark, d)
+    rows = [sel.evaluate(sel.tree_fit(tr, feats, min_leaf=75), va, feats, "tree"),
+            sel.evaluate(sel.logistic_fit(tr, feats), va, feats, "logistic-regression")]
+    external = [("svm-top-25-features", 0.85690, 0.80227, 0.75233),
+                ("optimized-svm-top-25-features", 0.856475, 0.80246, 0.7514)]
+    return sel.make_table(rows, external)
+
+
+# ================================================================ feature assembly
+_ASSEMBLY_GROUPS = _GROUPS
+
+
+@query("feature_assembly")
+def q_assembly(spark, d):
+    """All feature frames merged per admission (label, demographics, chart
+    features, categories, other visits, keyword groups, procedures, labs)."""
+    t = {"admissions": A.admissions(spark, d), "patients": A.patients(spark, d), "icustays": A.stays(spark, d),
+         "diagnoses": A.diagnoses(spark, d), "crosswalk": A.crosswalk(spark, d), "chartevents": A.charts(spark, d),
+         "d_items": A.items(spark, d), "prescriptions": A.prescriptions(spark, d),
+         "cptevents": A.procedures(spark, d), "labevents": A.lab_events(spark, d), "d_labitems": A.lab_items(spark, d)}
+    labs = {"ft_low_sodium": dict(label_contains="sodium", fluid="blood", op="<", cut=5),
+            "ft_high_potassium": dict(label_contains="potassium", fluid="blood", op=">", cut=300),
+            "ft_anemic": dict(label_equals="iron", fluid="blood", op="<", cut=20, as_bool=True)}
+    return pl.assemble_features(t, drug_groups=_ASSEMBLY_GROUPS, drug_hours=_GHOURS, contrast_codes=_CODES,
+                                ventilation=("7", "ring"), labs=labs)
