@@ -98,6 +98,12 @@ def category_select(onehot: DataFrame, code: str = "", rename_as: str | None = N
     return onehot.select(*keep)
 
 
+def category_columns(onehot: DataFrame, names: Mapping[str, str], prefix: str = "hcc_cd",
+                     key: str = KEY) -> DataFrame:
+    """Several categories at once, each renamed: one aggregation feeds them all."""
+    return onehot.select(key, *[F.col(f"{prefix}_{code}").alias(name) for code, name in names.items()])
+
+
 def unmapped_codes(diagnoses: DataFrame, crosswalk: DataFrame, titles: DataFrame, code_col: str = "icd9_code",
                    map_key: str = "icd", title_col: str = "short_title") -> DataFrame:
     """Codes without a category, joined to their titles, counted by title."""
@@ -240,37 +246,32 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
           .agg(F.max(tolerant_double(F.col(los_col))).alias("los"),
                *[F.max(flag(F.lower(F.col(unit_col)) == F.lit(u))).alias(f"u_{u}") for u in units]))
     b = adm.join(st, "h", "left")
-    for u in units:
-        b = b.withColumn(f"u_{u}", F.coalesce(F.col(f"u_{u}"), F.lit(0)))
     ws = Window.partitionBy("s")
     wpos = ws.orderBy(F.col("admit").asc_nulls_last(), F.col("h"))
-    b = b.withColumn("pos", F.row_number().over(wpos)).withColumn("n_sub", F.count(F.lit(1)).over(ws))
+    b = b.select("*", F.row_number().over(wpos).alias("pos"), F.count(F.lit(1)).over(ws).alias("n_sub"),
+                 *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
     nbits = max(1, int(b.agg(F.max("n_sub")).first()[0] or 1).bit_length())
 
-    events = b.where(F.col("admit").isNotNull()).select(
-        "s", F.col("admit").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(b.schema["h"].dataType).alias("a"),
-        F.lit(None).cast("int").alias("n"), "pos", "los", *[f"u_{u}" for u in units])
-    markers = None
-    for n in days:
-        m = b.where(F.col("n_sub") >= 2).select(
-            "s", (F.col("disch") + F.make_dt_interval(days=F.lit(int(n)))).alias("t"), F.lit(0).alias("kind"),
-            F.col("h").alias("a"), F.lit(int(n)).alias("n"), "pos",
-            F.lit(None).cast("double").alias("los"), *[F.lit(0).alias(f"u_{u}") for u in units])
-        markers = m if markers is None else markers.unionByName(m)
-    # markers need A's own admit time and unit flags to subtract A itself
-    self_cols = b.select(F.col("h").alias("a"), F.col("admit").alias("self_admit"),
-                         *[F.col(f"u_{u}").alias(f"self_u_{u}") for u in units])
-    markers = markers.join(self_cols, "a", "left")
-    events = events.withColumn("self_admit", F.lit(None).cast("timestamp_ntz"))
-    for u in units:
-        events = events.withColumn(f"self_u_{u}", F.lit(None).cast("int"))
-    allrows = events.unionByName(markers)
+    # one event row (the admission as a B) and one marker row per window N
+    # (the admission as an A asking "B admitted before disch + N days")
+    def row(t, kind, a, n, los, units_v, self_admit, self_units):
+        return F.struct(t.alias("t"), F.lit(kind).alias("kind"), a.alias("a"), n.alias("n"), los.alias("los"),
+                        *[v.alias(f"u_{u}") for u, v in zip(units, units_v)], self_admit.alias("self_admit"),
+                        *[v.alias(f"self_u_{u}") for u, v in zip(units, self_units)])
+    null_h = F.lit(None).cast(b.schema["h"].dataType)
+    rows = [row(F.col("admit"), 1, null_h, F.lit(None).cast("int"), F.col("los"),
+                [F.col(f"uu_{u}") for u in units], F.lit(None).cast("timestamp_ntz"),
+                [F.lit(None).cast("int") for _ in units])]
+    rows += [row(F.col("disch") + F.make_dt_interval(days=F.lit(int(n))), 0, F.col("h"), F.lit(int(n)),
+                 F.lit(None).cast("double"), [F.lit(0) for _ in units], F.col("admit"),
+                 [F.col(f"uu_{u}") for u in units]) for n in days]
+    allrows = (b.select("s", "pos", "n_sub", F.inline(F.array(*rows)))
+               .where(((F.col("kind") == 1) & F.col("t").isNotNull()) | ((F.col("kind") == 0) & (F.col("n_sub") >= 2))))
 
     w = (Window.partitionBy("s").orderBy(F.col("t").asc_nulls_last(), F.col("kind"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     is_ev = F.col("kind") == 1
-    cnt = F.sum(F.when(is_ev, 1).otherwise(0)).over(w)
-    cols = {"cnt": cnt}
+    cols = {"cnt": F.sum(F.when(is_ev, 1).otherwise(0)).over(w)}
     for u in units:
         cols[f"cnt_{u}"] = F.sum(F.when(is_ev, F.col(f"u_{u}")).otherwise(0)).over(w)
     for j in range(nbits):
@@ -282,9 +283,11 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     valid_t = F.col("t").isNotNull()
     self_in = truthy(F.col("self_admit") < F.col("t")).cast("int")
     others = F.col("cnt") - self_in
-    excl_max = F.greatest(*[F.when(F.shiftright(F.col("pos"), j).bitwiseAND(1) == 1, F.col(f"m{j}_0"))
-                            .otherwise(F.col(f"m{j}_1")) for j in range(nbits)]) if nbits > 1 else \
-        F.when(F.col("pos").bitwiseAND(1) == 1, F.col("m0_0")).otherwise(F.col("m0_1"))
+    # the maximum over B != A: for each bit, take the running max of the
+    # positions whose bit differs from A's; A itself never qualifies
+    opp = [F.when(F.shiftright(F.col("pos"), j).bitwiseAND(1) == 1, F.col(f"m{j}_0")).otherwise(F.col(f"m{j}_1"))
+           for j in range(nbits)]
+    excl_max = F.greatest(*opp) if len(opp) > 1 else opp[0]
     per = run.select(
         F.col("a").alias(key), "n",
         flag(valid_t & (others > 0)).alias("prior"),
@@ -342,6 +345,37 @@ def threshold_flag(labs: DataFrame, name: str, op: str, cut: float, label_contai
     return labs.where(cond).groupBy(key).agg(F.max(v).alias(name))
 
 
+def code_flags(events: DataFrame, code_lists: Mapping[str, Sequence[str]] | None = None,
+               code_texts: Mapping[str, tuple[str, str]] | None = None, code_col: str = "cpt_cd",
+               text_col: str = "description", key: str = KEY) -> DataFrame:
+    """Several procedure flags from one pass: code-list flags and
+    code-and-text flags in a single aggregation."""
+    aggs = [F.max(flag(F.col(code_col).isin(list(dict.fromkeys(codes))))).alias(name)
+            for name, codes in (code_lists or {}).items()]
+    aggs += [F.max((truthy(F.col(code_col) == F.lit(c)) & contains_ci(F.col(text_col), t)).cast("int")).alias(name)
+             for name, (c, t) in (code_texts or {}).items()]
+    return events.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+
+
+def threshold_flags(labs: DataFrame, specs: Mapping[str, dict], key: str = KEY) -> DataFrame:
+    """Several lab flags in one aggregation. Each flag keeps its own test
+    filter as a condition, so an entity that has none of a test's readings
+    gets null for that flag (absent), as with separate frames merged."""
+    aggs = []
+    for name, spec in specs.items():
+        cond = F.lit(True)
+        if spec.get("label_contains") is not None:
+            cond = cond & contains_ci(F.col("label"), spec["label_contains"])
+        if spec.get("label_equals") is not None:
+            cond = cond & truthy(F.col("label") == F.lit(spec["label_equals"]))
+        if spec.get("fluid", "blood") is not None:
+            cond = cond & truthy(F.col("fluid") == F.lit(spec.get("fluid", "blood")))
+        hit = truthy(_OPS[spec["op"]](F.col("valuenum"), F.lit(spec["cut"])))
+        v = hit if spec.get("as_bool") else hit.cast("int")
+        aggs.append(F.max(F.when(cond, v)).alias(name))
+    return labs.groupBy(key).agg(*aggs)
+
+
 # ------------------------------------------------------------------- chart features (F-12..F-17)
 def low_value_windows(charts: DataFrame, name: str = "blood_ph", label_any: Sequence[str] = ("pH", "PH"),
                       cut: float = 7.30, hours: Sequence[float] = (6, 12, 24, 36, 48), masked: bool = False,

@@ -69,20 +69,45 @@ def match_statistics(joined: DataFrame, indicator: str) -> DataFrame:
     return joined.groupBy(indicator).agg(F.count(F.lit(1)).alias("n"))
 
 
-def merge_features(frames: Iterable[DataFrame], key: str = "hadm_id") -> DataFrame:
-    """N-way full outer merge of one-row-per-key frames in a single shuffle:
-    union by name, then one value per column and key. Equal to chained full
-    joins because every input frame has at most one row per key."""
+def merge_features(frames: Iterable[DataFrame], key: str = "hadm_id", how: str = "union",
+                   spine: DataFrame | None = None) -> DataFrame:
+    """N-way full outer merge of feature frames on the entity key.
+
+    ``union`` (default): union by name, then one value per column and key in
+    a single shuffle (chained full joins would re-shuffle the growing result
+    once per frame). Valid because every feature frame has one row per key;
+    the null padding of the union rows compresses to almost nothing in the
+    shuffle.
+
+    ``spine``: left-join every frame to a key spine (given, or the distinct
+    keys of all frames). Left joins keep the spine's hash partitioning and
+    ``groupBy(key)`` frames are already partitioned alike, so the chain adds
+    no exchange; worth it when a cheap spine of all keys exists."""
     frames = list(frames)
-    cols: list[str] = []
+    if how == "union":
+        cols: list[str] = []
+        for f in frames:
+            for c in f.columns:
+                if c != key and c not in cols:
+                    cols.append(c)
+        u = frames[0]
+        for f in frames[1:]:
+            u = u.unionByName(f, allowMissingColumns=True)
+        return u.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+    if spine is None:
+        keys = frames[0].select(key)
+        for f in frames[1:]:
+            keys = keys.union(f.select(key))
+        spine = keys
+    out = spine.select(key).where(F.col(key).isNotNull()).distinct()
+    seen = {key}
     for f in frames:
-        for c in f.columns:
-            if c != key and c not in cols:
-                cols.append(c)
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f, allowMissingColumns=True)
-    return u.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+        dup = [c for c in f.columns if c in seen and c != key]
+        if dup:
+            f = f.drop(*dup)
+        seen.update(f.columns)
+        out = out.join(f, key, "left")
+    return out
 
 
 def anti_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str) -> DataFrame:

@@ -37,7 +37,7 @@ def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bi
 
 def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demographics: DataFrame,
                    bins: Sequence[str] | None = None, use_item_filter: bool = True,
-                   materialize: bool = False) -> DataFrame:
+                   materialize: bool = True) -> DataFrame:
     """Creatinine, hematocrit, blood pressure and blood pH features, merged:
     all hash bins in one job (``bins`` restricts to some bins)."""
     ev = clean_chart_events(charts, items, label, bins, chart_item_filter() if use_item_filter else None)
@@ -68,12 +68,15 @@ def assemble_features(t: Mapping[str, DataFrame], label_code: str = P.LABEL_CATE
     demo = fx.demographics(t["admissions"], t["patients"])
     charts = chart_features(t["chartevents"], t["d_items"], label, demo, bins=chart_bins)
     onehot = fx.category_onehot(t["diagnoses"], t["crosswalk"], values=list(comorbidities))
-    cats = [fx.category_select(onehot, code, name) for code, name in comorbidities.items()]
+    cats = [fx.category_columns(onehot, comorbidities)]
     prior = fx.other_visits_within_days(t["admissions"], t["icustays"])
     drugs = fx.keyword_group_windows(t["prescriptions"], t["admissions"], drug_groups, drug_hours)
-    contrast = fx.code_list_flag(t["cptevents"], contrast_codes)
-    vent = fx.code_and_text_flag(t["cptevents"], ventilation[0], ventilation[1])
+    procs = fx.code_flags(t["cptevents"], {"ft_contrast_imaging": contrast_codes},
+                          {"ft_mechanical_ventilation": ventilation})
     lab = fx.prepare_labs(t["labevents"], t["d_labitems"])
-    lab_flags = [fx.threshold_flag(lab, name, **spec) for name, spec in labs.items()]
+    lab_flags = fx.threshold_flags(lab, labs)
     base = label.drop("subject_id", "admittime", "dischtime")
-    return merge_features([base, demo, charts, *cats, prior, drugs, contrast, vent, *lab_flags])
+    # lab flags of entities without any reading of that test stay null, as
+    # with one frame per test; entities with no matching test are dropped
+    lab_flags = lab_flags.where(F.coalesce(*[F.col(c).cast("int") for c in labs]).isNotNull())
+    return merge_features([base, demo, charts, *cats, prior, drugs, procs, lab_flags])
