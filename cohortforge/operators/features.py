@@ -18,7 +18,8 @@ from cohortforge.functions import (contains_any_ci, contains_ci, contains_cs_any
                                    truthy, whole_days, within_hours)
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs
 from cohortforge.operators.joins import anti_lookup, broadcast_if_small, lookup_join
-from cohortforge.operators.windows import dedupe_first, order_key
+from cohortforge.operators.windows import (dedupe_first, hour_bucket, order_key, previous_values,
+                                           running_aggregates)
 
 KEY = "hadm_id"
 SUBJECT = "subject_id"
@@ -246,11 +247,17 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
           .agg(F.max(tolerant_double(F.col(los_col))).alias("los"),
                *[F.max(flag(F.lower(F.col(unit_col)) == F.lit(u))).alias(f"u_{u}") for u in units]))
     b = adm.join(st, "h", "left")
-    ws = Window.partitionBy("s")
-    wpos = ws.orderBy(F.col("admit").asc_nulls_last(), F.col("h"))
-    b = b.select("*", F.row_number().over(wpos).alias("pos"), F.count(F.lit(1)).over(ws).alias("n_sub"),
-                 *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
-    nbits = max(1, int(b.agg(F.max("n_sub")).first()[0] or 1).bit_length())
+    n_sub = adm.groupBy(F.col("s").alias("__s")).agg(F.count(F.lit(1)).alias("n_sub"))
+    b = b.join(n_sub, b["s"] == n_sub["__s"], "left").drop("__s")
+    # identity bits of the admission: the id itself when integral (distinct
+    # per subject), else a 64-bit hash
+    if b.schema["h"].dataType.typeName() in ("long", "integer", "short", "byte"):
+        ident = F.col("h").cast("bigint")
+        lo, hi = b.agg(F.min("h"), F.max("h")).first()
+        nbits = 64 if (lo is not None and lo < 0) else max(1, int(hi or 1).bit_length())
+    else:
+        ident, nbits = F.xxhash64(F.col("h")), 64
+    b = b.select("*", ident.alias("pos"), *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
 
     # one event row (the admission as a B) and one marker row per window N
     # (the admission as an A asking "B admitted before disch + N days")
@@ -268,17 +275,18 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     allrows = (b.select("s", "pos", "n_sub", F.inline(F.array(*rows)))
                .where(((F.col("kind") == 1) & F.col("t").isNotNull()) | ((F.col("kind") == 0) & (F.col("n_sub") >= 2))))
 
-    w = (Window.partitionBy("s").orderBy(F.col("t").asc_nulls_last(), F.col("kind"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # markers sort before events at the same instant: "admitted before T"
     is_ev = F.col("kind") == 1
-    cols = {"cnt": F.sum(F.when(is_ev, 1).otherwise(0)).over(w)}
+    sums = {"cnt": F.when(is_ev, 1).otherwise(0)}
     for u in units:
-        cols[f"cnt_{u}"] = F.sum(F.when(is_ev, F.col(f"u_{u}")).otherwise(0)).over(w)
+        sums[f"cnt_{u}"] = F.when(is_ev, F.col(f"u_{u}")).otherwise(0)
+    maxes = {}
     for j in range(nbits):
         bit = F.shiftright(F.col("pos"), j).bitwiseAND(1)
         for v in (0, 1):
-            cols[f"m{j}_{v}"] = F.max(F.when(is_ev & (bit == v), F.col("los"))).over(w)
-    run = allrows.select("*", *[c.alias(k) for k, c in cols.items()]).where(F.col("kind") == 0)
+            maxes[f"m{j}_{v}"] = F.when(is_ev & (bit == v), F.col("los"))
+    run = running_aggregates(allrows, "s", hour_bucket(F.col("t")), [F.col("t"), F.col("kind")], sums, maxes) \
+        .where(F.col("kind") == 0)
 
     valid_t = F.col("t").isNotNull()
     self_in = truthy(F.col("self_admit") < F.col("t")).cast("int")
@@ -476,13 +484,12 @@ def group_reference_range(charts: DataFrame, groups: DataFrame, name: str = "hem
 def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str) -> DataFrame:
     res = charts.where(contains_ci(F.col("label"), match) & truthy(F.col("valuenum") <= F.lit(max_value))
                        & F.col(key).isNotNull())
-    w = Window.partitionBy(key).orderBy(F.col("eventtime").asc_nulls_last(), F.col(order_tiebreak))
-    first_row = F.row_number().over(w) == 1
-    prev_v = F.when(first_row, F.col("valuenum")).otherwise(F.lag("valuenum").over(w))
-    prev_t = F.when(first_row, F.col("eventtime")).otherwise(F.lag("eventtime").over(w))
-    return res.select(key, "eventtime", "valuenum", order_tiebreak,
-                      (F.col("valuenum") - prev_v).alias("delta"),
-                      (F.col("eventtime") - prev_t).alias("delta_time"))
+    res = res.select(key, "eventtime", "valuenum", order_tiebreak)
+    prev = previous_values(res, key, hour_bucket(F.col("eventtime")),
+                           [F.col("eventtime"), F.col(order_tiebreak)], ["valuenum", "eventtime"])
+    return prev.select(key, "eventtime", "valuenum", order_tiebreak,
+                       (F.col("valuenum") - F.col("prev_valuenum")).alias("delta"),
+                       (F.col("eventtime") - F.col("prev_eventtime")).alias("delta_time"))
 
 
 def serial_change(charts: DataFrame, name: str = "creatinine", match: str = "creatin", max_value: float = 11,

@@ -85,3 +85,69 @@ def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges:
     w = Window.partitionBy(group, "__r").orderBy(F.col(order))
     return (j.withColumn("__rn", F.row_number().over(w) + F.col("__off")).where(F.col("__rn") <= n)
             .drop("__rn", "__r", "__off"))
+
+
+# ----------------------------------------------------------------------------
+# Two-level order operators: a hot entity is split by time bucket.
+#
+# A window partitioned by the entity alone puts all of a hot entity's rows in
+# one task. Here the window runs per (entity, bucket) where the bucket is a
+# fixed-width time slot that is monotone in the order; what crosses bucket
+# borders is carried by a per-(entity, bucket) summary (an aggregate, combined
+# map-side) and a window over those summaries, whose length per entity is
+# bounded by the calendar (number of slots spanned), not by the data volume.
+# ----------------------------------------------------------------------------
+NULL_BUCKET = 1 << 62
+
+
+def hour_bucket(t: Column) -> Column:
+    """Hour slot of a timestamp_ntz (zone independent); null time -> a
+    sentinel after every real slot, so null times sort last."""
+    slot = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(t)
+    return F.coalesce(slot, F.lit(NULL_BUCKET).cast("bigint"))
+
+
+def previous_values(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
+                    cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """Previous row's values per entity in ``order_cols`` (nulls last); the
+    first row of an entity takes its own values. ``bucket`` must be
+    non-decreasing in that order within an entity."""
+    ordered = [c.asc_nulls_last() for c in order_cols]
+    d = df.withColumn("__b", bucket)
+    w = Window.partitionBy(key, "__b").orderBy(*ordered)
+    inner = d.select("*", F.row_number().over(w).alias("__rn"),
+                     *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
+    last = d.groupBy(key, "__b").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(order_cols))
+                                     .alias("__last"))
+    wb = Window.partitionBy(key).orderBy("__b")
+    prevb = last.select(key, "__b", F.lag("__last").over(wb).alias("__pl"))
+    j = inner.join(prevb, [key, "__b"], "left")
+    out = j.select("*", *[F.when(F.col("__rn") > 1, F.col(f"__lag_{c}"))
+                          .when(F.col("__pl").isNotNull(), F.col(f"__pl.{c}"))
+                          .otherwise(F.col(c)).alias(prefix + c) for c in cols])
+    return out.drop("__b", "__rn", "__pl", *[f"__lag_{c}" for c in cols])
+
+
+def running_aggregates(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
+                       sums: dict, maxes: dict) -> DataFrame:
+    """Running (inclusive prefix) sums and maxima per entity in
+    ``order_cols``: {output name: Column}. Prefix of earlier buckets from the
+    bucket summaries, plus the running value inside the row's bucket."""
+    ordered = [c.asc_nulls_last() for c in order_cols]
+    d = df.withColumn("__b", bucket)
+    w = (Window.partitionBy(key, "__b").orderBy(*ordered)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = d.select("*", *[F.sum(c).over(w).alias(f"__is_{n}") for n, c in sums.items()],
+                     *[F.max(c).over(w).alias(f"__im_{n}") for n, c in maxes.items()])
+    tot = d.groupBy(key, "__b").agg(*[F.sum(c).alias(f"__ts_{n}") for n, c in sums.items()],
+                                    *[F.max(c).alias(f"__tm_{n}") for n, c in maxes.items()])
+    wb = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = tot.select(key, "__b", *[F.sum(f"__ts_{n}").over(wb).alias(f"__bs_{n}") for n in sums],
+                        *[F.max(f"__tm_{n}").over(wb).alias(f"__bm_{n}") for n in maxes])
+    j = inner.join(before, [key, "__b"], "left")
+    out = j.select("*", *[(F.coalesce(F.col(f"__bs_{n}"), F.lit(0)) + F.coalesce(F.col(f"__is_{n}"), F.lit(0)))
+                          .alias(n) for n in sums],
+                   *[F.greatest(F.col(f"__bm_{n}"), F.col(f"__im_{n}")).alias(n) for n in maxes])
+    drop = ["__b"] + [f"__{p}_{n}" for n in sums for p in ("is", "bs")] + \
+        [f"__{p}_{n}" for n in maxes for p in ("im", "bm")]
+    return out.drop(*drop)

@@ -237,3 +237,43 @@ def test_code_flags(spark):
     assert got == {1: (1, 1), 2: (0, 0), 3: (0, 0)}
     pre = {r["hadm_id"] for r in fx.code_prefix_flag(ev, ["74"], ["74177"]).collect()}
     assert pre == {1}
+
+
+def brute_serial(rows):
+    df = pd.DataFrame(rows, columns=["hadm_id", "eventtime", "label", "valuenum", "row_order"])
+    df = df[df.label.str.lower().str.contains("creatin") & (df.valuenum <= 11)]
+    df = df.assign(nt=df.eventtime.isna()).sort_values(["hadm_id", "nt", "eventtime", "row_order"])
+    out = {}
+    for hid, g in df.groupby("hadm_id"):
+        vals, times = list(g.valuenum), list(g.eventtime)
+        rise = 0
+        for i in range(len(vals)):
+            pv, pt = (vals[i], times[i]) if i == 0 else (vals[i - 1], times[i - 1])
+            dtime = None if (pd.isna(times[i]) or pd.isna(pt)) else times[i] - pt
+            if vals[i] - pv >= 0.3 and dtime is not None and dtime <= dt.timedelta(hours=48):
+                rise = 1
+        base = vals[0]
+        out[hid] = {"ft_creatinine_increase_within_48": rise,
+                    "ft_creatinine_increase_from_baseline": int(max(vals) >= 1.5 * base),
+                    "ft_baseline_creat_gt_1": int(base > 1), "ft_baseline_creatinine": base,
+                    "ft_avg_creatinine": sum(vals) / len(vals)}
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_serial_change_matches_sort_and_shift(spark, seed):
+    rnd = random.Random(seed)
+    rows, rid = [], 0
+    for hid in range(6):
+        for _ in range(rnd.choice([1, 5, 40])):
+            rid += 1
+            t = None if rnd.random() < 0.08 else h(rnd.choice([0, 0, 1, 2, 30, 31, 49, 50, 200, 201, 500]) + rnd.random())
+            rows.append((hid, t, rnd.choice(["Creatinine", "creatinine (serum)", "HR"]),
+                         rnd.choice([0.5, 0.9, 1.0, 1.2, 1.5, 1.8, 2.4, 12.0]), rid))
+    df = spark.createDataFrame(rows, "hadm_id int, eventtime timestamp_ntz, label string, valuenum double, row_order int")
+    got = {r["hadm_id"]: r.asDict() for r in fx.serial_change(df).collect()}
+    exp = brute_serial(rows)
+    assert set(got) == set(exp)
+    for k, rec in exp.items():
+        for c, v in rec.items():
+            assert math.isclose(got[k][c], v) if isinstance(v, float) else got[k][c] == v, (seed, k, c)
