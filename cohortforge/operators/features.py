@@ -227,7 +227,8 @@ def _h(h: float) -> str:
 def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequence[int] = (30, 60, 90, 120),
                              unit_days: int = 30, units: Sequence[str] = ("micu", "ccu"),
                              key: str = KEY, subject: str = SUBJECT, unit_col: str = "last_careunit",
-                             los_col: str = "los", prefix: str = "prior_admission") -> DataFrame:
+                             los_col: str = "los", prefix: str = "prior_admission",
+                             bucket_hours: int = 24 * 7) -> DataFrame:
     """For each admission A, over the subject's *other* admissions B:
     ``ft_{prefix}_N`` = some B has ``whole_days(B.admit - A.disch) < N``; for
     ``unit_days`` also the max ICU length of stay of such B and flags for B's
@@ -249,15 +250,13 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     b = adm.join(st, "h", "left")
     n_sub = adm.groupBy(F.col("s").alias("__s")).agg(F.count(F.lit(1)).alias("n_sub"))
     b = b.join(n_sub, b["s"] == n_sub["__s"], "left").drop("__s")
-    # identity bits of the admission: the id itself when integral (distinct
-    # per subject), else a 64-bit hash
-    if b.schema["h"].dataType.typeName() in ("long", "integer", "short", "byte"):
-        ident = F.col("h").cast("bigint")
-        lo, hi = b.agg(F.min("h"), F.max("h")).first()
-        nbits = 64 if (lo is not None and lo < 0) else max(1, int(hi or 1).bit_length())
-    else:
-        ident, nbits = F.xxhash64(F.col("h")), 64
-    b = b.select("*", ident.alias("pos"), *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
+    # identity of an admission inside its subject: its position in (admit, id)
+    # order, a running count (two-level, no whole-subject window); only
+    # bit_length(max admissions per subject) bits are needed to exclude A
+    b = running_aggregates(b, "s", hour_bucket(F.col("admit"), bucket_hours), [F.col("admit"), F.col("h")],
+                           {"pos": F.lit(1)}, {})
+    nbits = max(1, int(n_sub.agg(F.max("n_sub")).first()[0] or 1).bit_length())
+    b = b.select("*", *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
 
     # one event row (the admission as a B) and one marker row per window N
     # (the admission as an A asking "B admitted before disch + N days")
@@ -285,7 +284,8 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
         bit = F.shiftright(F.col("pos"), j).bitwiseAND(1)
         for v in (0, 1):
             maxes[f"m{j}_{v}"] = F.when(is_ev & (bit == v), F.col("los"))
-    run = running_aggregates(allrows, "s", hour_bucket(F.col("t")), [F.col("t"), F.col("kind")], sums, maxes) \
+    run = running_aggregates(allrows, "s", hour_bucket(F.col("t"), bucket_hours), [F.col("t"), F.col("kind")],
+                             sums, maxes) \
         .where(F.col("kind") == 0)
 
     valid_t = F.col("t").isNotNull()
@@ -481,11 +481,12 @@ def group_reference_range(charts: DataFrame, groups: DataFrame, name: str = "hem
         F.max(truthy(v < F.lit(very_low)).cast("int")).alias(f"ft_way_below_normal_{name}"))
 
 
-def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str) -> DataFrame:
+def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str,
+                 bucket_hours: int = 24) -> DataFrame:
     res = charts.where(contains_ci(F.col("label"), match) & truthy(F.col("valuenum") <= F.lit(max_value))
                        & F.col(key).isNotNull())
     res = res.select(key, "eventtime", "valuenum", order_tiebreak)
-    prev = previous_values(res, key, hour_bucket(F.col("eventtime")),
+    prev = previous_values(res, key, hour_bucket(F.col("eventtime"), bucket_hours),
                            [F.col("eventtime"), F.col(order_tiebreak)], ["valuenum", "eventtime"])
     return prev.select(key, "eventtime", "valuenum", order_tiebreak,
                        (F.col("valuenum") - F.col("prev_valuenum")).alias("delta"),

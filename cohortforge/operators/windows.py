@@ -100,10 +100,12 @@ def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges:
 NULL_BUCKET = 1 << 62
 
 
-def hour_bucket(t: Column) -> Column:
-    """Hour slot of a timestamp_ntz (zone independent); null time -> a
-    sentinel after every real slot, so null times sort last."""
+def hour_bucket(t: Column, hours: int = 1) -> Column:
+    """Slot of ``hours`` width of a timestamp_ntz (zone independent); null
+    time -> a sentinel after every real slot, so null times sort last."""
     slot = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(t)
+    if hours != 1:
+        slot = F.floor(slot / F.lit(hours)).cast("bigint")
     return F.coalesce(slot, F.lit(NULL_BUCKET).cast("bigint"))
 
 
