@@ -929,3 +929,19 @@ def q_assembly(spark, d):
             "ft_anemic": dict(label_equals="iron", fluid="blood", op="<", cut=20, as_bool=True)}
     return pl.assemble_features(t, drug_groups=_ASSEMBLY_GROUPS, drug_hours=_GHOURS, contrast_codes=_CODES,
                                 ventilation=("7", "ring"), labs=labs)
+
+
+# ======================================================================= streaming
+@query("hash_bins_stream", with_ctes([A.SQL_CHARTS], f"SELECT {_BIN} AS bin_id, count(*) AS n FROM charts_r GROUP BY 1"))
+def q_hash_bins_stream(spark, d):
+    """The bin split as a stream: chart rows arrive as files (one file per
+    micro-batch), are binned and appended per bin exactly once; the result is
+    read back as a table."""
+    from cohortforge.sources.io import read_bins
+    from cohortforge.streaming import start_bin_split
+    src, out = _scratch(spark, "stream-src"), _scratch(spark, "stream-out")
+    charts = A.charts(spark, d).drop("row_order")
+    charts.repartition(4, "hadm_id").write.parquet(src)
+    q = start_bin_split(spark, src, charts.schema, out, "hadm_id", fmt="parquet", checkpoint=_scratch(spark, "sckpt"))
+    q.awaitTermination()
+    return ag.value_counts(read_bins(spark, out), "bin_id")
