@@ -571,6 +571,19 @@ def categorical_readings_onehot(charts: DataFrame, match: str = "urine",
     return out
 
 
+def gender_frame(admissions: DataFrame, patients: DataFrame, gender_map: Mapping[str, int] | None = None,
+                 key: str = KEY, subject: str = SUBJECT) -> DataFrame:
+    """Per entity the 0/1 gender only (what reference ranges by gender need),
+    without the one-hot columns of the full demographics."""
+    gender_map = gender_map or {"F": 0, "M": 1}
+    g = None
+    for k, v in gender_map.items():
+        g = F.when(F.col("gender") == F.lit(k), F.lit(v)) if g is None else g.when(F.col("gender") == F.lit(k), F.lit(v))
+    pts = patients.select(F.col(subject).alias("__s"), "gender")
+    pt = admissions.select(key, subject).join(pts, F.col(subject) == F.col("__s"), "left")
+    return pt.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(g, ignorenulls=True).alias("ft_gender"))
+
+
 # --------------------------------------------------------------------------- demographics (F-13)
 UNKNOWN_CLASSES = ("ft_race_patient_declined_to_answer", "ft_race_unable_to_be_obtained",
                    "ft_race_unknown_not_specified")

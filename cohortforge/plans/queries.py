@@ -409,7 +409,7 @@ GROUP BY dd.hadm_id""".lstrip()
 @query("group_reference_range", _hema_sql())
 def q_group_range(spark, d):
     """Hematocrit above / below a gender-dependent range (unknown -> other range)."""
-    return fx.group_reference_range(_dedup(spark, d), _demo(spark, d))
+    return fx.group_reference_range(_dedup(spark, d), fx.gender_frame(A.admissions(spark, d), A.patients(spark, d)))
 
 
 def _creat_sql(parts: bool = False, baseline: bool = True):
@@ -518,7 +518,8 @@ def _chart_features_sql() -> str:
 def q_chart_features(spark, d):
     """Flagship: creatinine, hematocrit, blood pressure and blood pH features
     of all hash bins in one job, merged per admission in one shuffle."""
-    return pl.chart_features(A.charts(spark, d), A.items(spark, d), _label(spark, d), _demo(spark, d))
+    gender = fx.gender_frame(A.admissions(spark, d), A.patients(spark, d))
+    return pl.chart_features(A.charts(spark, d), A.items(spark, d), _label(spark, d), gender)
 
 
 @query("paired_reading_bands_no_low", _bp_sql("dd", S.EVENTS_CTES, low=False))
