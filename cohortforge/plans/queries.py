@@ -250,7 +250,7 @@ _GROUPS = {"shape": ["ring", "bolt", "gear"], "size": ["small", "large"], "temp"
 _GHOURS = (24, 240, 2400)
 
 
-def _keyword_sql() -> str:
+def _keyword_sql(parts: bool = False):
     words = [w for ws in _GROUPS.values() for w in ws]
 
     def hit(ws):
@@ -268,10 +268,12 @@ def _keyword_sql() -> str:
                      for h in _GHOURS]
         cols.append(f"max(CAST({hit(ws)} AS INTEGER)) AS ft_nephrotoxin_{g}_rx")
         cols += [f"max(CAST({hit(ws)} AND {win(h)} AS INTEGER)) AS ft_nephrotoxin_{g}_rx_within_{h}" for h in _GHOURS]
-    return with_ctes([A.SQL_PRESCRIPTIONS, A.SQL_ADMISSIONS], f"""
+    ctes = [A.SQL_PRESCRIPTIONS, A.SQL_ADMISSIONS]
+    body = f"""
 SELECT p.hadm_id, {', '.join(cols)}
 FROM prescriptions_r p LEFT JOIN admissions_r a ON p.hadm_id = a.hadm_id AND p.subject_id = a.subject_id
-WHERE p.hadm_id IS NOT NULL GROUP BY p.hadm_id""".lstrip())
+WHERE p.hadm_id IS NOT NULL GROUP BY p.hadm_id""".lstrip()
+    return (ctes, body) if parts else with_ctes(ctes, body)
 
 
 @query("keyword_group_windows", _keyword_sql())
@@ -281,18 +283,19 @@ def q_keyword(spark, d):
 
 
 # ==================================================================== other visits
-_OV_SQL = with_ctes([A.SQL_ADMISSIONS, A.SQL_STAYS, f"""p AS (
+_OV_PARTS = ([A.SQL_ADMISSIONS, A.SQL_STAYS, f"""ov_p AS (
   SELECT x.hadm_id, y.hadm_id AS h2,
          floor((epoch(y.admittime) - epoch(x.dischtime)) / 86400) AS dd
   FROM admissions_r x JOIN admissions_r y ON x.subject_id = y.subject_id AND x.hadm_id <> y.hadm_id),
-q AS (SELECT p.*, s.los, lower(s.last_careunit) AS cu FROM p LEFT JOIN stays_r s ON p.h2 = s.hadm_id)"""], f"""
+ov_q AS (SELECT p.*, s.los, lower(s.last_careunit) AS cu FROM ov_p p LEFT JOIN stays_r s ON p.h2 = s.hadm_id)"""], f"""
 SELECT hadm_id,
   max({fl('dd < 30')}) AS ft_prior_admission_30, max({fl('dd < 60')}) AS ft_prior_admission_60,
   max({fl('dd < 90')}) AS ft_prior_admission_90, max({fl('dd < 120')}) AS ft_prior_admission_120,
   {r6('max(CASE WHEN dd < 30 THEN los END)')} AS ft_avg_icu_los_within_30,
   max({fl("cu = 'micu'")} * {fl('dd < 30')}) AS ft_micu_within_30,
   max({fl("cu = 'ccu'")} * {fl('dd < 30')}) AS ft_ccu_within_30
-FROM q GROUP BY hadm_id""")
+FROM ov_q GROUP BY hadm_id""")
+_OV_SQL = with_ctes(*_OV_PARTS)
 
 
 @query("other_visits_within_days", _OV_SQL)
@@ -308,20 +311,22 @@ _FOLD = ["patient_declined_to_answer", "unknown_not_specified"]
 _ETH_NORM = "replace(replace(replace(replace(lower(a.ethnicity), '/', '_'), ' ', '_'), '-', ''), '__', '_')"
 
 
-def _demo_sql() -> str:
+def _demo_sql(parts: bool = False):
     cols = [f"max({fl(f'lower(a.admission_type) = ' + chr(39) + t + chr(39))}) AS \"ft_admit_type_{t}\""
             for t in _TYPES]
     cols += [f"max({fl(f'{_ETH_NORM} = ' + chr(39) + r + chr(39))}) AS ft_race_{r}" for r in _RACES]
     fold = " OR ".join(f"{_ETH_NORM} = '{r}'" for r in _FOLD)
     cols.append(f"max({fl(fold)}) AS ft_race_missing_info")
     days = "floor((epoch(a.admittime) - epoch(p.dob)) / 86400)"
-    return with_ctes([A.SQL_ADMISSIONS, A.SQL_PATIENTS], f"""
+    ctes = [A.SQL_ADMISSIONS, A.SQL_PATIENTS]
+    body = f"""
 SELECT a.hadm_id,
   {r6(f'avg(CASE WHEN {days} / 365.25 >= -1 AND {days} <= 106751 THEN {days} / 365.25 END)')} AS ft_age,
   first(CASE p.gender WHEN 'F' THEN 0 WHEN 'M' THEN 1 END) AS ft_gender,
   {', '.join(cols)}
 FROM admissions_r a LEFT JOIN patients_r p ON a.subject_id = p.subject_id
-WHERE a.hadm_id IS NOT NULL GROUP BY a.hadm_id""".lstrip())
+WHERE a.hadm_id IS NOT NULL GROUP BY a.hadm_id""".lstrip()
+    return (ctes, body) if parts else with_ctes(ctes, body)
 
 
 def _demo(spark, d):
@@ -502,16 +507,17 @@ def q_merge(spark, d):
 
 
 # ============================================================ chart features (flagship)
-def _chart_features_sql() -> str:
+def _chart_features_sql(as_parts: bool = False):
     parts = [("f_creat", _creat_sql(parts=True)), ("f_hema", _hema_sql(parts=True)),
              ("f_bp", _bp_sql("dd", S.EVENTS_CTES, parts=True)), ("f_ph", _ph_sql(False, parts=True))]
     ctes = []
     for name, (c, body) in parts:
         ctes += c + [f"{name} AS ({body})"]
     keys = " UNION ".join(f"SELECT hadm_id FROM {n}" for n, _ in parts)
-    ctes.append(f"k AS ({keys})")
-    joins = " ".join(f"LEFT JOIN {n} ON k.hadm_id = {n}.hadm_id" for n, _ in parts)
-    return with_ctes(ctes, f"SELECT k.hadm_id, {', '.join(n + '.* EXCLUDE (hadm_id)' for n, _ in parts)} FROM k {joins}")
+    ctes.append(f"ck AS ({keys})")
+    joins = " ".join(f"LEFT JOIN {n} ON ck.hadm_id = {n}.hadm_id" for n, _ in parts)
+    body = f"SELECT ck.hadm_id, {', '.join(n + '.* EXCLUDE (hadm_id)' for n, _ in parts)} FROM ck {joins}"
+    return (ctes, body) if as_parts else with_ctes(ctes, body)
 
 
 @query("chart_features_all_bins", _chart_features_sql())
@@ -917,7 +923,39 @@ def q_model_comparison(spark, d):
 _ASSEMBLY_GROUPS = _GROUPS
 
 
-@query("feature_assembly")
+def _assembly_sql() -> str:
+    from cohortforge.plans.presets import COMORBIDITIES
+    frames = []
+    ctes = list(S.LABEL_CTES) + [_MERGED]
+    frames.append(("f_base", "SELECT hadm_id, hcc_cd_135 FROM label_g"))
+    for name, (c, body) in [("f_demo", _demo_sql(parts=True)), ("f_chart", _chart_features_sql(as_parts=True)),
+                            ("f_ov", _OV_PARTS), ("f_kw", _keyword_sql(parts=True))]:
+        ctes += c
+        frames.append((name, body))
+    cats = ", ".join(f"max({fl(f'hcc = {chr(39)}{code}{chr(39)}')}) AS {col}" for code, col in COMORBIDITIES.items())
+    frames.append(("f_cat", f"SELECT hadm_id, {cats} FROM merged GROUP BY hadm_id, subject_id"))
+    ctes.append(A.SQL_PROCEDURES)
+    frames.append(("f_proc", f"""SELECT hadm_id, max({fl(f'cpt_cd IN {_CODE_LIST_SQL}')}) AS ft_contrast_imaging,
+  max({fl("cpt_cd = '7'")} * {fl("contains(lower(description), 'ring')")}) AS ft_mechanical_ventilation
+  FROM procedures_r WHERE hadm_id IS NOT NULL GROUP BY hadm_id"""))
+    ctes += S.LABS_CTES
+    sod = f"{cci('label', 'sodium')} AND {BLOOD}"
+    pot = f"{cci('label', 'potassium')} AND {BLOOD}"
+    iron = f"{IRON} AND {BLOOD}"
+    frames.append(("f_lab", f"""SELECT * FROM (SELECT hadm_id,
+  max(CASE WHEN {sod} THEN {fl('valuenum < 5')} END) AS ft_low_sodium,
+  max(CASE WHEN {pot} THEN {fl('valuenum > 300')} END) AS ft_high_potassium,
+  bool_or(CASE WHEN {iron} THEN {tv('valuenum < 20')} END) AS ft_anemic
+  FROM labs GROUP BY hadm_id)
+  WHERE ft_low_sodium IS NOT NULL OR ft_high_potassium IS NOT NULL OR ft_anemic IS NOT NULL"""))
+    ctes += [f"{n} AS ({b})" for n, b in frames]
+    ctes.append("fk AS (" + " UNION ".join(f"SELECT hadm_id FROM {n}" for n, _ in frames) + ")")
+    joins = " ".join(f"LEFT JOIN {n} ON fk.hadm_id = {n}.hadm_id" for n, _ in frames)
+    return with_ctes(ctes, f"SELECT fk.hadm_id, {', '.join(n + '.* EXCLUDE (hadm_id)' for n, _ in frames)} "
+                           f"FROM fk {joins}")
+
+
+@query("feature_assembly", _assembly_sql())
 def q_assembly(spark, d):
     """All feature frames merged per admission (label, demographics, chart
     features, categories, other visits, keyword groups, procedures, labs)."""
