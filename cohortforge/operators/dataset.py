@@ -35,6 +35,33 @@ def _hash_order(key: str, seed: str):
     return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
 
 
+def hash_take(df: DataFrame, n: int, key: str = "hadm_id", seed: str = "42", prefix_digits: int = 4) -> DataFrame:
+    """Exactly ``n`` rows (all when fewer), the first in md5(seed || key)
+    order: a reproducible random sample without replacement.
+
+    The cut is found without a global sort: rows are counted per hash prefix
+    (16^digits buckets, uniform because md5 is), the boundary bucket comes
+    from that small histogram, and only the boundary bucket is ordered; every
+    other row is kept or dropped by its prefix."""
+    if n <= 0:
+        return df.limit(0)
+    h = df.withColumn("__h", _hash_order(key, seed)).withColumn("__b", F.substring("__h", 1, prefix_digits))
+    hist = h.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).orderBy("__b").collect()
+    need, cut, rest = n, None, 0
+    for r in hist:
+        if r["n"] >= need:
+            cut, rest = r["__b"], need
+            break
+        need -= r["n"]
+    if cut is None:
+        chosen = h
+    else:
+        below = h.where(F.col("__b") < F.lit(cut))
+        edge = h.where(F.col("__b") == F.lit(cut)).orderBy("__h", key).limit(rest)
+        chosen = below.unionByName(edge)
+    return chosen.drop("__h", "__b")
+
+
 def undersample(df: DataFrame, label: str = "hcc_cd_135", key: str = "hadm_id", seed: str = "42",
                 positive=1, negative=0, prefix_digits: int = 4) -> DataFrame:
     """Exactly as many negatives as positives, without replacement, chosen by
@@ -45,25 +72,11 @@ def undersample(df: DataFrame, label: str = "hcc_cd_135", key: str = "hadm_id",
     boundary bucket is found from the small histogram, and only that one
     bucket is ordered. Every other negative is kept or dropped by its prefix."""
     pos = df.where(F.col(label) == F.lit(positive))
-    neg = df.where(F.col(label) == F.lit(negative)).withColumn("__h", _hash_order(key, seed))
     n_pos = pos.count()
     if n_pos == 0:
         return pos
-    neg = neg.withColumn("__b", F.substring("__h", 1, prefix_digits))
-    hist = neg.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).orderBy("__b").collect()
-    need, cut, rest = n_pos, None, 0
-    for r in hist:
-        if r["n"] >= need:
-            cut, rest = r["__b"], need
-            break
-        need -= r["n"]
-    if cut is None:  # fewer negatives than positives: take them all
-        chosen = neg
-    else:
-        below = neg.where(F.col("__b") < F.lit(cut))
-        edge = neg.where(F.col("__b") == F.lit(cut)).orderBy("__h", key).limit(rest)
-        chosen = below.unionByName(edge)
-    return pos.unionByName(chosen.drop("__h", "__b"))
+    neg = df.where(F.col(label) == F.lit(negative))
+    return pos.unionByName(hash_take(neg, n_pos, key, seed, prefix_digits))
 
 
 def split_buckets(df: DataFrame, key: str = "hadm_id", seed: str = "42", modulo: int = 10,

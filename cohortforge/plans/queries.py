@@ -650,6 +650,15 @@ _SPLIT_SQL = ("CASE WHEN b < 7 THEN 'train' WHEN b IN (7, 8) THEN 'valid' WHEN b
 _BUCKET_SQL = "(('0x' || substr(md5('42' || CAST(hadm_id AS VARCHAR)), 1, 8))::BIGINT % 10)"
 
 
+@query("sample_rows", with_ctes([A.SQL_MODEL_ROWS], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('7' || CAST(hadm_id AS VARCHAR)), hadm_id) AS rn FROM model_r)
+WHERE rn <= 25""".lstrip()))
+def q_sample(spark, d):
+    """Random sample of n rows (hash order, reproducible): the limit is the feature."""
+    return ds.hash_take(_model(spark, d), 25, seed="7")
+
+
 @query("split_buckets", with_ctes([A.SQL_MODEL_ROWS], f"""
 SELECT hadm_id, {_SPLIT_SQL} AS split FROM (SELECT hadm_id, {_BUCKET_SQL} AS b FROM model_r)""".lstrip()))
 def q_split(spark, d):

@@ -80,13 +80,30 @@ def apply_types(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*exprs)
 
 
-def convert_to_parquet(df: DataFrame, path: str, key: str | None = None,
-                       partitions: int | None = None) -> None:
-    """One-off conversion of a text source. A non-splittable source comes in as
-    one partition per file, so it is re-distributed by key before writing."""
-    if key is not None:
-        df = df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, key)
-    df.write.mode("overwrite").parquet(path)
+def convert_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:
+    """One-off conversion of a text source. A non-splittable (gzip) source
+    comes in as one partition per file, so rows are dealt round-robin to
+    ``partitions`` tasks before writing (no key, hence no hot partition)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n).write.mode("overwrite").parquet(path)
+
+
+def read_features(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
+                  key: str = "hadm_id", key_type: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Reload a saved feature or model table: chosen columns only (pruned at
+    the scan) and the key in a given type."""
+    df = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if columns is not None:
+        cols = list(columns)
+        df = df.select(*([key] if key not in cols else []), *cols)
+    if key_type is not None:
+        df = df.withColumn(key, F.col(key).cast(key_type))
+    return df
+
+
+def shape(df: DataFrame) -> tuple[int, int]:
+    """(rows, columns): one count job."""
+    return df.count(), len(df.columns)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -106,12 +123,17 @@ def with_hash_bin(df: DataFrame, key: str, bin_col: str = "bin_id", digits: int
 
 
 def write_hash_bins(df: DataFrame, path: str, key: str, bin_col: str = "bin_id",
-                    mode: str = "append", digits: int = 2) -> None:
-    """Hash-partitioned, appendable sink: one folder per bin. Rows are first
-    clustered by bin so each task writes few files; headers never enter the
-    data because Parquet carries the schema."""
+                    mode: str = "append", digits: int = 2, spread: int = 16) -> None:
+    """Hash-partitioned, appendable sink: one folder per bin.
+
+    Rows are clustered by (bin, slot) before writing, where the slot is a
+    deterministic spread of the rows (row position modulo ``spread``). Each
+    task writes few bins, so files stay few and large, and no bin (nor a hot
+    key inside it) is written by a single task. Parquet carries the schema,
+    so no header rows enter the data."""
     binned = with_hash_bin(df, key, bin_col, digits)
-    (binned.repartition(bin_col).write.mode(mode).partitionBy(bin_col).parquet(path))
+    slot = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
+    (binned.repartition(bin_col, slot).write.mode(mode).partitionBy(bin_col).parquet(path))
 
 
 def read_bins(spark: SparkSession, path: str, bins: Iterable[str] | None = None,
