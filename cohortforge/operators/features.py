@@ -178,7 +178,8 @@ def code_and_text_flag(events: DataFrame, code: str, text: str, name: str = "ft_
 def keyword_group_windows(events: DataFrame, admissions: DataFrame, groups: Mapping[str, Sequence[str]],
                           hours: Sequence[float] = (24, 48, 72), text_col: str = "drug",
                           time_col: str = "startdate", anchor_col: str = "admittime",
-                          name: str = "nephrotoxin", key: str = KEY, subject: str = SUBJECT) -> DataFrame:
+                          name: str = "nephrotoxin", key: str = KEY, subject: str = SUBJECT,
+                          strict_times: bool = False) -> DataFrame:
     """Flags per keyword, per keyword group and for any keyword, each also
     within x hours of the anchor time; max per entity, in one aggregation.
 
@@ -187,10 +188,10 @@ def keyword_group_windows(events: DataFrame, admissions: DataFrame, groups: Mapp
     is a condition on the joined row: same result, and the join's partitioning
     on the entity is reused by the aggregation (one shuffle fewer)."""
     adm = admissions.select(F.col(key).alias("__k"), F.col(subject).alias("__s"),
-                            _ts(admissions, anchor_col).alias("__anchor"))
+                            _ts(admissions, anchor_col, strict_times).alias("__anchor"))
     j = events.join(adm, events[key] == adm["__k"], "left")
     anchor = F.when(F.col(subject) == F.col("__s"), F.col("__anchor"))
-    start = _ts(events, time_col)
+    start = _ts(events, time_col, strict_times)
     text = F.lower(F.col(text_col))
 
     def hit(word: str) -> Column:

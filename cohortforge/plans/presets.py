@@ -29,6 +29,15 @@ DRUG_GROUPS = {
 }
 DRUG_WINDOW_HOURS = (24, 48, 72)
 
+DRUG_GROUPS_V1 = {  # older list (18 drugs, group 'edema')
+    "antibiotics": ["bacitracin", "vancomycin", "amphotericin", "cephalosporin", "aminoglycoloside", "ciprofloxacin"],
+    "blood_pressure": ["lisinopril", "ramipril", "metoprolol", "candesartan", "valsartan", "warfarin"],
+    "edema": ["furosemide"],
+    "nsaid": ["ibuprofen", "naproxen", "ketoprofen"],
+    "ulcer": ["cimetidine"],
+    "other": ["propofol"],
+}
+
 CONTRAST_CODES = ["74177", "74160", "71260", "74177", "73701", "73201", "70460", "70487", "70491", "70481",
                   "72193", "72126", "72132", "72129", "75574", "75572", "70545", "70548"]
 CONTRAST_PREFIXES = ["70", "71", "72", "73", "74", "75"]

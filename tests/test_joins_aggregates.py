@@ -72,3 +72,16 @@ def test_first_n_in_order_matches_window(spark):
     df2 = df.withColumn("ord", F.struct("o", "i"))
     got = sorted(first_n_in_order(df2, "g", "ord", 25, sub_ranges=8).select("g", "i").collect())
     assert got == exp
+
+
+def test_column_operators(spark):
+    from cohortforge.operators import columns as C
+    df = spark.createDataFrame([(1, 2.0, None, 1)], "hadm_id int, ft_avg_x double, ft_race_a int, ft_race_b int")
+    with pytest.raises(KeyError):
+        C.drop_columns(df, ["nope"], strict=True)
+    assert C.drop_columns(df, ["nope", "ft_race_a"]).columns == ["hadm_id", "ft_avg_x", "ft_race_b"]
+    assert C.columns_like(df, ["avg", "age", "los"]) == ["ft_avg_x"]
+    assert C.columns_like(df, ["ft_"], ["race"]) == ["ft_avg_x"]
+    folded = C.fold_columns(df, ["ft_race_a", "ft_race_b", "ft_race_c"], "ft_race_missing")
+    assert folded.columns == ["hadm_id", "ft_avg_x", "ft_race_missing"] and folded.first()["ft_race_missing"] == 1
+    assert C.rename_columns(df, {"hadm_id": "id"}).columns[0] == "id"
