@@ -29,10 +29,14 @@ def chart_item_filter(words: Sequence[str] = ("creatin", "hematocrit", "systolic
 
 def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bins: Sequence[str] | None = None,
                        item_filter: Column | None = None, key: str = "hadm_id") -> DataFrame:
+    """Cleaned, de-duplicated chart events with the label columns. The label
+    frame has one row per (subject, entity), so its join is a per-row lookup
+    and is done after de-duplication: fewer rows reach the join and the
+    de-duplication carries narrower rows."""
     if bins is not None:
         charts = charts.where(hash_bin(F.col(key)).isin(list(bins)))
-    ev = fx.clean_events(charts, items, label, item_filter=item_filter)
-    return fx.dedupe_events(ev)
+    ev = fx.dedupe_events(fx.clean_events(charts, items, None, item_filter=item_filter))
+    return ev.join(label, on=["subject_id", key], how="left")
 
 
 def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demographics: DataFrame,

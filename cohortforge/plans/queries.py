@@ -190,7 +190,8 @@ def _clean(spark, d, item_filter=None):
 
 
 def _dedup(spark, d, item_filter=True):
-    return fx.dedupe_events(_clean(spark, d, pl.chart_item_filter() if item_filter else None))
+    return pl.clean_chart_events(A.charts(spark, d), A.items(spark, d), _label(spark, d),
+                                 item_filter=pl.chart_item_filter() if item_filter else None)
 
 
 @query("clean_events", with_ctes(S.EVENTS_CTES, """
@@ -311,12 +312,15 @@ _FOLD = ["patient_declined_to_answer", "unknown_not_specified"]
 _ETH_NORM = "replace(replace(replace(replace(lower(a.ethnicity), '/', '_'), ' ', '_'), '-', ''), '__', '_')"
 
 
-def _demo_sql(parts: bool = False):
+def _demo_sql(parts: bool = False, norm: str = _ETH_NORM, races: list | None = None, fold_list: list | None = _FOLD,
+              fold_name: str = "ft_race_missing_info"):
+    races = _RACES if races is None else races
     cols = [f"max({fl(f'lower(a.admission_type) = ' + chr(39) + t + chr(39))}) AS \"ft_admit_type_{t}\""
             for t in _TYPES]
-    cols += [f"max({fl(f'{_ETH_NORM} = ' + chr(39) + r + chr(39))}) AS ft_race_{r}" for r in _RACES]
-    fold = " OR ".join(f"{_ETH_NORM} = '{r}'" for r in _FOLD)
-    cols.append(f"max({fl(fold)}) AS ft_race_missing_info")
+    cols += [f"max({fl(f'{norm} = ' + chr(39) + r + chr(39))}) AS \"ft_race_{r}\"" for r in races]
+    if fold_list:
+        fold = " OR ".join(f"{norm} = '{r}'" for r in fold_list)
+        cols.append(f"max({fl(fold)}) AS {fold_name}")
     days = "floor((epoch(a.admittime) - epoch(p.dob)) / 86400)"
     ctes = [A.SQL_ADMISSIONS, A.SQL_PATIENTS]
     body = f"""
@@ -333,23 +337,37 @@ def _demo(spark, d):
     return fx.demographics(A.admissions(spark, d), A.patients(spark, d))
 
 
+_ETH_NORM_V1 = "replace(replace(lower(a.ethnicity), '/', '_'), ' ', '_')"
+_RACES_V1 = ["asian_-_chinese", "black_african_american", "hispanic_latino_-_puerto_rican", "hispanic_or_latino",
+             "patient_declined_to_answer", "unknown_not_specified", "white"]
+
+
 @query("demographics", _demo_sql())
 def q_demographics(spark, d):
     """Gender, age, one-hot admission type and ethnicity with unknowns folded."""
     return _demo(spark, d)
 
 
+@query("demographics_v1", _demo_sql(norm=_ETH_NORM_V1, races=_RACES_V1, fold_list=None))
+def q_demographics_v1(spark, d):
+    """Oldest form: older ethnicity normaliser, unknown classes not folded."""
+    from cohortforge.functions import normalize_ethnicity_v1
+    return fx.demographics(A.admissions(spark, d), A.patients(spark, d), fold=None,
+                           normalizer=normalize_ethnicity_v1)
+
+
 # ================================================================== chart features
-def _ph_sql(masked: bool, parts: bool = False):
+def _ph_sql(masked: bool, parts: bool = False, means: bool = True):
     low = "valuenum < 7.3"
     flags = {"ft_low_blood_ph": tv(low)}
     for h in (6, 12, 24, 36, 48):
         flags[f"ft_low_blood_ph_within_{h}_hrs"] = f"({tv(low)} AND {hours_lt('eventtime', 'admittime', h)})"
     cols = [f"max(CAST({c} AS INTEGER)) AS {k}" for k, c in flags.items()]
-    for k, c in flags.items():
+    for k, c in flags.items() if means else ():
         v = f"CASE WHEN {c} THEN valuenum END" if masked else "valuenum"
         cols.append(f"{r6(f'avg({v})')} AS {k.replace('ft_', 'ft_avg_', 1)}")
-    cols.append(f"{r6('avg(valuenum)')} AS ft_blood_ph")
+    if means:
+        cols.append(f"{r6('avg(valuenum)')} AS ft_blood_ph")
     body = f"""
 SELECT hadm_id, {', '.join(cols)} FROM dd
 WHERE (coalesce(contains(label, 'pH'), false) OR coalesce(contains(label, 'PH'), false)) AND hadm_id IS NOT NULL
@@ -363,6 +381,12 @@ def q_low_value(spark, d):
     return fx.low_value_windows(_dedup(spark, d))
 
 
+@query("low_value_flags_only", _ph_sql(False, means=False))
+def q_low_value_flags(spark, d):
+    """Older form: the six low-pH flags without the means."""
+    return fx.low_value_windows(_dedup(spark, d), with_means=False)
+
+
 @query("low_value_windows_masked", _ph_sql(True))
 def q_low_value_masked(spark, d):
     return fx.low_value_windows(_dedup(spark, d), masked=True)
