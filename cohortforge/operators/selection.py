@@ -17,16 +17,30 @@ from cohortforge.operators.aggregates import unpivot_features
 
 
 # ------------------------------------------------------------------ statistics
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, long form, in one pass
-    (pairwise-complete rows, as in a pairwise correlation)."""
-    pairs = [(a, b) for a in cols for b in cols]
-    row_aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in
-                enumerate(pairs)]
-    wide = df.agg(*row_aggs)
-    stack = F.stack(F.lit(len(pairs)), *[x for i, (a, b) in enumerate(pairs) for x in (F.lit(a), F.lit(b),
-                                                                                        F.col(f"`{i}`"))])
-    return wide.select(stack.alias("feature_a", "feature_b", "corr"))
+def correlation_matrix(df: DataFrame, cols: Sequence[str], pairwise_limit: int = 40) -> DataFrame:
+    """Pearson correlation of every ordered pair, long form.
+
+    Up to ``pairwise_limit`` columns: one aggregation pass with one ``corr``
+    per unordered pair (pairwise-complete rows, like a pairwise correlation).
+    Beyond it, MLlib's distributed correlation (one pass building the
+    Gramian) over the rows without nulls - the same on imputed data."""
+    cols = list(cols)
+    if len(cols) <= pairwise_limit:
+        pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+        wide = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}")
+                        for i, j in pairs])
+        rows = []
+        for i, j in pairs:
+            rows += [(cols[i], cols[j], f"c{i}_{j}")] + ([(cols[j], cols[i], f"c{i}_{j}")] if i != j else [])
+        stack = F.stack(F.lit(len(rows)), *[x for a, b, c in rows for x in (F.lit(a), F.lit(b), F.col(c))])
+        return wide.select(stack.alias("feature_a", "feature_b", "corr"))
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    data = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(data, "feature_a string, feature_b string, corr double")
 
 
 def label_correlation(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:

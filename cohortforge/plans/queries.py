@@ -171,7 +171,7 @@ def q_category_statistics(spark, d):
     """describe + sum of every category column."""
     wide = fx.category_onehot(A.diagnoses(spark, d), A.crosswalk(spark, d))
     cols = [c for c in wide.columns if c.startswith("hcc_cd_")]
-    return ag.profile_columns(wide, cols, accuracy=1_000_000)
+    return ag.profile_columns(wide, cols, accuracy=100_000)
 
 
 _PROFILE_COLS = ["l_quantity", "l_discount", "l_tax"]
@@ -181,7 +181,7 @@ _PROFILE_COLS = ["l_quantity", "l_discount", "l_tax"]
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem" for c in _PROFILE_COLS) + ")"]))
 def q_feature_profile(spark, d):
     """Transposed describe (count, mean, std, min, quartiles, max, sum)."""
-    return ag.profile_columns(A.table(spark, d, "lineitem"), _PROFILE_COLS, accuracy=1_000_000)
+    return ag.profile_columns(A.table(spark, d, "lineitem"), _PROFILE_COLS, accuracy=100_000)
 
 
 # ============================================================================ charts

@@ -121,3 +121,13 @@ def test_models_run(spark):
     assert sel.pca_scores(pca, df).count() == 400
     sweep = sel.pca_variance_sweep(df, feats, ks=(1, 2)).collect()
     assert len(sweep) == 3
+
+
+def test_correlation_paths_agree(spark):
+    df = rows_df(spark).fillna({"ft_avg_x": 0.0, "ft_c": 0})
+    cols = ["ft_avg_x", "ft_b", "ft_c", "hcc_cd_135"]
+    a = {(r["feature_a"], r["feature_b"]): r["corr"] for r in sel.correlation_matrix(df, cols).collect()}
+    b = {(r["feature_a"], r["feature_b"]): r["corr"] for r in sel.correlation_matrix(df, cols, pairwise_limit=1).collect()}
+    assert set(a) == set(b) and len(a) == 16
+    for k in a:
+        assert math.isclose(a[k], b[k], rel_tol=1e-9, abs_tol=1e-12)
