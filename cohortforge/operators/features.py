@@ -446,10 +446,15 @@ def paired_reading_bands(charts: DataFrame, first: str = "systolic", second: str
         w = within_hours(F.col("eventtime"), F.col("admittime"), h)
         s_aggs.append(F.max(w.cast("int")).alias(f"w_{_h(h)}"))
         s_aggs.append(F.max((w & _rule(sv, wr)).cast("int")).alias(f"pw_{_h(h)}"))
-    sa = s.groupBy(key, "eventtime").agg(*s_aggs)
-    da = d.groupBy(F.col(key).alias("__k"), F.col("eventtime").alias("__t")).agg(
+    # group on (entity, instant-or-sentinel, instant-is-null): null instants
+    # meet each other, and the join keys equal the grouping keys, so both
+    # aggregated sides stay co-partitioned for the join (no re-shuffle)
+    tk = F.coalesce(F.col("eventtime"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    tn = F.col("eventtime").isNull()
+    sa = s.groupBy(F.col(key), tk.alias("__tk"), tn.alias("__tn")).agg(*s_aggs)
+    da = d.groupBy(F.col(key), tk.alias("__tk"), tn.alias("__tn")).agg(
         *[F.max(_rule(dv, r[1]).cast("int")).alias(f"d_{n}") for n, r in bands.items()])
-    j = sa.join(da, (sa[key] == da["__k"]) & sa["eventtime"].eqNullSafe(da["__t"]), "inner")
+    j = sa.join(da, [key, "__tk", "__tn"], "inner")
     out = []
     for n, (_, _, how) in bands.items():
         a, b = F.col(f"s_{n}"), F.col(f"d_{n}")

@@ -28,23 +28,29 @@ def chart_item_filter(words: Sequence[str] = ("creatin", "hematocrit", "systolic
 
 
 def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bins: Sequence[str] | None = None,
-                       item_filter: Column | None = None, key: str = "hadm_id") -> DataFrame:
+                       item_filter: Column | None = None, key: str = "hadm_id",
+                       max_rows_per_bin: int | None = None, order: str = "row_order") -> DataFrame:
     """Cleaned, de-duplicated chart events with the label columns. The label
     frame has one row per (subject, entity), so its join is a per-row lookup
     and is done after de-duplication: fewer rows reach the join and the
     de-duplication carries narrower rows."""
     if bins is not None:
         charts = charts.where(hash_bin(F.col(key)).isin(list(bins)))
+    if max_rows_per_bin is not None:  # optional cap: first n rows of each bin in file order
+        from cohortforge.operators.windows import first_n_in_order
+        charts = first_n_in_order(charts.withColumn("__bin", hash_bin(F.col(key))), "__bin", order,
+                                  max_rows_per_bin).drop("__bin")
     ev = fx.dedupe_events(fx.clean_events(charts, items, None, item_filter=item_filter))
     return ev.join(label, on=["subject_id", key], how="left")
 
 
 def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demographics: DataFrame,
                    bins: Sequence[str] | None = None, use_item_filter: bool = True,
-                   materialize: bool = True) -> DataFrame:
+                   materialize: bool = True, max_rows_per_bin: int | None = None) -> DataFrame:
     """Creatinine, hematocrit, blood pressure and blood pH features, merged:
     all hash bins in one job (``bins`` restricts to some bins)."""
-    ev = clean_chart_events(charts, items, label, bins, chart_item_filter() if use_item_filter else None)
+    ev = clean_chart_events(charts, items, label, bins, chart_item_filter() if use_item_filter else None,
+                            max_rows_per_bin=max_rows_per_bin)
     if materialize:
         ev = cut_lineage(ev)
     creat = fx.serial_change(ev, **P.CREATININE)
