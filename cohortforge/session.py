@@ -37,6 +37,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def recommended_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the input: scan splits of ``partition_bytes``, an
+    initial shuffle width that keeps each reducer near that size before AQE
+    coalesces it, and AQE skew handling (a partition 5x the median and over
+    1 GiB is split). E.g. 100 TB -> about 370,000 initial shuffle partitions,
+    coalesced at run time."""
+    parts = max(200, int(input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    """Set runtime SQL settings on an existing session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
