@@ -1017,3 +1017,14 @@ def q_hash_bins_stream(spark, d):
     q = start_bin_split(spark, src, charts.schema, out, "hadm_id", fmt="parquet", checkpoint=_scratch(spark, "sckpt"))
     q.awaitTermination()
     return ag.value_counts(read_bins(spark, out), "bin_id")
+
+
+@query("external_curve_roundtrip", with_ctes([A.SQL_MODEL_ROWS, _ROC_CTE],
+                                             "SELECT round(cum_fp / (SELECT sum(fp) FROM g), 6) AS value FROM roc"))
+def q_external_curve(spark, d):
+    """An externally written curve file (index column + values) read back by
+    column position: here the false-positive rates of the ROC points."""
+    path = _scratch(spark, "curve")
+    roc = sel.roc_points(_scored(spark, d))
+    roc.select(F.monotonically_increasing_id().alias("idx"), F.col("fpr")).write.option("header", True).csv(path)
+    return sel.read_external_curve(spark, path, column=1)
