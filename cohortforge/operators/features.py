@@ -193,31 +193,35 @@ def keyword_group_windows(events: DataFrame, admissions: DataFrame, groups: Mapp
     anchor = F.when(F.col(subject) == F.col("__s"), F.col("__anchor"))
     start = _ts(events, time_col, strict_times)
     text = F.lower(F.col(text_col))
-
-    def hit(word: str) -> Column:
-        return truthy(text.contains(F.lit(word.lower())))
-
-    def within(h: float) -> Column:
-        return within_hours(start, anchor, h)
+    words = list(dict.fromkeys(w for ws in groups.values() for w in ws))
+    # each keyword test and each window test is evaluated once per row in a
+    # projection; the aggregation then only combines booleans
+    wcol = {w: f"__w{i}" for i, w in enumerate(words)}
+    hcol = {h: f"__h{i}" for i, h in enumerate(hours)}
+    rows = j.where(F.col(key).isNotNull()).select(
+        key, *[truthy(text.contains(F.lit(w.lower()))).alias(c) for w, c in wcol.items()],
+        *[within_hours(start, anchor, h).alias(c) for h, c in hcol.items()])
+
+    def any_of(ws) -> Column:
+        cond = F.lit(False)
+        for w in ws:
+            cond = cond | F.col(wcol[w])
+        return cond
 
     def both(cond: Column, h: float) -> Column:
-        return (cond & within(h)).cast("int")
+        return (cond & F.col(hcol[h])).cast("int")
 
-    words = [w for ws in groups.values() for w in ws]
-    any_hit = F.lit(False)
-    for w in words:
-        any_hit = any_hit | hit(w)
+    any_hit = any_of(words)
     aggs = [F.max(any_hit.cast("int")).alias(f"ft_any_{name}_rx")]
     aggs += [F.max(both(any_hit, h)).alias(f"ft_any_{name}_rx_within_{_h(h)}") for h in hours]
     for group, ws in groups.items():
-        g_hit = F.lit(False)
         for w in ws:
-            g_hit = g_hit | hit(w)
-            aggs.append(F.max(hit(w).cast("int")).alias(f"ft_{name}_{w}_rx"))
-            aggs += [F.max(both(hit(w), h)).alias(f"ft_{name}_{w}_rx_within_{_h(h)}") for h in hours]
+            aggs.append(F.max(F.col(wcol[w]).cast("int")).alias(f"ft_{name}_{w}_rx"))
+            aggs += [F.max(both(F.col(wcol[w]), h)).alias(f"ft_{name}_{w}_rx_within_{_h(h)}") for h in hours]
+        g_hit = any_of(ws)
         aggs.append(F.max(g_hit.cast("int")).alias(f"ft_{name}_{group}_rx"))
         aggs += [F.max(both(g_hit, h)).alias(f"ft_{name}_{group}_rx_within_{_h(h)}") for h in hours]
-    return j.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return rows.groupBy(key).agg(*aggs)
 
 
 def _h(h: float) -> str:
