@@ -85,3 +85,16 @@ def test_column_operators(spark):
     folded = C.fold_columns(df, ["ft_race_a", "ft_race_b", "ft_race_c"], "ft_race_missing")
     assert folded.columns == ["hadm_id", "ft_avg_x", "ft_race_missing"] and folded.first()["ft_race_missing"] == 1
     assert C.rename_columns(df, {"hadm_id": "id"}).columns[0] == "id"
+
+
+def test_broadcast_check(spark):
+    from cohortforge.operators.joins import broadcast_if_small, estimated_bytes
+
+    def hinted(d):
+        return "ResolvedHint" in d._jdf.queryExecution().analyzed().toString() or \
+            "broadcast" in d._jdf.queryExecution().analyzed().toString().lower()
+    filtered = spark.range(10 ** 6).where("id < 10")       # estimate ignores the filter
+    assert estimated_bytes(filtered) > 1000
+    assert hinted(broadcast_if_small(filtered, limit=1000))  # proven by the bounded count
+    big = spark.range(5000)
+    assert broadcast_if_small(big, limit=1000, max_rows=100) is big
