@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from cohortforge.functions import (contains_any_ci, contains_ci, contains_cs_any, flag, normalize_category,
+from cohortforge.functions import (contains_ci, contains_cs_any, flag, normalize_category,
                                    normalize_ethnicity, strip_brackets, tolerant_double, tolerant_timestamp,
                                    truthy, whole_days, within_hours)
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -87,7 +87,6 @@ def _bucket_offsets(g: DataFrame, score: str, n_buckets: int):
         bcol = F.when(F.col(score) > F.lit(b), F.lit(i + 1)).otherwise(bcol)
     gb = g.withColumn("__bucket", bcol)
     totals = gb.groupBy("__bucket").agg(F.sum("tp").alias("btp"), F.sum("fp").alias("bfp"))
-    from pyspark.sql import Window
     w = Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("__bucket", F.coalesce(F.sum("btp").over(w), F.lit(0)).alias("otp"),
                          F.coalesce(F.sum("bfp").over(w), F.lit(0)).alias("ofp"))
@@ -106,7 +105,6 @@ def roc_points(scored: DataFrame, label: str = "label", score: str = "score", n_
     g = scored.where(F.col(score).isNotNull()).groupBy(score).agg(
         F.sum(y).alias("tp"), F.sum(1 - y).alias("fp"))
     gb, offs = _bucket_offsets(g, score, n_buckets)
-    from pyspark.sql import Window
     w = Window.partitionBy("__bucket").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     cum = gb.join(F.broadcast(offs), "__bucket").select(
         F.col(score).alias("threshold"), "tp", "fp",
