@@ -233,7 +233,7 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
                              unit_days: int = 30, units: Sequence[str] = ("micu", "ccu"),
                              key: str = KEY, subject: str = SUBJECT, unit_col: str = "last_careunit",
                              los_col: str = "los", prefix: str = "prior_admission",
-                             bucket_hours: int = 24 * 7) -> DataFrame:
+                             bucket_hours: int = 24) -> DataFrame:
     """For each admission A, over the subject's *other* admissions B:
     ``ft_{prefix}_N`` = some B has ``whole_days(B.admit - A.disch) < N``; for
     ``unit_days`` also the max ICU length of stay of such B and flags for B's
@@ -492,7 +492,7 @@ def group_reference_range(charts: DataFrame, groups: DataFrame, name: str = "hem
 
 
 def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str,
-                 bucket_hours: int = 24) -> DataFrame:
+                 bucket_hours: int = 1) -> DataFrame:
     res = charts.where(contains_ci(F.col("label"), match) & truthy(F.col("valuenum") <= F.lit(max_value))
                        & F.col(key).isNotNull())
     res = res.select(key, "eventtime", "valuenum", order_tiebreak)
