@@ -277,3 +277,27 @@ def test_serial_change_matches_sort_and_shift(spark, seed):
     for k, rec in exp.items():
         for c, v in rec.items():
             assert math.isclose(got[k][c], v) if isinstance(v, float) else got[k][c] == v, (seed, k, c)
+
+
+# ----------------------------------------------------------------- label / categories
+def test_category_label_onehot_select_unmapped(spark):
+    from cohortforge.operators.joins import MergeValidationError
+    diag = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (2, 20, "z"), (3, 30, "c"), (None, 40, "a")],
+                                 "hadm_id int, subject_id int, icd9_code string")
+    xw = spark.createDataFrame([("a", "135"), ("b", "19"), ("c", None)], "icd string, hcc string")
+    adm = spark.createDataFrame([(1, 10, T0, h(48)), (2, 20, T0, h(5))],
+                                "hadm_id int, subject_id int, admittime timestamp_ntz, dischtime timestamp_ntz")
+    lab = {r["hadm_id"]: (r["hcc_cd_135"], r["admittime"]) for r in fx.category_label(diag, xw, adm).collect()}
+    # unmapped (2) and null-category (3) codes give 0; admissions without diagnoses are absent
+    assert lab == {1: (1, T0), 2: (0, T0), 3: (0, None)}
+    onehot = fx.category_onehot(diag, xw)
+    got = {r["hadm_id"]: (r["hcc_cd_135"], r["hcc_cd_19"]) for r in onehot.collect()}
+    assert got == {1: (1, 1), 2: (0, 0), 3: (0, 0)}
+    one = fx.category_select(onehot, "19", "ft_hcc_cd_19_dbtes_wo_comp")
+    assert one.columns == ["hadm_id", "ft_hcc_cd_19_dbtes_wo_comp"]
+    assert fx.category_select(onehot).columns == ["hadm_id", "hcc_cd_135", "hcc_cd_19"]
+    titles = spark.createDataFrame([("z", "zoster"), ("a", "acute")], "icd9_code string, short_title string")
+    assert [(r["short_title"], r["n"]) for r in fx.unmapped_codes(diag, xw, titles).collect()] == [("zoster", 1)]
+    dup = spark.createDataFrame([("a", "135"), ("a", "2")], "icd string, hcc string")
+    with pytest.raises(MergeValidationError):
+        fx.category_label(diag, dup, adm)
