@@ -76,7 +76,8 @@ def assemble_features(t: Mapping[str, DataFrame], label_code: str = P.LABEL_CATE
     d_labitems."""
     label = fx.category_label(t["diagnoses"], t["crosswalk"], t["admissions"], label_code=label_code)
     demo = fx.demographics(t["admissions"], t["patients"])
-    charts = chart_features(t["chartevents"], t["d_items"], label, demo, bins=chart_bins)
+    gender = fx.gender_frame(t["admissions"], t["patients"])  # all the range features need
+    charts = chart_features(t["chartevents"], t["d_items"], label, gender, bins=chart_bins)
     onehot = fx.category_onehot(t["diagnoses"], t["crosswalk"], values=list(comorbidities))
     cats = [fx.category_columns(onehot, comorbidities)]
     prior = fx.other_visits_within_days(t["admissions"], t["icustays"])
