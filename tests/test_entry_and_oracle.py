@@ -58,8 +58,12 @@ def con():
 @pytest.mark.skipif(not HAVE_DATA, reason="test tables not present")
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    exp = con.execute(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    duck = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    assert dict(sdf.dtypes) == {c: duck.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    exp = rel.df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)
     assert _rows(got) == _rows(exp)
