@@ -18,8 +18,8 @@ from cohortforge.functions import (contains_ci, contains_cs_any, flag, normalize
                                    truthy, whole_days, within_hours)
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs
 from cohortforge.operators.joins import anti_lookup, broadcast_if_small, lookup_join
-from cohortforge.operators.windows import (dedupe_first, hour_bucket, order_key, previous_values,
-                                           running_aggregates)
+from cohortforge.operators.windows import (HOT_SLOT_ROWS, dedupe_first, hour_bucket, order_key, previous_values,
+                                           running_aggregates, second_of_slot)
 
 KEY = "hadm_id"
 SUBJECT = "subject_id"
@@ -233,7 +233,7 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
                              unit_days: int = 30, units: Sequence[str] = ("micu", "ccu"),
                              key: str = KEY, subject: str = SUBJECT, unit_col: str = "last_careunit",
                              los_col: str = "los", prefix: str = "prior_admission",
-                             bucket_hours: int = 24) -> DataFrame:
+                             bucket_hours: int = 24, hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     """For each admission A, over the subject's *other* admissions B:
     ``ft_{prefix}_N`` = some B has ``whole_days(B.admit - A.disch) < N``; for
     ``unit_days`` also the max ICU length of stay of such B and flags for B's
@@ -259,7 +259,8 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     # order, a running count (two-level, no whole-subject window); only
     # bit_length(max admissions per subject) bits are needed to exclude A
     b = running_aggregates(b, "s", hour_bucket(F.col("admit"), bucket_hours), [F.col("admit"), F.col("h")],
-                           {"pos": F.lit(1)}, {})
+                           {"pos": F.lit(1)}, {}, split=second_of_slot(F.col("admit"), bucket_hours),
+                           hot_rows=hot_rows)
     nbits = max(1, int(n_sub.agg(F.max("n_sub")).first()[0] or 1).bit_length())
     b = b.select("*", *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
 
@@ -290,7 +291,7 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
         for v in (0, 1):
             maxes[f"m{j}_{v}"] = F.when(is_ev & (bit == v), F.col("los"))
     run = running_aggregates(allrows, "s", hour_bucket(F.col("t"), bucket_hours), [F.col("t"), F.col("kind")],
-                             sums, maxes) \
+                             sums, maxes, split=second_of_slot(F.col("t"), bucket_hours), hot_rows=hot_rows) \
         .where(F.col("kind") == 0)
 
     valid_t = F.col("t").isNotNull()
@@ -492,12 +493,13 @@ def group_reference_range(charts: DataFrame, groups: DataFrame, name: str = "hem
 
 
 def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str,
-                 bucket_hours: int = 1) -> DataFrame:
+                 bucket_hours: int = 1, hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     res = charts.where(contains_ci(F.col("label"), match) & truthy(F.col("valuenum") <= F.lit(max_value))
                        & F.col(key).isNotNull())
     res = res.select(key, "eventtime", "valuenum", order_tiebreak)
     prev = previous_values(res, key, hour_bucket(F.col("eventtime"), bucket_hours),
-                           [F.col("eventtime"), F.col(order_tiebreak)], ["valuenum", "eventtime"])
+                           [F.col("eventtime"), F.col(order_tiebreak)], ["valuenum", "eventtime"],
+                           split=second_of_slot(F.col("eventtime"), bucket_hours), hot_rows=hot_rows)
     return prev.select(key, "eventtime", "valuenum", order_tiebreak,
                        (F.col("valuenum") - F.col("prev_valuenum")).alias("delta"),
                        (F.col("eventtime") - F.col("prev_eventtime")).alias("delta_time"))
@@ -505,14 +507,15 @@ def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak
 
 def serial_change(charts: DataFrame, name: str = "creatinine", match: str = "creatin", max_value: float = 11,
                   rise: float = 0.3, rise_hours: float = 48, ratio: float = 1.5, baseline_gt: float = 1,
-                  with_baseline: bool = True, order_tiebreak: str = "row_order", key: str = KEY) -> DataFrame:
+                  with_baseline: bool = True, order_tiebreak: str = "row_order", key: str = KEY,
+                  hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     """Change against the previous reading (rise within x hours), against the
     first reading (baseline ratio), baseline level, mean value.
 
     The previous reading needs a window; the baseline is the first reading in
     time order (``min_by``) and "any reading >= ratio x baseline" equals
     "max reading >= ratio x baseline", so both are plain aggregates."""
-    rows = _serial_rows(charts, match, max_value, order_tiebreak, key)
+    rows = _serial_rows(charts, match, max_value, order_tiebreak, key, hot_rows=hot_rows)
     rise_flag = truthy(F.col("delta") >= F.lit(rise)) & truthy(F.col("delta_time") <= F.make_dt_interval(
         hours=F.lit(int(rise_hours))))
     g = rows.groupBy(key).agg(
@@ -532,10 +535,11 @@ def serial_change(charts: DataFrame, name: str = "creatinine", match: str = "cre
 
 def serial_change_audit(charts: DataFrame, name: str = "creatinine", match: str = "creatin",
                         max_value: float = 11, rise: float = 0.3, rise_hours: float = 48, ratio: float = 1.5,
-                        baseline_gt: float = 1, order_tiebreak: str = "row_order", key: str = KEY) -> DataFrame:
+                        baseline_gt: float = 1, order_tiebreak: str = "row_order", key: str = KEY,
+                        hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     """Row-level records of the entities that show a rise (audit output).
     The entity filter is an aggregate + semi join, not a whole-entity window."""
-    rows = _serial_rows(charts, match, max_value, order_tiebreak, key)
+    rows = _serial_rows(charts, match, max_value, order_tiebreak, key, hot_rows=hot_rows)
     base = rows.groupBy(F.col(key).alias("__k")).agg(
         F.min_by("valuenum", order_key([F.col("eventtime"), F.col(order_tiebreak)])).alias("baseline"))
     j = rows.join(base, rows[key] == base["__k"], "inner").drop("__k")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortforge.operators.joins import broadcast_if_small
+
 
 def order_key(cols: Sequence[str | Column], nulls_last: bool = True) -> Column:
     """A struct that sorts like ``ORDER BY cols ASC NULLS LAST``: each column
@@ -40,24 +42,6 @@ def first_by_order(df: DataFrame, key: str, value: str, order: Column, name: str
     return df.groupBy(key).agg(F.min_by(F.col(value), order).alias(name))
 
 
-def with_previous(df: DataFrame, key: str, order_cols: Sequence[Column], cols: Sequence[str],
-                  prefix: str = "prev_") -> DataFrame:
-    """Previous row's values within the entity in the given order; the first row
-    of an entity takes its own values."""
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    rn = F.row_number().over(w)
-    out = df
-    for c in cols:
-        out = out.withColumn(prefix + c, F.when(rn == 1, F.col(c)).otherwise(F.lag(c).over(w)))
-    return out
-
-
-def first_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows of each group in the given order (row-cap option)."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
-
-
 def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges: int = 64) -> DataFrame:
     """First ``n`` rows of each group in ``order`` without a whole-group window.
 
@@ -96,8 +80,15 @@ def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges:
 # borders is carried by a per-(entity, bucket) summary (an aggregate, combined
 # map-side) and a window over those summaries, whose length per entity is
 # bounded by the calendar (number of slots spanned), not by the data volume.
+#
+# A slot that alone holds more than ``hot_rows`` rows of one entity is cut
+# further, by the second inside the slot (``second_of_slot``): such slots are
+# found by a count per (entity, slot), a table of at most rows / hot_rows
+# entries that is broadcast behind the size check. The finer bucket is still
+# monotone in the order, so the same two-level scheme applies unchanged.
 # ----------------------------------------------------------------------------
 NULL_BUCKET = 1 << 62
+HOT_SLOT_ROWS = 1_000_000
 
 
 def hour_bucket(t: Column, hours: int = 1) -> Column:
@@ -109,13 +100,41 @@ def hour_bucket(t: Column, hours: int = 1) -> Column:
     return F.coalesce(slot, F.lit(NULL_BUCKET).cast("bigint"))
 
 
+def second_of_slot(t: Column, hours: int = 1) -> tuple[Column, int]:
+    """Second inside the ``hours``-wide slot of ``hour_bucket`` (zone
+    independent), and the number of seconds in a slot."""
+    secs = (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+            + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
+    width = hours * 3600
+    return F.coalesce(F.pmod(secs, F.lit(width)), F.lit(0)).cast("bigint"), width
+
+
+def _with_bucket(df: DataFrame, key: str, bucket: Column, split: tuple[Column, int] | None,
+                 hot_rows: int) -> DataFrame:
+    """``df`` with the bucket column ``__b``; slots of an entity holding more
+    than ``hot_rows`` rows are refined by ``split`` = (sub-slot, sub-slots per slot)."""
+    d = df.withColumn("__b", bucket)
+    if split is None:
+        return d
+    fine, width = split
+    hot = (d.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"))
+           .where((F.col("__n") > F.lit(hot_rows)) & (F.col("__b") != F.lit(NULL_BUCKET)))
+           .select(key, "__b", F.lit(1).alias("__hot")))
+    d = d.join(broadcast_if_small(hot), [key, "__b"], "left")
+    refined = F.col("__b") * F.lit(width) + F.when(F.col("__hot") == 1, fine).otherwise(F.lit(0))
+    return d.withColumn("__b", F.when(F.col("__b") == F.lit(NULL_BUCKET), F.col("__b")).otherwise(refined)) \
+        .drop("__hot")
+
+
 def previous_values(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
-                    cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                    cols: Sequence[str], prefix: str = "prev_", split: tuple[Column, int] | None = None,
+                    hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     """Previous row's values per entity in ``order_cols`` (nulls last); the
     first row of an entity takes its own values. ``bucket`` must be
-    non-decreasing in that order within an entity."""
+    non-decreasing in that order within an entity, and so must ``split``'s
+    sub-slot within a slot (see ``_with_bucket``)."""
     ordered = [c.asc_nulls_last() for c in order_cols]
-    d = df.withColumn("__b", bucket)
+    d = _with_bucket(df, key, bucket, split, hot_rows)
     w = Window.partitionBy(key, "__b").orderBy(*ordered)
     inner = d.select("*", F.row_number().over(w).alias("__rn"),
                      *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
@@ -131,12 +150,13 @@ def previous_values(df: DataFrame, key: str, bucket: Column, order_cols: Sequenc
 
 
 def running_aggregates(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
-                       sums: dict, maxes: dict) -> DataFrame:
+                       sums: dict, maxes: dict, split: tuple[Column, int] | None = None,
+                       hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
     """Running (inclusive prefix) sums and maxima per entity in
     ``order_cols``: {output name: Column}. Prefix of earlier buckets from the
     bucket summaries, plus the running value inside the row's bucket."""
     ordered = [c.asc_nulls_last() for c in order_cols]
-    d = df.withColumn("__b", bucket)
+    d = _with_bucket(df, key, bucket, split, hot_rows)
     w = (Window.partitionBy(key, "__b").orderBy(*ordered)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.select("*", *[F.sum(c).over(w).alias(f"__is_{n}") for n, c in sums.items()],

@@ -67,8 +67,8 @@ def brute_other_visits(adm: pd.DataFrame, stays: pd.DataFrame, days=(30, 60, 90,
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_other_visits_matches_all_pairs(spark, seed):
+@pytest.mark.parametrize("seed,hot_rows", [(1, 1_000_000), (2, 1_000_000), (3, 1_000_000), (4, 1)])
+def test_other_visits_matches_all_pairs(spark, seed, hot_rows):
     rnd = random.Random(seed)
     adm, stays, hid = [], [], 0
     for s in range(6):
@@ -81,7 +81,8 @@ def test_other_visits_matches_all_pairs(spark, seed):
                 stays.append((hid, rnd.choice(["MICU", "CCU", "sicu", None]), rnd.choice([None, 1.5, 3.0, 0.2])))
     adm_df = spark.createDataFrame(adm, "hadm_id int, subject_id int, admittime timestamp_ntz, dischtime timestamp_ntz")
     st_df = spark.createDataFrame(stays, "hadm_id int, last_careunit string, los double")
-    got = {r["hadm_id"]: r.asDict() for r in fx.other_visits_within_days(adm_df, st_df).collect()}
+    # hot_rows=1 refines every slot holding two or more rows by the second
+    got = {r["hadm_id"]: r.asDict() for r in fx.other_visits_within_days(adm_df, st_df, hot_rows=hot_rows).collect()}
     exp = brute_other_visits(pd.DataFrame(adm, columns=["hadm_id", "subject_id", "admittime", "dischtime"]),
                              pd.DataFrame(stays, columns=["hadm_id", "last_careunit", "los"]))
     assert set(got) == set(exp)
@@ -260,8 +261,8 @@ def brute_serial(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", [11, 12, 13])
-def test_serial_change_matches_sort_and_shift(spark, seed):
+@pytest.mark.parametrize("seed,hot_rows", [(11, 1_000_000), (12, 1_000_000), (13, 1_000_000), (14, 2), (15, 3)])
+def test_serial_change_matches_sort_and_shift(spark, seed, hot_rows):
     rnd = random.Random(seed)
     rows, rid = [], 0
     for hid in range(6):
@@ -271,7 +272,7 @@ def test_serial_change_matches_sort_and_shift(spark, seed):
             rows.append((hid, t, rnd.choice(["Creatinine", "creatinine (serum)", "HR"]),
                          rnd.choice([0.5, 0.9, 1.0, 1.2, 1.5, 1.8, 2.4, 12.0]), rid))
     df = spark.createDataFrame(rows, "hadm_id int, eventtime timestamp_ntz, label string, valuenum double, row_order int")
-    got = {r["hadm_id"]: r.asDict() for r in fx.serial_change(df).collect()}
+    got = {r["hadm_id"]: r.asDict() for r in fx.serial_change(df, hot_rows=hot_rows).collect()}
     exp = brute_serial(rows)
     assert set(got) == set(exp)
     for k, rec in exp.items():
@@ -301,3 +302,33 @@ def test_category_label_onehot_select_unmapped(spark):
     dup = spark.createDataFrame([("a", "135"), ("a", "2")], "icd string, hcc string")
     with pytest.raises(MergeValidationError):
         fx.category_label(diag, dup, adm)
+
+
+# ------------------------------------------------------------ hot slots, two-level windows
+@pytest.mark.parametrize("hot_rows", [1_000_000, 3, 1])
+def test_two_level_windows_split_hot_slots(spark, hot_rows):
+    from cohortforge.operators.windows import hour_bucket, previous_values, running_aggregates, second_of_slot
+    rnd = random.Random(hot_rows)
+    rows = []
+    for i in range(400):
+        k = "hot" if i % 5 else rnd.choice(["a", "b"])
+        secs = rnd.choice([0, 1, 1, 2, 59, 3599, 3600, 3601, 7300, 90000])
+        t = None if rnd.random() < 0.03 else T0 + dt.timedelta(seconds=secs, microseconds=rnd.choice([0, 500]))
+        rows.append((k, t, i, float(rnd.randint(0, 9))))
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int, v double")
+    order = [F.col("t"), F.col("i")]
+    split = second_of_slot(F.col("t"))
+    prev = previous_values(df, "k", hour_bucket(F.col("t")), order, ["v"], split=split, hot_rows=hot_rows)
+    run = running_aggregates(df, "k", hour_bucket(F.col("t")), order, {"s": F.col("v")}, {"m": F.col("v")},
+                             split=split, hot_rows=hot_rows)
+    pdf = pd.DataFrame(rows, columns=["k", "t", "i", "v"])
+    pdf = pdf.assign(nt=pdf.t.isna()).sort_values(["k", "nt", "t", "i"])
+    pdf["prev_v"] = pdf.groupby("k").v.shift(1).fillna(pdf.v)
+    pdf["s"] = pdf.groupby("k").v.cumsum()
+    pdf["m"] = pdf.groupby("k").v.cummax()
+    exp = {r.i: (r.prev_v, r.s, r.m) for r in pdf.itertuples()}
+    got_p = {r["i"]: r["prev_v"] for r in prev.collect()}
+    got_r = {r["i"]: (r["s"], r["m"]) for r in run.collect()}
+    assert len(got_p) == len(got_r) == len(rows)
+    for i, (pv, s, m) in exp.items():
+        assert got_p[i] == pv and got_r[i] == (s, m), (i, got_p[i], got_r[i], pv, s, m)
