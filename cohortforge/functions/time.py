@@ -46,3 +46,11 @@ def hash_bucket(key: Column, modulo: int, seed: str = "") -> Column:
     """Stable pseudo-random bucket in [0, modulo) from md5(seed || key)."""
     h = F.md5(F.concat(F.lit(seed), key.cast("string")))
     return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(modulo)).cast("int")
+
+
+def wall_micros(t: Column) -> Column:
+    """Microseconds of a timestamp_ntz's wall clock since 1970-01-01 (zone
+    independent, strictly monotone in ``t``); null stays null."""
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return ((days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60) * 1_000_000
+            + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))

@@ -15,11 +15,11 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from cohortforge.functions import (contains_ci, contains_cs_any, flag, normalize_category,
                                    normalize_ethnicity, strip_brackets, tolerant_double, tolerant_timestamp,
-                                   truthy, whole_days, within_hours)
+                                   truthy, wall_micros, whole_days, within_hours)
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs
 from cohortforge.operators.joins import anti_lookup, broadcast_if_small, lookup_join
-from cohortforge.operators.windows import (HOT_SLOT_ROWS, dedupe_first, hour_bucket, order_key, previous_values,
-                                           running_aggregates, second_of_slot)
+from cohortforge.operators.windows import (HOT_SLOT_ROWS, NULL_BUCKET, dedupe_first, hour_bucket, order_key,
+                                           previous_values, running_aggregates, second_of_slot)
 
 KEY = "hadm_id"
 SUBJECT = "subject_id"
@@ -233,12 +233,18 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
                              unit_days: int = 30, units: Sequence[str] = ("micu", "ccu"),
                              key: str = KEY, subject: str = SUBJECT, unit_col: str = "last_careunit",
                              los_col: str = "los", prefix: str = "prior_admission",
-                             bucket_hours: int = 24, hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
+                             bucket_hours: int = 24, hot_rows: int = HOT_SLOT_ROWS,
+                             direction: str = "any") -> DataFrame:
     """For each admission A, over the subject's *other* admissions B:
     ``ft_{prefix}_N`` = some B has ``whole_days(B.admit - A.disch) < N``; for
     ``unit_days`` also the max ICU length of stay of such B and flags for B's
     care units. Subjects with one admission are absent.
 
+    ``direction="any"`` is the original rule, under which every earlier
+    admission and later ones within N days count. ``direction="prior"``
+    counts only B admitted strictly before A and discharged less than N days
+    before A's admission (``A.admit - B.disch < N days``); see ``_prior_visits``.
+
     ``whole_days(x) < N`` equals ``x < N days``, so each (A, N) is an as-of
     question "which B were admitted before A.disch + N days". Instead of the
     all-pairs self-join, admissions (events) and thresholds (markers) are put
@@ -258,10 +264,21 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     # identity of an admission inside its subject: its position in (admit, id)
     # order, a running count (two-level, no whole-subject window); only
     # bit_length(max admissions per subject) bits are needed to exclude A
+    if direction not in ("any", "prior"):
+        raise ValueError(f"direction must be 'any' or 'prior', not {direction!r}")
+    prior_maxes = {}
+    if direction == "prior":
+        # prefix maxima of discharge (all, and per care unit) in admission order
+        has_admit = F.col("admit").isNotNull()
+        prior_maxes["md"] = F.when(has_admit, F.col("disch"))
+        for u in units:
+            prior_maxes[f"md_{u}"] = F.when(has_admit & (F.col(f"u_{u}") == 1), F.col("disch"))
     b = running_aggregates(b, "s", hour_bucket(F.col("admit"), bucket_hours), [F.col("admit"), F.col("h")],
-                           {"pos": F.lit(1)}, {}, split=second_of_slot(F.col("admit"), bucket_hours),
+                           {"pos": F.lit(1)}, prior_maxes, split=second_of_slot(F.col("admit"), bucket_hours),
                            hot_rows=hot_rows)
     nbits = max(1, int(n_sub.agg(F.max("n_sub")).first()[0] or 1).bit_length())
+    if direction == "prior":
+        return _prior_visits(b, days, unit_days, units, key, prefix, nbits, bucket_hours, hot_rows)
     b = b.select("*", *[F.coalesce(F.col(f"u_{u}"), F.lit(0)).alias(f"uu_{u}") for u in units])
 
     # one event row (the admission as a B) and one marker row per window N
@@ -315,6 +332,66 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
     return per.groupBy(key).agg(*aggs)
 
 
+def _prior_visits(b: DataFrame, days: Sequence[int], unit_days: int, units: Sequence[str], key: str,
+                  prefix: str, nbits: int, bucket_hours: int, hot_rows: int) -> DataFrame:
+    """``direction="prior"`` of ``other_visits_within_days``. ``b`` holds one
+    row per admission with its 1-based position ``pos`` in (admit, id) order
+    (null admit last) and the prefix maxima of discharge ``md``/``md_{u}``.
+
+    The B admitted strictly before A are positions 1..k, k = (first position
+    of A's admit instant) - 1. "Some such B discharged after A.admit - N" is
+    "max discharge over 1..k > A.admit - N": the prefix maximum at position k
+    (a 1:1 join on (subject, position)). The longest stay of such B needs both
+    conditions at once; positions 1..k split into at most ``nbits`` aligned
+    blocks (one per set bit of k), and inside each block (subject, level,
+    block) a descending as-of running max of los over discharge answers it.
+    Rows grow by a factor of ``nbits`` = bit length of the largest admission
+    count of a subject; no pairs are formed."""
+    ma = [f"md_{u}" for u in units]
+    a = b.where(F.col("n_sub") >= 2).select("h", "s", "admit")
+    first = (b.where(F.col("admit").isNotNull()).groupBy("s", "admit")
+             .agg((F.min("pos") - 1).alias("k")))
+    a = a.join(first, ["s", "admit"], "left")
+    at_k = b.select("s", F.col("pos").alias("k"), "md", *ma)
+    a = a.join(at_k, ["s", "k"], "left")
+
+    # longest stay: events are B (discharge, los) in every level's block,
+    # markers are A's blocks at instant A.admit - unit_days; time runs
+    # backwards (negated micros), markers first at equal instants (strict >)
+    p0 = F.col("pos") - 1
+    ev = (b.where(F.col("admit").isNotNull() & F.col("disch").isNotNull() & F.col("los").isNotNull()
+                  & (F.col("n_sub") >= 2))
+          .select("s", (-wall_micros(F.col("disch"))).alias("tn"), F.lit(1).alias("kind"),
+                  F.lit(None).cast(b.schema["h"].dataType).alias("a"), "los",
+                  F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.shiftright(p0, j).alias("g"))
+                                     for j in range(nbits)]))))
+    k = F.col("k")
+    mk = (a.where(k >= 1)
+          .select("s", (-wall_micros(F.col("admit") - F.make_dt_interval(days=F.lit(int(unit_days))))).alias("tn"),
+                  F.lit(0).alias("kind"), F.col("h").alias("a"), F.lit(None).cast("double").alias("los"),
+                  F.inline(F.array(*[F.struct(F.lit(j).alias("j"), (F.shiftright(k, j) - 1).alias("g"),
+                                              (F.shiftright(k, j).bitwiseAND(1) == 1).alias("on"))
+                                     for j in range(nbits)])))
+          .where(F.col("on")).drop("on"))
+    rows = ev.unionByName(mk).withColumn("gk", F.struct("s", "j", "g"))
+    width = bucket_hours * 3600
+    slot = F.floor(F.col("tn") / F.lit(width * 1_000_000)).cast("bigint")
+    split = (F.pmod(F.floor(F.col("tn") / F.lit(1_000_000)).cast("bigint"), F.lit(width)), width)
+    run = running_aggregates(rows, "gk", F.coalesce(slot, F.lit(NULL_BUCKET).cast("bigint")),
+                             [F.col("tn"), F.col("kind")], {}, {"lm": F.when(F.col("kind") == 1, F.col("los"))},
+                             split=split, hot_rows=hot_rows)
+    los = run.where(F.col("kind") == 0).groupBy(F.col("a").alias("h")).agg(F.max("lm").alias("los_max"))
+
+    a = a.join(los, "h", "left")
+
+    def after(c, n):
+        return flag(F.col(c) > F.col("admit") - F.make_dt_interval(days=F.lit(int(n))))
+    aggs = [F.max(after("md", n)).alias(f"ft_{prefix}_{n}") for n in days]
+    aggs.append(F.max("los_max").alias(f"ft_avg_icu_los_within_{unit_days}"))
+    aggs += [F.max(after(f"md_{u}", unit_days)).alias(f"ft_{u}_within_{unit_days}") for u in units]
+    return a.groupBy(F.col("h").alias(key)).agg(*aggs)
+
+
 # ------------------------------------------------------------------------ labs (F-6, F-9..F-11)
 LAB_COLUMNS = ("subject_id", "hadm_id", "charttime", "value", "valuenum", "valueuom", "label", "fluid",
                "category", "flag")

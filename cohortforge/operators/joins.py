@@ -14,9 +14,11 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # pragma: no cover - e.g. Spark Connect
         return 1 << 62
+    # py4j hands a scala BigInt over either as a Python int or as an object
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
 # Row bound of the counting check (a bounded job: it stops after this many rows).

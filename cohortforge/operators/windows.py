@@ -84,7 +84,7 @@ def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges:
 # A slot that alone holds more than ``hot_rows`` rows of one entity is cut
 # further, by the second inside the slot (``second_of_slot``): such slots are
 # found by a count per (entity, slot), a table of at most rows / hot_rows
-# entries that is broadcast behind the size check. The finer bucket is still
+# entries (combined map-side, so a hot slot is counted in many tasks). The finer bucket is still
 # monotone in the order, so the same two-level scheme applies unchanged.
 # ----------------------------------------------------------------------------
 NULL_BUCKET = 1 << 62
@@ -120,7 +120,10 @@ def _with_bucket(df: DataFrame, key: str, bucket: Column, split: tuple[Column, i
     hot = (d.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"))
            .where((F.col("__n") > F.lit(hot_rows)) & (F.col("__b") != F.lit(NULL_BUCKET)))
            .select(key, "__b", F.lit(1).alias("__hot")))
-    d = d.join(broadcast_if_small(hot), [key, "__b"], "left")
+    # no counting job here: it would recompute the whole upstream lineage once
+    # more; a hot table the estimate cannot bound is joined normally and AQE
+    # turns the join into a broadcast once the small side is materialized
+    d = d.join(broadcast_if_small(hot, count_check=False), [key, "__b"], "left")
     refined = F.col("__b") * F.lit(width) + F.when(F.col("__hot") == 1, fine).otherwise(F.lit(0))
     return d.withColumn("__b", F.when(F.col("__b") == F.lit(NULL_BUCKET), F.col("__b")).otherwise(refined)) \
         .drop("__hot")

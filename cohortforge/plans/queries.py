@@ -305,6 +305,27 @@ def q_other_visits(spark, d):
     return fx.other_visits_within_days(A.admissions(spark, d), A.stays(spark, d))
 
 
+_OVP_SQL = with_ctes([A.SQL_ADMISSIONS, A.SQL_STAYS, f"""ovp_p AS (
+  SELECT x.hadm_id, y.hadm_id AS h2,
+         CASE WHEN y.admittime < x.admittime THEN (epoch(x.admittime) - epoch(y.dischtime)) / 86400 END AS gd
+  FROM admissions_r x JOIN admissions_r y ON x.subject_id = y.subject_id AND x.hadm_id <> y.hadm_id),
+ovp_q AS (SELECT p.*, s.los, lower(s.last_careunit) AS cu FROM ovp_p p LEFT JOIN stays_r s ON p.h2 = s.hadm_id)"""], f"""
+SELECT hadm_id,
+  max({fl('gd < 30')}) AS ft_prior_admission_30, max({fl('gd < 60')}) AS ft_prior_admission_60,
+  max({fl('gd < 90')}) AS ft_prior_admission_90, max({fl('gd < 120')}) AS ft_prior_admission_120,
+  {r6('max(CASE WHEN gd < 30 THEN los END)')} AS ft_avg_icu_los_within_30,
+  max({fl("cu = 'micu'")} * {fl('gd < 30')}) AS ft_micu_within_30,
+  max({fl("cu = 'ccu'")} * {fl('gd < 30')}) AS ft_ccu_within_30
+FROM ovp_q GROUP BY hadm_id""")
+
+
+@query("other_visits_prior", _OVP_SQL)
+def q_other_visits_prior(spark, d):
+    """Earlier admissions of the subject discharged less than N days before
+    this admission (``direction="prior"``: dyadic position blocks, no pairs)."""
+    return fx.other_visits_within_days(A.admissions(spark, d), A.stays(spark, d), direction="prior")
+
+
 # ==================================================================== demographics
 _TYPES = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low"]
 _RACES = ["asian_chinese", "black_african_american", "hispanic_latino_puerto_rican", "hispanic_or_latino", "white"]

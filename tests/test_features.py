@@ -38,7 +38,7 @@ def test_prepare_labs_drops_missing_entity(spark):
 
 
 # ------------------------------------------------------------------- other visits
-def brute_other_visits(adm: pd.DataFrame, stays: pd.DataFrame, days=(30, 60, 90, 120)):
+def brute_other_visits(adm: pd.DataFrame, stays: pd.DataFrame, days=(30, 60, 90, 120), direction="any"):
     out = {}
     for _, a in adm.iterrows():
         others = adm[(adm.subject_id == a.subject_id) & (adm.hadm_id != a.hadm_id)]
@@ -47,7 +47,11 @@ def brute_other_visits(adm: pd.DataFrame, stays: pd.DataFrame, days=(30, 60, 90,
         rec = {}
         pairs = []
         for _, b in others.iterrows():
-            if pd.isna(b.admittime) or pd.isna(a.dischtime):
+            if direction == "prior":
+                ok = not (pd.isna(a.admittime) or pd.isna(b.admittime) or pd.isna(b.dischtime)) \
+                    and b.admittime < a.admittime
+                d = (a.admittime - b.dischtime).total_seconds() / 86400 if ok else None
+            elif pd.isna(b.admittime) or pd.isna(a.dischtime):
                 d = None
             else:
                 d = math.floor((b.admittime - a.dischtime).total_seconds() / 86400)
@@ -67,8 +71,11 @@ def brute_other_visits(adm: pd.DataFrame, stays: pd.DataFrame, days=(30, 60, 90,
     return out
 
 
-@pytest.mark.parametrize("seed,hot_rows", [(1, 1_000_000), (2, 1_000_000), (3, 1_000_000), (4, 1)])
-def test_other_visits_matches_all_pairs(spark, seed, hot_rows):
+@pytest.mark.parametrize("seed,hot_rows,direction", [(1, 1_000_000, "any"), (2, 1_000_000, "any"),
+                                                     (3, 1_000_000, "any"), (4, 1, "any"),
+                                                     (5, 1_000_000, "prior"), (6, 1_000_000, "prior"),
+                                                     (7, 1, "prior"), (8, 2, "prior")])
+def test_other_visits_matches_all_pairs(spark, seed, hot_rows, direction):
     rnd = random.Random(seed)
     adm, stays, hid = [], [], 0
     for s in range(6):
@@ -82,9 +89,31 @@ def test_other_visits_matches_all_pairs(spark, seed, hot_rows):
     adm_df = spark.createDataFrame(adm, "hadm_id int, subject_id int, admittime timestamp_ntz, dischtime timestamp_ntz")
     st_df = spark.createDataFrame(stays, "hadm_id int, last_careunit string, los double")
     # hot_rows=1 refines every slot holding two or more rows by the second
-    got = {r["hadm_id"]: r.asDict() for r in fx.other_visits_within_days(adm_df, st_df, hot_rows=hot_rows).collect()}
+    got = {r["hadm_id"]: r.asDict()
+           for r in fx.other_visits_within_days(adm_df, st_df, hot_rows=hot_rows, direction=direction).collect()}
     exp = brute_other_visits(pd.DataFrame(adm, columns=["hadm_id", "subject_id", "admittime", "dischtime"]),
-                             pd.DataFrame(stays, columns=["hadm_id", "last_careunit", "los"]))
+                             pd.DataFrame(stays, columns=["hadm_id", "last_careunit", "los"]), direction=direction)
+    assert set(got) == set(exp)
+    for k, rec in exp.items():
+        for c, v in rec.items():
+            assert got[k][c] == v, (seed, k, c, got[k][c], v)
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_other_visits_prior_dense_subject(spark, seed):
+    # one subject with many close admissions, some discharged before admission
+    rnd = random.Random(seed)
+    adm, stays = [], []
+    for hid in range(1, 20):
+        admit = T0 + dt.timedelta(days=rnd.randint(0, 60), hours=rnd.choice([0, 7]))
+        disch = admit + dt.timedelta(days=rnd.randint(-2, 25), hours=rnd.choice([0, 3]))
+        adm.append((hid, 1 if hid > 2 else 2, admit, disch))
+        stays.append((hid, rnd.choice(["MICU", "CCU", "tsicu"]), rnd.choice([None, 0.5, 2.0, 4.0, 9.0])))
+    adm_df = spark.createDataFrame(adm, "hadm_id int, subject_id int, admittime timestamp_ntz, dischtime timestamp_ntz")
+    st_df = spark.createDataFrame(stays, "hadm_id int, last_careunit string, los double")
+    got = {r["hadm_id"]: r.asDict() for r in fx.other_visits_within_days(adm_df, st_df, direction="prior").collect()}
+    exp = brute_other_visits(pd.DataFrame(adm, columns=["hadm_id", "subject_id", "admittime", "dischtime"]),
+                             pd.DataFrame(stays, columns=["hadm_id", "last_careunit", "los"]), direction="prior")
     assert set(got) == set(exp)
     for k, rec in exp.items():
         for c, v in rec.items():
