@@ -84,18 +84,26 @@ def category_onehot(diagnoses: DataFrame, crosswalk: DataFrame, values: Sequence
 
 
 def category_select(onehot: DataFrame, code: str = "", rename_as: str | None = None,
-                    prefix: str = "hcc_cd", drop: Sequence[str] = (SUBJECT,)) -> DataFrame:
+                    prefix: str = "hcc_cd", drop: Sequence[str] = (SUBJECT,), match: str = "exact") -> DataFrame:
     """Keep exactly one category column (or all when no code), optionally
-    renamed; drop the subject column."""
+    renamed; drop the subject column.
+
+    ``match="contains"`` is the older substring form (F-7V): ``code`` is a
+    text piece such as ``"_1"`` and every category column containing it is
+    kept (``_1`` also keeps ``_19``); the column ``prefix + code`` is the one
+    renamed. Only the column list changes, so the plan is a projection."""
     if rename_as is not None and not isinstance(rename_as, str):
         raise TypeError("rename_as must be a string")
+    if match not in ("exact", "contains"):
+        raise ValueError(f"match must be 'exact' or 'contains', not {match!r}")
+    target = f"{prefix}_{code}" if match == "exact" else f"{prefix}{code}"
     keep = []
     for c in onehot.columns:
         if c in drop:
             continue
-        if c.startswith(prefix + "_") and code and c != f"{prefix}_{code}":
+        if c.startswith(prefix + "_") and code and (c != target if match == "exact" else code not in c):
             continue
-        keep.append(F.col(c).alias(rename_as) if (rename_as and code and c == f"{prefix}_{code}") else F.col(c))
+        keep.append(F.col(c).alias(rename_as) if (rename_as and code and c == target) else F.col(c))
     return onehot.select(*keep)
 
 

@@ -326,6 +326,12 @@ def test_category_label_onehot_select_unmapped(spark):
     one = fx.category_select(onehot, "19", "ft_hcc_cd_19_dbtes_wo_comp")
     assert one.columns == ["hadm_id", "ft_hcc_cd_19_dbtes_wo_comp"]
     assert fx.category_select(onehot).columns == ["hadm_id", "hcc_cd_135", "hcc_cd_19"]
+    # substring form: "_1" keeps every category containing it; the exact name is renamed
+    sub = fx.category_select(onehot, "_1", "ft_one", match="contains")
+    assert sub.columns == ["hadm_id", "hcc_cd_135", "hcc_cd_19"]
+    sub = fx.category_select(onehot.withColumn("hcc_cd_1", F.lit(0)), "_1", "ft_one", match="contains")
+    assert sub.columns == ["hadm_id", "hcc_cd_135", "hcc_cd_19", "ft_one"]
+    assert fx.category_select(onehot, "_19", match="contains").columns == ["hadm_id", "hcc_cd_19"]
     titles = spark.createDataFrame([("z", "zoster"), ("a", "acute")], "icd9_code string, short_title string")
     assert [(r["short_title"], r["n"]) for r in fx.unmapped_codes(diag, xw, titles).collect()] == [("zoster", 1)]
     dup = spark.createDataFrame([("a", "135"), ("a", "2")], "icd string, hcc string")
