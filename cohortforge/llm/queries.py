@@ -28,7 +28,7 @@ def _op3_sql() -> str:
     return rf"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
                       regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-                      list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+                      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
                FROM documents),
     win AS (SELECT rid, unnest(range(1, len(w) - {n - 2})) AS i, w FROM d),
     rep AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(w[i:i + {n - 1}], ' ')) AS c FROM win),
