@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import quality
+from cohortforge.llm import decontam, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,5 +43,34 @@ def _op3_sql() -> str:
            (fail_bits & {base}) <> 0 AS base_failed, (fail_bits & {current}) = 0 AS kept, fail_bits FROM f"""
 
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
-ORACLE = {"op3_quality_rules": _op3_sql()}
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a 10-word window of a benchmark item."""
+    hits = decontam.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    rows = hits.select("*", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))).alias("copy"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP4_SQL = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[i:i + 9], ' ') AS win
+           FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    lens AS (SELECT DISTINCT l FROM bw),
+    dw AS (SELECT rid, l, i, array_to_string(w[i:i + l - 1], ' ') AS win
+           FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens)),
+    hit AS (SELECT rid, dw.l, i, item_id FROM dw JOIN bw USING (l, win)),
+    h AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + l)) AS p FROM hit) GROUP BY rid),
+    t AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
+          FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hit) GROUP BY rid)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+           sha256(coalesce(t.s, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+    FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
+
+
+QUERIES = {"op3_quality_rules": op3_quality_rules, "op4_decontamination": op4_decontamination}
+ORACLE = {"op3_quality_rules": _op3_sql(), "op4_decontamination": OP4_SQL}
