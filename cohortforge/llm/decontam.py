@@ -66,11 +66,12 @@ def scan(docs: DataFrame, bench: DataFrame, keys: list[str], text: str = "text",
     base = base.select(*names, "w", "len", F.expr("""
         case when len = 0 then array(cast(null as bigint)) when size(g) < len then array()
              else transform(sequence(1, size(g) - len + 1), i -> xxhash64(slice(g, i, len))) end""").alias("hashes"))
-    seen = base.select(*names, "len", F.size("w").alias("size"), "w", F.posexplode("hashes").alias("pos", "hash"))
+    # The outer form: else Catalyst filters on the array's size first and computes it twice.
+    seen = base.select(*names, "len", F.size("w").alias("size"), "w", F.posexplode_outer("hashes").alias("pos", "hash"))
     seen = seen.select(*names, "len", "size", "pos", "hash", F.expr("slice(w, pos + 1, len)").alias("seen"))
-    found = seen.join(F.broadcast(wins) if small else wins,
-                      (F.col("hash") == F.col("win_hash")) & (F.col("len") == F.col("win_len"))
-                      & (F.col("seen") == F.col("win")), "left")
+    # Only the hash is a join key; the words are compared where it matches.
+    found = seen.join(F.broadcast(wins.drop("win_len")) if small else wins.drop("win_len"),
+                      (F.col("hash") == F.col("win_hash")) & F.arrays_overlap(F.array("seen"), F.array("win")), "left")
     found = found.filter((F.col("len") == 0) | F.col("win_hash").isNotNull())
     own = F.col("len") == 0
     per_doc = found.groupBy(*names).agg(
