@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, quality
+from cohortforge.llm import decontam, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures, failed rules and the current policy's verdict of every document."""
     ledger = quality.build_ledger(_table(spark, sf_dir, "documents"))
@@ -72,5 +78,12 @@ OP4_SQL = r"""
     FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
 
 
-QUERIES = {"op3_quality_rules": op3_quality_rules, "op4_decontamination": op4_decontamination}
-ORACLE = {"op3_quality_rules": _op3_sql(), "op4_decontamination": OP4_SQL}
+QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_decontamination": op4_decontamination,
+}
+ORACLE = {
+    "op3_quality_rules": _op3_sql(),
+    "op4_decontamination": OP4_SQL,
+}
