@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, quality, simhash
+from cohortforge.llm import decontam, mixing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,10 +78,17 @@ OP4_SQL = r"""
     FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
+    "op5_mixing": op5_mixing,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
