@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, mixing, quality, simhash
+from cohortforge.llm import decontam, mixing, quality, simhash, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,11 +84,23 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def byte_bpe() -> str:
+    """The tokenizer file of the contract."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as binary records and read back."""
+    return tokens.token_records(spark, _table(spark, sf_dir, "documents"), byte_bpe())
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op8_token_records": op8_token_records,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
