@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, mixing, quality, simhash, tokens
+from cohortforge.llm import decontam, html_extract, mixing, quality, simhash, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,12 +95,18 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_records(spark, _table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op8_token_records": op8_token_records,
+    "op9_html_extraction": op9_html_extraction,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
