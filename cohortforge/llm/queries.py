@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, html_extract, mixing, quality, simhash, tokens
+from cohortforge.llm import decontam, html_extract, mixing, quality, simhash, tokens, unigram
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +100,14 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    import public_tokenizers
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", unigram.token_count("text", public_tokenizers.path("piece_bpe_32k.model")).alias("n_tokens"),
+                       F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_characters"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
@@ -107,6 +115,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op8_token_records": op8_token_records,
     "op9_html_extraction": op9_html_extraction,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
