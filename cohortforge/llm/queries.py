@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, html_extract, mixing, pii, quality, simhash, tokens, unigram
+from cohortforge.llm import decontam, html_extract, mixing, pii, quality, simhash, tokens, toxicity, unigram
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; the model learns from the training fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -115,6 +122,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
