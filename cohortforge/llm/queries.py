@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, html_extract, mixing, pii, quality, simhash, tokens, toxicity, unigram
+from cohortforge.llm import decontam, html_extract, linededup, mixing, pii, quality, simhash, tokens, toxicity, unigram
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of all documents without later copies of repeated line runs."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedupe_lines(docs, n_removed="n_removed")
+
+
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of all documents with personal data replaced by pseudonyms."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -127,6 +133,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_token_records": op8_token_records,
     "op9_html_extraction": op9_html_extraction,
