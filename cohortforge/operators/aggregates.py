@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortforge.functions import flag
+from cohortforge.session import scratch_path
+
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 _AGGS = {
     "max": F.max, "min": F.min, "mean": F.avg, "avg": F.avg, "sum": F.sum,
     "first": lambda c: F.first(c, ignorenulls=True), "count": F.count,
 }
 
-# Safety bound on a discovered one-hot domain: the value list travels to the
-# driver and becomes columns, so it must be a category domain, not a key.
-MAX_ONEHOT_VALUES = 5000
-
-
 def group_max(df: DataFrame, keys: str | Sequence[str], cols: Iterable[str]) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     return (df.where(_not_null(keys)).groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols]))
@@ -41,14 +40,21 @@ def _not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def discover_values(df: DataFrame, col: str | Column, limit: int = MAX_ONEHOT_VALUES) -> list:
-    """Sorted distinct non-null values of a category column (one small job)."""
+def discover_values(df: DataFrame, col: str | Column) -> list:
+    """Sorted distinct non-null values of a category column (one small job).
+    They become columns, so this is for category domains; ``onehot_long`` has
+    the same content for any number of values."""
+    c = F.col(col) if isinstance(col, str) else col
+    return [r[0] for r in df.select(c.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v").collect()]
+
+
+def onehot_long(df: DataFrame, keys: str | Sequence[str], col: str | Column, prefix: str) -> DataFrame:
+    """The ones of a one-hot encoding, (keys, feature, 1): a row per key and
+    value that occurs, with no limit to the number of values."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     c = F.col(col) if isinstance(col, str) else col
-    vals = [r[0] for r in df.select(c.alias("v")).where(F.col("v").isNotNull()).distinct()
-            .orderBy("v").limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"one-hot domain of {col} exceeds {limit} values")
-    return vals
+    named = df.where(_not_null(keys)).select(*keys, c.cast("string").alias("__v")).where(F.col("__v").isNotNull())
+    return named.select(*keys, F.concat(F.lit(f"{prefix}_"), F.col("__v")).alias("feature"), F.lit(1).alias("value")).distinct()
 
 
 def onehot_max_exprs(col: Column, values: Sequence, prefix: str) -> list[Column]:
@@ -88,22 +94,52 @@ def unpivot_features(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()
         list(ids), list(cols), "feature", "value")
 
 
-def profile_columns(df: DataFrame, cols: Sequence[str], quartiles: bool = True,
-                    accuracy: int = 10000, with_sum: bool = True) -> DataFrame:
+def exact_quantiles(long: DataFrame, probabilities: Mapping[str, float], group: str = "feature",
+                    value: str = "value") -> DataFrame:
+    """Quantiles per group with linear interpolation between the two
+    neighbouring ranks, exact at every size; nulls are left out.
+
+    Equal values are counted first. The distinct values are sorted by range,
+    each range gets its offset from a table of one row per (range, group), and
+    only the values that hold a wanted rank are kept: no group is gathered."""
+    counts = long.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("g"), F.col(value).alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
+    path = scratch_path(long.sparkSession, f"quantiles-{uuid.uuid4().hex}")
+    counts.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    counts = long.sparkSession.read.parquet(path)
+    sums = counts.groupBy("g", "part").agg(F.sum("n").alias("s"))
+    by_part = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("g", "part", F.coalesce(F.sum("s").over(by_part), F.lit(0)).alias("base"),
+                       F.sum("s").over(Window.partitionBy("g")).alias("total"))
+    inside = Window.partitionBy("part", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("low", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(sums, ["g", "part"])
+    first = F.col("base") + F.col("low")
+    aggs = []
+    for name, p in probabilities.items():
+        at = F.lit(float(p)) * (F.col("total") - 1)
+        holds = lambda r: (r >= first) & (r < first + F.col("n"))
+        low, high = F.max(F.when(holds(F.floor(at)), F.col("v"))), F.max(F.when(holds(F.ceil(at)), F.col("v")))
+        share = F.lit(float(p)) * (F.max("total") - 1)
+        aggs.append((low + (high - low) * (share - F.floor(share))).alias(name))
+    return ranked.groupBy(F.col("g").alias(group)).agg(*aggs)
+
+
+def profile_columns(df: DataFrame, cols: Sequence[str], quartiles: bool = True, with_sum: bool = True) -> DataFrame:
     """Per-column count, mean, sample std, min, quartiles, max (and sum): the
-    transposed ``describe``. Quartiles come from a mergeable quantile sketch
-    (rank error 1/accuracy); they are exact when accuracy exceeds the row
-    count."""
+    transposed ``describe``. Quartiles are exact and linearly interpolated."""
     long = unpivot_features(df, cols)
     aggs = [F.count("value").alias("count"), F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"), F.min("value").alias("min")]
-    if quartiles:
-        aggs += [F.percentile_approx("value", q, accuracy).alias(n)
-                 for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
+    out = ["feature", "count", "mean", "std", "min", *(["p25", "p50", "p75"] if quartiles else []), "max"]
     aggs.append(F.max("value").alias("max"))
     if with_sum:
         aggs.append(F.sum("value").alias("sum"))
-    return long.groupBy("feature").agg(*aggs)
+        out.append("sum")
+    base = long.groupBy("feature").agg(*aggs)
+    if quartiles:
+        found = exact_quantiles(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+        base = base.join(found, "feature", "left")
+    return base.select(*out)
 
 
 def column_means(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -114,14 +150,20 @@ def column_means(df: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Most frequent non-null value per column, smallest on ties. One
-    aggregation job over the long form, so a wide frame costs one shuffle."""
-    if not cols:
-        return {}
-    long = unpivot_features(df, cols)
-    counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
-    return {r["feature"]: r["mode"] for r in best.collect()}
+    """Most frequent non-null value per column, smallest on ties, in the
+    column's own type. One aggregation job per type class over the long form,
+    so a wide frame costs one shuffle for each."""
+    kinds: dict[str, list[str]] = {}
+    for c in cols:
+        t = dict(df.dtypes)[c]
+        kinds.setdefault("double" if t in _NUMBERS or t.startswith("decimal") else t, []).append(c)
+    out = {}
+    for kind, names in kinds.items():
+        long = df.select(*[F.col(c).cast(kind).alias(c) for c in names]).unpivot([], names, "feature", "value")
+        counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+        out.update({r["feature"]: r["mode"] for r in best.collect()})
+    return out
 
 
 def null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -133,8 +175,11 @@ def null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def all_zero_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns whose every value equals 0 (a null is not 0)."""
+    """Columns whose every value equals 0 or false (a null is not 0; text and
+    time columns are never all zero)."""
+    types = dict(df.dtypes)
+    cols = [c for c in cols if types[c] in _NUMBERS or types[c] == "boolean" or types[c].startswith("decimal")]
     if not cols:
         return []
-    row = df.agg(*[F.min(flag(F.col(c) == 0)).alias(c) for c in cols]).first()
+    row = df.agg(*[F.min(flag(F.col(c).cast("double") == 0)).alias(c) for c in cols]).first()
     return [c for c in cols if row[c] == 1]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from cohortforge.functions import (contains_ci, contains_cs_any, flag, normalize_category,
+from cohortforge.functions import (contains_ci, contains_cs_any, flag, hours_interval, normalize_category,
                                    normalize_ethnicity, strip_brackets, tolerant_double, tolerant_timestamp,
                                    truthy, wall_micros, whole_days, within_hours)
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs
@@ -136,7 +136,9 @@ def clean_events(charts: DataFrame, items: DataFrame, label: DataFrame | None =
 
     ``item_filter`` (a predicate on dictionary columns) restricts the
     dictionary *before* the join; the join then becomes an inner join and the
-    events of other items never leave the scan stage."""
+    events of other items never leave the scan stage. Columns that both tables
+    have (such as ``row_id``) are those of the events."""
+    items = items.drop(*[c for c in items.columns if c != "itemid" and c in charts.columns])
     if item_filter is not None:
         dim = items.where(item_filter)
         ev = lookup_join(charts, dim, "itemid", how="inner")
@@ -601,8 +603,7 @@ def serial_change(charts: DataFrame, name: str = "creatinine", match: str = "cre
     time order (``min_by``) and "any reading >= ratio x baseline" equals
     "max reading >= ratio x baseline", so both are plain aggregates."""
     rows = _serial_rows(charts, match, max_value, order_tiebreak, key, hot_rows=hot_rows)
-    rise_flag = truthy(F.col("delta") >= F.lit(rise)) & truthy(F.col("delta_time") <= F.make_dt_interval(
-        hours=F.lit(int(rise_hours))))
+    rise_flag = truthy(F.col("delta") >= F.lit(rise)) & truthy(F.col("delta_time") <= hours_interval(rise_hours))
     g = rows.groupBy(key).agg(
         F.max(rise_flag.cast("int")).alias("__rise"),
         F.max("valuenum").alias("__max"),
@@ -628,8 +629,7 @@ def serial_change_audit(charts: DataFrame, name: str = "creatinine", match: str
     base = rows.groupBy(F.col(key).alias("__k")).agg(
         F.min_by("valuenum", order_key([F.col("eventtime"), F.col(order_tiebreak)])).alias("baseline"))
     j = rows.join(base, rows[key] == base["__k"], "inner").drop("__k")
-    rise_flag = (truthy(F.col("delta") >= F.lit(rise)) & truthy(F.col("delta_time") <= F.make_dt_interval(
-        hours=F.lit(int(rise_hours))))).cast("int")
+    rise_flag = (truthy(F.col("delta") >= F.lit(rise)) & truthy(F.col("delta_time") <= hours_interval(rise_hours))).cast("int")
     j = j.select(key, "valuenum", "delta", _interval_hours(F.col("delta_time")).alias("delta_hours"), "baseline", rise_flag.alias(f"ft_{name}_increase_within_{_h(rise_hours)}"),
                  flag(F.col("valuenum") >= F.lit(ratio) * F.col("baseline")).alias(f"ft_{name}_increase_from_baseline"),
                  flag(F.col("baseline") > F.lit(baseline_gt)).alias(f"ft_baseline_{name[:5]}_gt_{_h(baseline_gt)}"))

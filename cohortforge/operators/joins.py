@@ -21,33 +21,10 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
-# Row bound of the counting check (a bounded job: it stops after this many rows).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_width(df: DataFrame) -> int:
-    try:
-        return int(df._jdf.schema().defaultSize())
-    except Exception:  # pragma: no cover
-        return 64 * max(1, len(df.columns))
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES,
-                       max_rows: int = BROADCAST_MAX_ROWS, count_check: bool = True) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise AQE decides at run
-    time from real shuffle sizes.
-
-    First Catalyst's estimate; without column statistics it ignores filter
-    selectivity, so a filtered dictionary may look as big as its source.
-    Then, optionally, a proven bound: count at most ``max_rows + 1`` rows and
-    broadcast when rows x row width fits the limit."""
-    if estimated_bytes(df) <= limit:
-        return F.broadcast(df)
-    if count_check:
-        n = df.limit(max_rows + 1).count()
-        if n <= max_rows and n * row_width(df) <= limit:
-            return F.broadcast(df)
-    return df
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast hint only where Catalyst's estimate of the size is within the
+    limit; otherwise AQE decides at run time from real shuffle sizes. No job runs here."""
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
 class MergeValidationError(ValueError):

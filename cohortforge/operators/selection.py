@@ -17,30 +17,42 @@ from cohortforge.operators.aggregates import unpivot_features
 
 
 # ------------------------------------------------------------------ statistics
-def correlation_matrix(df: DataFrame, cols: Sequence[str], pairwise_limit: int = 40) -> DataFrame:
-    """Pearson correlation of every ordered pair, long form.
-
-    Up to ``pairwise_limit`` columns: one aggregation pass with one ``corr``
-    per unordered pair (pairwise-complete rows, like a pairwise correlation).
-    Beyond it, MLlib's distributed correlation (one pass building the
-    Gramian) over the rows without nulls - the same on imputed data."""
+def _pair_sums(batches, means: Sequence[float]):
+    """Sums over a task's rows for every ordered pair of columns, rows in which
+    either is missing left out: four matrix products per batch."""
+    import numpy as np
+    import pandas as pd
+    total = None
+    for batch in batches:
+        x = batch.to_numpy(dtype=np.float64) - np.asarray(means)
+        known = ~np.isnan(x)
+        x, m = np.where(known, x, 0.0), known.astype(np.float64)
+        now = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        total = now if total is None else total + now
+    if total is not None:
+        i, j = np.indices(total.shape[1:])
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "n": total[0].ravel(), "x": total[1].ravel(), "xx": total[2].ravel(),
+                            "y": total[1].T.ravel(), "yy": total[2].T.ravel(), "xy": total[3].ravel()})
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every ordered pair, long form, over the rows in
+    which both columns are known (pairwise-complete), whatever the number of
+    columns. Columns are centred by their means, then each task reduces its
+    rows to the sums of every pair, which are added up: one pass, and columns
+    x columns rows per task to shuffle. Null where a column does not vary."""
     cols = list(cols)
-    if len(cols) <= pairwise_limit:
-        pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-        wide = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}")
-                        for i, j in pairs])
-        rows = []
-        for i, j in pairs:
-            rows += [(cols[i], cols[j], f"c{i}_{j}")] + ([(cols[j], cols[i], f"c{i}_{j}")] if i != j else [])
-        stack = F.stack(F.lit(len(rows)), *[x for a, b, c in rows for x in (F.lit(a), F.lit(b), F.col(c))])
-        return wide.select(stack.alias("feature_a", "feature_b", "corr"))
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
-    data = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(data, "feature_a string, feature_b string, corr double")
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    first = wide.agg(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in wide.columns]).first()
+    means = [float(m) if m is not None else 0.0 for m in first]
+    sums = wide.mapInPandas(lambda it: _pair_sums(it, means),
+                            "i int, j int, n double, x double, xx double, y double, yy double, xy double")
+    sums = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "y", "yy", "xy")])
+    var_x, var_y = F.col("n") * F.col("xx") - F.col("x") ** 2, F.col("n") * F.col("yy") - F.col("y") ** 2
+    real = (var_x > 1e-12 * F.col("n") * F.col("xx")) & (var_y > 1e-12 * F.col("n") * F.col("yy"))
+    name = F.array(*[F.lit(c) for c in cols])
+    return sums.select(name[F.col("i")].alias("feature_a"), name[F.col("j")].alias("feature_b"),
+                       F.when(real, (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(var_x * var_y)).alias("corr"))
 
 
 def label_correlation(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
@@ -178,14 +190,15 @@ def pca_variance_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int]
 
 
 def tree_fit(df: DataFrame, features: Sequence[str], label: str = "hcc_cd_135", min_leaf: int = 1,
-             min_split: int | None = None, max_depth: int = 30, seed: int = 42):
-    """Entropy decision tree. MLlib has no minimum split size; the leaf size
-    is used and depth is capped at 30 (MLlib's limit)."""
+             max_depth: int = 30, max_bins: int = 64, seed: int = 42):
+    """Entropy decision tree with at least ``min_leaf`` rows per leaf. MLlib
+    knows no minimum split size, tries ``max_bins`` cut points per feature and
+    grows at most 30 levels."""
     from pyspark.ml.classification import DecisionTreeClassifier
     data = assemble(df, features).withColumn("__y", F.col(label).cast("double"))
     return DecisionTreeClassifier(featuresCol="features", labelCol="__y", impurity="entropy",
                                   minInstancesPerNode=int(min_leaf), maxDepth=max_depth, seed=seed,
-                                  maxBins=64).fit(data)
+                                  maxBins=max_bins).fit(data)
 
 
 def importances(model, features: Sequence[str], spark: SparkSession, k: int | None = 25) -> DataFrame:

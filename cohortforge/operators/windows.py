@@ -30,8 +30,9 @@ def order_key(cols: Sequence[str | Column], nulls_last: bool = True) -> Column:
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
     """Keep one row per key combination: the first in ``order`` (file order).
-    Null keys form one group each, as in a drop-duplicates."""
-    o = F.col(order) if isinstance(order, str) else order
+    Null keys form one group each, as in a drop-duplicates; rows without an
+    order come last."""
+    o = order_key([order])
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), o).alias("__r"))
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
@@ -123,7 +124,7 @@ def _with_bucket(df: DataFrame, key: str, bucket: Column, split: tuple[Column, i
     # no counting job here: it would recompute the whole upstream lineage once
     # more; a hot table the estimate cannot bound is joined normally and AQE
     # turns the join into a broadcast once the small side is materialized
-    d = d.join(broadcast_if_small(hot, count_check=False), [key, "__b"], "left")
+    d = d.join(broadcast_if_small(hot), [key, "__b"], "left")
     refined = F.col("__b") * F.lit(width) + F.when(F.col("__hot") == 1, fine).otherwise(F.lit(0))
     return d.withColumn("__b", F.when(F.col("__b") == F.lit(NULL_BUCKET), F.col("__b")).otherwise(refined)) \
         .drop("__hot")

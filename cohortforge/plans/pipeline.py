@@ -1,9 +1,9 @@
 """End-to-end plans: chart features over all bins and the final assembly.
 
-Each plan is one lazy DataFrame; nothing is collected. The chart features
-share one cleaned and de-duplicated event set: inside a single plan Spark
-reuses the identical exchanges, and ``materialize=True`` writes it once to
-the shared checkpoint folder instead.
+The chart features share one cleaned and de-duplicated event set. With
+``materialize_events=True`` building the plan writes it once, as narrow Parquet
+in the shared folder; otherwise the plan stays lazy and Spark reuses the
+identical exchanges.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from cohortforge.functions import contains_any_ci, contains_cs_any, hash_bin
 from cohortforge.operators import features as fx
 from cohortforge.operators.joins import merge_features
 from cohortforge.plans import presets as P
-from cohortforge.session import cut_lineage
+from cohortforge.session import materialize
 
 
 def chart_item_filter(words: Sequence[str] = ("creatin", "hematocrit", "systolic", "diastolic"),
@@ -27,32 +27,50 @@ def chart_item_filter(words: Sequence[str] = ("creatin", "hematocrit", "systolic
     return contains_any_ci(F.col("label"), words) | contains_cs_any(F.col("label"), case_sensitive)
 
 
+# What the chart features read of an event.
+CHART_COLUMNS = ("subject_id", "hadm_id", "itemid", "eventtime", "valuenum", "label", "row_order")
+
+
+def with_row_order(charts: DataFrame, order: str | None = None) -> DataFrame:
+    """Events with the file order as ``row_order``: the given column, else
+    ``row_order`` itself, else the number in ``row_id``."""
+    name = order or ("row_order" if "row_order" in charts.columns else "row_id")
+    if name == "row_order":
+        return charts
+    col = F.col(name)
+    return charts.withColumn("row_order", col.try_cast("bigint") if charts.schema[name].dataType.simpleString() == "string" else col)
+
+
 def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bins: Sequence[str] | None = None,
                        item_filter: Column | None = None, key: str = "hadm_id",
-                       max_rows_per_bin: int | None = None, order: str = "row_order") -> DataFrame:
-    """Cleaned, de-duplicated chart events with the label columns. The label
+                       max_rows_per_bin: int | None = None, order: str | None = None,
+                       columns: Sequence[str] | None = None) -> DataFrame:
+    """Cleaned, de-duplicated chart events with the label columns; only the
+    given ``columns`` enter the de-duplication. The label
     frame has one row per (subject, entity), so its join is a per-row lookup
-    and is done after de-duplication: fewer rows reach the join and the
-    de-duplication carries narrower rows."""
+    and is done after de-duplication: fewer rows reach the join."""
+    charts = with_row_order(charts, order)
     if bins is not None:
         charts = charts.where(hash_bin(F.col(key)).isin(list(bins)))
     if max_rows_per_bin is not None:  # optional cap: first n rows of each bin in file order
         from cohortforge.operators.windows import first_n_in_order
-        charts = first_n_in_order(charts.withColumn("__bin", hash_bin(F.col(key))), "__bin", order,
+        charts = first_n_in_order(charts.withColumn("__bin", hash_bin(F.col(key))), "__bin", "row_order",
                                   max_rows_per_bin).drop("__bin")
-    ev = fx.dedupe_events(fx.clean_events(charts, items, None, item_filter=item_filter))
+    ev = fx.clean_events(charts, items, None, item_filter=item_filter)
+    ev = fx.dedupe_events(ev if columns is None else ev.select(*[c for c in columns if c in ev.columns]))
     return ev.join(label, on=["subject_id", key], how="left")
 
 
 def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demographics: DataFrame,
                    bins: Sequence[str] | None = None, use_item_filter: bool = True,
-                   materialize: bool = True, max_rows_per_bin: int | None = None) -> DataFrame:
+                   materialize_events: bool = True, max_rows_per_bin: int | None = None,
+                   order: str | None = None) -> DataFrame:
     """Creatinine, hematocrit, blood pressure and blood pH features, merged:
     all hash bins in one job (``bins`` restricts to some bins)."""
     ev = clean_chart_events(charts, items, label, bins, chart_item_filter() if use_item_filter else None,
-                            max_rows_per_bin=max_rows_per_bin)
-    if materialize:
-        ev = cut_lineage(ev)
+                            max_rows_per_bin=max_rows_per_bin, order=order, columns=CHART_COLUMNS)
+    if materialize_events:
+        ev = materialize(ev, "chart-events")
     creat = fx.serial_change(ev, **P.CREATININE)
     hema = fx.group_reference_range(ev, demographics, **P.HEMATOCRIT)
     bp = fx.paired_reading_bands(ev, exclude=P.PRESSURE_EXCLUDE, hours=P.PRESSURE_WINDOW_HOURS)
@@ -66,18 +84,20 @@ def assemble_features(t: Mapping[str, DataFrame], label_code: str = P.LABEL_CATE
                       contrast_codes: Sequence[str] = P.CONTRAST_CODES,
                       ventilation: tuple[str, str] = (P.VENTILATION_CODE, P.VENTILATION_TEXT),
                       comorbidities: Mapping[str, str] = P.COMORBIDITIES,
-                      labs: Mapping[str, dict] = P.LABS, chart_bins: Sequence[str] | None = None) -> DataFrame:
+                      labs: Mapping[str, dict] = P.LABS, chart_bins: Sequence[str] | None = None,
+                      chart_order: str | None = None) -> DataFrame:
     """The full feature set: label, demographics, chart features, category
     features, other visits, keyword groups, procedure flags and lab flags,
     merged on the entity in one shuffle.
 
     ``t`` holds the role tables: admissions, patients, icustays, diagnoses,
     crosswalk, chartevents, d_items, prescriptions, cptevents, labevents,
-    d_labitems."""
+    d_labitems. Tables may be all text, as read from CSV; ``chart_order`` names
+    the column that holds the chart events' file order."""
     label = fx.category_label(t["diagnoses"], t["crosswalk"], t["admissions"], label_code=label_code)
     demo = fx.demographics(t["admissions"], t["patients"])
     gender = fx.gender_frame(t["admissions"], t["patients"])  # all the range features need
-    charts = chart_features(t["chartevents"], t["d_items"], label, gender, bins=chart_bins)
+    charts = chart_features(t["chartevents"], t["d_items"], label, gender, bins=chart_bins, order=chart_order)
     onehot = fx.category_onehot(t["diagnoses"], t["crosswalk"], values=list(comorbidities))
     cats = [fx.category_columns(onehot, comorbidities)]
     prior = fx.other_visits_within_days(t["admissions"], t["icustays"])

@@ -112,14 +112,8 @@ _MERGED = """merged AS (
 
 def _profile_sql(long_ctes: list[str], with_sum: bool = True) -> str:
     s = ", " + r6("sum(value)") + " AS sum" if with_sum else ""
-    ranked = """ranked AS (
-  SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS rn,
-         count(value) OVER (PARTITION BY feature) AS n
-  FROM long WHERE value IS NOT NULL)"""
-
-    def q(p):
-        return r6(f"(SELECT min(value) FROM ranked r WHERE r.feature = l.feature AND r.rn >= ceil({p} * r.n))")
-    return with_ctes(long_ctes + [ranked], f"""
+    q = lambda p: r6(f"quantile_cont(l.value, {p})")
+    return with_ctes(long_ctes, f"""
 SELECT l.feature, count(l.value) AS count, {r6('avg(l.value)')} AS mean, {r6('stddev_samp(l.value)')} AS std,
        {r6('min(l.value)')} AS min, {q(0.25)} AS p25, {q(0.5)} AS p50, {q(0.75)} AS p75,
        {r6('max(l.value)')} AS max{s}
@@ -171,7 +165,7 @@ def q_category_statistics(spark, d):
     """describe + sum of every category column."""
     wide = fx.category_onehot(A.diagnoses(spark, d), A.crosswalk(spark, d))
     cols = [c for c in wide.columns if c.startswith("hcc_cd_")]
-    return ag.profile_columns(wide, cols, accuracy=100_000)
+    return ag.profile_columns(wide, cols)
 
 
 _PROFILE_COLS = ["l_quantity", "l_discount", "l_tax"]
@@ -181,7 +175,7 @@ _PROFILE_COLS = ["l_quantity", "l_discount", "l_tax"]
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem" for c in _PROFILE_COLS) + ")"]))
 def q_feature_profile(spark, d):
     """Transposed describe (count, mean, std, min, quartiles, max, sum)."""
-    return ag.profile_columns(A.table(spark, d, "lineitem"), _PROFILE_COLS, accuracy=100_000)
+    return ag.profile_columns(A.table(spark, d, "lineitem"), _PROFILE_COLS)
 
 
 # ============================================================================ charts
@@ -779,6 +773,31 @@ def q_corr(spark, d):
     return sel.correlation_matrix(_model(spark, d), _CORR_COLS)
 
 
+_WIDE_COLS = [f"f{i}" for i in range(42)]
+
+
+def _wide_expr(i: int) -> str:
+    """A column with nulls in every seventh to eleventh row; Spark and DuckDB read it alike."""
+    return (f"CASE WHEN (l_partkey + {i}) % {7 + i % 5} = 0 THEN NULL "
+            f"ELSE l_quantity * {1 + i % 4} + CAST((l_suppkey * {i + 1} + l_linenumber) % {11 + i} AS DOUBLE) END AS f{i}")
+
+
+@query("correlation_wide", "WITH w AS (SELECT " + ", ".join(map(_wide_expr, range(42))) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM w" for a in _WIDE_COLS for b in _WIDE_COLS))
+def q_corr_wide(spark, d):
+    """Pairwise-complete correlation of 42 columns with nulls (over the block width)."""
+    wide = A.table(spark, d, "lineitem").selectExpr(*map(_wide_expr, range(42)))
+    return sel.correlation_matrix(wide, _WIDE_COLS)
+
+
+@query("category_long", with_ctes([A.SQL_DIAGNOSES, A.SQL_CROSSWALK, _MERGED], """
+SELECT DISTINCT hadm_id, subject_id, 'hcc_cd_' || hcc AS feature, 1 AS value FROM merged WHERE hcc IS NOT NULL"""))
+def q_category_long(spark, d):
+    """The ones of the category one-hot as rows, for any number of categories."""
+    coded = fx.lookup_join(A.diagnoses(spark, d), A.crosswalk(spark, d), "icd9_code", "icd")
+    return ag.onehot_long(coded, ["hadm_id", "subject_id"], "hcc", "hcc_cd")
+
+
 _LC_FEATS = _CORR_COLS[1:]
 
 
@@ -921,7 +940,7 @@ def q_tree_importance(spark, d):
     """Entropy trees at three leaf-size settings; importances, top 25 each."""
     tr, _, _, feats = _splits(spark, d)
     out = None
-    for i, setting in enumerate([dict(min_leaf=1), dict(min_leaf=75, min_split=275), dict(min_leaf=50, min_split=500)]):
+    for i, setting in enumerate(TREE_SETTINGS):
         imp = sel.importances(sel.tree_fit(tr, feats, **setting), feats, spark).withColumn("setting", F.lit(i))
         out = imp if out is None else out.unionByName(imp)
     return out
@@ -978,7 +997,7 @@ _ASSEMBLY_GROUPS = _GROUPS
 
 
 def _assembly_sql() -> str:
-    from cohortforge.plans.presets import COMORBIDITIES
+    from cohortforge.plans.presets import COMORBIDITIES, TREE_SETTINGS
     frames = []
     ctes = list(S.LABEL_CTES) + [_MERGED]
     frames.append(("f_base", "SELECT hadm_id, hcc_cd_135 FROM label_g"))
@@ -1024,6 +1043,32 @@ def q_assembly(spark, d):
                                 ventilation=("7", "ring"), labs=labs)
 
 
+@query("feature_assembly_text", _assembly_sql())
+def q_assembly_text(spark, d):
+    """The same assembly from a folder of text tables: every role is written as
+    gzip CSV under its upper-case name, read back as text and typed on the way;
+    chart events and items both carry ``row_id``."""
+    from cohortforge.sources.io import read_table_folder
+    charts = A.charts(spark, d).repartitionByRange("row_order").sortWithinPartitions("row_order")
+    charts = charts.withColumn("row_id", F.monotonically_increasing_id()).drop("row_order")
+    roles = {"admissions": A.admissions(spark, d), "patients": A.patients(spark, d), "icustays": A.stays(spark, d),
+             "diagnoses": A.diagnoses(spark, d), "crosswalk": A.crosswalk(spark, d), "chartevents": charts,
+             "d_items": A.items(spark, d).withColumn("row_id", F.monotonically_increasing_id()),
+             "prescriptions": A.prescriptions(spark, d), "cptevents": A.procedures(spark, d),
+             "labevents": A.lab_events(spark, d), "d_labitems": A.lab_items(spark, d)}
+    folder = _scratch(spark, "text-tables")
+    for name, df in roles.items():
+        upper = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
+        upper.write.option("header", True).option("compression", "gzip").option("encoding", "ISO-8859-1").csv(
+            f"{folder}/{name.upper()}.csv.gz")
+    labs = {"ft_low_sodium": dict(label_contains="sodium", fluid="blood", op="<", cut=5),
+            "ft_high_potassium": dict(label_contains="potassium", fluid="blood", op=">", cut=300),
+            "ft_anemic": dict(label_equals="iron", fluid="blood", op="<", cut=20, as_bool=True)}
+    out = pl.assemble_features(read_table_folder(spark, folder), drug_groups=_ASSEMBLY_GROUPS, drug_hours=_GHOURS,
+                               contrast_codes=_CODES, ventilation=("7", "ring"), labs=labs)
+    return out.withColumn("hadm_id", F.col("hadm_id").cast("bigint"))
+
+
 # ======================================================================= streaming
 @query("hash_bins_stream", with_ctes([A.SQL_CHARTS], f"SELECT {_BIN} AS bin_id, count(*) AS n FROM charts_r GROUP BY 1"))
 def q_hash_bins_stream(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,16 +66,23 @@ def apply_conf(spark: SparkSession, conf: dict) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins; a private folder is created only when
-    the session has none (local tests)."""
+    """Return the shared folder for checkpoints and intermediate tables: the
+    context's checkpoint folder, else the one named by ``spark.checkpoint.dir``.
+
+    A private folder is made only for a local master (tests); a cluster without
+    a shared folder is an error, since executors do not see each other's disks."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:  # Spark appends a folder of its own to the one that was set
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        return named if named and named.rstrip("/") in d else os.path.dirname(d)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cohortforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
 
 
@@ -85,6 +93,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet to the shared folder and read it back: computed
+    once, pruned by column in later reads, and kept when executors are lost."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

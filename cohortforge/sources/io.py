@@ -8,7 +8,6 @@ job reads the Parquet copy.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -42,20 +41,28 @@ def read_csv_text(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
     return lower_headers(df) if lower else df
 
 
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Sorted names of a folder's files and sub-folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(s.getPath().getName() for s in fs.listStatus(path))
+
+
 def read_table_folder(spark: SparkSession, folder: str, names: Iterable[str] | None = None,
                       skip: Iterable[str] = ("icloud",)) -> dict[str, DataFrame]:
     """Each ``NAME.csv`` / ``NAME.csv.gz`` of a folder as a text table keyed by
-    lower-case name (dictionary registry instead of module globals)."""
+    lower-case name (dictionary registry instead of module globals). The folder
+    is listed by Spark's file system, so it may be on any store Spark reads."""
     out: dict[str, DataFrame] = {}
     wanted = {n.lower() for n in names} if names else None
-    for fname in sorted(os.listdir(folder)):
+    for fname in _names(spark, folder):
         low = fname.lower()
         if not (low.endswith(".csv") or low.endswith(".csv.gz")) or any(s in low for s in skip):
             continue
         table = low[:-7] if low.endswith(".csv.gz") else low[:-4]
         if wanted is not None and table not in wanted:
             continue
-        out[table] = read_csv_text(spark, os.path.join(folder, fname))
+        out[table] = read_csv_text(spark, f"{folder.rstrip('/')}/{fname}")
     return out
 
 

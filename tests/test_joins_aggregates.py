@@ -51,10 +51,43 @@ def test_mode_smallest_on_tie_and_null_columns(spark):
     assert ag.all_zero_columns(z, ["c"]) == ["c"]
 
 
-def test_profile_quartiles_nearest_rank(spark):
+def test_profile_quartiles_are_interpolated(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 11)], "x double")
-    r = ag.profile_columns(df, ["x"], accuracy=100000).first()
-    assert (r["count"], r["min"], r["p25"], r["p50"], r["p75"], r["max"], r["sum"]) == (10, 1.0, 3.0, 5.0, 8.0, 10.0, 55.0)
+    r = ag.profile_columns(df, ["x"]).first()
+    assert (r["count"], r["min"], r["p25"], r["p50"], r["p75"], r["max"], r["sum"]) == (10, 1.0, 3.25, 5.5, 7.75, 10.0, 55.0)
+
+
+def test_quantiles_equal_numpy_at_any_size(spark):
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 7, 5000, 60000):
+        x, y = rnd.normal(size=n), rnd.integers(0, 5, n).astype(float)
+        df = spark.createDataFrame([(float(a), float(b) if i % 9 else None) for i, (a, b) in enumerate(zip(x, y))], "x double, y double")
+        y = [b for i, b in enumerate(y) if i % 9]
+        got = {r["feature"]: r for r in ag.profile_columns(df, ["x", "y"]).collect()}
+        assert np.allclose([got["x"][c] for c in ("p25", "p50", "p75")], np.quantile(x, [0.25, 0.5, 0.75]))
+        if y:
+            assert np.allclose([got["y"][c] for c in ("p25", "p50", "p75")], np.quantile(y, [0.25, 0.5, 0.75]))
+        else:
+            assert got["y"]["p50"] is None
+
+
+def test_modes_and_zero_columns_of_all_types(spark):
+    df = spark.createDataFrame([("a", True, 0, False, 1.5), ("b", None, 0, False, 1.5), ("b", True, 0, False, None)],
+                               "t string, b boolean, z int, zb boolean, d double")
+    assert ag.column_modes(df, ["t", "b", "z", "d"]) == {"t": "b", "b": True, "z": 0.0, "d": 1.5}
+    assert ag.all_zero_columns(df, ["t", "b", "z", "zb", "d"]) == ["z", "zb"]
+
+
+def test_onehot_long_has_no_limit(spark):
+    df = spark.range(12000).selectExpr("id % 50 as k", "concat('v', id) as v").unionAll(spark.sql("select 1L, null"))
+    out = ag.onehot_long(df, "k", "v", "p")
+    assert out.count() == 12000 and out.columns == ["k", "feature", "value"]
+
+
+def test_dedupe_first_null_order_keeps_the_row(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "b", None), (2, "c", 3)], "k int, v string, o int")
+    assert sorted((r["k"], r["v"]) for r in dedupe_first(df, ["k"], "o").collect()) == [(1, "a"), (2, "c")]
 
 
 def test_dedupe_first_keeps_file_order(spark):
