@@ -36,7 +36,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet into the shared folder and read it back: it is
     computed once, its lineage is cut and it survives lost executors."""
     path = new_scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

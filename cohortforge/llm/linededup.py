@@ -51,8 +51,8 @@ def _cut(text: str, min_words: int) -> list[tuple]:
 
 
 def _ranked(positions: DataFrame, by: list[str], name: str) -> DataFrame:
-    """``d``, ``p`` and ``rank`` of the rows whose value of ``by`` occurs twice or
-    more; ranks follow the order of ``by``. Only distinct values are sorted:
+    """The rows whose value of ``by`` occurs twice or more, with its ``rank``
+    instead of it; ranks follow the order of ``by``. Only distinct values are sorted:
     ranges per task, and an offset per range from a table of one row a range."""
     values = positions.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1")
     ordered = materialize(values.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("part", F.spark_partition_id()), f"{name}-values")
@@ -62,7 +62,17 @@ def _ranked(positions: DataFrame, by: list[str], name: str) -> DataFrame:
     inside = Window.partitionBy("part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     ranks = ordered.withColumn("low", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(sums), "part")
     ranks = ranks.select(*by, (F.col("base") + F.col("low")).alias("rank"))
-    return materialize(positions.join(ranks, by).select("d", "p", "rank"), name)
+    return materialize(positions.join(ranks, by).drop(*by), name)
+
+
+def _worth_it(repeated: DataFrame) -> DataFrame:
+    """Repeated lines in unbroken stretches that hold a whole prefix; ``r`` is 0
+    where the stretch ends before it. The windows see one document's lines."""
+    in_doc = Window.partitionBy("d").orderBy("p")
+    rows = repeated.withColumn("stretch", F.col("p") - F.row_number().over(in_doc))
+    one = Window.partitionBy("d", "stretch")
+    rows = rows.withColumn("r", F.when(F.col("p") + F.col("r") - 1 <= F.max("p").over(one), F.col("r")).otherwise(0))
+    return rows.withColumn("best", F.max("r").over(one)).filter("best > 0").drop("stretch", "best")
 
 
 def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -75,9 +85,9 @@ def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
             yield pd.Series([[dict(zip(("p", "raw", "h", "r"), x)) for x in _cut(t, min_words)] for t in part], dtype="object")
 
     lines = materialize(rows.select("d", "k", F.explode_outer(cut("t")).alias("x")).filter("x is not null").select("d", "k", "x.*"), "lines")
+    lines = materialize(_worth_it(_ranked(lines, ["h"], "line-rank-1")), "repeated-lines")
     longest = lines.agg(F.max("r")).first()[0] or 0
-    level = _ranked(lines.select("d", "p", "h"), ["h"], "line-rank-0")
-    size, found = 1, None
+    level, size, found = lines.select("d", "p", "rank"), 1, None
     while size <= longest:
         # Prefixes of size .. 2 * size - 1 lines: the ranks of their first and of their last ``size`` lines.
         starts = lines.filter((F.col("r") >= size) & (F.col("r") < 2 * size)).select("d", "k", "p", "r")
