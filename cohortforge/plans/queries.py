@@ -18,6 +18,7 @@ from cohortforge.operators import aggregates as ag
 from cohortforge.operators import features as fx
 from cohortforge.operators.joins import lookup_join, match_statistics, merge_features
 from cohortforge.plans import pipeline as pl
+from cohortforge.plans.presets import TREE_SETTINGS
 from cohortforge.plans import sqlparts as S
 from cohortforge.plans.sqlparts import cci, fl, hours_lt, tv, with_ctes
 from cohortforge.sources import adapters as A
@@ -997,7 +998,7 @@ _ASSEMBLY_GROUPS = _GROUPS
 
 
 def _assembly_sql() -> str:
-    from cohortforge.plans.presets import COMORBIDITIES, TREE_SETTINGS
+    from cohortforge.plans.presets import COMORBIDITIES
     frames = []
     ctes = list(S.LABEL_CTES) + [_MERGED]
     frames.append(("f_base", "SELECT hadm_id, hcc_cd_135 FROM label_g"))
