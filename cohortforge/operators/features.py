@@ -680,7 +680,7 @@ def gender_frame(admissions: DataFrame, patients: DataFrame, gender_map: Mapping
         g = F.when(F.col("gender") == F.lit(k), F.lit(v)) if g is None else g.when(F.col("gender") == F.lit(k), F.lit(v))
     pts = patients.select(F.col(subject).alias("__s"), "gender")
     pt = admissions.select(key, subject).join(pts, F.col(subject) == F.col("__s"), "left")
-    return pt.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(g, ignorenulls=True).alias("ft_gender"))
+    return pt.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(g).alias("ft_gender"))
 
 
 # --------------------------------------------------------------------------- demographics (F-13)
@@ -715,7 +715,7 @@ def demographics(admissions: DataFrame, patients: DataFrame, gender_map: Mapping
         race_values = discover_values(pt, "__race")
     race_cols = {f"ft_race_{v}": v for v in race_values}
     folded = [c for c in (fold or ()) if c in race_cols]
-    aggs = [F.avg("ft_age").alias("ft_age"), F.first("ft_gender", ignorenulls=True).alias("ft_gender")]
+    aggs = [F.avg("ft_age").alias("ft_age"), F.max("ft_gender").alias("ft_gender")]
     aggs += onehot_max_exprs(F.col("__type"), type_values, "ft_admit_type")
     aggs += [F.max(flag(F.col("__race") == F.lit(v))).alias(c) for c, v in race_cols.items() if c not in folded]
     if fold is not None:

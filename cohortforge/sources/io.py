@@ -130,17 +130,16 @@ def with_hash_bin(df: DataFrame, key: str, bin_col: str = "bin_id", digits: int
 
 
 def write_hash_bins(df: DataFrame, path: str, key: str, bin_col: str = "bin_id",
-                    mode: str = "append", digits: int = 2, spread: int = 16) -> None:
+                    mode: str = "append", digits: int = 2) -> None:
     """Hash-partitioned, appendable sink: one folder per bin.
 
-    Rows are clustered by (bin, slot) before writing, where the slot is a
-    deterministic spread of the rows (row position modulo ``spread``). Each
-    task writes few bins, so files stay few and large, and no bin (nor a hot
-    key inside it) is written by a single task. Parquet carries the schema,
-    so no header rows enter the data."""
+    Rows are rebalanced by bin before writing: AQE joins small bins into one
+    task and splits large ones (a hot key inside them too) by their actual size,
+    so the number of writers and files follows the data. Which task writes a
+    row does not change what is written. Parquet carries the schema, so no
+    header rows enter the data."""
     binned = with_hash_bin(df, key, bin_col, digits)
-    slot = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
-    (binned.repartition(bin_col, slot).write.mode(mode).partitionBy(bin_col).parquet(path))
+    binned.hint("rebalance", bin_col).write.mode(mode).partitionBy(bin_col).parquet(path)
 
 
 def read_bins(spark: SparkSession, path: str, bins: Iterable[str] | None = None,

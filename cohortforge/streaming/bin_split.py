@@ -42,10 +42,10 @@ def start_bin_split(spark: SparkSession, source: str, schema: StructType, out_pa
     stream = reader.format(fmt).load(source)
     if transform is not None:
         stream = transform(stream)
-    binned = stream_hash_bins(stream, key)
+    binned = stream_hash_bins(stream, key).repartition("bin_id")  # one file per bin and micro-batch
     writer = (binned.writeStream.format("parquet").outputMode("append").partitionBy("bin_id")
               .option("path", out_path)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt-" + out_path.strip("/")
-                                                                       .replace("/", "_"))))
+                                                                       .replace("/", "_").replace(":", "_"))))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
