@@ -128,7 +128,7 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
         drop = set(numbers)
         kept = [s for i, s in enumerate(t.split("\n")) if i not in drop]
         return "\n".join(kept) if any(s.strip() for s in kept) else ""
-    return pd.Series([left(t, g) for t, g in zip(text, gone)], dtype="object")
+    return pd.Series([None if t is None else left(t, g) for t, g in zip(text, gone)], dtype="object")
 
 
 def dedupe_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
@@ -140,9 +140,11 @@ def dedupe_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     body = F.col("row")[text]
     gone, _ = repeated_lines(rows.select("d", F.col("row")[key].alias("k"), text_of(body).alias("t")), min_words)
     gone = materialize(gone.groupBy("d").agg(F.collect_list("raw").alias("gone")), "lines-gone")
-    both = rows.join(gone, "d", "left")
+    # The list grows with the documents, so it is never broadcast; the texts move once.
+    both = rows.join(gone.hint("merge"), "d", "left")
     without = F.pandas_udf(_without, "string")
-    hit = both.filter("gone is not null").select("row", without(body, F.col("gone")).alias("body"), F.size("gone").cast("long").alias("n"))
-    same = both.filter("gone is null").select("row", body.alias("body"), F.lit(0).cast("long").alias("n"))
+    # Texts that lose no line do not go through Python.
+    left = F.coalesce(without(F.when(F.col("gone").isNotNull(), body), F.col("gone")), body)
+    both = both.select("row", left.alias("body"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n"))
     out = [(F.col("body") if c == text else F.col("row")[c]).alias(c) for c in names]
-    return same.unionAll(hit).select(*out, *([F.col("n").alias(n_removed)] if n_removed else []))
+    return both.select(*out, *([F.when(F.col("n") > 0, F.col("n")).otherwise(F.lit(0)).cast("long").alias(n_removed)] if n_removed else []))
