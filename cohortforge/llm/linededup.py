@@ -6,9 +6,13 @@ doubling: a run's rank is the number of runs sorted before it, by the ranks of
 its two halves. Runs that occur once drop out of every later round, as no
 repeated run can hold them. Suffixes with a common prefix of a given length form
 an interval of the suffix array; here that is a pair of ranks of two
-overlapping runs. A run of at least ``min_words`` words is judged at the
-shortest such prefix of each suffix, which covers every longer repeated run:
-neighbouring prefixes with the same distance to their first copy are one maximal run.
+overlapping runs. With ``whole`` every line of a later copy of any repeated run
+of at least ``min_words`` words goes. Judged are the shortest such runs from each
+line on and up to each line: of the repeated runs that hold a line, one that
+cannot be shortened without losing the line or words below the minimum is either
+of these, and what repeats in a run repeats in its parts. Without ``whole`` only
+the runs from each line on are judged, so the last lines of a copy may stay.
+Judged runs that meet at the same distance to their first copy are one maximal run.
 
 The first copy in corpus order (key, null last, then row) stays; lines of
 later copies are deleted, but never lines of the first copy itself where copies
@@ -33,12 +37,13 @@ from pyspark.sql import functions as F
 from cohortforge.llm.common import materialize, text_of
 
 MIN_WORDS = 50
-LINE = "array<struct<p:int,raw:int,h:binary,r:int>>"
+LINE = "array<struct<p:int,raw:int,h:binary,r:int,s:int>>"
 
 
 def _cut(text: str, min_words: int) -> list[tuple]:
-    """(position among lines with words, line number, identity, lines until
-    ``min_words`` words are reached or 0) of a text's lines."""
+    """(position among lines with words, line number, identity, lines from this
+    one on until ``min_words`` words are reached or 0, the same up to this one or
+    0 if the first of them counts the same lines) of a text's lines."""
     import numpy as np
     import xxhash
     lines = [(i, s.strip(), n) for i, s in enumerate(text.split("\n")) if (n := len(s.split()))]
@@ -47,7 +52,11 @@ def _cut(text: str, min_words: int) -> list[tuple]:
     ends = np.cumsum([n for _, _, n in lines])
     want = np.searchsorted(ends, np.concatenate([[0], ends[:-1]]) + min_words) + 1 - np.arange(len(lines))
     want = np.where(want + np.arange(len(lines)) <= len(lines), want, 0)
-    return [(p, i, xxhash.xxh3_128_digest(s.encode("utf-8", "surrogatepass")), int(r)) for p, ((i, s, _), r) in enumerate(zip(lines, want))]
+    first = np.searchsorted(np.concatenate([[0], ends]), ends - min_words, side="right") - 1
+    back = np.where(first >= 0, np.arange(len(lines)) + 1 - first, 0)
+    back = np.where(want[first] == back, 0, back)
+    return [(p, i, xxhash.xxh3_128_digest(s.encode("utf-8", "surrogatepass")), int(r), int(b))
+            for p, ((i, s, _), r, b) in enumerate(zip(lines, want, back))]
 
 
 def _ranked(positions: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -66,31 +75,35 @@ def _ranked(positions: DataFrame, by: list[str], name: str) -> DataFrame:
 
 
 def _worth_it(repeated: DataFrame) -> DataFrame:
-    """Repeated lines in unbroken stretches that hold a whole prefix; ``r`` is 0
-    where the stretch ends before it. The windows see one document's lines."""
+    """Repeated lines in unbroken stretches that hold a whole judged run; ``r`` and
+    ``s`` are 0 where the stretch does not hold it. The windows see one document's lines."""
     in_doc = Window.partitionBy("d").orderBy("p")
     rows = repeated.withColumn("stretch", F.col("p") - F.row_number().over(in_doc))
     one = Window.partitionBy("d", "stretch")
     rows = rows.withColumn("r", F.when(F.col("p") + F.col("r") - 1 <= F.max("p").over(one), F.col("r")).otherwise(0))
+    rows = rows.withColumn("s", F.when(F.col("p") - F.col("s") + 1 >= F.min("p").over(one), F.col("s")).otherwise(0))
     return rows.withColumn("best", F.max("r").over(one)).filter("best > 0").drop("stretch", "best")
 
 
-def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """For a materialized frame (``d`` row number, ``k`` key, ``t`` text): the
     lines of later copies (``d``, ``raw``) and the maximal runs they belong to
     (``d``, ``start``, ``lines``, ``first_d``, ``first_start``, in lines with words)."""
     @F.pandas_udf(LINE)
     def cut(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([[dict(zip(("p", "raw", "h", "r"), x)) for x in _cut(t, min_words)] for t in part], dtype="object")
+            yield pd.Series([[dict(zip(("p", "raw", "h", "r", "s"), x)) for x in _cut(t, min_words)] for t in part], dtype="object")
 
     lines = materialize(rows.select("d", "k", F.explode_outer(cut("t")).alias("x")).filter("x is not null").select("d", "k", "x.*"), "lines")
     lines = materialize(_worth_it(_ranked(lines, ["h"], "line-rank-1")), "repeated-lines")
-    longest = lines.agg(F.max("r")).first()[0] or 0
+    judged = lines.select("d", "k", "p", "r")
+    if whole:
+        judged = judged.unionAll(lines.filter("s > 0").select("d", "k", (F.col("p") - F.col("s") + 1).alias("p"), F.col("s").alias("r")))
+    longest = judged.agg(F.max("r")).first()[0] or 0
     level, size, found = lines.select("d", "p", "rank"), 1, None
     while size <= longest:
-        # Prefixes of size .. 2 * size - 1 lines: the ranks of their first and of their last ``size`` lines.
-        starts = lines.filter((F.col("r") >= size) & (F.col("r") < 2 * size)).select("d", "k", "p", "r")
+        # Runs of size .. 2 * size - 1 lines: the ranks of their first and of their last ``size`` lines.
+        starts = judged.filter((F.col("r") >= size) & (F.col("r") < 2 * size))
         a = level.select("d", "p", F.col("rank").alias("a"))
         b = level.select("d", F.col("p").alias("q"), F.col("rank").alias("b"))
         here = starts.join(a, ["d", "p"]).withColumn("q", F.col("p") + F.col("r") - size).join(b, ["d", "q"]).select(
@@ -112,10 +125,11 @@ def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     hit = later.select("d", "first_d", "first_p", "r", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("r") - 1)).alias("p"))
     hit = hit.filter((F.col("d") != F.col("first_d")) | (F.col("p") >= F.col("first_p") + F.col("r"))).select("d", "p").distinct()
     gone = hit.join(lines.select("d", "p", "raw"), ["d", "p"]).select("d", "raw")
-    # Prefixes that follow each other at the same distance to their first copy are one maximal run.
-    chain = Window.partitionBy("d", "first_d", "shift").orderBy("p")
+    # Runs that meet at the same distance to their first copy are one maximal run.
+    chain = Window.partitionBy("d", "first_d", "shift").orderBy("p", "r")
     steps = later.withColumn("shift", F.col("p") - F.col("first_p"))
-    steps = steps.withColumn("new", F.coalesce((F.col("p") != F.lag("p").over(chain) + 1).cast("int"), F.lit(1)))
+    reached = F.max(F.col("p") + F.col("r")).over(chain.rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.withColumn("new", F.coalesce((F.col("p") > reached).cast("int"), F.lit(1)))
     steps = steps.withColumn("run", F.sum("new").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
     runs = steps.groupBy("d", "first_d", "shift", "run").agg(F.min("p").alias("start"), F.max(F.col("p") + F.col("r")).alias("end")).select(
         "d", "start", (F.col("end") - F.col("start")).alias("lines"), "first_d", (F.col("start") - F.col("shift")).alias("first_start"))
@@ -132,13 +146,13 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def dedupe_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                 n_removed: str | None = None) -> DataFrame:
-    """The rows with later copies of repeated line runs cut out of ``text``; with
-    ``n_removed`` also the number of lines cut."""
+                 n_removed: str | None = None, whole: bool = False) -> DataFrame:
+    """The rows with later copies of repeated line runs cut out of ``text``, up to
+    their last lines with ``whole``; with ``n_removed`` also the number of lines cut."""
     names = docs.columns
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("d"), F.struct(*[docs[c] for c in names]).alias("row")), "line-documents")
     body = F.col("row")[text]
-    gone, _ = repeated_lines(rows.select("d", F.col("row")[key].alias("k"), text_of(body).alias("t")), min_words)
+    gone, _ = repeated_lines(rows.select("d", F.col("row")[key].alias("k"), text_of(body).alias("t")), min_words, whole)
     gone = materialize(gone.groupBy("d").agg(F.collect_list("raw").alias("gone")), "lines-gone")
     # The list grows with the documents, so it is never broadcast; the texts move once.
     both = rows.join(gone.hint("merge"), "d", "left")

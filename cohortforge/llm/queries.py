@@ -94,7 +94,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of all documents without later copies of repeated line runs."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedupe_lines(docs, n_removed="n_removed")
+    return linededup.dedupe_lines(docs, n_removed="n_removed", whole=True)
 
 
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
