@@ -7,7 +7,11 @@ content importance falls as its texts repeat over the pages; both combine
 bottom-up. Branches of low importance are noise on the whole site and are
 removed from each page, like the branches that their markup names as menus,
 adverts, forms and so on. Where a page has an article (or main) element, its
-text is what stands in it.
+text is what stands in it, also where a form or a part named like noise stands
+around it. A class or id names noise as a whole (``cookie-notice``, ``sidebar``),
+not by one of its words (``with-sidebar``). A form that holds most of a page's
+text is a plain block, and a page that has text in parts named like noise only
+keeps it.
 
 The merge is a count per (host, node, signature) that combines before it
 shuffles; identical pages of a host count once. Only the short list of a host's
@@ -42,15 +46,22 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr img".split())
 SKIP = frozenset(
-    "head script style noscript template iframe svg canvas object applet audio video map nav footer aside form button input "
+    "head script style noscript template iframe svg canvas object applet audio video map nav footer aside button input "
     "select option textarea fieldset datalist menu dialog noframes noembed".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner banners "
     "cookie cookies consent gdpr notice notices alert alerts popup popups modal overlay newsletter subscribe subscription signup "
     "signin login register sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar "
     "share sharing social related recommended recommendations widget widgets comment comments commentlist disqus reply replies "
     "respond pagination pager search skip".split())
+HEADER = frozenset(["header"])
+OTHERS = frozenset("comment comments commentlist disqus reply replies respond related recommended recommendations".split())
+NEUTRAL = frozenset(
+    "area bar block bottom box buttons container form global inner item items left links list main outer page primary right secondary "
+    "section site slot top unit wrap wrapper".split())
+# Why a branch is no main text, weakest reason first. An article ends the first two.
+PLAIN, FORM, NAMED, NEVER = range(4)
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section table ul".split())
@@ -70,11 +81,23 @@ def _hash(*parts) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _named(names: str, noise: frozenset) -> int:
+    """What the classes and ids of an element say of it: ``PLAIN``, ``NAMED``, or
+    ``NEVER`` for parts whose articles are not the page's own."""
+    found = PLAIN
+    for name in names.split():
+        words = set(NAME.findall(name))
+        if words & noise and words <= noise | NEUTRAL:
+            found = max(found, NEVER if words & OTHERS else NAMED)
+    return found
+
+
 class _Node:
-    __slots__ = ("tag", "h", "skip", "main", "depth", "up", "kids", "block")
+    __slots__ = ("tag", "h", "skip", "main", "article", "freed", "depth", "up", "kids", "block")
 
-    def __init__(self, tag: str, style: str, up: _Node | None, skip: bool, main: bool):
+    def __init__(self, tag: str, style: str, up: _Node | None, skip: int, main: bool, article: bool = False, freed: bool = False):
         self.tag, self.up, self.skip, self.main, self.kids = tag, up, skip, main, []
+        self.article, self.freed = article, freed  # inside an article; inside one that stands in a NAMED branch
         self.block = tag not in INLINE
         if up is None:
             self.h, self.depth = _hash(style), 0
@@ -84,11 +107,23 @@ class _Node:
             self.h, self.depth = up.h, up.depth
 
 
+def _main_blocks(blocks: list) -> list:
+    """The blocks of a page that can be main text: those in articles, else those
+    in plain parts, else all. Forms and articles that stand in NAMED branches
+    count where they hold more than half of that text."""
+    for inside in (True, False):
+        here = [b for b in blocks if b[2] == inside and b[3] <= FORM]
+        sure = [b for b in here if b[3] == PLAIN and not b[4]]
+        if here:
+            return sure if 2 * sum(len(b[0]) for b in sure) >= sum(len(b[0]) for b in here) else here
+    return blocks
+
+
 def parse(page: str) -> tuple[dict, list, list]:
     """Style nodes {hash: (parent, depth, child signature)}, texts of all leaves
     as (node, text hash), and the blocks that can be main text as (text, nodes
     from the root down, inside an article)."""
-    root = _Node("", "", None, False, False)
+    root = _Node("", "", None, PLAIN, False)
     stack, texts, blocks, seen, run = [root], [], [], {root.h: root}, []
 
     def flush() -> None:
@@ -97,13 +132,13 @@ def parse(page: str) -> tuple[dict, list, list]:
         if text:
             node = stack[-1]
             texts.append((node.h, _hash(text)))
-            if not node.skip:
+            if node.skip < NEVER:
                 chain, x = [], node
                 while x is not None:
                     if x.block:
                         chain.append(x.h)
                     x = x.up
-                blocks.append((text, chain[::-1], node.main))
+                blocks.append((text, chain[::-1], node.main, node.skip, node.freed))
 
     def pop_to(at: int) -> None:
         if any(n.block for n in stack[at:]):
@@ -144,11 +179,21 @@ def parse(page: str) -> tuple[dict, list, list]:
             pop_to(i)
         up = stack[-1]
         named = {k.lower(): entities.unescape(v.strip("\"'")).lower() for k, v in ATTR.findall(m[3])} if m[3] else {}
-        words = set(NAME.findall(named.get("class", "") + " " + named.get("id", "")))
-        main = up.main or tag in ("article", "main") or named.get("role") == "main"
-        skip = (up.skip or tag in SKIP or named.get("role") in ROLES
-                or (tag not in ("html", "body", "article", "main") and bool(words & NOISE))
-                or (not main and (tag == "header" or "header" in words)))
+        own = tag in ("article", "main") or named.get("role") == "main"
+        main, article, freed, skip = up.main or own, up.article or tag == "article", up.freed, up.skip
+        if own and skip < NEVER and not up.article:
+            skip, freed = PLAIN, freed or skip == NAMED
+        said = _named(named.get("class", "") + " " + named.get("id", ""), NOISE if main else NOISE | HEADER)
+        if tag in SKIP or named.get("role") in ROLES:
+            skip = NEVER
+        elif own or tag in ("html", "body"):
+            pass
+        elif said:
+            skip = max(skip, said)
+        elif not main and tag == "header":
+            skip = max(skip, NAMED)
+        elif tag == "form" or named.get("role") == "form":
+            skip = max(skip, FORM)
         if tag not in INLINE:
             flush()
         if tag in VOID:
@@ -158,7 +203,7 @@ def parse(page: str) -> tuple[dict, list, list]:
             at = close.end() if close else end
             continue
         style = f"{tag}.{DIGITS.sub('', named.get('class', ''))}#{DIGITS.sub('', named.get('id', ''))}@{named.get('role', '')}"
-        node = _Node(tag, style, up, skip, main)
+        node = _Node(tag, style, up, skip, main, article, freed)
         if node.block:
             first = seen.setdefault(node.h, node)
             kids = seen[up.h].kids
@@ -167,9 +212,7 @@ def parse(page: str) -> tuple[dict, list, list]:
         stack.append(node)
     flush()
     nodes = {h: (n.up.h if n.up else 0, n.depth, _hash(*n.kids)) for h, n in seen.items()}
-    if any(b[2] for b in blocks):
-        blocks = [b for b in blocks if b[2]]
-    return nodes, texts, blocks
+    return nodes, texts, _main_blocks(blocks)
 
 
 PARSED = ("page long, url string, host string, same long, node array<long>, up array<long>, depth array<int>, sig array<long>, "

@@ -238,6 +238,24 @@ def test_pages_of_all_kinds(spark):
     assert html_extract.extract(docs.limit(0)).count() == 0
 
 
+def test_articles_survive_loose_names_and_page_forms():
+    def text(body):
+        return "\n".join(b[0] for b in html_extract.parse(f"<html><body><nav>Menu</nav><div class=ad>Buy</div>{body}</body></html>")[2])
+    story = "<article><h1>Title</h1><p>Own story</p><div class='share-buttons'>Share</div><div id=comments><article>Nice</article></div></article>"
+    plain = "<h1>Title</h1><p>Own story</p>"
+    for name in ("content with-sidebar", "layout no-sidebar", "elementor-widget", "social-policy", "has-header-image", "widget", "sidebar-wrapper"):
+        assert text(f"<div class='{name}'>{story}</div>") == "Title\nOwn story", name
+        assert text(f"<main><p>Home</p><div class='{name}'>{story}</div></main>") == "Home\nTitle\nOwn story", name
+        assert text(f"<div class='{name}'>{plain}</div>") == ("Title\nOwn story" if name not in ("widget", "sidebar-wrapper") else "Buy\nTitle\nOwn story"), name
+    assert text(f"<form id=aspnetForm><nav>x</nav><input>{story}<button>Go</button></form>") == "Title\nOwn story"
+    assert text(f"<p>Skip</p><form id=aspnetForm><div class=ad>Buy</div>{plain}</form>") == "Skip\nTitle\nOwn story"
+    # Small parts that name noise, forms and articles of others stay out.
+    assert text(f"{story}<div class=promo><article>Ad</article></div><aside><article>Side</article></aside>") == "Title\nOwn story"
+    assert text(f"<div>{plain}</div><form><label>Mail</label></form><div class='related'><article>Other story</article></div>") == "Title\nOwn story"
+    for name in ("ad-container", "cookie-notice", "main-menu", "page-header", "sidebar_2"):
+        assert text(f"<div>{plain}</div><div class='{name}'>Noise</div>") == "Title\nOwn story", name
+
+
 def test_style_tree_importance(spark):
     bare = "<body><div class=top><p>Same text</p></div><div class=main><p>Own {i}</p></div>"
     rows = [(i, "http://h/", bare.replace("{i}", str(i))) for i in range(20)]
