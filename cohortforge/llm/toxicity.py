@@ -10,8 +10,8 @@ signs inside a word become the letters they stand for or go, and spelled-out
 letters (``a b c``) are joined.
 
 Landmarks are words and word beginnings that toxic training sentences have and
-clean ones do not: for each toxic document the one whose counts are least due to
-chance. Kernel values against
+clean ones do not: for each toxic document those whose counts are least due to
+chance, as many as the sample shows. Kernel values against
 the landmarks are mapped by the inverse square root of the landmarks' own
 kernel matrix (Nyström); a linear SVM is trained on the words of the sentences,
 insults of toxic documents against all words of clean ones, each weighted by its
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from cohortforge.llm.common import materialize, text_of
 
 ORDER, DECAY = 3, 0.6
-MAX_LETTERS, MAX_START, MAX_DOCS, MAX_CANDIDATES, MAX_LANDMARKS = 24, 10, 8_000, 2_000, 64
+MAX_LETTERS, MAX_START, MAX_DOCS = 24, 10, 8_000
 MIN_TOXIC, PURE, STRONG, NEAR, SURE = 4, 0.75, 0.3, 0.9, 0.8
 WIDTH, MAX_KNOWN = MAX_LETTERS + 1, 400_000
 
@@ -298,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # Log-likelihood ratio of a word's toxic share against that of all documents.
     ratio = 2 * (bad * F.log(bad / (F.col("n") * q)) + F.when(good > 0, good * F.log(good / (F.col("n") * (1 - q)))).otherwise(0.0))
     suspects = counts.filter((bad >= MIN_TOXIC) & (bad >= PURE * F.col("n"))).select("w", ratio.alias("llr"))
-    suspects = materialize(suspects.orderBy(F.desc("llr"), "w").limit(MAX_CANDIDATES), "toxic-suspects")
+    suspects = materialize(suspects, "toxic-suspects")
     found = [(r["d"], r["w"].rstrip("}"), r["llr"]) for r in  # toxic sampled documents x suspects
              rows.filter("y = 1").join(F.broadcast(suspects), "w").select("d", "w", "llr").collect()]
     top: dict[int, float] = {}
@@ -311,7 +311,6 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for w in sorted(strong, key=lambda w: (-strong[w], -len(w), w)):
         if not any(w.startswith(c) or c.startswith(w) for c in chosen):
             chosen.append(w)
-    del chosen[MAX_LANDMARKS:]
     if not chosen:
         return _no_model(toxic, clean)
     landmarks = encode(["{" + w for w in chosen])

@@ -312,6 +312,20 @@ def test_toxicity_learns_and_tolerates_insertions(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_more_than_64_insults(spark):
+    rnd = random.Random(9)
+    insults = ["".join(rnd.sample("klmnopqrstuvwxyz", 7)) for _ in range(90)]
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    clean = lambda: " ".join(rnd.choices(words, k=8))
+    rows = [(i, f"{clean()} {insults[i // 10]}", 1) for i in range(10 * 90)] + [(2000 + i, clean(), 0) for i in range(1500)]
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int"))
+    caught = [model.probability(m) > 0.5 for m in toxicity.Scorer(model).margins(insults)]
+    # Fewer than MIN_TOXIC training documents may be left of a few.
+    assert len(model.landmarks) > 64 and sum(caught) >= 85
+    assert model.probability(toxicity.Scorer(model).margins([clean()])[0]) < 0.5
+
+
 def library_counts(pieces, fallback, texts):
     from tokenizers import Tokenizer, models
     vocab = [("<unk>", 0.0)] + ([(f"<0x{i:02X}>", 0.0) for i in range(256)] if fallback else []) + pieces
