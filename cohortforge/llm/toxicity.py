@@ -7,7 +7,8 @@ of the stretch it spans in either word; the beginning of a word is a letter. Gap
 cost weight but not the match, so inserted and left-out letters keep a word
 close to the insult. Before that, letters lose case and accents, digits and
 signs inside a word become the letters they stand for or go, and spelled-out
-letters (``a b c``) are joined.
+letters (``a b c``) are joined. Letters of all scripts count; where a script has no
+spaces between words, every two to four of its letters in a row are a word.
 
 Landmarks are words and word beginnings that toxic training sentences have and
 clean ones do not: for each toxic document those whose counts are least due to
@@ -53,10 +54,15 @@ SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 SPELLED = re.compile(r"(?<!\S)\S[.,*_-]?(?:\s\S[.,*_-]?){2,}(?!\S)")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 OTHER = re.compile(r"[^a-z]+")
+# Scripts without spaces between words (Thai, Lao, Tibetan, Burmese, Khmer, kana and Han).
+UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+GRAMS = (2, 3, 4)
+# Codes: a-z 1-26, the beginning 27, other letters their code points. Bits of a word's letters: a code below 28 has its own.
+START, LETTER_BITS = 27, ~np.uint64(1 | 1 << 27)
 
 
 def letters(token: str) -> str:
-    """a-z of a lower-cased token: signs at its ends go, those inside are read as letters."""
+    """Letters of a lower-cased token: signs at its ends go, those inside are read as letters."""
     token = EDGES.sub("", token)
     if token.isascii() and token.isalpha():
         return token
@@ -64,7 +70,19 @@ def letters(token: str) -> str:
         token = "".join(c for c in unicodedata.normalize("NFKD", token.replace("ß", "ss")) if not unicodedata.combining(c))
     if any(c.isalpha() for c in token):
         token = token.translate(SIGNS)
-    return OTHER.sub("", token)
+    if token.isascii():
+        return OTHER.sub("", token)
+    # Vowel signs of Indic and other scripts are marks.
+    return "".join(c for c in token if c.isalpha() or unicodedata.category(c)[0] == "M")
+
+
+def words_of(token: str) -> list[str]:
+    """The words that a token is compared by."""
+    word = letters(token)
+    if word.isascii() or not UNSPACED.search(word):
+        return [word] if len(word) >= ORDER else []
+    runs = [r for r in UNSPACED.split(word) if len(r) >= ORDER]
+    return runs + [r[i:i + n] for r in UNSPACED.findall(word) for n in GRAMS for i in range(len(r) - n + 1)]
 
 
 def tokens(text: str) -> list[str]:
@@ -82,15 +100,15 @@ def pieces(word: str) -> list[str]:
 
 
 def encode(words: list[str]) -> np.ndarray:
-    """Words as rows of codes: a-z 1-26, the beginning 27, 0 after the end."""
-    raw = np.array([w.encode() for w in words] or [b""], dtype=f"S{WIDTH}")[:len(words)]
-    codes = raw.view(np.uint8).reshape(len(words), WIDTH)
-    return np.where(codes > 0, codes - 96, 0).astype(np.uint8)
+    """Words as rows of codes, 0 after the end."""
+    codes = np.array(words or [""], dtype=f"U{WIDTH}")[:len(words)].view(np.uint32).reshape(len(words), WIDTH)
+    return np.where((codes > 96) & (codes < 124), codes - 96, codes)
 
 
 def masks(codes: np.ndarray) -> np.ndarray:
-    """Bit set of the letters of each word."""
-    return np.bitwise_or.reduce(np.where(codes > 0, np.uint32(1) << codes.astype(np.uint32), np.uint32(0)), axis=1)
+    """Bit set of the letters of each word; letters beside a-z share bits."""
+    bits = np.where(codes > START, START + 1 + codes % 36, codes).astype(np.uint64)
+    return np.bitwise_or.reduce(np.where(codes > 0, np.uint64(1) << bits, np.uint64(0)), axis=1)
 
 
 def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -139,8 +157,8 @@ def landmark_kernel(words: list[str], landmarks: np.ndarray, norms: np.ndarray)
     for one if it has six or more."""
     codes = encode(words)
     own, asked = masks(codes), masks(landmarks)
-    lacks = np.bitwise_count((asked & np.uint32(0x7FFFFFE))[None, :] & ~own[:, None])
-    i, j = np.nonzero(lacks <= (np.bitwise_count(asked & np.uint32(0x7FFFFFE)) >= 6)[None, :])
+    lacks = np.bitwise_count((asked & LETTER_BITS)[None, :] & ~own[:, None])
+    i, j = np.nonzero(lacks <= (np.bitwise_count(asked & LETTER_BITS) >= 6)[None, :])
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     for at in range(0, len(i), 16384):
         s = slice(at, at + 16384)
@@ -165,8 +183,7 @@ class Scorer:
                 known[t] = older[t]
                 continue
             known[t] = none
-            w = letters(t)
-            if len(w) >= ORDER:
+            for w in words_of(t):
                 for piece in pieces(w):
                     owners.append(t)
                     words.append(piece)
@@ -256,14 +273,14 @@ def held_out(key: Column) -> Column:
 
 def _starts(text: str) -> list[str]:
     """Whole words (ended by ``}``) and word beginnings of a text."""
-    words = {w for t in set(tokens(text)) if len(w := letters(t)) >= ORDER}
-    out = {w[:n] for w in words for n in range(ORDER, min(len(w), MAX_START) + 1)}
+    words = {w for t in set(tokens(text)) for w in words_of(t)}
+    out = {w[:n] for w in words for n in range(min(ORDER, len(w)), min(len(w), MAX_START) + 1)}
     return sorted(out | {w + "}" for w in words if len(w) <= MAX_LETTERS})
 
 
 def _no_model(toxic: int, clean: int) -> Model:
     share = toxic / (toxic + clean) if toxic + clean else 0.5
-    nothing = np.zeros((0, WIDTH), dtype=np.uint8)
+    nothing = np.zeros((0, WIDTH), dtype=np.uint32)
     return Model(nothing, np.zeros(0), np.zeros(0), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
 
 

@@ -312,6 +312,25 @@ def test_toxicity_learns_and_tolerates_insertions(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_reads_all_scripts(spark):
+    rnd = random.Random(5)
+    insults = {"абвгдежзик": "придурок", "αβγδεζηθικ": "μαλάκας", "אבגדהוזחט": "מטומטם", "ابتثجحخدذر": "غبيالحمار", "कखगघचछजझ": "मूरखगधा",
+               "天地日月山川水火木": "傻逼", "กขคงจฉช": "ควาย"}
+    rows = []
+    for s, (alphabet, bad) in enumerate(insults.items()):
+        spaced = s < 5
+        words = ["".join(rnd.choice(alphabet) for _ in range(5)) for _ in range(40)]
+        for i in range(120):
+            text = rnd.choices(words, k=6)
+            y = int(i % 3 == 0)
+            rows.append((1000 * s + i, (" " if spaced else "").join(text[:3] + [bad] * y + text[3:]), y))
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int"))
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect() if r["held_out"]}
+    right = {s: np.mean([out[d] == y for d, _, y in rows if d in out and d // 1000 == s]) for s in range(len(insults))}
+    assert min(right.values()) > 0.9, right
+
+
 def test_toxicity_learns_more_than_64_insults(spark):
     rnd = random.Random(9)
     insults = ["".join(rnd.sample("klmnopqrstuvwxyz", 7)) for _ in range(90)]
