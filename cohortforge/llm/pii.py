@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal data (DataFrame functions only).
 
 Personal data are found by pattern and checked (card numbers by the Luhn digit,
-addresses by octet, dates by calendar). The free characters of a value are
+addresses by octet, IBANs modulo 97, social-security numbers by range, dates by calendar). The free characters of a value are
 permuted by a keyed Feistel network inside their alphabet; punctuation, length
 and the parts that carry the format stay. Equal values get equal pseudonyms in
 every document and different values different ones, so records stay linked;
@@ -13,8 +13,13 @@ Values are mapped as follows:
 
     card     first 12-18 digits permuted, the Luhn digit set anew
     phone    the last seven digits permuted
+    iban     the account's digits permuted, the check digits set anew
+    ssn      area, group and serial permuted within the valid ones
     ip       the 32-bit address permuted
-    date     the day number within 1900-01-01 and about 2079-06-06 permuted
+    date     the day number permuted within 1900-01-01 to 2079-06-06, later ones up to 2099-12-31
+             among themselves
+    day      day, month and year of 5.12.1987 or 05/12/1987: pairs up to 12 stay such pairs, so that
+             either may be the month; 29 February stays one
     email    letters and digits of the lower-cased address but for the last label
     secret   hex strings and key ids, each kind within its own alphabet
 
@@ -31,17 +36,26 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 EDGE = "(?<![0-9A-Za-z])"
+# Countries that issue IBANs.
+IBAN = ("A[DELTZ]|B[AEGHIRY]|C[HRYZ]|D[EJKO]|E[EGS]|F[IKOR]|G[BEILRT]|H[NRU]|I[ELQST]|JO|K[WZ]|L[BCITUVY]|M[CDEKNRTU]|N[ILO]|OM|P[KLST]|QA|"
+        "R[OSU]|S[ACDEIKMOTV]|T[LNR]|UA|V[AG]|XK|YE")
 KINDS = {
     "email": r"[A-Za-z0-9_+-][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,24}",
     "ip": EDGE + r"(?<![0-9]\.)(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])){3}(?!\.?[0-9])",
-    "phone": EDGE + r"\+?[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    "iban": EDGE + f"(?:{IBAN})" + r"[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "ssn": EDGE + r"(?<!-)(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?!-?[0-9A-Za-z])",
+    "day": EDGE + r"(?<![0-9][/.-])[0-3]?[0-9](?:/[0-3]?[0-9]/|[.][0-3]?[0-9][.]|-[0-3]?[0-9]-)(?:19|20)[0-9]{2}(?![/.-]?[0-9])",
+    "phone": EDGE + r"(?:\+?[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+             r"|[0-9]{3}(?:-[0-9]{3}-|[.][0-9]{3}[.]|[ ][0-9]{3}[ ])[0-9]{4}|\+[1-9](?:[ .()/-]{0,2}[0-9]){7,14})(?![0-9])",
     "date": EDGE + r"(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9])",
     "card": EDGE + r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "key_id": EDGE + r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "hex": EDGE + r"(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{16,128}(?![0-9A-Za-z])",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
-FIRST_DAY, DAYS = "1900-01-01", 65536
+FIRST_DAY, DAYS, LAST = "1900-01-01", 65536, 73049
+# Pairs of day above 12 and month of a common year: 13 * 17 of them.
+LATE = [(d, m) for m in range(1, 13) for d in range(13, [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][m - 1] + 1)]
 
 
 def _feistel(a: str, b: str, size_a: str, size_b: str, key: int, name: str) -> str:
@@ -103,8 +117,59 @@ def _ip(m: str, key: int) -> str:
 def _date(m: str, key: int) -> str:
     day = f"datediff(cast({m} as date), date'{FIRST_DAY}')"
     f = _feistel(f"{day} div 256", f"{day} % 256", "256L", "256L", key, "date")
-    return (f"if(try_cast({m} as date) is null or {day.replace('cast', 'try_cast')} >= {DAYS}, {m}, "
-            + _let(f, "f", f"cast(date_add(date'{FIRST_DAY}', cast(f.a * 256 + f.b as int)) as string)") + ")")
+    late = _feistel("(n - 65536) div 683", "(n - 65536) % 683", "11L", "683L", key, "late date")
+    moved = (f"if(n < {DAYS}, {_let(f.replace(day, 'n'), 'f', 'f.a * 256 + f.b')}, {DAYS} + {_let(late, 'f', 'f.a * 683 + f.b')})")
+    return (f"if(try_cast({m} as date) is null, {m}, "
+            + _let(day, "n", f"if(n >= {LAST}, {m}, cast(date_add(date'{FIRST_DAY}', cast({moved} as int)) as string))") + ")")
+
+
+def _day(m: str, key: int) -> str:
+    pairs = "array(" + ",".join(str(d * 100 + n) for d, n in LATE) + ")"
+    both = _feistel("(z.a - 1) * 12 + z.b - 1", "z.y", "144L", "200L", key, "day pair")
+    late = _feistel("i - 1", "z.y", "221L", "200L", key, "late day")
+    leap = _feistel("(z.y div 4 - 1) div 7", "(z.y div 4 - 1) % 7", "7L", "7L", key, "leap day")
+    pad = f"if(length({m}) = 10, 2, 1)"
+    write = lambda a, b, y: (f"concat(lpad(cast({a} as string), greatest({pad}, length(cast({a} as string))), '0'), z.c,"
+                             f" lpad(cast({b} as string), greatest({pad}, length(cast({b} as string))), '0'), z.c, cast({y} as string))")
+    in_order = lambda d, n, y: f"if(z.a > 12, {write(d, n, y)}, {write(n, d, y)})"
+    one = _let(both, "f", write("f.a div 12 + 1", "f.a % 12 + 1", "f.b + 1900"))
+    two = _let(late, "f", _let(f"{pairs}[cast(f.a as int)]", "q", in_order("q div 100", "q % 100", "f.b + 1900")))
+    three = _let(leap, "f", in_order("29", "2", "1904 + 4 * (f.a * 7 + f.b)"))
+    parts = (f"struct(cast(split({m}, '[^0-9]')[0] as int) as a, cast(split({m}, '[^0-9]')[1] as int) as b,"
+             f" cast(right({m}, 4) as int) - 1900 as y, substr({m}, -5, 1) as c)")
+    # A value that no calendar has stays.
+    return _let(parts, "z", _let(f"array_position({pairs}, greatest(z.a, z.b) * 100 + least(z.a, z.b))", "i", f"""case
+      when z.a between 1 and 12 and z.b between 1 and 12 then {one}
+      when i > 0 then {two}
+      when greatest(z.a, z.b) = 29 and least(z.a, z.b) = 2 and z.y % 4 = 0 and z.y > 0 then {three} else {m} end"""))
+
+
+def _mod97(text: str) -> str:
+    """SQL: remainder of a text whose letters stand for 10 to 35."""
+    return (f"aggregate(split({text}, ''), 0, (t, c) -> if(c = '', t, if(c between '0' and '9', t * 10 + cast(c as int),"
+            " t * 100 + ascii(c) - 55) % 97))")
+
+
+def _iban(m: str, key: int) -> str:
+    account = _digits("substr(d, 5)", "0123456789", key, "iban")
+    check = f"lpad(cast(98 - {_mod97("concat(p, substr(d, 1, 2), '00')")} as string), 2, '0')"
+    fill = (f"aggregate(split({m}, ''), struct('' as t, 1 as i), (z, c) -> if(c = ' ', struct(concat(z.t, c) as t, z.i as i),"
+            " struct(concat(z.t, substr(w, z.i, 1)) as t, z.i + 1 as i)), z -> z.t)")
+    good = f"{_mod97('concat(substr(d, 5), substr(d, 1, 4))')} = 1"
+    new = _let(account, "p", _let(f"concat(substr(d, 1, 2), {check}, p)", "w", fill))
+    rest = f"substr({m}, 6)"  # a card may stand behind what only looks like a country and check digits
+    card = _let(f"regexp_replace({rest}, '[^0-9]', '')", "d", f"pmod({_luhn_sum('d')}, 10) = 0")
+    other = f"if({rest} rlike r'^(?:{KINDS['card']})$' and {card}, concat(left({m}, 5), {_card(rest, key)}), {m})"
+    return _let(f"replace({m}, ' ', '')", "d", f"if({good}, {new}, {other})")
+
+
+def _ssn(m: str, key: int) -> str:
+    area = f"cast(left({m}, 3) as int)"
+    f = _feistel(f"({area} - if({area} > 666, 2, 1)) * 99 + cast(substr({m}, 5, 2) as int) - 1", f"cast(right({m}, 4) as int) - 1",
+                 "88902L", "9999L", key, "ssn")
+    new = "f.a div 99 + if(f.a div 99 >= 665, 2, 1)"
+    return _let(f, "f", f"concat_ws('-', lpad(cast({new} as string), 3, '0'), lpad(cast(f.a % 99 + 1 as string), 2, '0'),"
+                " lpad(cast(f.b + 1 as string), 4, '0'))")
 
 
 def _pseudonym(m: str, key: int) -> str:
@@ -117,6 +182,9 @@ def _pseudonym(m: str, key: int) -> str:
     email = f"concat({_digits(f'substr(lower({m}), 1, length({m}) - length({top}))', alnum, key, 'email')}, {top})"
     return f"""case when instr({m}, '@') > 0 then {email}
       when {whole['ip']} then {_ip(m, key)}
+      when {whole['iban']} then {_iban(m, key)}
+      when {whole['ssn']} then {_ssn(m, key)}
+      when {whole['day']} then {_day(m, key)}
       when {whole['phone']} and not ({whole['card']} and {luhn}) then {_phone(m, key)}
       when {whole['date']} then {_date(m, key)}
       when {whole['card']} then if({luhn}, {_card(m, key)}, {m})

@@ -207,6 +207,37 @@ def test_pseudonyms_are_one_to_one(spark):
     assert pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), key=7).intersect(out).count() < 20
 
 
+def test_pseudonyms_of_usual_national_forms(spark):
+    def iban_ok(t):
+        t = t.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+    def day_ok(t):
+        a, b, y = map(int, re.split("[/.-]", t))
+        return any(d <= 31 and m <= 12 and datetime.date(y, m, d) for d, m in ((a, b), (b, a)) if 0 < m <= 12 and d <= calendar.monthrange(y, m)[1])
+    import calendar
+    import datetime
+    forms = {"(743) 555-3824": r"\(743\) \d{3}-\d{4}", "743-555-3824": r"743-\d{3}-\d{4}", "743.555.3824": r"743\.\d{3}\.\d{4}",
+             "+44 20 7946 0958": r"\+44 20 \d{3}\d \d{4}", "+49 30 1234567": r"\+49 30 \d{7}", "+14155552671": r"\+1415\d{7}",
+             "05/12/1987": r"\d\d/\d\d/\d{4}", "5.12.1987": r"\d{1,2}\.\d{1,2}\.\d{4}", "31.12.1987": r"\d\d\.\d\d\.\d{4}",
+             "12/31/1987": r"\d\d/\d\d/\d{4}", "29-02-2024": r"29-02-\d{4}", "2085-03-01": r"20[789]\d-\d\d-\d\d",
+             "DE89 3704 0044 0532 0130 00": r"DE\d\d( \d{4}){4} \d\d", "GB82WEST12345698765432": r"GB\d\dWEST\d{14}",
+             "123-45-6789": r"\d{3}-\d{2}-\d{4}", "AD12 4785 3805 9239 1139": r"AD12( \d{4}){4}"}
+    rows = [(i, f"see {v}, ok") for i, v in enumerate(forms)]
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (v, form) in enumerate(forms.items()):
+        new = out[i].removeprefix("see ").removesuffix(", ok")
+        assert new != v and re.fullmatch(form, new), (v, new)
+        assert not v.startswith(("DE", "GB")) or iban_ok(new), new
+        assert not re.search(r"[/.-](19|20)\d\d$", v) or day_ok(new), new
+    stay = ["000-12-3456", "666-12-3456", "DE88 3704 0044 0532 0130 00", "31/04/1987", "29.02.2023", "0.5.1987", "123.4567890", "1.2.2000.4"]
+    kept = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(stay)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in kept] == stay
+    every = [f"{d:02d}/{m:02d}/{y}" for y in (1960, 2001) for m in range(1, 32) for d in range(1, 32)]
+    every += [f"{a:03d}-{g:02d}-0001" for a in range(660, 680) for g in (1, 99) if a != 666]
+    one = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(every)], "doc_id long, text string"))
+    assert one.select("text").distinct().count() == len(every)
+
+
 def test_pseudonyms_leave_other_text(spark):
     plain = [None, "", "no numbers", "4785380592391138 fails the check", "999.1.2.3", "2023-02-30", "version 3.11", "12345", "BY-NC 4.0", "a" * 20000]
     rows = [(i, t) + ("v",) * 6 for i, t in enumerate(plain)] * 2
