@@ -4,8 +4,9 @@ A sentence is a bag of words and as toxic as its worst word, a document as its
 worst sentence. Words are compared by the gapped subsequence kernel:
 common subsequences of ``ORDER`` letters, each weighted by ``DECAY`` to the power
 of the stretch it spans in either word; the beginning of a word is a letter. Gaps
-cost weight but not the match, so inserted and left-out letters keep a word
-close to the insult. Before that, letters lose case and accents, digits and
+cost weight but not the match, so many inserted letters keep a word close to the
+insult; a left-out letter does only where the landmark has six different letters
+or more (README has figures). Before that, letters lose case and accents, digits and
 signs inside a word become the letters they stand for or go, and spelled-out
 letters (``a b c``) are joined. Letters of all scripts count; where a script has no
 spaces between words, every two to four of its letters in a row are a word.
