@@ -132,3 +132,22 @@ def test_correlation_is_pairwise_complete(spark):
     for (a, b), v in got.items():
         want = pdf.loc[a, b]
         assert v is None if math.isnan(want) else math.isclose(v, want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_registered_grid_is_the_full_one(monkeypatch):
+    import inspect
+    from cohortforge.plans import queries as q
+    seen = {}
+    own = inspect.signature(q.sel.grid_search)
+
+    def search(*args, **kwargs):
+        call = own.bind(*args, **kwargs)
+        call.apply_defaults()
+        seen.update(call.arguments)
+    monkeypatch.setattr(q, "_splits", lambda spark, d: (None, None, None, ["ft_total"]))
+    monkeypatch.setattr(q.sel, "grid_search", search)
+    monkeypatch.setattr(q.sel, "evaluate", lambda *args: None)
+    monkeypatch.setattr(q, "tidy", lambda df: df)
+    q.q_grid(None, "")
+    assert len(seen["cs"]) == 20 and min(seen["cs"]) == 1e-4 and round(max(seen["cs"])) == 10_000
+    assert set(seen["penalties"]) == {"l1", "l2"} and seen["folds"] == 5
