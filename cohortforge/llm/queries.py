@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.llm import decontam, html_extract, linededup, mixing, pii, quality, simhash, tokens, toxicity, unigram
+from cohortforge.llm import (conversation, decontam, html_extract, linededup, merkle, mixing, pii, quality, simhash,
+                             tokens, toxicity, unigram)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,6 +128,60 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_characters"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    rows = _table(spark, sf_dir, "conversations")
+    found = conversation.repair(conversation.damage(rows), keys=rows.select("conv_id"))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the check of tampered ones."""
+    return merkle.tamper_checks(_table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    def leaf(*fields: str) -> str:
+        return "sha256(" + " || ".join(
+            f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}::VARCHAR) || ':' || {f}::VARCHAR END" for f in fields) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        """Nodes of all levels over (g, i, h), and the siblings of each."""
+        return f"""{name} AS (SELECT 0 AS lvl, g, i, h, count(*) OVER (PARTITION BY g) AS n FROM {leaves}
+                 UNION ALL SELECT lvl + 1, g, i // {merkle.ARITY}, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8
+                 FROM {name} WHERE n > 1 GROUP BY lvl, g, i // {merkle.ARITY}, n),
+        {name}_sib AS (SELECT lvl, g, i, coalesce(string_agg(h, '' ORDER BY i) OVER (own ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                 coalesce(string_agg(h, '' ORDER BY i) OVER (own ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+                 FROM {name} WHERE n > 1 WINDOW own AS (PARTITION BY lvl, g, i // {merkle.ARITY} ORDER BY i))"""
+
+    def walk(name: str, sibs: str, start: str) -> str:
+        return f"""{name} AS ({start} UNION ALL
+                 SELECT w.rid, w.lvl + 1, w.g, w.i // {merkle.ARITY}, sha256(l || w.h || r), w.acc || l || r
+                 FROM {name} w JOIN {sibs} s ON s.lvl = w.lvl AND s.g IS NOT DISTINCT FROM w.g AND s.i = w.i)"""
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, lang AS g, {leaf(*merkle.FIELDS)} AS h,
+        {leaf("doc_id", "source", "lang", "n_chars", lower)} AS low,
+        list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))) AS crc FROM documents),
+    e AS (SELECT rid, doc_id, g, h, CASE WHEN xor(crc, 4294967295::BIGINT) % 3 = 0 THEN low ELSE h END AS c FROM d),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h, c, rid) - 1 AS i FROM e),
+    {tree("node", "leaves")},
+    subroots AS (SELECT g AS lang, h, 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM node WHERE n = 1),
+    {tree("top", "subroots")},
+    {walk("up", "node_sib", "SELECT rid, 0 AS lvl, g, i, c AS h, '' AS acc FROM leaves")},
+    low AS (SELECT u.rid, u.h, u.acc, s.i, s.h AS subroot FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY lvl DESC) AS k FROM up) u
+            JOIN subroots s ON s.lang IS NOT DISTINCT FROM u.g WHERE k = 1),
+    {walk("over", "top_sib", "SELECT rid, 0 AS lvl, 0 AS g, i, h, acc FROM low")},
+    done AS (SELECT rid, h, acc FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY lvl DESC) AS k FROM over) WHERE k = 1),
+    root AS (SELECT h AS root FROM top WHERE n = 1)
+    SELECT leaves.doc_id, leaves.h AS leaf, subroot, (SELECT root FROM root) AS root, sha256(done.acc) AS proof_sha256,
+           done.h AS folded_root, done.h = (SELECT root FROM root) AS verified
+    FROM leaves JOIN low USING (rid) JOIN done USING (rid)"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -138,8 +193,11 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_counts": op10_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
     "op4_decontamination": OP4_SQL,
+    "op13_merkle_manifest": _op13_sql(),
 }
