@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.llm import (conversation, decontam, html_extract, linededup, merkle, mixing, pii, quality, simhash,
-                             tokens, toxicity, unigram)
+                             suffixes, tokens, toxicity, unigram)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +128,32 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_characters"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without the bytes of repeated 200-byte strings."""
+    found = suffixes.dedupe(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Window starts p of a text with an equal window elsewhere; removed runs are islands of
+# starts at most a window apart. Bytes are pairs of hexadecimal digits.
+OP11_SQL = """
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    w AS (SELECT rid, p, md5(substr(x, (2 * p + 1)::BIGINT, 400)) AS s
+          FROM (SELECT rid, x, unnest(range(0, strlen(x) // 2 - 199)) AS p FROM d)),
+    r AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY s) AS c FROM w) WHERE c > 1),
+    k AS (SELECT *, sum(gap) OVER (PARTITION BY rid ORDER BY p) AS run FROM
+          (SELECT *, (p - lag(p, 1, -1000) OVER (PARTITION BY rid ORDER BY p) > 200)::INT AS gap FROM r)),
+    s AS (SELECT rid, min(p) AS a, max(p) + 200 AS b FROM k GROUP BY rid, run),
+    f AS (SELECT rid, count(*) AS n, sum(b - a) AS m, max(b) AS last,
+                 string_agg(piece, '' ORDER BY a) AS kept
+          FROM (SELECT s.*, substr(x, (2 * prev + 1)::BIGINT, (2 * (a - prev))::BIGINT) AS piece
+                FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS prev FROM s) s JOIN d USING (rid))
+          GROUP BY rid)
+    SELECT doc_id, (strlen(x) // 2)::BIGINT AS n_bytes, coalesce(m, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(kept, '') || substr(x, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
+    FROM d LEFT JOIN f USING (rid)"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     rows = _table(spark, sf_dir, "conversations")
@@ -193,11 +219,13 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_counts": op10_token_counts,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
     "op3_quality_rules": _op3_sql(),
     "op4_decontamination": OP4_SQL,
+    "op11_suffix_dedup": OP11_SQL,
     "op13_merkle_manifest": _op13_sql(),
 }
