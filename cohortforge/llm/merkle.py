@@ -122,8 +122,9 @@ def manifest(rows: DataFrame, claimed: Column, key: str = "doc_id", group: str =
     order = [F.col("k").asc_nulls_first(), F.col("h"), F.col("c"), F.col("r")]
     leaves = write_once(ranked(leaves, ["g"], order, "merkle-order"), "merkle-0")
     trees = build(leaves.select("g", "i", "n", "h"), "merkle")
-    subroots = write_once(ranked(trees[-1].select("g", "h"), [], [F.col("g").asc_nulls_first()], "merkle-groups"), "merkle-subroots")
-    forest = build(subroots.select(F.lit(0).alias("g"), "i", "n", "h"), "merkle-forest")
+    subroots = ranked(trees[-1].select("g", "h"), [], [F.col("g").asc_nulls_first()], "merkle-groups")
+    subroots = write_once(subroots.withColumn("all", F.lit(0)), "merkle-subroots")
+    forest = build(subroots.select(F.col("all").alias("g"), "i", "n", "h"), "merkle-forest")
     root = forest[-1].select("h").first()  # one hash, or none of an empty table
     top = paths(forest, forest[-1].select("g", F.array().cast(PATH).alias("path"), F.col("h").alias("subroot")))
     tops = write_once(subroots.join(top.select("i", "path"), "i").select("g", F.col("h").alias("subroot"), "path"), "merkle-tops")

@@ -19,19 +19,23 @@ the text. Four sorts with few suffixes decide the same:
 1. Each window of ``length`` bytes holds an anchor: of all strings of half its
    length in it, the first with the least fingerprint. Equal windows have equal
    anchors at equal places. Each anchor is a suffix, compared over half the
-   length; windows of an anchor that occurs once have no equal.
+   length; windows of an anchor that occurs once have no equal. Anchors that agree
+   in all their windows' bytes decide them at once, and one stands for all in
+   the next sorts; so copies go no further.
 2. Of a repeated anchor's windows, those that begin a multiple of ``length // 10``
    bytes before it are sorted. Equal windows are both such ones or neither.
 3. The windows between two such ones share a core, ``length // 10 - 2`` bytes
    shorter than a window. The cores are sorted; a group is followed up if it has two
    members and in one of them the windows between could add to the covered
-   bytes, i.e. don't lie between equal windows at most ``length`` bytes apart.
+   bytes, i.e. don't lie between equal windows at most ``length`` bytes apart. Again
+   members that agree in all bytes are decided, and one stands for them.
 4. The windows of those cores are sorted one by one.
 
 The texts are written once, bucketed by row, so that joining them with places
-shuffles the places alone. A bucket of suffixes is held in memory; its size falls
-with the number of shuffle partitions. A false match needs equal fingerprints: 128
-bits for strings that differ in their first half, 64 for others.
+shuffles the places alone. Suffixes are shuffled in blocks, one per task, bucket and
+batch. A bucket of suffixes is held in memory; its size falls with the number of
+shuffle partitions. A false match needs equal fingerprints: 128 bits for strings
+that differ in their first half, 64 for others.
 
 Defined results: null texts are empty; texts shorter than ``length`` lose nothing;
 exact copies lose all bytes if they are long enough; rows are told apart by place,
@@ -57,10 +61,12 @@ BLOCK_BITS = 18
 SAMPLE_ROWS, SAMPLE_MOST = 64, 1_000_000
 SMALL_SORT = 4096
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
-SUFFIX = pa.schema([("b", pa.int32()), ("t0", pa.int64()), ("t1", pa.int64()), ("rid", pa.int64()), ("x", pa.int64())])
+PIECE_BYTES = 1 << 22
+BLOCKS = pa.schema([("b", pa.int32()), ("block", pa.binary())])
+SAMPLE = pa.schema([("t0", pa.int64()), ("t1", pa.int64()), ("tie", pa.int64())])
 MARKED = pa.schema([("kind", pa.int8()), ("rid", pa.int64()), ("loc", pa.int64()), ("t0", pa.int64()), ("t1", pa.int64()),
                     ("c", pa.int64()), ("need", pa.bool_())])
-FINAL, PENDING, EDGE = range(3)
+REPEATED, PENDING, EDGE, COVERED = range(4)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -76,6 +82,8 @@ def _words(data: np.ndarray) -> np.ndarray:
 
 
 def _chain(words: np.ndarray, at: np.ndarray, length: int, multiplier: np.uint64) -> np.ndarray:
+    if not len(at):
+        return np.zeros(0, np.int64)
     offsets = [*range(0, length - 7, 8)]
     if offsets[-1] + 8 < length:
         offsets.append(length - 8)
@@ -89,8 +97,6 @@ def _chain(words: np.ndarray, at: np.ndarray, length: int, multiplier: np.uint64
 
 def tokens_at(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The two tokens of the suffixes at some places, compared over ``length`` bytes."""
-    if not len(at):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     words = _words(data)
     return _chain(words, at, length // 2, M1), _chain(words, at, length, M2)
 
@@ -188,76 +194,107 @@ def _place_hash(rid: np.ndarray, loc: np.ndarray) -> np.ndarray:
 Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], find: Callable[[pa.RecordBatch], Found], splits: list[np.ndarray] | None,
-              one_in: int) -> Iterator[pa.RecordBatch]:
-    """Suffix rows with their bucket; while there are no splitters, one in so many."""
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with some megabytes of text (column 1), which bounds what a step holds."""
+    _, _, ends = _texts(batch.column(1))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(int(np.searchsorted(ends, before + PIECE_BYTES, side="right")), at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _suffixes(batches: Iterator[pa.RecordBatch], find: Callable[[pa.RecordBatch], Found], splits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Blocks of suffixes by bucket: tokens, row, and place * 2 + need, column by column."""
     for batch in batches:
-        if not batch.num_rows:
+        parts = [find(piece) for piece in _pieces(batch)]
+        if not parts:
             continue
-        t0, t1, rid, loc, need = find(batch)
-        tie = _place_hash(rid, loc)
-        if splits is None:
+        t0, t1, rid, loc, need = (np.concatenate(c) for c in zip(*parts))
+        b = bucket_of([t0, t1, _place_hash(rid, loc)], splits)
+        order = np.argsort(b, kind="stable")
+        table, b = np.stack([t0, t1, rid, loc * 2 + need])[:, order], b[order]
+        starts = np.flatnonzero(np.append(len(b) > 0, b[1:] != b[:-1]))
+        blocks = [table[:, s:e].tobytes() for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(b)])]
+        yield pa.RecordBatch.from_arrays([pa.array(b[starts], pa.int32()), pa.array(blocks, pa.binary())], schema=BLOCKS)
+
+
+def _sampled(batches: Iterator[pa.RecordBatch], find: Callable[[pa.RecordBatch], Found], one_in: int) -> Iterator[pa.RecordBatch]:
+    """One suffix in so many, with the hash of its place."""
+    for batch in batches:
+        for piece in _pieces(batch):
+            t0, t1, rid, loc, _ = find(piece)
+            tie = _place_hash(rid, loc)
             some = tie.view(np.uint64) % np.uint64(one_in) == 0
-            b, t0, t1, rid, x = np.zeros(int(some.sum()), np.int32), t0[some], t1[some], rid[some], tie[some]
-        else:
-            b, x = bucket_of([t0, t1, tie], splits).astype(np.int32), loc * 2 + need
-        for at in range(0, len(b), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at:at + 200_000], f.type) for c, f in zip((b, t0, t1, rid, x), SUFFIX)], schema=SUFFIX)
+            yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (t0, t1, tie)], schema=SAMPLE)
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket of suffix rows to the places of its repeated strings, of those it
-    can't decide, and the counts of its first and last group."""
-    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns[1:]] for b in batches if b.num_rows]
-    if not parts:
+def _mark(batches: Iterator[pa.RecordBatch], nested: bool) -> Iterator[pa.RecordBatch]:
+    """One bucket of suffixes to the places of its repeated strings, of those it
+    can't decide, and the counts of its first and last group. ``nested``: groups
+    share the first token; members that share the second too and need it are
+    covered, and the first of them stands for them."""
+    blocks = [np.frombuffer(x.as_buffer(), np.int64).reshape(4, -1) for b in batches for x in b.column(1)]
+    if not blocks:
         return
-    t0, t1, rid, x = (np.concatenate(c) for c in zip(*parts))
-    del parts
+    t0, t1, rid, x = np.concatenate(blocks, axis=1)
+    del blocks
     order = multikey_quicksort([t0, t1])
     t0, t1, rid, x = t0[order], t1[order], rid[order], x[order]
-    starts = np.flatnonzero(np.append(True, (t0[1:] != t0[:-1]) | (t1[1:] != t1[:-1])))
+    new = np.append(True, (t0[1:] != t0[:-1]) | (t1[1:] != t1[:-1]))
+    firsts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.append(True, t0[1:] != t0[:-1])) if nested else firsts
     sizes = np.diff(np.append(starts, len(t0)))
     need = np.bitwise_or.reduceat(x & 1, starts).astype(bool)
-    decided = need & (sizes > 1)
     edge = np.zeros(len(starts), dtype=bool)
     edge[[0, -1]] = True
+    decided = need & (sizes > 1)
 
-    def rows(kind: int, at: np.ndarray, with_token: bool, c: np.ndarray | None = None, needed: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    def rows(kind: int, at: np.ndarray, with_token: bool = False, c: np.ndarray | None = None, needed: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         for cut in range(0, len(at), 200_000):
             part = slice(cut, cut + 200_000)
             i = at[part]
             none = lambda t: pa.nulls(len(i), t)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(i), kind, np.int8)), pa.array(rid[i]), pa.array(x[i] >> 1),
-                pa.array(t0[i]) if with_token else none(pa.int64()), pa.array(t1[i]) if with_token else none(pa.int64()),
+                pa.array(t0[i]) if with_token else none(pa.int64()), pa.array(t1[i]) if with_token and not nested else none(pa.int64()),
                 none(pa.int64()) if c is None else pa.array(c[part]), none(pa.bool_()) if needed is None else pa.array(needed[part])], schema=MARKED)
 
-    yield from rows(FINAL, np.flatnonzero(np.repeat(decided, sizes)), False)
-    yield from rows(PENDING, np.flatnonzero(np.repeat(edge & ~decided, sizes)), True)
+    own = np.repeat(np.arange(len(starts)), sizes)  # the group of each member
+    stands = np.ones(len(t0), dtype=bool)
+    if nested:
+        same = np.repeat(np.diff(np.append(firsts, len(t0))), np.diff(np.append(firsts, len(t0))))
+        yield from rows(COVERED, np.flatnonzero((same > 1) & (x & 1 == 1)))
+        stands = new
+        kinds = np.add.reduceat(new.astype(np.int64), starts)
+        decided &= (kinds > 1) | edge  # members that all agree are done
+    yield from rows(REPEATED, np.flatnonzero(decided[own] & stands))
+    yield from rows(PENDING, np.flatnonzero((edge & ~decided)[own] & stands), True)
     yield from rows(EDGE, starts[edge], True, sizes[edge], need[edge])
 
 
-def repeated(source: Callable[[bool], DataFrame], find: Callable[[pa.RecordBatch], Found], one_in: int, name: str) -> tuple[DataFrame, DataFrame]:
+def repeated(source: Callable[[bool], DataFrame], find: Callable[[pa.RecordBatch], Found], one_in: int, nested: bool,
+             name: str) -> tuple[DataFrame, DataFrame]:
     """``rid`` and ``loc`` of the suffixes that ``find`` makes of the rows of
-    ``source(sample)`` and whose string occurs twice, with one member that needs it;
-    and the table they come from."""
+    ``source(sample)`` and whose string occurs twice, with one member that needs
+    it; and the table with all that the buckets found."""
     sample = source(True)
     spark = sample.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ddl = "b int, t0 long, t1 long, rid long, x long"
-    seen = sample.mapInArrow(lambda it: _suffixes(it, find, None, one_in), ddl).select("t0", "t1", "x").limit(SAMPLE_MOST).toPandas()
-    keys = [seen[c].to_numpy(dtype=np.int64) for c in ("t0", "t1", "x")]
+    seen = sample.mapInArrow(lambda it: _sampled(it, find, one_in), "t0 long, t1 long, tie long").limit(SAMPLE_MOST).toPandas()
+    keys = [seen[c].to_numpy(dtype=np.int64) for c in SAMPLE.names]
     order = np.lexsort(keys[::-1])
     cuts = order[np.linspace(0, len(order), buckets + 1).astype(np.int64)[1:-1]] if len(order) else order
     splits = [k[cuts] for k in keys]
-    rows = source(False).mapInArrow(lambda it: _suffixes(it, find, splits, 1), ddl)
-    marked = rows.repartitionById(buckets, F.col("b")).mapInArrow(
-        _mark, "kind byte, rid long, loc long, t0 long, t1 long, c long, need boolean")
-    marked = write_once(marked, name)
-    edges = marked.filter(F.col("kind") == EDGE).groupBy("t0", "t1").agg(F.sum("c").alias("c"), F.max("need").alias("need"))
-    edges = edges.filter("c > 1 and need").select("t0", "t1")  # two rows a bucket at most
-    late = marked.filter(F.col("kind") == PENDING).select("t0", "t1", "rid", "loc").join(F.broadcast(edges), ["t0", "t1"], "left_semi")
-    return marked.filter(F.col("kind") == FINAL).select("rid", "loc").unionByName(late.select("rid", "loc")), marked
+    blocks = source(False).mapInArrow(lambda it: _suffixes(it, find, splits), "b int, block binary")
+    marked = write_once(blocks.repartitionById(buckets, F.col("b")).mapInArrow(
+        lambda it: _mark(it, nested), "kind byte, rid long, loc long, t0 long, t1 long, c long, need boolean"), name)
+    key = ["t0"] if nested else ["t0", "t1"]
+    edges = marked.filter(F.col("kind") == EDGE).groupBy(*key).agg(F.sum("c").alias("c"), F.max("need").alias("need"))
+    edges = edges.filter("c > 1 and need").select(*key)  # two rows a bucket at most
+    late = marked.filter(F.col("kind") == PENDING).select(*key, "rid", "loc").join(F.broadcast(edges), key, "left_semi")
+    return marked.filter(F.col("kind") == REPEATED).select("rid", "loc").unionByName(late.select("rid", "loc")), marked
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,13 +313,24 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), values
 
 
+def _span_token(data: np.ndarray, first: np.ndarray, final: np.ndarray, sides: np.ndarray, length: int) -> np.ndarray:
+    """Fingerprint of the bytes of all windows from ``first`` to ``final`` (which
+    overlap) and of where they lie."""
+    words = _words(data)
+    h = _chain(words, first, length, M2).view(np.uint64) * M1
+    h += _chain(words, final, length, M1).view(np.uint64)
+    h ^= sides.astype(np.uint64) * M3
+    return _mix(h).view(np.int64)
+
+
 def find_anchors(batch: pa.RecordBatch, length: int) -> Found:
     """loc: place << 16 | bytes from the first window << 8 | bytes from the last window."""
     data, starts, ends = _texts(batch.column(1))
     text, place, first, final, h = anchors(data, starts, ends, length)
     rid = batch.column(0).to_numpy()[text]
-    loc = (place - starts[text] << 16) | (place - first << 8) | (place - final)
-    return h, np.zeros(len(h), np.int64), rid, loc, np.ones(len(h), np.int64)
+    sides = (place - first << 8) | (place - final)
+    loc = (place - starts[text] << 16) | sides
+    return h, _span_token(data, first, final, sides, length), rid, loc, np.ones(len(h), np.int64)
 
 
 def find_lattice(batch: pa.RecordBatch, length: int) -> Found:
@@ -312,7 +360,9 @@ def find_cores(batch: pa.RecordBatch, length: int) -> Found:
     row, place = row[which], (loc >> 16)[which]
     first, last = place - farthest[which, k], place - nearest[which, k]
     core = place - q[k] - 1
-    t0, t1 = tokens_at(data, starts[row] + core, length - step + 2)
+    base = starts[row]
+    t0 = _chain(_words(data), base + core, length - step + 2, M1)
+    t1 = _span_token(data, base + first, base + last, (core - first << 8) | (core - last), length)
     padded = np.concatenate([[-far], known, [np.int64(1 << 62)]])
     after = np.searchsorted(padded, row * far + first)
     need = padded[after] - padded[after - 1] > length
@@ -333,7 +383,7 @@ def find_windows(batch: pa.RecordBatch, length: int) -> Found:
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _pieces(whole)):
         out = []
         for text, places in zip(batch.column(1).to_pylist(), batch.column(2)):
             if not places.is_valid:
@@ -380,16 +430,23 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             return (some if sample else texts).select("rid", "t").join(both, "rid").select("rid", "t", *places)
         return source
 
-    def step(find, source, name, thin):
-        return repeated(source, lambda batch: find(batch, length), thin, name)
-
-    anchored, t_1 = step(find_anchors, lambda sample: (some if sample else texts).select("rid", "t"), "suffix-anchors", one_in)
-    lattice, t_2 = step(find_lattice, lists(a=anchored), "suffix-lattice", max(one_in // 4, 1))
-    cores, t_3 = step(find_cores, lists(a=anchored, k=lattice), "suffix-cores", max(one_in // 4, 1))
-    windows, t_4 = step(find_windows, lists(c=cores), "suffix-windows", max(one_in // 4, 1))
-    places = lattice.unionByName(windows).groupBy("rid").agg(F.collect_list("loc").alias("p"))
+    def step(find, source, name, nested=False, thin=max(one_in // 4, 1)):
+        return repeated(source, lambda batch: find(batch, length), thin, nested, name)
+
+    def ends(marked, first, last):
+        """First and last window of the members that are covered as a whole."""
+        both = F.explode(F.array(F.expr(first), F.expr(last))).alias("loc")
+        return marked.filter(F.col("kind") == COVERED).select("rid", both)
+
+    anchored, t_1 = step(find_anchors, lambda sample: (some if sample else texts).select("rid", "t"), "suffix-anchors", True, one_in)
+    lattice, t_2 = step(find_lattice, lists(a=anchored), "suffix-lattice")
+    known = ends(t_1, "(loc >> 16) - ((loc >> 8) & 255)", "(loc >> 16) - (loc & 255)").unionByName(lattice)
+    cores, t_3 = step(find_cores, lists(a=anchored, k=known), "suffix-cores", True)
+    windows, t_4 = step(find_windows, lists(c=cores), "suffix-windows")
+    known = known.unionByName(ends(t_3, "loc >> 8", "(loc >> 8) + (loc & 255) - 1")).unionByName(windows)
+    places = known.groupBy("rid").agg(F.collect_list("loc").alias("p"))
     kind = docs.schema[key].dataType.simpleString()
     found = texts.join(places, "rid", "left").select("k", "t", "p").mapInArrow(
         lambda it: _cut(it, length), f"k {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
-    discard(t_1, t_3, some)
+    discard(some)
     return found.withColumnRenamed("k", key)

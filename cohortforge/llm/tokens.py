@@ -17,8 +17,8 @@ writes one shard under a temporary name that is renamed at the end. A task that
 runs again writes the same shard again.
 
 Defined results: null texts are empty and hold the end id only; null keys come
-first; rows that share a key are ordered by text, repeated rows follow each
-other; other columns are not looked at; an empty table writes no shard and gives
+first; rows that share a key are ordered by a hash of their text, repeated rows
+follow each other; other columns are not looked at; an empty table writes no shard and gives
 an empty result. Keys are integers. Paths are those of ``pyarrow.fs``.
 """
 
@@ -41,8 +41,10 @@ from cohortforge.llm.common import materialize, new_scratch, text_of
 MASK_DELTA = 0xA282EAD8
 HAS_KEY, WIDE = 1, 2
 HEAD = struct.Struct("<Bq")
-MAX_CACHED, MAX_CACHED_CHARS, WORDS_AT_ONCE, GROUP_CHARS, ROWS_OUT = 300_000, 40, 2_000, 1 << 20, 10_000
+MAX_CACHED, MAX_CACHED_CHARS, WORDS_AT_ONCE, GROUP_CHARS, ROWS_OUT = 400_000, 40, 2_000, 1 << 20, 10_000
+MARKS = frozenset(PUNCTUATION)
 SPACE_RUN, CUT = re.compile(r" (?:\s|$)"), re.compile(r" (?=\S)")
+NEWLINE_RUN = re.compile(r"\n(?:\s|\Z|(?<=\s\n))")
 
 
 def masked_crc(data: bytes) -> int:
@@ -55,24 +57,26 @@ class Encoder:
 
     A byte-level tokenizer starts a new piece at every space that a non-space
     follows. Such texts are encoded word by word, and the ids of short words are
-    remembered (at most two times ``MAX_CACHED``); any other tokenizer gets whole texts."""
+    remembered (at most two times ``MAX_CACHED``). A text with the string of an added
+    token goes to the library whole, as do all texts of any other tokenizer."""
 
     def __init__(self, path: str, end_id: int):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (spec.get("normalizer") is None and spec["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel"
                         and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
         self.wide = max(self.model.get_vocab_size(), end_id + 1) > 1 << 16
         self.end = struct.pack("<I" if self.wide else "<H", end_id)
-        self.opens = None
+        self.opens = self.newline = None
         if self.by_word:  # ids whose piece begins with a space, which the byte-level alphabet writes as U+0120
             import numpy as np
+            self.newline = self.model.token_to_id("\u010a")
             self.opens = np.zeros(self.model.get_vocab_size(), dtype=bool)
             for piece, i in self.model.get_vocab().items():
                 self.opens[i] = piece.startswith("\u0120")
@@ -99,54 +103,75 @@ class Encoder:
             yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_word:
-            for ids in self._batch(texts):
-                yield ids + self.end
-            return
-        cut = [CUT.split(t) if SPACE_RUN.search(t) else t.split(" ") for t in texts]
-        heads = dict.fromkeys(c[0] for c in cut)
+        whole = [t for t in texts if not self.by_word or any(a in t for a in self.added)]
+        if whole:  # strings of added tokens may reach over spaces
+            whole = dict(zip(whole, self._batch(whole)))
+        cuts, heads, words = [], {}, set()
+        for t in texts:
+            if whole and t in whole:
+                cut = []
+            elif SPACE_RUN.search(t):
+                cut = CUT.split(t)
+            elif NEWLINE_RUN.search(t):
+                cut = t.split(" ")
+            else:  # a line feed between two words is a piece of its own
+                cut = t.replace("\n", " \n").split(" ")
+            if cut:
+                heads[cut[0]] = b""
+                words.update(cut)
+            cuts.append(cut)
         heads = dict(zip(heads, self._batch(list(heads))))
-        known, older, long, plain, odd, tailed = self.known, self.older, {}, set(), [], []
-        for w in {w for c in cut for w in c[1:] if w not in known}:
-            if w in older:
-                known[w] = older[w]
-            elif len(w) > MAX_CACHED_CHARS or " " in w:
-                odd.append(w)
-            else:
-                stem = w.rstrip(PUNCTUATION)
-                if stem != w and stem.isalpha():  # marks after letters are a piece of their own
-                    tailed.append((w, stem))
-                    w = stem
-                if w in older:
-                    known[w] = older[w]
-                elif w not in known:
-                    plain.add(w)
-        plain = list(plain)
-        for at in range(0, len(plain), WORDS_AT_ONCE):
-            some = plain[at:at + WORDS_AT_ONCE]
-            known.update(zip(some, self._words(some)))
-        for w, stem in tailed:
-            tail = w[len(stem):]
-            if tail not in self.tails:
-                self.tails[tail] = self._batch([tail])[0]
-            known[w] = known[stem] + self.tails[tail]
-        long.update(zip(odd, self._batch([" " + w for w in odd])))
-        for c in cut:
-            if odd:
-                body = b"".join([known[w] if w in known else long[w] for w in c[1:]])
+        passing = self._learn(words)
+        get = self.known.__getitem__
+        for t, cut in zip(texts, cuts):
+            if cut:
+                ids = list(map(get, cut))
+                ids[0] = heads[cut[0]]
+                yield b"".join(ids) + self.end
             else:
-                body = b"".join(map(known.__getitem__, c[1:]))
-            yield heads[c[0]] + body + self.end
-        if len(known) > MAX_CACHED:  # words that come again move over, the others go
-            self.known, self.older, self.tails = {}, known, {}
-
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of space + word for words without spaces, encoded as one text and
-        cut before each id that begins with a space."""
+                yield whole[t] + self.end
+        for w in passing:
+            del self.known[w]
+        if len(self.known) > MAX_CACHED:  # words that come again move over, the others go
+            self.known, self.older, self.tails = {}, self.known, {}
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Makes the ids of space + word, or of a word that begins with a line feed,
+        known for all the words; returns those that are too long to be remembered."""
+        known, older = self.known, self.older
+
+        def unknown(some: set[str]) -> set[str]:
+            some = some.difference(known)
+            again = {w: older[w] for w in some if w in older}
+            known.update(again)
+            return some.difference(again)
+
+        new = unknown(words)
+        odd = [w for w in new if len(w) > MAX_CACHED_CHARS or " " in w or not w]
+        new.difference_update(odd)
+        tailed = {w: w.rstrip(PUNCTUATION) for w in new if w[-1] in MARKS}
+        tailed = {w: stem for w, stem in tailed.items() if stem.lstrip("\n").isalpha()}  # marks after letters are a piece of their own
+        new.difference_update(tailed)
+        new |= unknown(set(tailed.values()))
+        broken = {w for w in new if w[0] == "\n"}
+        for some, first in ((list(new - broken), " "), (list(broken), "\n")):
+            for at in range(0, len(some), WORDS_AT_ONCE):
+                chunk = some[at:at + WORDS_AT_ONCE]
+                known.update(zip(chunk, self._words(chunk, first)))
+        ends = {w[len(stem):] for w, stem in tailed.items()}.difference(self.tails)
+        self.tails.update(zip(ends, self._batch(list(ends))))
+        known.update({w: known[stem] + self.tails[w[len(stem):]] for w, stem in tailed.items()})
+        known.update(zip(odd, self._batch([w if w[:1] == "\n" else " " + w for w in odd])))
+        return odd
+
+    def _words(self, words: list[str], first: str) -> Iterator[bytes]:
+        """Ids of words without white space inside, all after a space or all beginning
+        with a line feed, encoded as one text and cut where a word's ids begin."""
         import numpy as np
-        ids = np.array(self.model.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        text = " " + " ".join(words) if first == " " else "".join(words)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
         width = 4 if self.wide else 2
-        at = (np.flatnonzero(self.opens[ids]) * width).tolist()
+        at = (np.flatnonzero(self.opens[ids] if first == " " else ids == self.newline) * width).tolist()
         data = ids.astype("<u4" if self.wide else "<u2").tobytes()
         return (data[a:b] for a, b in zip(at, [*at[1:], len(data)]))
 
@@ -254,7 +279,8 @@ def _digests(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
 def read_digests(manifest: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """From the files: key, ``start`` (ids of all records before), ``n_tokens``
     and ``ids_crc32`` (of the ids as little-endian u32) of every record."""
-    shards = manifest.select("part", "first").repartition("part")
+    last = manifest.agg(F.max("part")).first()[0]
+    shards = manifest.select("part", "first").repartitionById((last or 0) + 1, F.col("part"))  # a task for each shard
     return shards.mapInArrow(lambda it: _digests(it, folder), "k long, start long, n_tokens long, ids_crc32 long") \
         .withColumnRenamed("k", key)
 

@@ -171,15 +171,14 @@ def test_encoder_equals_library():
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")
     plain, mine = Tokenizer.from_file(path), tokens.Encoder(path, 2)
-    plain.encode_special_tokens = True
     rnd = random.Random(1)
     alphabet = ["a", "the", " ", " ", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "'s", "1", "!", ",", "　", "日", "\r", "<|endoftext|>", "​", "\x00"]
-    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(4000)] + ["", "x" * 30000, "word, " * 9000]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(8000)] + ["", "x" * 30000, "word, " * 9000]
+    texts += ["one\ntwo, three.\n\nfour\n five \nsix\t\nseven", "\nlead\n", "a\nb\n\n\nc", "\n" + "y" * 60 + "\n" + "z" * 60, "a <|endoftext|>\nb c"]
     for t, ids in zip(texts, mine.encode(texts)):
         assert np.frombuffer(ids, "<u2").tolist() == plain.encode(t, add_special_tokens=False).ids + [2], repr(t)
     other = tokens.Encoder(P.path("word_bpe_49k.json"), 2)
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
     for t, ids in zip(texts[:50], other.encode(texts[:50])):
         assert np.frombuffer(ids, "<u2").tolist() == lib.encode(t, add_special_tokens=False).ids + [2]
 
@@ -201,6 +200,8 @@ def test_token_records_round_trip(spark):
     assert [tuple(r) for r in out] == want
     part = manifest.orderBy("part").first()["part"]
     n = manifest.filter(f"part = {part}").first()["n_records"]
+    shards = manifest.agg({"part": "max"}).first()[0] + 1  # each shard is read in a task of its own
+    assert shards > 1 and tokens.read_digests(manifest, folder).rdd.getNumPartitions() == shards
     all_of = list(tokens.read_shard(folder, part))
     assert len(all_of) == n and list(tokens.read_shard(folder, part, [n - 1, 0])) == [all_of[-1], all_of[0]]
     name = f"{folder.removeprefix('file:')}/part-{part:06d}.rec"
