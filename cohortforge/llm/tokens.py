@@ -109,27 +109,23 @@ class Encoder:
         cuts, heads, words = [], {}, set()
         for t in texts:
             if whole and t in whole:
-                cut = []
-            elif SPACE_RUN.search(t):
+                cuts.append((None, None))
+                continue
+            if SPACE_RUN.search(t):
                 cut = CUT.split(t)
             elif NEWLINE_RUN.search(t):
                 cut = t.split(" ")
             else:  # a line feed between two words is a piece of its own
                 cut = t.replace("\n", " \n").split(" ")
-            if cut:
-                heads[cut[0]] = b""
-                words.update(cut)
-            cuts.append(cut)
+            head = cut.pop(0)
+            heads[head] = b""
+            words.update(cut)
+            cuts.append((head, cut))
         heads = dict(zip(heads, self._batch(list(heads))))
         passing = self._learn(words)
         get = self.known.__getitem__
-        for t, cut in zip(texts, cuts):
-            if cut:
-                ids = list(map(get, cut))
-                ids[0] = heads[cut[0]]
-                yield b"".join(ids) + self.end
-            else:
-                yield whole[t] + self.end
+        for t, (head, cut) in zip(texts, cuts):
+            yield (whole[t] if cut is None else heads[head] + b"".join(map(get, cut))) + self.end
         for w in passing:
             del self.known[w]
         if len(self.known) > MAX_CACHED:  # words that come again move over, the others go
