@@ -1,9 +1,9 @@
 """Model-dataset operators: subgroup exclusion, class balancing, hash split,
 imputation, zero-column removal, standardisation.
 
-Fitted constants (means, modes, standard deviations) are computed in one
-aggregation job each and applied as literals, so the transform side is a
-narrow projection. Random choices are hash based, hence reproducible and
+Fitted constants (means, modes, standard deviations) come from two passes
+(``operators/preprocess.py``) and are applied as literals, so the transform side
+is a narrow projection. Random choices are hash based, hence reproducible and
 recomputable after an executor loss.
 """
 
@@ -17,9 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions import hash_bucket
-from cohortforge.operators.aggregates import all_zero_columns, column_means, column_modes, null_columns
-
-MEAN_HINTS = ("age", "avg", "los")
+from cohortforge.operators.preprocess import MEAN_HINTS, fit_constants  # noqa: F401
 
 
 def exclude_subgroup(df: DataFrame, col: str = "ft_admit_type_newborn", keep_value=0) -> DataFrame:
@@ -35,31 +33,60 @@ def _hash_order(key: str, seed: str):
     return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def hash_take(df: DataFrame, n: int, key: str = "hadm_id", seed: str = "42", prefix_digits: int = 4) -> DataFrame:
+def cut_hash(df: DataFrame, n: int, hash_col: str = "__h", prefix_digits: int = 4, small: int = 4096) -> tuple[str, int, int] | None:
+    """Radix selection of the n-th smallest hash text: (prefix, rows below it, rows
+    with it), None when there are at most ``n`` rows.
+
+    A round counts the rows by the next ``prefix_digits`` digits inside the prefix
+    found so far (at most 16^digits counts reach the driver) and lengthens it to the
+    bucket that holds the n-th row, until at most ``small`` rows share the prefix or
+    the hash is used up: 32 digits at the most, so 32 / digits rounds."""
+    prefix, below = "", 0
+    while True:
+        inside = df if not prefix else df.where(F.col(hash_col).startswith(prefix))
+        bucket = F.substring(hash_col, 1, len(prefix) + prefix_digits)
+        for r in inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect():
+            if below + r["n"] >= n:
+                prefix, here = r["b"], r["n"]
+                break
+            below += r["n"]
+        else:
+            return None
+        if below + here == n or here <= small or len(prefix) >= 32:
+            return prefix, below, here
+
+
+def hash_take(df: DataFrame, n: int, key: str = "hadm_id", seed: str = "42", prefix_digits: int = 4, small: int = 4096) -> DataFrame:
     """Exactly ``n`` rows (all when fewer), the first in md5(seed || key)
     order: a reproducible random sample without replacement.
 
-    The cut is found without a global sort: rows are counted per hash prefix
-    (16^digits buckets, uniform because md5 is), the boundary bucket comes
-    from that small histogram, and only the boundary bucket is ordered; every
-    other row is kept or dropped by its prefix."""
+    The cut is found by radix selection (:func:`cut_hash`): no sort, and no task
+    sees more than its part of the rows. Rows are then kept or dropped by comparing
+    their hash with the cut. Of the at most ``small`` rows of the last bucket the
+    hash at the cut is looked up; where several rows share that hash (one key
+    repeated), the wanted number of them is taken."""
     if n <= 0:
         return df.limit(0)
-    h = df.withColumn("__h", _hash_order(key, seed)).withColumn("__b", F.substring("__h", 1, prefix_digits))
-    hist = h.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).orderBy("__b").collect()
-    need, cut, rest = n, None, 0
-    for r in hist:
-        if r["n"] >= need:
-            cut, rest = r["__b"], need
-            break
-        need -= r["n"]
+    h = df.withColumn("__h", _hash_order(key, seed))
+    cut = cut_hash(h, n, "__h", prefix_digits, small)
     if cut is None:
-        chosen = h
+        return df
+    prefix, below, here = cut
+    end = prefix + "g" * (32 - len(prefix))  # after every hash with the prefix
+    if below + here == n:
+        return h.where(F.col("__h") < F.lit(end)).drop("__h")
+    of_bucket = h.where(F.col("__h").startswith(prefix))
+    if len(prefix) < 32:
+        hashes = sorted(r[0] for r in of_bucket.select("__h").collect())  # at most ``small``
+        last = hashes[n - below - 1]
+        first_of_last = below + hashes.index(last)
+        tied = hashes.count(last)
     else:
-        below = h.where(F.col("__b") < F.lit(cut))
-        edge = h.where(F.col("__b") == F.lit(cut)).orderBy("__h", key).limit(rest)
-        chosen = below.unionByName(edge)
-    return chosen.drop("__h", "__b")
+        last, first_of_last, tied = prefix, below, here
+    if first_of_last + tied == n:
+        return h.where(F.col("__h") <= F.lit(last)).drop("__h")
+    chosen = h.where(F.col("__h") < F.lit(last)).unionByName(h.where(F.col("__h") == F.lit(last)).limit(n - first_of_last))
+    return chosen.drop("__h")
 
 
 def undersample(df: DataFrame, label: str = "hcc_cd_135", key: str = "hadm_id", seed: str = "42",
@@ -67,10 +94,8 @@ def undersample(df: DataFrame, label: str = "hcc_cd_135", key: str = "hadm_id",
     """Exactly as many negatives as positives, without replacement, chosen by
     the order of md5(seed || key); rows with a null label are left out.
 
-    The n-th smallest hash is found without a global sort: negatives are
-    counted per hash prefix (16^digits buckets, uniform because md5 is), the
-    boundary bucket is found from the small histogram, and only that one
-    bucket is ordered. Every other negative is kept or dropped by its prefix."""
+    The n-th smallest hash is found by radix selection (:func:`hash_take`), without
+    a sort; every negative is kept or dropped by its hash."""
     pos = df.where(F.col(label) == F.lit(positive))
     n_pos = pos.count()
     if n_pos == 0:
@@ -131,22 +156,12 @@ def fit_preprocess(df: DataFrame, key: str = "hadm_id", label: str = "hcc_cd_135
     """Mean for the float columns picked by name (age / avg / los) or given,
     mode (smallest on ties) for every other column still holding nulls,
     then the all-zero columns, then mean and sample std of the features."""
-    cols = [c for c in df.columns if c != key]
-    if mean_cols is None:
-        mean_cols = [c for c in cols if any(h in c for h in MEAN_HINTS)]
-    means = column_means(df, list(mean_cols))
-    after_mean = df.fillna({k: v for k, v in means.items() if v is not None})
-    has_na = null_columns(after_mean, cols)
-    modes = column_modes(after_mean, has_na)
-    after_mode = after_mean.fillna({k: v for k, v in modes.items() if v is not None})
-    zero = all_zero_columns(after_mode, cols)
-    kept = after_mode.drop(*zero)
-    feats = [c for c in kept.columns if marker in c]
-    row = kept.agg(*[F.avg(F.col(c).cast("double")).alias("m_" + c) for c in feats],
-                   *[F.stddev_samp(F.col(c).cast("double")).alias("s_" + c) for c in feats]).first() if feats else None
-    centers = {c: row["m_" + c] for c in feats} if row else {}
-    scales = {c: row["s_" + c] for c in feats} if row else {}
-    return Preprocessor(means, modes, zero, centers, scales, key, label)
+    found = fit_constants(df, key, mean_cols, marker=marker)
+    value = lambda c: None if c.fill is None else float(c.fill) if c.type not in ("string", "boolean") else c.fill
+    flag = lambda c: float(c.fill) != 0 if c.type == "boolean" and c.fill is not None else value(c)
+    feats = [c for c in found if marker in c.name and not c.all_zero]
+    return Preprocessor({c.name: value(c) for c in found if c.by_mean}, {c.name: flag(c) for c in found if not c.by_mean and c.fill is not None},
+                        [c.name for c in found if c.all_zero], {c.name: c.center for c in feats}, {c.name: c.scale for c in feats}, key, label)
 
 
 def preprocess(df: DataFrame, fit_on: DataFrame | None = None, **kw) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ fitting uses MLlib estimators, which train distributed over the partitions.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cohortforge.operators.aggregates import unpivot_features
+from cohortforge.session import scratch_path
 
 
 # ------------------------------------------------------------------ statistics
@@ -35,6 +38,16 @@ def _pair_sums(batches, means: Sequence[float]):
                             "y": total[1].T.ravel(), "yy": total[2].T.ravel(), "xy": total[3].ravel()})
 
 
+def _pair_totals(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], DataFrame]:
+    """Column means, and for every ordered pair of columns the sums around them."""
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    first = wide.agg(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in wide.columns]).first()
+    means = [float(m) if m is not None else 0.0 for m in first]
+    sums = wide.mapInPandas(lambda it: _pair_sums(it, means),
+                            "i int, j int, n double, x double, xx double, y double, yy double, xy double")
+    return means, sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "y", "yy", "xy")])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, long form, over the rows in
     which both columns are known (pairwise-complete), whatever the number of
@@ -42,12 +55,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rows to the sums of every pair, which are added up: one pass, and columns
     x columns rows per task to shuffle. Null where a column does not vary."""
     cols = list(cols)
-    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    first = wide.agg(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in wide.columns]).first()
-    means = [float(m) if m is not None else 0.0 for m in first]
-    sums = wide.mapInPandas(lambda it: _pair_sums(it, means),
-                            "i int, j int, n double, x double, xx double, y double, yy double, xy double")
-    sums = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "y", "yy", "xy")])
+    _, sums = _pair_totals(df, cols)
     var_x, var_y = F.col("n") * F.col("xx") - F.col("x") ** 2, F.col("n") * F.col("yy") - F.col("y") ** 2
     real = (var_x > 1e-12 * F.col("n") * F.col("xx")) & (var_y > 1e-12 * F.col("n") * F.col("yy"))
     name = F.array(*[F.lit(c) for c in cols])
@@ -167,6 +175,49 @@ def pca_fit(df: DataFrame, features: Sequence[str], k: int):
                                                    for c in df.columns]))
 
 
+class GramPca:
+    """Principal components from the column sums: means, loadings (a column per
+    component, signs fixed by the largest loading) and variances of all components."""
+
+    def __init__(self, features: Sequence[str], means, loadings, variances):
+        self.features, self.means, self.loadings, self.variances = list(features), means, loadings, variances
+
+    @property
+    def ratios(self) -> list[float]:
+        total = float(self.variances.sum())
+        return [float(v) / total if total else 0.0 for v in self.variances]
+
+    def scores(self, df: DataFrame, names: Sequence[str]) -> DataFrame:
+        """The frame with one column per component: a sum of products, no model job."""
+        cols = {}
+        for j, name in enumerate(names):
+            terms = [(F.col(f"`{f}`").cast("double") - F.lit(float(m))) * F.lit(float(w))
+                     for f, m, w in zip(self.features, self.means, self.loadings[:, j])]
+            cols[name] = functools.reduce(lambda a, b: a + b, terms)
+        return df.withColumns(cols)
+
+
+def pca_gram(df: DataFrame, features: Sequence[str], k: int) -> GramPca:
+    """PCA by the eigenvectors of the covariance matrix, which the sums over pairs
+    of columns give (the same sums as the correlation matrix): one pass for the means,
+    one for the sums, then columns x columns numbers on the driver. Rows with a
+    missing value in a pair are left out of that pair."""
+    import numpy as np
+    means, sums = _pair_totals(df, features)
+    d = len(features)
+    n, x, y, xy = (np.zeros((d, d)) for _ in range(4))
+    for r in sums.select("i", "j", "n", "x", "y", "xy").collect():  # columns x columns
+        n[r["i"], r["j"]], x[r["i"], r["j"]], y[r["i"], r["j"]], xy[r["i"], r["j"]] = r["n"], r["x"], r["y"], r["xy"]
+    cov = (xy - x * y / np.maximum(n, 1)) / np.maximum(n - 1, 1)
+    values, vectors = np.linalg.eigh((cov + cov.T) / 2)
+    order = np.argsort(values)[::-1]
+    values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(d)])
+    known = np.diag(n)
+    centers = np.asarray(means) + np.diag(x) / np.maximum(known, 1)
+    return GramPca(features, centers, (vectors * np.where(signs == 0, 1, signs))[:, :k], values)
+
+
 def pca_scores(model, df: DataFrame, keep: Sequence[str] = ("hadm_id",), k: int | None = None) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     k = k or model.stages[-1].getK()
@@ -183,22 +234,60 @@ def pca_variance_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int]
     """Explained-variance ratios for several component counts: PCA's leading
     components do not depend on k, so one fit with max(k) serves every k."""
     kmax = min(max(ks), len(features))
-    model = pca_fit(df, features, kmax)
-    ev = model.stages[-1].explainedVariance.toArray().tolist()
-    rows = [(int(k), f"pc_{i}", float(ev[i])) for k in ks for i in range(min(k, kmax))]
+    ratios = pca_gram(df, features, kmax).ratios
+    rows = [(int(k), f"pc_{i}", ratios[i]) for k in ks for i in range(min(k, kmax))]
     return df.sparkSession.createDataFrame(rows, "n int, component string, variance double")
 
 
-def tree_fit(df: DataFrame, features: Sequence[str], label: str = "hcc_cd_135", min_leaf: int = 1,
+def tree_fit(df: DataFrame, features: Sequence[str], label: str = "hcc_cd_135", min_leaf: int = 1, min_split: int = 2,
              max_depth: int = 30, max_bins: int = 64, seed: int = 42):
-    """Entropy decision tree with at least ``min_leaf`` rows per leaf. MLlib
-    knows no minimum split size, tries ``max_bins`` cut points per feature and
-    grows at most 30 levels."""
+    """Entropy decision tree with at least ``min_leaf`` rows per leaf and
+    ``min_split`` rows per inner node (:func:`collapse_small_nodes`). MLlib tries
+    ``max_bins`` cut points per feature and grows at most 30 levels."""
     from pyspark.ml.classification import DecisionTreeClassifier
     data = assemble(df, features).withColumn("__y", F.col(label).cast("double"))
-    return DecisionTreeClassifier(featuresCol="features", labelCol="__y", impurity="entropy",
-                                  minInstancesPerNode=int(min_leaf), maxDepth=max_depth, seed=seed,
-                                  maxBins=max_bins).fit(data)
+    model = DecisionTreeClassifier(featuresCol="features", labelCol="__y", impurity="entropy",
+                                   minInstancesPerNode=int(min_leaf), maxDepth=max_depth, seed=seed,
+                                   maxBins=max_bins).fit(data)
+    return collapse_small_nodes(model, min_split, df.sparkSession) if min_split > 2 else model
+
+
+def tree_nodes(model, spark: SparkSession) -> DataFrame:
+    """The tree as a table, one row per node: id, prediction, rawCount (training
+    rows), gain, leftChild, rightChild (-1 at a leaf), split."""
+    path = scratch_path(spark, f"tree-{uuid.uuid4().hex}")
+    model.write().save(path)
+    return spark.read.parquet(f"{path}/data")
+
+
+def collapse_small_nodes(model, min_split: int, spark: SparkSession):
+    """The tree that a minimum split size would have grown: MLlib knows none, but
+    splits do not depend on what is below them, so an inner node with fewer than
+    ``min_split`` training rows is turned into a leaf (it holds its own
+    prediction and class counts) and its subtree goes. Counts only fall on the way
+    down, so a node stays if its parent has enough rows. Importances follow from the
+    nodes that are left, as MLlib computes them when it loads a tree.
+
+    The nodes pass through the driver, where MLlib holds the whole model anyway."""
+    path = scratch_path(spark, f"tree-{uuid.uuid4().hex}")
+    model.write().save(path)
+    table = spark.read.parquet(f"{path}/data")
+    nodes = {r["id"]: r.asDict() for r in table.collect()}
+    splits = {i for i, r in nodes.items() if r["leftChild"] >= 0 and r["rawCount"] >= min_split}
+    kept = sorted({0} | {nodes[i][side] for i in splits for side in ("leftChild", "rightChild")})
+    new_id = {old: at for at, old in enumerate(kept)}  # ids stay in pre-order, without gaps
+    rows = []
+    for old in kept:
+        r = dict(nodes[old], id=new_id[old])
+        if old in splits:
+            r["leftChild"], r["rightChild"] = new_id[r["leftChild"]], new_id[r["rightChild"]]
+        else:
+            r |= {"gain": -1.0, "leftChild": -1, "rightChild": -1, "split": (-1, [], -1)}
+        rows.append(tuple(r[c] for c in table.columns))
+    out = scratch_path(spark, f"tree-{uuid.uuid4().hex}")
+    spark.createDataFrame(rows, table.schema).coalesce(1).write.parquet(f"{out}/data")
+    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{out}/metadata")
+    return type(model).load(out)
 
 
 def importances(model, features: Sequence[str], spark: SparkSession, k: int | None = 25) -> DataFrame:

@@ -72,6 +72,9 @@ LITERATURE_FEATURES = ["ft_age", "ft_creatinine_increase_within_48", "ft_avg_hem
                        "ft_low_blood_ph_within_12_hrs", "ft_high_potassium", "ft_hcc_cd_19_dbtes_wo_comp",
                        "ft_hcc_cd_29_chronic_hepatitis", "ft_hcc_cd_85_chf", "ft_hcc_cd_136_ckd_stg_5"]
 
-TREE_SETTINGS = [dict(min_leaf=1), dict(min_leaf=75), dict(min_leaf=50)]
+TREE_SETTINGS = [dict(min_leaf=1), dict(min_leaf=75, min_split=275), dict(min_leaf=50, min_split=500)]
+CHI2_EXCLUDE = ("ft_avg_creatinine", "ft_baseline_creatinine")
 TOP_K = 25
+EXTERNAL_MODELS = [("svm-top-25-features", 0.85690, 0.80227, 0.75233),
+                   ("optimized-svm-top-25-features", 0.856475, 0.80246, 0.7514)]
 # ---------------------------------------------------------------------------

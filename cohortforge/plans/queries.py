@@ -18,7 +18,7 @@ from cohortforge.operators import aggregates as ag
 from cohortforge.operators import features as fx
 from cohortforge.operators.joins import lookup_join, match_statistics, merge_features
 from cohortforge.plans import pipeline as pl
-from cohortforge.plans.presets import TREE_SETTINGS
+from cohortforge.plans.presets import EXTERNAL_MODELS, TREE_SETTINGS
 from cohortforge.plans import sqlparts as S
 from cohortforge.plans.sqlparts import cci, fl, hours_lt, tv, with_ctes
 from cohortforge.sources import adapters as A
@@ -632,7 +632,7 @@ def q_bin_row_cap(spark, d):
 def q_csv_roundtrip(spark, d):
     """gzip CSV with upper-case headers, read back as text from a folder
     catalog, lower-cased and typed."""
-    from cohortforge.sources.io import TableSpec, apply_types, read_table_folder, write_table
+    from cohortforge.sources.io import TableSpec, apply_types, read_table_folder
     folder = _scratch(spark, "csv")
     nation = A.table(spark, d, "nation")
     nation.toDF(*[c.upper() for c in nation.columns]).write.option("header", True) \
@@ -931,9 +931,11 @@ def q_pca_scores(spark, d):
 
 @query("pca_variance_sweep")
 def q_pca_sweep(spark, d):
-    """Explained-variance ratios for 2..5 components (one fit)."""
-    tr, _, _, feats = _splits(spark, d)
-    return sel.pca_variance_sweep(tr, feats, ks=(2, 3, 4, 5))
+    """Explained-variance ratios for 5 to 9 components of the scaled training set (one fit)."""
+    from cohortforge.plans import model_sets as ms
+    from cohortforge.plans.queries_models import model_sets
+    folder = model_sets(spark, d)
+    return sel.pca_variance_sweep(ms.read_model_set(spark, folder, "train"), ms.shared_features(spark, folder))
 
 
 @query("tree_importance")
@@ -988,9 +990,7 @@ def q_model_comparison(spark, d):
     tr, va, _, feats = _splits(spark, d)
     rows = [sel.evaluate(sel.tree_fit(tr, feats, min_leaf=75), va, feats, "tree"),
             sel.evaluate(sel.logistic_fit(tr, feats), va, feats, "logistic-regression")]
-    external = [("svm-top-25-features", 0.85690, 0.80227, 0.75233),
-                ("optimized-svm-top-25-features", 0.856475, 0.80246, 0.7514)]
-    return sel.make_table(rows, external)
+    return sel.make_table(rows, EXTERNAL_MODELS)
 
 
 # ================================================================ feature assembly
@@ -1095,3 +1095,7 @@ def q_external_curve(spark, d):
     roc = sel.roc_points(_scored(spark, d))
     roc.select(F.monotonically_increasing_id().alias("idx"), F.col("fpr")).write.option("header", True).csv(path)
     return sel.read_external_curve(spark, path, column=1)
+
+
+# ==================================================================== model sets
+from cohortforge.plans import queries_models  # noqa: E402,F401

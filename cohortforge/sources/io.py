@@ -11,16 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.functions import hash_bin, tolerant_double, tolerant_timestamp
 
-# Catalog of the nine tables the feature pipeline reads, plus the lab tables.
-PIPELINE_TABLES = ("d_items", "chartevents", "admissions", "prescriptions", "diagnoses_icd",
-                   "d_icd_diagnoses", "patients", "icustays", "cptevents", "labevents", "d_labitems")
-
-
 @dataclass(frozen=True)
 class TableSpec:
     """Typed projection of a text table: column -> kind (string, double,
@@ -87,14 +82,6 @@ def apply_types(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*exprs)
 
 
-def convert_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """One-off conversion of a text source. A non-splittable (gzip) source
-    comes in as one partition per file, so rows are dealt round-robin to
-    ``partitions`` tasks before writing (no key, hence no hot partition)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n).write.mode("overwrite").parquet(path)
-
-
 def read_features(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
                   key: str = "hadm_id", key_type: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Reload a saved feature or model table: chosen columns only (pruned at
@@ -108,14 +95,16 @@ def read_features(spark: SparkSession, path: str, columns: Iterable[str] | None
     return df
 
 
-def shape(df: DataFrame) -> tuple[int, int]:
-    """(rows, columns): one count job."""
-    return df.count(), len(df.columns)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Iterable[str] | None = None) -> None:
-    """Feature / model-set sink (Parquet by default, CSV with header)."""
+                partition_by: Iterable[str] | None = None, measure: Mapping[str, Column] | None = None) -> dict:
+    """Feature / model-set sink (Parquet by default, CSV with header).
+
+    ``measure`` names aggregates over the table; they are taken from the written
+    files, so only the columns they name are read again and nothing before the write
+    runs twice. (``DataFrame.observe`` would take them on the way, but once a
+    session has an Observation it can't be serialised any more, and MLlib's fitted
+    models, which hold their session, then fail.) Returns the values, with ``rows``
+    and ``columns`` among them; without ``measure`` an empty dict."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -123,6 +112,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.option("header", True).csv(path)
     else:
         w.format(fmt).save(path)
+    if measure is None:
+        return {}
+    back = df.sparkSession.read.schema(df.schema).option("header", True).format(fmt).load(path)
+    row = back.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in measure.items()]).first()
+    return {"columns": len(df.columns), **row.asDict()}
+
+
+def write_report(spark: SparkSession, path: str, reports: Mapping[str, Mapping]) -> None:
+    """Report sink: (report, metric, value) rows of what :func:`write_table` returned,
+    as CSV. A few rows for each table that was written."""
+    rows = [(name, metric, None if value is None else float(value)) for name, metrics in reports.items() for metric, value in metrics.items()]
+    spark.createDataFrame(rows, "report string, metric string, value double").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).schema("report string, metric string, value double").csv(path)
 
 
 def with_hash_bin(df: DataFrame, key: str, bin_col: str = "bin_id", digits: int = 2) -> DataFrame:
