@@ -19,7 +19,8 @@ from cohortforge.functions import (contains_ci, contains_cs_any, flag, hours_int
 from cohortforge.operators.aggregates import discover_values, onehot_max_exprs
 from cohortforge.operators.joins import anti_lookup, broadcast_if_small, lookup_join
 from cohortforge.operators.windows import (HOT_SLOT_ROWS, NULL_BUCKET, dedupe_first, hour_bucket, order_key,
-                                           previous_values, running_aggregates, second_of_slot)
+                                           previous_values, running_aggregates, second_of_slot, tie_fields)
+from cohortforge.plans import presets as P
 
 KEY = "hadm_id"
 SUBJECT = "subject_id"
@@ -193,45 +194,37 @@ def keyword_group_windows(events: DataFrame, admissions: DataFrame, groups: Mapp
     """Flags per keyword, per keyword group and for any keyword, each also
     within x hours of the anchor time; max per entity, in one aggregation.
 
-    The anchor comes from a left join on (entity, subject). Admissions hold one
-    row per entity, so the join runs on the entity alone and the subject match
-    is a condition on the joined row: same result, and the join's partitioning
-    on the entity is reused by the aggregation (one shuffle fewer)."""
+    "Some hit within x hours of the anchor" is "the earliest hit is", so the events
+    are reduced to one row per (entity, subject) with a flag and the earliest time
+    of each keyword, combined before the shuffle; the admission is joined to those
+    rows (an admission is one row per entity; another subject's has no anchor)."""
+    text = F.lower(F.col(text_col))
+    words = list(dict.fromkeys(w for ws in groups.values() for w in ws))
+    hit, first = {w: f"__w{i}" for i, w in enumerate(words)}, {w: f"__t{i}" for i, w in enumerate(words)}
+    # each keyword test is evaluated once per row in a projection
+    rows = events.where(F.col(key).isNotNull()).select(
+        key, subject, _ts(events, time_col, strict_times).alias("__start"),
+        *[truthy(text.contains(F.lit(w.lower()))).alias(c) for w, c in hit.items()])
+    per = rows.groupBy(key, subject).agg(*[F.max(c).alias(c) for c in hit.values()],
+                                         *[F.min(F.when(F.col(hit[w]), F.col("__start"))).alias(c) for w, c in first.items()])
     adm = admissions.select(F.col(key).alias("__k"), F.col(subject).alias("__s"),
                             _ts(admissions, anchor_col, strict_times).alias("__anchor"))
-    j = events.join(adm, events[key] == adm["__k"], "left")
+    per = per.join(adm, per[key] == adm["__k"], "left")
     anchor = F.when(F.col(subject) == F.col("__s"), F.col("__anchor"))
-    start = _ts(events, time_col, strict_times)
-    text = F.lower(F.col(text_col))
-    words = list(dict.fromkeys(w for ws in groups.values() for w in ws))
-    # each keyword test and each window test is evaluated once per row in a
-    # projection; the aggregation then only combines booleans
-    wcol = {w: f"__w{i}" for i, w in enumerate(words)}
-    hcol = {h: f"__h{i}" for i, h in enumerate(hours)}
-    rows = j.where(F.col(key).isNotNull()).select(
-        key, *[truthy(text.contains(F.lit(w.lower()))).alias(c) for w, c in wcol.items()],
-        *[within_hours(start, anchor, h).alias(c) for h, c in hcol.items()])
-
-    def any_of(ws) -> Column:
-        cond = F.lit(False)
-        for w in ws:
-            cond = cond | F.col(wcol[w])
-        return cond
 
-    def both(cond: Column, h: float) -> Column:
-        return (cond & F.col(hcol[h])).cast("int")
+    def flags(label: str, ws: Sequence[str]) -> list[Column]:
+        any_hit = F.greatest(*[F.col(hit[w]) for w in ws]) if len(ws) > 1 else F.col(hit[ws[0]])
+        earliest = F.least(*[F.col(first[w]) for w in ws]) if len(ws) > 1 else F.col(first[ws[0]])
+        return [F.max(any_hit.cast("int")).alias(label),
+                *[F.max(within_hours(earliest, anchor, h).cast("int")).alias(f"{label}_within_{_h(h)}") for h in hours]]
 
-    any_hit = any_of(words)
-    aggs = [F.max(any_hit.cast("int")).alias(f"ft_any_{name}_rx")]
-    aggs += [F.max(both(any_hit, h)).alias(f"ft_any_{name}_rx_within_{_h(h)}") for h in hours]
+    aggs = flags(f"ft_any_{name}_rx", words)
     for group, ws in groups.items():
+        ws = list(dict.fromkeys(ws))
         for w in ws:
-            aggs.append(F.max(F.col(wcol[w]).cast("int")).alias(f"ft_{name}_{w}_rx"))
-            aggs += [F.max(both(F.col(wcol[w]), h)).alias(f"ft_{name}_{w}_rx_within_{_h(h)}") for h in hours]
-        g_hit = any_of(ws)
-        aggs.append(F.max(g_hit.cast("int")).alias(f"ft_{name}_{group}_rx"))
-        aggs += [F.max(both(g_hit, h)).alias(f"ft_{name}_{group}_rx_within_{_h(h)}") for h in hours]
-    return rows.groupBy(key).agg(*aggs)
+            aggs += flags(f"ft_{name}_{w}_rx", [w])
+        aggs += flags(f"ft_{name}_{group}_rx", ws)
+    return per.groupBy(key).agg(*aggs)
 
 
 def _h(h: float) -> str:
@@ -285,7 +278,7 @@ def other_visits_within_days(admissions: DataFrame, stays: DataFrame, days: Sequ
             prior_maxes[f"md_{u}"] = F.when(has_admit & (F.col(f"u_{u}") == 1), F.col("disch"))
     b = running_aggregates(b, "s", hour_bucket(F.col("admit"), bucket_hours), [F.col("admit"), F.col("h")],
                            {"pos": F.lit(1)}, prior_maxes, split=second_of_slot(F.col("admit"), bucket_hours),
-                           hot_rows=hot_rows)
+                           hot_rows=hot_rows, ties=tie_fields(b, "h"))
     nbits = max(1, int(n_sub.agg(F.max("n_sub")).first()[0] or 1).bit_length())
     if direction == "prior":
         return _prior_visits(b, days, unit_days, units, key, prefix, nbits, bucket_hours, hot_rows)
@@ -480,12 +473,31 @@ def threshold_flags(labs: DataFrame, specs: Mapping[str, dict], key: str = KEY)
 # ------------------------------------------------------------------- chart features (F-12..F-17)
 def low_value_windows(charts: DataFrame, name: str = "blood_ph", label_any: Sequence[str] = ("pH", "PH"),
                       cut: float = 7.30, hours: Sequence[float] = (6, 12, 24, 36, 48), masked: bool = False,
-                      with_means: bool = True, key: str = KEY) -> DataFrame:
+                      with_means: bool = True, key: str = KEY, anchors: DataFrame | None = None,
+                      subject: str = SUBJECT) -> DataFrame:
     """Low-value flag, also within x hours of admission; a mean per flag
-    (``masked=False`` reproduces the unmasked means) and the overall mean."""
+    (``masked=False`` reproduces the unmasked means) and the overall mean.
+
+    ``anchors`` (entity, subject, admittime; one row each) serves events without an
+    admission time: the earliest low reading decides every window, so the events
+    are reduced first and the anchors joined to one row per (entity, subject).
+    Masked means need the window of every reading, hence the time on the events."""
     res = charts.where(contains_cs_any(F.col("label"), label_any))
     v = F.col("valuenum")
     low = truthy(v < F.lit(cut))
+    if anchors is not None:
+        if masked:
+            raise ValueError("masked means need the admission time on the events")
+        per = res.where(F.col(key).isNotNull()).groupBy(key, subject).agg(
+            F.max(low.cast("int")).alias("__low"), F.min(F.when(low, F.col("eventtime"))).alias("__first"),
+            F.sum(v).alias("__sum"), F.count(v).alias("__n"))
+        per = per.join(anchors.select(key, subject, "admittime"), [key, subject], "left")
+        names = {f"ft_low_{name}": F.max("__low")}
+        for h in hours:
+            names[f"ft_low_{name}_within_{_h(h)}_hrs"] = F.max(within_hours(F.col("__first"), F.col("admittime"), h).cast("int"))
+        mean = F.try_divide(F.sum("__sum"), F.sum("__n"))
+        means = [mean.alias(k.replace("ft_", "ft_avg_", 1)) for k in names] + [mean.alias(f"ft_{name}")]
+        return per.groupBy(key).agg(*[c.alias(k) for k, c in names.items()], *(means if with_means else []))
     flags = {f"ft_low_{name}": low}
     for h in hours:
         flags[f"ft_low_{name}_within_{_h(h)}_hrs"] = low & within_hours(F.col("eventtime"), F.col("admittime"), h)
@@ -497,16 +509,6 @@ def low_value_windows(charts: DataFrame, name: str = "blood_ph", label_any: Sequ
     return res.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
-DEFAULT_BANDS = {
-    # name: (systolic rule, diastolic rule, combine); rules are (op, a, b)
-    "ft_elevated_bp": (("between", 120, 129), ("<", 80, None), "and"),
-    "ft_abnormally_low_bp": (("<", 119, None), ("<", 79, None), "and"),
-    "ft_hbp_stg_1": (("between", 130, 139), ("between", 80, 89), "or"),
-    "ft_hbp_stg_2": (("between", 140, 179), ("between", 90, 119), "or"),
-    "ft_hbp_crisis": ((">", 180, None), (">", 120, None), "or"),
-}
-
-
 def _rule(v: Column, rule) -> Column:
     op, a, b = rule
     if op == "between":
@@ -516,16 +518,21 @@ def _rule(v: Column, rule) -> Column:
 
 def paired_reading_bands(charts: DataFrame, first: str = "systolic", second: str = "diastolic",
                          exclude: Sequence[str] = ("unloading", "pulmonary", "pap"),
-                         bands: Mapping[str, tuple] = DEFAULT_BANDS, window_band: str = "ft_hbp_stg_2",
+                         bands: Mapping[str, tuple] = P.PRESSURE_BANDS, window_band: str = "ft_hbp_stg_2",
                          hours: Sequence[float] = (6, 12, 24, 36, 48), window_suffix: str = "hours",
-                         key: str = KEY) -> DataFrame:
+                         key: str = KEY, anchors: DataFrame | None = None, subject: str = SUBJECT) -> DataFrame:
     """Bands over readings of two series taken at the same entity and instant.
 
     Each band is "first-rule AND/OR second-rule" maxed over all co-occurring
     pairs. Over the pairs of one (entity, instant) group such a max equals a
     combination of per-side existence flags, so each side is aggregated to
     one row per group first and the sides are joined 1:1 (null instants
-    match each other). No pair is ever materialised."""
+    match each other). No pair is ever materialised.
+
+    ``anchors`` (entity, subject, admittime; one row each) serves events without an
+    admission time: the earliest instant at which the window band holds decides all
+    windows, so the anchors are joined to one row per entity and subject. An
+    entity's readings are taken to be of one subject."""
     def side(word: str) -> DataFrame:
         return charts.where(contains_ci(F.col("label"), word) & _excluding(F.col("label"), exclude)
                             & F.col(key).isNotNull())
@@ -534,7 +541,9 @@ def paired_reading_bands(charts: DataFrame, first: str = "systolic", second: str
     sv, dv = F.col("valuenum"), F.col("valuenum")
     s_aggs = [F.max(_rule(sv, r[0]).cast("int")).alias(f"s_{n}") for n, r in bands.items()]
     wr = bands[window_band][0] if window_band else None
-    for h in hours if window_band else ():
+    if anchors is not None:
+        s_aggs.append(F.max(subject).alias(subject))
+    for h in hours if window_band and anchors is None else ():
         w = within_hours(F.col("eventtime"), F.col("admittime"), h)
         s_aggs.append(F.max(w.cast("int")).alias(f"w_{_h(h)}"))
         s_aggs.append(F.max((w & _rule(sv, wr)).cast("int")).alias(f"pw_{_h(h)}"))
@@ -551,6 +560,13 @@ def paired_reading_bands(charts: DataFrame, first: str = "systolic", second: str
     for n, (_, _, how) in bands.items():
         a, b = F.col(f"s_{n}"), F.col(f"d_{n}")
         out.append(F.max(F.least(a, b) if how == "and" else F.greatest(a, b)).alias(n))
+    if anchors is not None and window_band:
+        holds = (F.greatest(f"s_{window_band}", f"d_{window_band}") == 1) & ~F.col("__tn")
+        per = j.groupBy(key, subject).agg(*out, F.min(F.when(holds, F.col("__tk"))).alias("__first"))
+        per = per.join(anchors.select(key, subject, "admittime"), [key, subject], "left")
+        return per.groupBy(key).agg(*[F.max(n).alias(n) for n in bands], *[
+            F.max(within_hours(F.col("__first"), F.col("admittime"), h).cast("int")).alias(f"{window_band}_within_{_h(h)}_{window_suffix}")
+            for h in hours])
     for h in hours if window_band else ():
         pw, w, q = F.col(f"pw_{_h(h)}"), F.col(f"w_{_h(h)}"), F.col(f"d_{window_band}")
         out.append(F.max(F.greatest(pw, F.least(w, q))).alias(f"{window_band}_within_{_h(h)}_{window_suffix}"))
@@ -563,20 +579,22 @@ def group_reference_range(charts: DataFrame, groups: DataFrame, name: str = "hem
                           key: str = KEY) -> DataFrame:
     """Above / below a reference range that depends on a group column (e.g.
     gender), and below a hard floor; mean value. An unknown group uses the
-    other range (negation of a False match)."""
-    res = charts.where(contains_ci(F.col("label"), name) & _excluding(F.col("label"), exclude)
-                       & F.col(key).isNotNull())
-    g = groups.select(F.col(key).alias("__k"), F.col(group_col).alias("__g"))
-    j = res.join(g, res[key] == g["__k"], "left")
+    other range (negation of a False match).
+
+    "Some value above a limit" is "the largest value is", so the readings are reduced
+    to one row per entity before the group is joined."""
     v = F.col("valuenum")
-    ing = truthy(F.col("__g") == F.lit(group_value))
-    above = (ing & truthy(v > in_group_range[1])) | (~ing & truthy(v > other_range[1]))
-    below = (ing & truthy(v < in_group_range[0])) | (~ing & truthy(v < other_range[0]))
-    return j.groupBy(key).agg(
-        F.avg(v).alias(f"ft_avg_{name}"),
-        F.max(above.cast("int")).alias(f"ft_above_normal_{name}"),
-        F.max(below.cast("int")).alias(f"ft_below_normal_{name}"),
-        F.max(truthy(v < F.lit(very_low)).cast("int")).alias(f"ft_way_below_normal_{name}"))
+    per = charts.where(contains_ci(F.col("label"), name) & _excluding(F.col("label"), exclude)
+                       & F.col(key).isNotNull()).groupBy(key).agg(F.avg(v).alias("__avg"), F.max(v).alias("__max"), F.min(v).alias("__min"))
+    of_group = truthy(F.col(group_col) == F.lit(group_value))
+    g = groups.groupBy(F.col(key).alias("__k")).agg(F.max(of_group).alias("__in"), F.max(~of_group).alias("__out"))
+    j = per.join(g, per[key] == g["__k"], "left")
+    ing, other = F.coalesce("__in", F.lit(False)), F.coalesce("__out", F.lit(True))
+    above = (ing & truthy(F.col("__max") > in_group_range[1])) | (other & truthy(F.col("__max") > other_range[1]))
+    below = (ing & truthy(F.col("__min") < in_group_range[0])) | (other & truthy(F.col("__min") < other_range[0]))
+    return j.select(key, F.col("__avg").alias(f"ft_avg_{name}"), above.cast("int").alias(f"ft_above_normal_{name}"),
+                    below.cast("int").alias(f"ft_below_normal_{name}"),
+                    truthy(F.col("__min") < F.lit(very_low)).cast("int").alias(f"ft_way_below_normal_{name}"))
 
 
 def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak: str, key: str,
@@ -586,7 +604,8 @@ def _serial_rows(charts: DataFrame, match: str, max_value: float, order_tiebreak
     res = res.select(key, "eventtime", "valuenum", order_tiebreak)
     prev = previous_values(res, key, hour_bucket(F.col("eventtime"), bucket_hours),
                            [F.col("eventtime"), F.col(order_tiebreak)], ["valuenum", "eventtime"],
-                           split=second_of_slot(F.col("eventtime"), bucket_hours), hot_rows=hot_rows)
+                           split=second_of_slot(F.col("eventtime"), bucket_hours), hot_rows=hot_rows,
+                           ties=tie_fields(res, order_tiebreak))
     return prev.select(key, "eventtime", "valuenum", order_tiebreak,
                        (F.col("valuenum") - F.col("prev_valuenum")).alias("delta"),
                        (F.col("eventtime") - F.col("prev_eventtime")).alias("delta_time"))
@@ -684,12 +703,8 @@ def gender_frame(admissions: DataFrame, patients: DataFrame, gender_map: Mapping
 
 
 # --------------------------------------------------------------------------- demographics (F-13)
-UNKNOWN_CLASSES = ("ft_race_patient_declined_to_answer", "ft_race_unable_to_be_obtained",
-                   "ft_race_unknown_not_specified")
-
-
 def demographics(admissions: DataFrame, patients: DataFrame, gender_map: Mapping[str, int] | None = None,
-                 fold: Sequence[str] | None = UNKNOWN_CLASSES, fold_name: str = "ft_race_missing_info",
+                 fold: Sequence[str] | None = P.UNKNOWN_ETHNICITY, fold_name: str = "ft_race_missing_info",
                  normalizer=normalize_ethnicity, type_values: Sequence[str] | None = None,
                  race_values: Sequence[str] | None = None, max_age_days: int = 106751,
                  key: str = KEY, subject: str = SUBJECT) -> DataFrame:

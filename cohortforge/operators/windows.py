@@ -83,7 +83,8 @@ def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges:
 # bounded by the calendar (number of slots spanned), not by the data volume.
 #
 # A slot that alone holds more than ``hot_rows`` rows of one entity is cut
-# further, by the second inside the slot (``second_of_slot``): such slots are
+# further, by the second inside the slot (``second_of_slot``) and by ranges of the
+# tie-break, so that rows of one instant or without a time are cut too: such slots are
 # found by a count per (entity, slot), a table of at most rows / hot_rows
 # entries (combined map-side, so a hot slot is counted in many tasks). The finer bucket is still
 # monotone in the order, so the same two-level scheme applies unchanged.
@@ -110,70 +111,104 @@ def second_of_slot(t: Column, hours: int = 1) -> tuple[Column, int]:
     return F.coalesce(F.pmod(secs, F.lit(width)), F.lit(0)).cast("bigint"), width
 
 
-def _with_bucket(df: DataFrame, key: str, bucket: Column, split: tuple[Column, int] | None,
-                 hot_rows: int) -> DataFrame:
-    """``df`` with the bucket column ``__b``; slots of an entity holding more
-    than ``hot_rows`` rows are refined by ``split`` = (sub-slot, sub-slots per slot)."""
-    d = df.withColumn("__b", bucket)
+MAX_TIE_RANGES = 4096
+BUCKET = ["__b", "__t"]
+
+
+def tie_fields(df: DataFrame, column: str) -> list[Column]:
+    """The numeric fields that lead a tie-break column (the column itself, or the
+    fields of a struct up to the first that is not numeric), as doubles."""
+    from pyspark.sql.types import NumericType, StructType
+    kind, out = df.schema[column].dataType, []
+    fields = [(F.col(f"{column}.{f.name}"), f.dataType) for f in kind.fields] if isinstance(kind, StructType) else [(F.col(column), kind)]
+    for col, t in fields:
+        if not isinstance(t, NumericType):
+            break
+        out.append(col.cast("double"))
+    return out
+
+
+def _with_bucket(df: DataFrame, key: str, bucket: Column, split: tuple[Column, int] | None, hot_rows: int,
+                 ties: Sequence[Column] = ()) -> DataFrame:
+    """``df`` with the bucket columns ``__b`` and ``__t``, together non-decreasing in
+    the order within an entity. Slots of an entity holding more than ``hot_rows``
+    rows (rows without a time are one slot) are refined by ``split`` = (sub-slot,
+    sub-slots per slot), and by ranges of the tie-break, which cut rows of one second
+    or of no time.
+
+    The ranges have one width, from the least and largest value in the slot of the
+    first of the ``ties`` that varies there; all before it are constant in the slot,
+    so the ranges follow the order. They come with the count of the slot."""
+    d = df.withColumn("__b", bucket).withColumn("__t", F.lit(0))
     if split is None:
         return d
     fine, width = split
-    hot = (d.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"))
-           .where((F.col("__n") > F.lit(hot_rows)) & (F.col("__b") != F.lit(NULL_BUCKET)))
-           .select(key, "__b", F.lit(1).alias("__hot")))
+    ties = list(ties)
+    lows = [x for i, c in enumerate(ties) for x in (F.min(c).alias(f"__l{i}"), F.max(c).alias(f"__g{i}"), F.count(c).alias(f"__c{i}"))]
+    hot = (d.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__n"), *lows).where(F.col("__n") > F.lit(hot_rows))
+           .withColumn("__hot", F.lit(1)))
     # no counting job here: it would recompute the whole upstream lineage once
     # more; a hot table the estimate cannot bound is joined normally and AQE
     # turns the join into a broadcast once the small side is materialized
     d = d.join(broadcast_if_small(hot), [key, "__b"], "left")
+    no_time = F.col("__b") == F.lit(NULL_BUCKET)
     refined = F.col("__b") * F.lit(width) + F.when(F.col("__hot") == 1, fine).otherwise(F.lit(0))
-    return d.withColumn("__b", F.when(F.col("__b") == F.lit(NULL_BUCKET), F.col("__b")).otherwise(refined)) \
-        .drop("__hot")
+    ranges = F.least(F.ceil(F.col("__n") / F.lit(hot_rows)), F.lit(MAX_TIE_RANGES))
+    part = F.lit(0)
+    for i in reversed(range(len(ties))):
+        usable = F.col(f"__c{i}") == F.col("__n")
+        place = F.floor((ties[i] - F.col(f"__l{i}")) / (F.col(f"__g{i}") - F.col(f"__l{i}")) * ranges)
+        part = F.when(~usable, 0).when(F.col(f"__g{i}") > F.col(f"__l{i}"), F.least(place, ranges - 1)).otherwise(part)
+    return d.withColumns({"__b": F.when(no_time, F.col("__b")).otherwise(refined),
+                          "__t": F.when(F.col("__hot") == 1, part).otherwise(0).cast("int")}).drop(
+        "__hot", "__n", *[f"__{x}{i}" for i in range(len(ties)) for x in "lgc"])
 
 
 def previous_values(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
                     cols: Sequence[str], prefix: str = "prev_", split: tuple[Column, int] | None = None,
-                    hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
+                    hot_rows: int = HOT_SLOT_ROWS, ties: Sequence[Column] = ()) -> DataFrame:
     """Previous row's values per entity in ``order_cols`` (nulls last); the
     first row of an entity takes its own values. ``bucket`` must be
     non-decreasing in that order within an entity, and so must ``split``'s
-    sub-slot within a slot (see ``_with_bucket``)."""
+    sub-slot within a slot, and ``ties`` be the numbers that decide the order of rows
+    of one instant or none (see ``_with_bucket``)."""
     ordered = [c.asc_nulls_last() for c in order_cols]
-    d = _with_bucket(df, key, bucket, split, hot_rows)
-    w = Window.partitionBy(key, "__b").orderBy(*ordered)
+    d = _with_bucket(df, key, bucket, split, hot_rows, ties)
+    w = Window.partitionBy(key, *BUCKET).orderBy(*ordered)
     inner = d.select("*", F.row_number().over(w).alias("__rn"),
                      *[F.lag(c).over(w).alias(f"__lag_{c}") for c in cols])
-    last = d.groupBy(key, "__b").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(order_cols))
+    last = d.groupBy(key, *BUCKET).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(order_cols))
                                      .alias("__last"))
-    wb = Window.partitionBy(key).orderBy("__b")
-    prevb = last.select(key, "__b", F.lag("__last").over(wb).alias("__pl"))
-    j = inner.join(prevb, [key, "__b"], "left")
+    wb = Window.partitionBy(key).orderBy(*BUCKET)
+    prevb = last.select(key, *BUCKET, F.lag("__last").over(wb).alias("__pl"))
+    j = inner.join(prevb, [key, *BUCKET], "left")
     out = j.select("*", *[F.when(F.col("__rn") > 1, F.col(f"__lag_{c}"))
                           .when(F.col("__pl").isNotNull(), F.col(f"__pl.{c}"))
                           .otherwise(F.col(c)).alias(prefix + c) for c in cols])
-    return out.drop("__b", "__rn", "__pl", *[f"__lag_{c}" for c in cols])
+    return out.drop(*BUCKET, "__rn", "__pl", *[f"__lag_{c}" for c in cols])
 
 
 def running_aggregates(df: DataFrame, key: str, bucket: Column, order_cols: Sequence[Column],
                        sums: dict, maxes: dict, split: tuple[Column, int] | None = None,
-                       hot_rows: int = HOT_SLOT_ROWS) -> DataFrame:
+                       hot_rows: int = HOT_SLOT_ROWS, ties: Sequence[Column] = ()) -> DataFrame:
     """Running (inclusive prefix) sums and maxima per entity in
     ``order_cols``: {output name: Column}. Prefix of earlier buckets from the
     bucket summaries, plus the running value inside the row's bucket."""
     ordered = [c.asc_nulls_last() for c in order_cols]
-    d = _with_bucket(df, key, bucket, split, hot_rows)
-    w = (Window.partitionBy(key, "__b").orderBy(*ordered)
+    d = _with_bucket(df, key, bucket, split, hot_rows, ties)
+    w = (Window.partitionBy(key, *BUCKET).orderBy(*ordered)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.select("*", *[F.sum(c).over(w).alias(f"__is_{n}") for n, c in sums.items()],
                      *[F.max(c).over(w).alias(f"__im_{n}") for n, c in maxes.items()])
-    tot = d.groupBy(key, "__b").agg(*[F.sum(c).alias(f"__ts_{n}") for n, c in sums.items()],
+    tot = d.groupBy(key, *BUCKET).agg(*[F.sum(c).alias(f"__ts_{n}") for n, c in sums.items()],
                                     *[F.max(c).alias(f"__tm_{n}") for n, c in maxes.items()])
-    wb = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    before = tot.select(key, "__b", *[F.sum(f"__ts_{n}").over(wb).alias(f"__bs_{n}") for n in sums],
+    wb = Window.partitionBy(key).orderBy(*BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before = tot.select(key, *BUCKET, *[F.sum(f"__ts_{n}").over(wb).alias(f"__bs_{n}") for n in sums],
                         *[F.max(f"__tm_{n}").over(wb).alias(f"__bm_{n}") for n in maxes])
-    j = inner.join(before, [key, "__b"], "left")
+    j = inner.join(before, [key, *BUCKET], "left")
     out = j.select("*", *[(F.coalesce(F.col(f"__bs_{n}"), F.lit(0)) + F.coalesce(F.col(f"__is_{n}"), F.lit(0)))
                           .alias(n) for n in sums],
                    *[F.greatest(F.col(f"__bm_{n}"), F.col(f"__im_{n}")).alias(n) for n in maxes])
-    drop = ["__b"] + [f"__{p}_{n}" for n in sums for p in ("is", "bs")] + \
+    drop = BUCKET + [f"__{p}_{n}" for n in sums for p in ("is", "bs")] + \
         [f"__{p}_{n}" for n in maxes for p in ("im", "bm")]
     return out.drop(*drop)

@@ -41,14 +41,13 @@ def with_row_order(charts: DataFrame, order: str | None = None) -> DataFrame:
     return charts.withColumn("row_order", col.try_cast("bigint") if charts.schema[name].dataType.simpleString() == "string" else col)
 
 
-def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bins: Sequence[str] | None = None,
+def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame | None, bins: Sequence[str] | None = None,
                        item_filter: Column | None = None, key: str = "hadm_id",
                        max_rows_per_bin: int | None = None, order: str | None = None,
                        columns: Sequence[str] | None = None) -> DataFrame:
-    """Cleaned, de-duplicated chart events with the label columns; only the
-    given ``columns`` enter the de-duplication. The label
-    frame has one row per (subject, entity), so its join is a per-row lookup
-    and is done after de-duplication: fewer rows reach the join."""
+    """Cleaned, de-duplicated chart events, with the label columns where a label
+    frame is given (one row per (subject, entity), joined after de-duplication);
+    only the given ``columns`` enter the de-duplication."""
     charts = with_row_order(charts, order)
     if bins is not None:
         charts = charts.where(hash_bin(F.col(key)).isin(list(bins)))
@@ -58,7 +57,7 @@ def clean_chart_events(charts: DataFrame, items: DataFrame, label: DataFrame, bi
                                   max_rows_per_bin).drop("__bin")
     ev = fx.clean_events(charts, items, None, item_filter=item_filter)
     ev = fx.dedupe_events(ev if columns is None else ev.select(*[c for c in columns if c in ev.columns]))
-    return ev.join(label, on=["subject_id", key], how="left")
+    return ev if label is None else ev.join(label, on=["subject_id", key], how="left")
 
 
 def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demographics: DataFrame,
@@ -66,15 +65,17 @@ def chart_features(charts: DataFrame, items: DataFrame, label: DataFrame, demogr
                    materialize_events: bool = True, max_rows_per_bin: int | None = None,
                    order: str | None = None) -> DataFrame:
     """Creatinine, hematocrit, blood pressure and blood pH features, merged:
-    all hash bins in one job (``bins`` restricts to some bins)."""
-    ev = clean_chart_events(charts, items, label, bins, chart_item_filter() if use_item_filter else None,
+    all hash bins in one job (``bins`` restricts to some bins). The admission time,
+    all that the features need of the label frame, joins the reduced rows of an
+    entity, never the events."""
+    ev = clean_chart_events(charts, items, None, bins, chart_item_filter() if use_item_filter else None,
                             max_rows_per_bin=max_rows_per_bin, order=order, columns=CHART_COLUMNS)
     if materialize_events:
         ev = materialize(ev, "chart-events")
     creat = fx.serial_change(ev, **P.CREATININE)
     hema = fx.group_reference_range(ev, demographics, **P.HEMATOCRIT)
-    bp = fx.paired_reading_bands(ev, exclude=P.PRESSURE_EXCLUDE, hours=P.PRESSURE_WINDOW_HOURS)
-    ph = fx.low_value_windows(ev, **P.BLOOD_PH)
+    bp = fx.paired_reading_bands(ev, exclude=P.PRESSURE_EXCLUDE, hours=P.PRESSURE_WINDOW_HOURS, anchors=label)
+    ph = fx.low_value_windows(ev, **P.BLOOD_PH, anchors=label)
     return merge_features([creat, hema, bp, ph])
 
 

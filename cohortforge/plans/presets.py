@@ -56,6 +56,13 @@ LABS = {
 
 BLOOD_PH = dict(label_any=("pH", "PH"), cut=7.30, hours=(6, 12, 24, 36, 48))
 
+PRESSURE_BANDS = {  # name: (systolic rule, diastolic rule, how they combine); a rule is (operator, limit, limit)
+    "ft_elevated_bp": (("between", 120, 129), ("<", 80, None), "and"),
+    "ft_abnormally_low_bp": (("<", 119, None), ("<", 79, None), "and"),
+    "ft_hbp_stg_1": (("between", 130, 139), ("between", 80, 89), "or"),
+    "ft_hbp_stg_2": (("between", 140, 179), ("between", 90, 119), "or"),
+    "ft_hbp_crisis": ((">", 180, None), (">", 120, None), "or"),
+}
 PRESSURE_EXCLUDE = ("unloading", "pulmonary", "pap")
 PRESSURE_WINDOW_HOURS = (6, 12, 24, 36, 48)
 

@@ -18,6 +18,7 @@ from cohortforge.operators import aggregates as ag
 from cohortforge.operators import features as fx
 from cohortforge.operators.joins import lookup_join, match_statistics, merge_features
 from cohortforge.plans import pipeline as pl
+from cohortforge.plans import presets as P
 from cohortforge.plans.presets import EXTERNAL_MODELS, TREE_SETTINGS
 from cohortforge.plans import sqlparts as S
 from cohortforge.plans.sqlparts import cci, fl, hours_lt, tv, with_ctes
@@ -571,7 +572,7 @@ def q_chart_features(spark, d):
 @query("paired_reading_bands_no_low", _bp_sql("dd", S.EVENTS_CTES, low=False))
 def q_paired_no_low(spark, d):
     """Older band set (no low band) on the chart events."""
-    bands = {k: v for k, v in fx.DEFAULT_BANDS.items() if k != "ft_abnormally_low_bp"}
+    bands = {k: v for k, v in P.PRESSURE_BANDS.items() if k != "ft_abnormally_low_bp"}
     return fx.paired_reading_bands(_dedup(spark, d), bands=bands)
 
 
