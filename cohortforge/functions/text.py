@@ -53,8 +53,3 @@ def normalize_ethnicity_v1(c: Column) -> Column:
 
 def strip_brackets(c: Column) -> Column:
     return F.translate(c, "[]", "")
-
-
-def safe_suffix(value: str) -> str:
-    """Value text as it appears in a one-hot column name."""
-    return str(value)

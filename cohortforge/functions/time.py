@@ -15,10 +15,6 @@ def hours_interval(h: float) -> Column:
     return F.make_dt_interval(hours=F.lit(int(h)), mins=F.lit(0), secs=F.lit(round((h - int(h)) * 3600, 6)))
 
 
-def days_interval(d: int) -> Column:
-    return F.make_dt_interval(days=F.lit(int(d)))
-
-
 def within_hours(event: Column, anchor: Column, hours: float, lower_hours: float | None = None,
                  inclusive: bool = False) -> Column:
     """``event - anchor < hours`` (or ``<=``). No lower bound unless given:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,25 +13,6 @@ from cohortforge.session import scratch_path
 
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
-_AGGS = {
-    "max": F.max, "min": F.min, "mean": F.avg, "avg": F.avg, "sum": F.sum,
-    "first": lambda c: F.first(c, ignorenulls=True), "count": F.count,
-}
-
-def group_max(df: DataFrame, keys: str | Sequence[str], cols: Iterable[str]) -> DataFrame:
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return (df.where(_not_null(keys)).groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols]))
-
-
-def agg_spec(df: DataFrame, keys: str | Sequence[str], spec: Mapping[str, str | Column]) -> DataFrame:
-    """groupBy + one aggregate per column from a {column: 'max'|'mean'|'first'|...}
-    spec. Null keys are dropped first (grouping drops them)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    exprs = []
-    for c, how in spec.items():
-        exprs.append((_AGGS[how](F.col(c)) if isinstance(how, str) else how).alias(c))
-    return df.where(_not_null(keys)).groupBy(*keys).agg(*exprs)
-
 
 def _not_null(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
@@ -57,6 +38,40 @@ def onehot_long(df: DataFrame, keys: str | Sequence[str], col: str | Column, pre
     return named.select(*keys, F.concat(F.lit(f"{prefix}_"), F.col("__v")).alias("feature"), F.lit(1).alias("value")).distinct()
 
 
+def category_places(df: DataFrame, col: str) -> DataFrame:
+    """(value, place) of the distinct non-null values, places from 0 in their order,
+    for any number of values: they are sorted by range, and one count per range
+    gives the ranges their offsets. Nothing is collected."""
+    path = scratch_path(df.sparkSession, f"places-{uuid.uuid4().hex}")
+    values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    values.repartitionByRange("value").sortWithinPartitions("value").select(
+        "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row")).write.parquet(path)
+    values = df.sparkSession.read.parquet(path)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = values.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return values.join(F.broadcast(offsets), "part").select("value", (F.col("base") + F.col("row")).alias("place"))
+
+
+def onehot_sparse(df: DataFrame, keys: str | Sequence[str], col: str, places: DataFrame | None = None) -> DataFrame:
+    """One-hot encoding as one sparse vector per key: ``size`` (number of values),
+    ``indices`` (ascending places of the values that occur, see
+    :func:`category_places`); a key without any value has no index. Serves domains
+    that are too large for a column per value; a row holds what occurs of its key."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    places = category_places(df, col) if places is None else places
+    size = places.count()
+    rows = df.where(_not_null(keys)).select(*keys, F.col(col).alias("value")).distinct().join(places, "value", "left")
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.col("place").cast("int"))).alias("indices")).select(
+        *keys, F.lit(size).cast("long").alias("size"), "indices")
+
+
+def to_vectors(sparse: DataFrame, name: str = "vector") -> DataFrame:
+    """The same rows with MLlib sparse vectors of ones in place of size and indices."""
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+    vector = F.udf(lambda n, at: SparseVector(n, at, [1.0] * len(at)), VectorUDT())
+    return sparse.withColumn(name, vector("size", "indices")).drop("size", "indices")
+
+
 def onehot_max_exprs(col: Column, values: Sequence, prefix: str) -> list[Column]:
     """0/1 indicator per value, maxed per group: a null or unlisted value gives
     all zeros, exactly like a dummy row."""

@@ -38,11 +38,6 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: str | Column) -> Dat
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
-def first_by_order(df: DataFrame, key: str, value: str, order: Column, name: str) -> DataFrame:
-    """First value per key in the given order, as an aggregate."""
-    return df.groupBy(key).agg(F.min_by(F.col(value), order).alias(name))
-
-
 def first_n_in_order(df: DataFrame, group: str, order: str, n: int, sub_ranges: int = 64) -> DataFrame:
     """First ``n`` rows of each group in ``order`` without a whole-group window.
 

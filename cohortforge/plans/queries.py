@@ -247,8 +247,8 @@ _GROUPS = {"shape": ["ring", "bolt", "gear"], "size": ["small", "large"], "temp"
 _GHOURS = (24, 240, 2400)
 
 
-def _keyword_sql(parts: bool = False):
-    words = [w for ws in _GROUPS.values() for w in ws]
+def _keyword_sql(parts: bool = False, groups=_GROUPS, hours=_GHOURS, source: str | None = None):
+    words = [w for ws in groups.values() for w in ws]
 
     def hit(ws):
         return "(" + " OR ".join(f"coalesce(contains(lower(p.drug), '{w}'), false)" for w in ws) + ")"
@@ -257,15 +257,15 @@ def _keyword_sql(parts: bool = False):
         return hours_lt("p.startdate", "a.admittime", h)
 
     cols = [f"max(CAST({hit(words)} AS INTEGER)) AS ft_any_nephrotoxin_rx"]
-    cols += [f"max(CAST({hit(words)} AND {win(h)} AS INTEGER)) AS ft_any_nephrotoxin_rx_within_{h}" for h in _GHOURS]
-    for g, ws in _GROUPS.items():
+    cols += [f"max(CAST({hit(words)} AND {win(h)} AS INTEGER)) AS ft_any_nephrotoxin_rx_within_{h}" for h in hours]
+    for g, ws in groups.items():
         for w in ws:
             cols.append(f"max(CAST({hit([w])} AS INTEGER)) AS ft_nephrotoxin_{w}_rx")
             cols += [f"max(CAST({hit([w])} AND {win(h)} AS INTEGER)) AS ft_nephrotoxin_{w}_rx_within_{h}"
-                     for h in _GHOURS]
+                     for h in hours]
         cols.append(f"max(CAST({hit(ws)} AS INTEGER)) AS ft_nephrotoxin_{g}_rx")
-        cols += [f"max(CAST({hit(ws)} AND {win(h)} AS INTEGER)) AS ft_nephrotoxin_{g}_rx_within_{h}" for h in _GHOURS]
-    ctes = [A.SQL_PRESCRIPTIONS, A.SQL_ADMISSIONS]
+        cols += [f"max(CAST({hit(ws)} AND {win(h)} AS INTEGER)) AS ft_nephrotoxin_{g}_rx_within_{h}" for h in hours]
+    ctes = [source or A.SQL_PRESCRIPTIONS, A.SQL_ADMISSIONS]
     body = f"""
 SELECT p.hadm_id, {', '.join(cols)}
 FROM prescriptions_r p LEFT JOIN admissions_r a ON p.hadm_id = a.hadm_id AND p.subject_id = a.subject_id
@@ -279,6 +279,22 @@ def q_keyword(spark, d):
     return fx.keyword_group_windows(A.prescriptions(spark, d), A.admissions(spark, d), _GROUPS, _GHOURS)
 
 
+def _drug_words(groups) -> list[str]:
+    return [w for ws in groups.values() for w in ws]
+
+
+@query("keyword_groups_preset", _keyword_sql(groups=P.DRUG_GROUPS, hours=P.DRUG_WINDOW_HOURS, source=A.sql_drug_orders(_drug_words(P.DRUG_GROUPS))))
+def q_keyword_preset(spark, d):
+    """All drugs and groups of the preset with their three windows."""
+    return fx.keyword_group_windows(A.drug_orders(spark, d, _drug_words(P.DRUG_GROUPS)), A.admissions(spark, d), P.DRUG_GROUPS, P.DRUG_WINDOW_HOURS)
+
+
+@query("keyword_groups_older", _keyword_sql(groups=P.DRUG_GROUPS_V1, hours=P.DRUG_WINDOW_HOURS, source=A.sql_drug_orders(_drug_words(P.DRUG_GROUPS_V1))))
+def q_keyword_older(spark, d):
+    """The older drug list with the group of its own name."""
+    return fx.keyword_group_windows(A.drug_orders(spark, d, _drug_words(P.DRUG_GROUPS_V1)), A.admissions(spark, d), P.DRUG_GROUPS_V1, P.DRUG_WINDOW_HOURS)
+
+
 # ==================================================================== other visits
 _OV_PARTS = ([A.SQL_ADMISSIONS, A.SQL_STAYS, f"""ov_p AS (
   SELECT x.hadm_id, y.hadm_id AS h2,
@@ -800,6 +816,20 @@ def q_category_long(spark, d):
     return ag.onehot_long(coded, ["hadm_id", "subject_id"], "hcc", "hcc_cd")
 
 
+@query("category_sparse", with_ctes([A.SQL_DIAGNOSES, A.SQL_CROSSWALK, _MERGED], """
+SELECT hadm_id, subject_id, (SELECT count(*) FROM (SELECT DISTINCT hcc FROM merged WHERE hcc IS NOT NULL)) AS size,
+       coalesce(string_agg(DISTINCT place, ',' ORDER BY place) FILTER (place IS NOT NULL), '') AS places
+FROM (SELECT m.hadm_id, m.subject_id, lpad(CAST(i.place AS VARCHAR), 4, '0') AS place FROM merged m
+      LEFT JOIN (SELECT hcc, row_number() OVER (ORDER BY hcc) - 1 AS place FROM (SELECT DISTINCT hcc FROM merged WHERE hcc IS NOT NULL)) i USING (hcc))
+WHERE hadm_id IS NOT NULL AND subject_id IS NOT NULL GROUP BY hadm_id, subject_id"""))
+def q_category_sparse(spark, d):
+    """One sparse vector per entity over all categories: its places, as text."""
+    coded = fx.lookup_join(A.diagnoses(spark, d), A.crosswalk(spark, d), "icd9_code", "icd")
+    sparse = ag.onehot_sparse(coded, ["hadm_id", "subject_id"], "hcc")
+    places = F.transform("indices", lambda i: F.lpad(i.cast("string"), 4, "0"))
+    return sparse.select("hadm_id", "subject_id", "size", F.array_join(places, ",").alias("places"))
+
+
 _LC_FEATS = _CORR_COLS[1:]
 
 
@@ -1087,6 +1117,21 @@ def q_hash_bins_stream(spark, d):
     return ag.value_counts(read_bins(spark, out), "bin_id")
 
 
+@query("hash_bins_stream_batches", with_ctes([A.SQL_CHARTS], f"SELECT {_BIN} AS bin_id, count(*) AS n FROM charts_r GROUP BY 1"))
+def q_hash_bins_batches(spark, d):
+    """The same with a batch writer: each micro-batch is rebalanced by bin and size and
+    replaces its own folders, so running all of them again changes nothing."""
+    from cohortforge.sources.io import read_bins
+    from cohortforge.streaming import start_bin_split
+    src, out = _scratch(spark, "stream-src"), _scratch(spark, "stream-out")
+    charts = A.charts(spark, d).drop("row_order")
+    charts.write.option("maxRecordsPerFile", 20_000).parquet(src)
+    for _ in range(2):  # the second stream has a log of its own and replays every batch
+        start_bin_split(spark, src, charts.schema, out, "hadm_id", fmt="parquet", checkpoint=_scratch(spark, "sckpt"),
+                        max_files_per_trigger=2, per_batch=True).awaitTermination()
+    return ag.value_counts(read_bins(spark, out), "bin_id")
+
+
 @query("external_curve_roundtrip", with_ctes([A.SQL_MODEL_ROWS, _ROC_CTE],
                                              "SELECT round(cum_fp / (SELECT sum(fp) FROM g), 6) AS value FROM roc"))
 def q_external_curve(spark, d):

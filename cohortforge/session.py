@@ -86,13 +86,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss,
-    unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back: computed
     once, pruned by column in later reads, and kept when executors are lost."""

@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Fixed values (adapter vocabulary): bedside items besides those of ``part``, whose
+# events (``_bedside``) hold what the line items lack: two pressures at one instant,
+# rises within two days, readings without a time, and a second reading of one instant.
+BEDSIDE_ITEMS = [(-1, "Arterial BP [Systolic]"), (-2, "Arterial BP [Diastolic]"), (-3, "Creatinine")]
+
+
 def _word(c, i: int):
     return F.element_at(F.split(c, " "), i)
 
@@ -143,7 +149,7 @@ def charts(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey"), F.col("o_custkey"))
     bucket, num = _chart_value_num()
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
-    return j.select(
+    own = j.select(
         F.struct(*[F.col(c) for c in ROW_ORDER]).alias("row_order"),
         F.col("l_orderkey").alias("hadm_id"),
         F.col("o_custkey").alias("subject_id"),
@@ -155,8 +161,42 @@ def charts(spark, d):
         F.when(bucket >= 190, F.lit("n/a")).otherwise(num.cast("string")).alias("valuenum"),
         F.lit("units").alias("valueuom"),
     )
-
-
+    return own.unionByName(_bedside(spark, d))
+
+
+# (item, hours after the admission, value) of the four bedside readings of a line item;
+# the same text in Spark and in DuckDB.
+_BEDSIDE = [("-1", "l_partkey % 60", "100 + l_partkey % 90"), ("-2", "l_partkey % 60", "60 + l_suppkey % 70"),
+            ("-3", "l_partkey % 40", "0.5 + (l_partkey % 24) / 8.0"),
+            ("-3", "l_partkey % 40 + CASE WHEN l_suppkey % 3 = 0 THEN 0 WHEN l_suppkey % 3 = 1 THEN 12 ELSE 60 END",
+             "0.5 + (l_partkey % 24) / 8.0 + (l_suppkey % 9) / 8.0")]
+_BEDSIDE_ROWS = "l_linenumber = 1 AND l_orderkey % 4 = 0"
+_BEDSIDE_TIMELESS = "l_partkey % 11 = 0"
+
+
+def _bedside(spark, d):
+    """Bedside readings of every fourth order's first line items. The second
+    creatinine reading falls on the first, twelve or sixty hours later."""
+    li = table(spark, d, "lineitem").where(_BEDSIDE_ROWS)
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    readings = F.array(*[F.struct(F.lit(i).alias("at"), F.expr(f"CAST({item} AS BIGINT)").alias("itemid"), F.expr(f"CAST({hours} AS INT)").alias("hours"),
+                                  F.expr(f"CAST({value} AS DOUBLE)").alias("num")) for i, (item, hours, value) in enumerate(_BEDSIDE)])
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("r", F.explode(readings))
+    time = F.when(~F.expr(_BEDSIDE_TIMELESS), F.col("o_orderdate") + F.make_dt_interval(hours=F.col("r.hours")))
+    order = [(F.col("l_linenumber") + 100 * (F.col("r.at") + 1)).cast("int").alias(c) if c == "l_linenumber" else F.col(c) for c in ROW_ORDER]
+    return rows.select(
+        F.struct(*order).alias("row_order"), F.col("l_orderkey").alias("hadm_id"), F.col("o_custkey").alias("subject_id"),
+        F.col("r.itemid").alias("itemid"), time.alias("charttime"), time.alias("storetime"), F.lit("Clear").alias("value"),
+        F.col("r.num").cast("string").alias("valuenum"), F.lit("units").alias("valueuom"))
+
+
+_BEDSIDE_SQL = " UNION ALL ".join(f"""
+  SELECT l.l_orderkey, o.o_custkey, CAST({item} AS BIGINT), b.t, b.t, 'Clear', CAST({value} AS DOUBLE), l.l_orderkey,
+         l.l_linenumber + {100 * (i + 1)}, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax,
+         l.l_returnflag, l.l_linestatus, l.l_shipdate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey,
+       LATERAL (SELECT CASE WHEN NOT ({_BEDSIDE_TIMELESS}) THEN o.o_orderdate + ({hours}) * INTERVAL 1 HOUR END AS t) b
+  WHERE {_BEDSIDE_ROWS}""" for i, (item, hours, value) in enumerate(_BEDSIDE))
 SQL_CHARTS = """charts_r AS (
   SELECT l.l_orderkey AS hadm_id, o.o_custkey AS subject_id, l.l_partkey AS itemid,
          l.l_shipdate AS charttime,
@@ -167,7 +207,8 @@ SQL_CHARTS = """charts_r AS (
          l.l_orderkey AS o1, l.l_linenumber AS o2, l.l_partkey AS o3, l.l_suppkey AS o4, l.l_quantity AS o5,
          l.l_extendedprice AS o6, l.l_discount AS o7, l.l_tax AS o8, l.l_returnflag AS o9,
          l.l_linestatus AS o10, l.l_shipdate AS o11
-  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  UNION ALL""" + _BEDSIDE_SQL + ")"
 SQL_ROW_ORDER = "o1, o2, o3, o4, o5, o6, o7, o8, o9, o10, o11"
 
 
@@ -178,12 +219,13 @@ def items(spark, d):
     label = F.concat(_case(_word(F.col("p_name"), 2), ITEM_LABELS, "Other"),
                      F.coalesce(_case(_word(F.col("p_name"), 1), ITEM_SUFFIX), F.lit("")))
     category = F.concat(F.col("p_type"), F.lit(" - Lab's Results/Panel ("), F.lower(F.col("p_type")), F.lit(")"))
+    bedside = spark.createDataFrame(BEDSIDE_ITEMS, "itemid long, label string")
     return p.select(
         F.col("p_partkey").alias("itemid"),
         label.alias("label"),
         category.alias("category"),
         F.lit("units").alias("unitname"),
-    )
+    ).unionByName(bedside.select("itemid", "label", F.lit("BEDSIDE").alias("category"), F.lit("units").alias("unitname")))
 
 
 SQL_ITEMS = f"""items_r AS (
@@ -192,7 +234,8 @@ SQL_ITEMS = f"""items_r AS (
            || coalesce({_sql_case("split_part(p_name, ' ', 1)", ITEM_SUFFIX)}, '') AS label,
          p_type || ' - Lab''s Results/Panel (' || lower(p_type) || ')' AS category,
          'units' AS unitname
-  FROM part WHERE p_partkey % 97 <> 0)"""
+  FROM part WHERE p_partkey % 97 <> 0
+  UNION ALL SELECT * FROM (VALUES {", ".join(f"({i}::BIGINT, '{x}', 'BEDSIDE', 'units')" for i, x in BEDSIDE_ITEMS)}) b)"""
 
 
 # ---------------------------------------------------------------- diagnoses / codes
@@ -249,6 +292,33 @@ SQL_PRESCRIPTIONS = """prescriptions_r AS (
                   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 
+def drug_orders(spark, d, words):
+    """Prescriptions whose drug text names one of ``words`` for three quarters of the
+    parts (in changing case, with a dose) and the part's name otherwise; every
+    thirteenth has no start time. Start times lie around the admission."""
+    p = table(spark, d, "part").select("p_partkey", "p_name")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(p, li.l_partkey == p.p_partkey, "left").join(o, li.l_orderkey == o.o_orderkey, "left")
+    word = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("l_partkey") % len(words) + 1).cast("int"))
+    named = F.concat(F.when(F.col("l_suppkey") % 2 == 0, F.upper(word)).otherwise(F.initcap(word)), F.lit(" 10mg"))
+    start = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("l_suppkey") * 7 % 120 - 10).cast("int"))
+    return j.select(F.col("l_orderkey").alias("hadm_id"), F.col("o_custkey").alias("subject_id"),
+                    F.when(F.col("l_partkey") % 4 == 0, F.col("p_name")).otherwise(named).alias("drug"),
+                    F.when(F.col("l_partkey") % 13 != 0, start).alias("startdate"))
+
+
+def sql_drug_orders(words) -> str:
+    listed = "[" + ", ".join(_sql_quote(w) for w in words) + "]"
+    word = f"{listed}[CAST(l.l_partkey % {len(words)} + 1 AS INTEGER)]"
+    return f"""prescriptions_r AS (
+  SELECT l.l_orderkey AS hadm_id, o.o_custkey AS subject_id,
+         CASE WHEN l.l_partkey % 4 = 0 THEN p.p_name
+              WHEN l.l_suppkey % 2 = 0 THEN upper({word}) || ' 10mg' ELSE upper({word}[1]) || {word}[2:] || ' 10mg' END AS drug,
+         CASE WHEN l.l_partkey % 13 <> 0 THEN o.o_orderdate + (l.l_suppkey * 7 % 120 - 10) * INTERVAL 1 HOUR END AS startdate
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
 def procedures(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
