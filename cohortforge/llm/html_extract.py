@@ -14,13 +14,20 @@ text is a plain block, and a page that has text in parts named like noise only
 keeps it.
 
 The merge is a count per (host, node, signature) that combines before it
-shuffles; identical pages of a host count once. Only the short list of a host's
-noisy nodes meets its pages again, so a host with a third of all pages is
+shuffles; identical pages of a host count once. Importance is linear in the
+importances below a node, so it is summed by pointer jumping: each round doubles the
+height that a node's sum covers, and ten rounds cover any page. Only the list of a
+host's noisy nodes meets its pages again, so a host with a third of all pages is
 spread over tasks.
 
+Parsing takes time in proportion to the page: a tag's end is looked up in a table of
+the page's quotes and brackets, which is made once. Elements nested deeper than
+``MAX_DEPTH`` belong to the last one above.
+
 Defined results: null and empty html give an empty text; a page without url
 belongs to the host ''; malformed html is read as far as it goes (unclosed
-elements end with their parent, stray end tags are ignored); repeated rows each
+elements end with their parent, stray end tags are ignored, a tag without an end is
+text); a line break inside a block is white space; repeated rows each
 get their row; other columns are not looked at; an empty table gives an empty
 result. Hosts with fewer than ``MIN_PAGES`` distinct pages have no noisy nodes.
 """
@@ -29,6 +36,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,7 +46,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.llm.common import materialize
 
-DAMPING, LOW, MIN_PAGES = 0.9, 0.2, 8
+DAMPING, LOW, MIN_PAGES, MAX_DEPTH = 0.9, 0.2, 8, 512
 
 # Element names of the HTML standard and words that pages use for parts beside the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,8 +67,8 @@ NOISE = frozenset(
 HEADER = frozenset(["header"])
 OTHERS = frozenset("comment comments commentlist disqus reply replies respond related recommended recommendations".split())
 NEUTRAL = frozenset(
-    "area bar block bottom box buttons container form global inner item items left links list main outer page primary right secondary "
-    "section site slot top unit wrap wrapper".split())
+    "area article bar block blog bottom box buttons container entry form global google inner item items left links list main outer page "
+    "post posts primary reader readers right secondary section site slot story top unit user users wrap wrapper".split())
 # Why a branch is no main text, weakest reason first. An article ends the first two.
 PLAIN, FORM, NAMED, NEVER = range(4)
 CLOSES_P = frozenset(
@@ -69,9 +78,12 @@ SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
              "th": ("td", "th"), "option": ("option",)}
 LIST_SCOPE = frozenset("ul ol dl table body article section div".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+# A tag whose attributes hold neither < nor > is found at once, others by ``_TagEnds``.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+)>|[^<]+|<""", re.S)
+OPENING = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
+SPECIAL, MARKED = re.compile("[>\"']"), re.compile(r"<[!?]")
 ATTR = re.compile(r"""(?<![^\s"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-NAME = re.compile(r"[a-z]+")
+NAME, SIZES = re.compile(r"[a-z]+"), re.compile(r"\d+(?:x\d+)?")
 DIGITS = re.compile(r"\d+|\b[0-9a-f]{8,}\b")
 
 
@@ -86,7 +98,7 @@ def _named(names: str, noise: frozenset) -> int:
     ``NEVER`` for parts whose articles are not the page's own."""
     found = PLAIN
     for name in names.split():
-        words = set(NAME.findall(name))
+        words = set(NAME.findall(SIZES.sub(" ", name)))
         if words & noise and words <= noise | NEUTRAL:
             found = max(found, NEVER if words & OTHERS else NAMED)
     return found
@@ -107,6 +119,27 @@ class _Node:
             self.h, self.depth = up.h, up.depth
 
 
+class _TagEnds:
+    """The first ``>`` outside quotes after a place: for each quote and bracket of the
+    page the end that a tag has whose attributes go on there, made from the back."""
+
+    def __init__(self, page: str):
+        found = [(m.start(), m[0]) for m in SPECIAL.finditer(page)]
+        self.places = [at for at, _ in found]
+        self.ends, following = [-1] * (len(found) + 1), {'"': -1, "'": -1}
+        for i in range(len(found) - 1, -1, -1):
+            at, sign = found[i]
+            if sign == ">":
+                self.ends[i] = at
+            else:
+                partner = following[sign]
+                self.ends[i] = self.ends[partner + 1] if partner >= 0 else -1
+                following[sign] = i
+
+    def after(self, at: int) -> int:
+        return self.ends[bisect_left(self.places, at)]
+
+
 def _main_blocks(blocks: list) -> list:
     """The blocks of a page that can be main text: those in articles, else those
     in plain parts, else all. Forms and articles that stand in NAMED branches
@@ -121,10 +154,12 @@ def _main_blocks(blocks: list) -> list:
 
 def parse(page: str) -> tuple[dict, list, list]:
     """Style nodes {hash: (parent, depth, child signature)}, texts of all leaves
-    as (node, text hash), and the blocks that can be main text as (text, nodes
-    from the root down, inside an article)."""
+    as (node, text hash), and the blocks that can be main text as (text, node,
+    inside an article, reason, freed)."""
     root = _Node("", "", None, PLAIN, False)
     stack, texts, blocks, seen, run = [root], [], [], {root.h: root}, []
+    opened, too_deep = Counter(), Counter()
+    tag_ends, last = None, page.rfind(">")
 
     def flush() -> None:
         text = " ".join("".join(run).split())
@@ -133,16 +168,13 @@ def parse(page: str) -> tuple[dict, list, list]:
             node = stack[-1]
             texts.append((node.h, _hash(text)))
             if node.skip < NEVER:
-                chain, x = [], node
-                while x is not None:
-                    if x.block:
-                        chain.append(x.h)
-                    x = x.up
-                blocks.append((text, chain[::-1], node.main, node.skip, node.freed))
+                blocks.append((text, node.h, node.main, node.skip, node.freed))
 
     def pop_to(at: int) -> None:
         if any(n.block for n in stack[at:]):
             flush()
+        for n in stack[at:]:
+            opened[n.tag] -= 1
         del stack[at:]
 
     def find(tags: tuple, scope: frozenset) -> int:
@@ -156,29 +188,45 @@ def parse(page: str) -> tuple[dict, list, list]:
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2]
+        ending, tag, attributes, to = m[1], m[2], m[3], m.end()
+        opening = OPENING.match(page, at) if m[0] == "<" else None
+        if opening and at > last:  # no tag ends any more: text up to a comment or declaration, which takes the rest
+            rest = MARKED.search(page, at)
+            run.append(entities.unescape(page[at:rest.start() if rest else end]))
+            break
+        if opening:
+            tag_ends = tag_ends or _TagEnds(page)
+            close = tag_ends.after(opening.end())
+            if close >= 0:
+                ending, tag, attributes, to = opening[1], opening[2], page[opening.end():close], close + 1
+        at = to
         if tag is None:
             if m[0][:2] not in ("<!", "<?"):
                 run.append(entities.unescape(m[0]) if "&" in m[0] else m[0])
             continue
         tag = tag.lower()
-        if m[1]:
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+        if ending:
+            if too_deep[tag]:
+                too_deep[tag] -= 1
+                continue
+            i = opened[tag] and next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if i:
                 pop_to(i)
             elif tag == "p":
                 flush()
             continue
-        if tag in ("br", "hr"):
+        if tag == "br":
+            run.append(" ")
+            continue
+        if tag == "hr":
             flush()
             continue
-        if tag in CLOSES_P and (i := find(("p",), LIST_SCOPE)):
+        if tag in CLOSES_P and opened["p"] and (i := find(("p",), LIST_SCOPE)):
             pop_to(i)
-        if tag in SAME_ENDS and (i := find(SAME_ENDS[tag], LIST_SCOPE)):
+        if tag in SAME_ENDS and any(opened[t] for t in SAME_ENDS[tag]) and (i := find(SAME_ENDS[tag], LIST_SCOPE)):
             pop_to(i)
         up = stack[-1]
-        named = {k.lower(): entities.unescape(v.strip("\"'")).lower() for k, v in ATTR.findall(m[3])} if m[3] else {}
+        named = {k.lower(): entities.unescape(v.strip("\"'")).lower() for k, v in ATTR.findall(attributes)} if attributes else {}
         own = tag in ("article", "main") or named.get("role") == "main"
         main, article, freed, skip = up.main or own, up.article or tag == "article", up.freed, up.skip
         if own and skip < NEVER and not up.article:
@@ -199,9 +247,12 @@ def parse(page: str) -> tuple[dict, list, list]:
         if tag in VOID:
             continue
         if tag in RAW:  # up to its end tag, whatever stands in it
-            close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+            close = re.compile(f"</{re.escape(tag)}[^<>]*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
+        if len(stack) >= MAX_DEPTH:
+            too_deep[tag] += 1
+            continue
         style = f"{tag}.{DIGITS.sub('', named.get('class', ''))}#{DIGITS.sub('', named.get('id', ''))}@{named.get('role', '')}"
         node = _Node(tag, style, up, skip, main, article, freed)
         if node.block:
@@ -210,20 +261,21 @@ def parse(page: str) -> tuple[dict, list, list]:
             if not kids or kids[-1] != first.h:
                 kids.append(first.h)
         stack.append(node)
+        opened[tag] += 1
     flush()
     nodes = {h: (n.up.h if n.up else 0, n.depth, _hash(*n.kids)) for h, n in seen.items()}
     return nodes, texts, _main_blocks(blocks)
 
 
 PARSED = ("page long, url string, host string, same long, node array<long>, up array<long>, depth array<int>, sig array<long>, "
-          "leaf array<long>, leaf_text array<long>, block array<string>, chain array<array<long>>")
+          "leaf array<long>, leaf_text array<long>, block array<string>, block_node array<long>")
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     longs = pa.list_(pa.int64())
     schema = pa.schema([("page", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("same", pa.int64()), ("node", longs),
                         ("up", longs), ("depth", pa.list_(pa.int32())), ("sig", longs), ("leaf", longs), ("leaf_text", longs),
-                        ("block", pa.list_(pa.string())), ("chain", pa.list_(longs))])
+                        ("block", pa.list_(pa.string())), ("block_node", longs)])
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
             batch = whole.slice(at, 500)
@@ -240,8 +292,8 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def style_tree(parsed: DataFrame, damping: float = DAMPING) -> DataFrame:
     """``host``, ``node``, ``up``, ``depth``, ``pages`` and ``importance`` of every
     style node, from a frame of parsed pages."""
-    once = materialize(parsed.groupBy("host", "same").agg(*[F.first(c).alias(c) for c in ("node", "up", "depth", "sig", "leaf", "leaf_text")])
-                       .drop("same"), "style-pages")
+    kept = ("node", "up", "depth", "sig", "leaf", "leaf_text")
+    once = materialize(parsed.groupBy("host", "same").agg(F.any_value(F.struct(*kept)).alias("x")).select("host", "x.*"), "style-pages")
     at_base = lambda x, n: F.when(n > 1, F.log(x) / F.log(n))
     styles = once.select("host", F.explode(F.arrays_zip("node", "up", "depth", "sig")).alias("x")).select("host", "x.*")
     styles = styles.groupBy("host", "node", "sig").agg(F.count("*").alias("n"), F.min("up").alias("up"), F.min("depth").alias("depth"))
@@ -257,30 +309,43 @@ def style_tree(parsed: DataFrame, damping: float = DAMPING) -> DataFrame:
     nodes = materialize(styles.join(texts, ["host", "node"], "left").withColumn(
         "said", F.when(F.col("texts").isNotNull(), F.when(pages > 1, 1 - F.col("logs") / F.col("texts") / F.log(pages)).otherwise(1.0)))
         .select("host", "node", "up", "depth", "pages", "kinds", "shown", "said"), "style-nodes")
-    deepest = nodes.agg(F.max("depth")).first()[0]
-    levels, below = [], None
-    for d in range(deepest if deepest is not None else -1, -1, -1):
-        here = nodes.filter(F.col("depth") == d)
-        if below is None:
-            here = here.withColumn("parts", F.lit(None).cast("double")).withColumn("weight", F.lit(0.0))
-        else:
-            parts = below.groupBy("host", F.col("up").alias("node")).agg(
-                F.sum(F.col("importance") * F.col("pages")).alias("parts"), F.sum("pages").cast("double").alias("weight"))
-            here = here.join(parts, ["host", "node"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
-        # The node's own text counts like one more child.
-        own = F.when(F.col("said").isNotNull(), pages).otherwise(0.0)
-        inner = (F.coalesce("parts", F.lit(0.0)) + F.coalesce("said", F.lit(0.0)) * own) / (F.col("weight") + own)
-        inner = F.when(F.col("weight") + own > 0, inner)
-        damped = F.pow(F.lit(damping), F.col("kinds").cast("double"))
-        value = F.when(F.col("weight") > 0, (1 - damped) * F.col("shown") + damped * inner).otherwise(F.coalesce(inner, F.lit(1.0)))
-        below = materialize(here.select("host", "node", "up", "depth", "pages", value.alias("importance")), f"style-level-{d}")
-        levels.append(below)
-    if not levels:
-        return nodes.select("host", "node", "up", "depth", "pages", F.lit(1.0).alias("importance"))
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionAll(x)
-    return out
+    # The node's own text counts like one more child; a node's importance is its own
+    # part and a share of each child's.
+    weights = nodes.groupBy("host", F.col("up").alias("node")).agg(F.sum("pages").cast("double").alias("weight"))
+    own = F.when(F.col("said").isNotNull(), pages).otherwise(0.0)
+    damped, inside = F.pow(F.lit(damping), F.col("kinds").cast("double")), F.col("weight") > 0
+    said = F.coalesce("said", F.lit(0.0))
+    nodes = nodes.join(weights, ["host", "node"], "left").withColumns({
+        "share": F.when(inside, damped / (F.col("weight") + own)),
+        "s": F.when(inside, (1 - damped) * F.col("shown") + damped * said * own / (F.col("weight") + own)).otherwise(F.coalesce("said", F.lit(1.0)))})
+    above = nodes.select("host", F.col("node").alias("up"), "share").filter("share is not null")
+    state = nodes.drop("share").join(above, ["host", "up"], "left").select(
+        "host", "node", "up", "depth", "pages", "s", F.when(F.col("share").isNotNull(), F.col("up")).alias("anc"), (F.col("share") * pages).alias("coef"))
+    state = materialize(state, "style-sums-0")
+    for round_ in range(_rounds(state)):
+        below = state.filter("anc is not null").groupBy("host", F.col("anc").alias("node")).agg(F.sum(F.col("coef") * F.col("s")).alias("more"))
+        hop = state.select("host", F.col("node").alias("anc"), F.col("anc").alias("next"), F.col("coef").alias("by"))
+        state = materialize(state.join(below, ["host", "node"], "left").join(hop, ["host", "anc"], "left").select(
+            "host", "node", "up", "depth", "pages", (F.col("s") + F.coalesce("more", F.lit(0.0))).alias("s"),
+            F.col("next").alias("anc"), (F.col("coef") * F.col("by")).alias("coef")), f"style-sums-{round_ + 1}")
+    return state.select("host", "node", "up", "depth", "pages", F.col("s").alias("importance"))
+
+
+def _rounds(nodes: DataFrame) -> int:
+    """Doublings that cover the height of the deepest node; ``MAX_DEPTH`` bounds it."""
+    return int(nodes.agg(F.max("depth")).first()[0] or 0).bit_length()
+
+
+def noisy_branches(tree: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host`` and ``noisy``, the nodes of low importance and all nodes below them."""
+    state = tree.select("host", "node", F.col("up").alias("anc"), "depth", (
+        (F.col("importance") < low) & (F.col("pages") >= min_pages) & (F.col("depth") >= 3)).alias("out"))
+    state = materialize(state, "style-noise-0")
+    for round_ in range(_rounds(state) if state.filter("out").limit(1).count() else 0):
+        hop = state.select("host", F.col("node").alias("anc"), F.col("anc").alias("next"), F.col("out").alias("too"))
+        state = materialize(state.join(hop, ["host", "anc"], "left").select(
+            "host", "node", F.col("next").alias("anc"), "depth", (F.col("out") | F.coalesce("too", F.lit(False))).alias("out")), f"style-noise-{round_ + 1}")
+    return state.filter("out").groupBy("host").agg(F.collect_set("node").alias("noisy"))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", low: float = LOW,
@@ -290,10 +355,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     rows = pages.select(F.col(key).cast("long").alias("page"), F.col(url).alias("url"), host.alias("host"),
                         F.coalesce(F.col(html), F.lit("")).alias("html"))
     parsed = materialize(rows.mapInArrow(_parse_batches, PARSED), "parsed-pages")
-    noisy = style_tree(parsed).filter((F.col("importance") < low) & (F.col("pages") >= min_pages) & (F.col("depth") >= 3))
-    noisy = materialize(noisy.groupBy("host").agg(F.collect_set("node").alias("noisy")), "noisy-nodes")
-    found = parsed.select("page", "url", "host", "block", "chain").join(noisy, "host", "left")
-    kept = F.expr("transform(filter(arrays_zip(block, chain), x -> not arrays_overlap(x.chain, noisy)), x -> x.block)")
+    noisy = materialize(noisy_branches(style_tree(parsed), low, min_pages), "noisy-nodes")
+    found = parsed.select("page", "url", "host", "block", "block_node").join(noisy, "host", "left")
+    kept = F.expr("transform(filter(arrays_zip(block, block_node), x -> not array_contains(noisy, x.block_node)), x -> x.block)")
     text = F.array_join(F.when(F.col("noisy").isNull(), F.col("block")).otherwise(kept), "\n")
     return found.select(F.col("page").alias(key), F.col("url").alias(url), text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))

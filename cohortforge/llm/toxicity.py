@@ -19,6 +19,12 @@ kernel matrix (Nyström); a linear SVM is trained on the words of the sentences,
 insults of toxic documents against all words of clean ones, each weighted by its
 documents. A document's worst margin becomes a probability by a logistic fit.
 
+Words that clean documents use as well can still mark a toxic one by their share of
+it. Word beginnings that make up at least ``DENSE`` of a document's words, mostly in
+toxic training documents, are a second set of landmarks; a document shows one if that share
+of its words resembles it by the same kernel. The logistic fit takes both, the worst
+word and whether such a share is reached.
+
 Training uses at most ``MAX_DOCS`` labelled documents of the training fold, the
 ones with the smallest hashed ids. Scoring reads all texts whole; the score of a
 word is remembered per worker in a bounded table.
@@ -34,6 +40,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +54,7 @@ from cohortforge.llm.common import materialize, text_of
 ORDER, DECAY = 3, 0.6
 MAX_LETTERS, MAX_START, MAX_DOCS = 24, 10, 8_000
 MIN_TOXIC, PURE, STRONG, NEAR, SURE = 4, 0.75, 0.3, 0.9, 0.8
+DENSE, MIN_DENSE, PURE_DENSE = 0.01, 12, 0.85
 WIDTH, MAX_KNOWN = MAX_LETTERS + 1, 400_000
 
 # Signs that stand for letters.
@@ -86,6 +94,15 @@ def words_of(token: str) -> list[str]:
     return runs + [r[i:i + n] for r in UNSPACED.findall(word) for n in GRAMS for i in range(len(r) - n + 1)]
 
 
+def accented_words_of(token: str) -> list[str]:
+    """The same with accents, which a share is counted by: letters that clean words
+    have without the accent are others there."""
+    if token.isascii() or UNSPACED.search(token):
+        return words_of(token)
+    word = "".join(c for c in unicodedata.normalize("NFC", token) if c.isalpha() or unicodedata.category(c)[0] == "M")
+    return [word] if len(word) >= ORDER else []
+
+
 def tokens(text: str) -> list[str]:
     """Lower-cased tokens; runs of single letters are one token."""
     text = text.lower()
@@ -137,19 +154,23 @@ def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     """A trained model: landmarks, their own kernel values, the weights on kernel
-    values (SVM weights through the Nyström map) and the logistic fit."""
+    values (SVM weights through the Nyström map), the landmarks whose share counts,
+    and the logistic fit on margin and share."""
     landmarks: np.ndarray
     norms: np.ndarray
     weights: np.ndarray
     bias: float
     slope: float
     offset: float
+    dense: np.ndarray
+    dense_norms: np.ndarray
+    dense_slope: float = 0.0
 
     def margins(self, kernel: np.ndarray) -> np.ndarray:
         return kernel @ self.weights + self.bias
 
-    def probability(self, margin: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40))))
+    def probability(self, margin: float, share: float = 0.0) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.dense_slope * share + self.offset, -40, 40))))
 
 
 def landmark_kernel(words: list[str], landmarks: np.ndarray, norms: np.ndarray) -> np.ndarray:
@@ -168,34 +189,63 @@ def landmark_kernel(words: list[str], landmarks: np.ndarray, norms: np.ndarray)
 
 
 class Scorer:
-    """Margins of texts by a model, those of tokens remembered."""
+    """Evidence of texts by a model, that of tokens remembered."""
 
     def __init__(self, model: Model):
         self.model, self.none = model, float(model.bias)
         self.known: dict[str, float] = {}
         self.older: dict[str, float] = {}
+        self.hits: dict[str, list[int]] = {}  # tokens like a landmark whose share counts
+        self.older_hits: dict[str, list[int]] = {}
 
-    def margins(self, texts: list[str]) -> list[float]:
-        cut = [tokens(t) for t in texts]
-        known, older, none = self.known, self.older, self.none
-        owners, words = [], []
-        for t in {t for c in cut for t in c if t not in known}:
+    def _learn(self, cut: list[list[str]]) -> None:
+        known, older, none, model = self.known, self.older, self.none, self.model
+        owners, words, marked, accented = [], [], [], []
+        for t in set().union(*cut).difference(known):
             if t in older:
                 known[t] = older[t]
+                if t in self.older_hits:
+                    self.hits[t] = self.older_hits[t]
                 continue
             known[t] = none
             for w in words_of(t):
                 for piece in pieces(w):
                     owners.append(t)
                     words.append(piece)
+            if len(model.dense):
+                for w in accented_words_of(t):
+                    marked.append(t)
+                    accented.append("{" + w[:MAX_LETTERS])
         for at in range(0, len(words), 4096):
-            values = self.model.margins(landmark_kernel(words[at:at + 4096], self.model.landmarks, self.model.norms))
+            values = model.margins(landmark_kernel(words[at:at + 4096], model.landmarks, model.norms))
             for i in np.flatnonzero(values > none):
                 known[owners[at + i]] = max(known[owners[at + i]], float(values[i]))
-        out = [max(map(known.__getitem__, c), default=none) for c in cut]
+        for at in range(0, len(accented), 4096):
+            alike = landmark_kernel(accented[at:at + 4096], model.dense, model.dense_norms) >= NEAR
+            for i, j in zip(*np.nonzero(alike)):
+                mine = self.hits.setdefault(marked[at + i], [])
+                if j not in mine:
+                    mine.append(int(j))
+
+    def evidence(self, texts: list[str]) -> tuple[list[float], list[np.ndarray]]:
+        """Worst margin of each text, and for each dense landmark the share of its
+        words that resemble it, in units of ``DENSE``, one at most."""
+        cut = [tokens(t) for t in texts]
+        self._learn(cut)
+        known, hits, none = self.known, self.hits, self.none
+        margins = [max(max(map(known.__getitem__, c), default=none), none) for c in cut]
+        shares = []
+        for c in cut:
+            own = np.zeros(len(self.model.dense))
+            for t in filter(hits.__contains__, c) if hits else ():
+                own[hits[t]] += 1
+            shares.append(np.minimum(own / max(DENSE * len(c), 1e-9), 1))
         if len(known) > MAX_KNOWN:  # tokens that come again move over, the others go
-            self.known, self.older = {}, known
-        return [max(m, none) for m in out]
+            self.known, self.older, self.hits, self.older_hits = {}, known, {}, hits
+        return margins, shares
+
+    def margins(self, texts: list[str]) -> list[float]:
+        return self.evidence(texts)[0]
 
 
 def _features(col: Column | str, landmarks: np.ndarray, norms: np.ndarray) -> Column:
@@ -206,15 +256,22 @@ def _features(col: Column | str, landmarks: np.ndarray, norms: np.ndarray) -> Co
     return values(F.col(col) if isinstance(col, str) else col)
 
 
-def margin_column(col: Column | str, model: Model) -> Column:
-    """Worst-word margin of a text column."""
-    @F.pandas_udf("double")
-    def margin(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def evidence_column(col: Column | str, model: Model, whole: bool = False) -> Column:
+    """Worst-word margin ``m`` of a text column, and ``d``, 1 where the share of a dense
+    landmark is reached; ``whole``: the shares of all of them instead."""
+    kind = "array<double>" if whole else "double"
+
+    @F.pandas_udf(f"struct<m:double,d:{kind}>")
+    def evidence(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
         for part in parts:
-            texts = part.tolist()
-            yield pd.Series([m for i in range(0, len(texts), 500) for m in scorer.margins(texts[i:i + 500])], dtype="float64")
-    return margin(text_of(col))
+            texts, m, d = part.tolist(), [], []
+            for i in range(0, len(texts), 500):
+                margins, shares = scorer.evidence(texts[i:i + 500])
+                m += margins
+                d += [x.tolist() if whole else float(x.max(initial=0.0) >= 1) for x in shares]
+            yield pd.DataFrame({"m": np.array(m, dtype="float64"), "d": pd.Series(d, dtype="object" if whole else "float64")})
+    return evidence(text_of(col))
 
 
 def _invsqrt(k: np.ndarray) -> np.ndarray:
@@ -244,18 +301,19 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 1.0, round
     return w[:-1], float(w[-1])
 
 
-def _logistic(margin: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the probability, by Newton steps on smoothed targets."""
+def _logistic(evidence: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Slopes and offset of the probability, by Newton steps on smoothed targets."""
     good, bad = float(n @ y), float(n @ (1 - y))
     target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
-    x, theta = np.column_stack([margin, np.ones(len(margin))]), np.zeros(2)
+    x = np.column_stack([evidence, np.ones(len(evidence))])
+    theta = np.zeros(x.shape[1])
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (n * q * (1 - q))[:, None]) + 1e-3 * np.eye(2), x.T @ (n * (q - target)) + 1e-3 * theta)
+        step = np.linalg.solve(x.T @ (x * (n * q * (1 - q))[:, None]) + 1e-3 * np.eye(x.shape[1]), x.T @ (n * (q - target)) + 1e-3 * theta)
         theta -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return float(theta[0]), float(theta[1])
+    return theta
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -279,20 +337,33 @@ def _starts(text: str) -> list[str]:
     return sorted(out | {w + "}" for w in words if len(w) <= MAX_LETTERS})
 
 
+def _dense_starts(text: str) -> list[str]:
+    """Word beginnings that make up at least ``DENSE`` of a text's words."""
+    cut, found = tokens(text), {}
+    for t, n in Counter(cut).items():
+        for w in {w[:n] for w in accented_words_of(t) for n in range(min(ORDER, len(w)), min(len(w), MAX_START) + 1)}:
+            found[w] = found.get(w, 0) + n
+    return sorted(w for w, n in found.items() if n >= DENSE * len(cut))
+
+
+def _apart(ranked: list[str]) -> list[str]:
+    """Of words that begin alike the first."""
+    chosen: list[str] = []
+    for w in ranked:
+        if not any(w.startswith(c) or c.startswith(w) for c in chosen):
+            chosen.append(w)
+    return chosen
+
+
 def _no_model(toxic: int, clean: int) -> Model:
     share = toxic / (toxic + clean) if toxic + clean else 0.5
     nothing = np.zeros((0, WIDTH), dtype=np.uint32)
-    return Model(nothing, np.zeros(0), np.zeros(0), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
+    return Model(nothing, np.zeros(0), np.zeros(0), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))), nothing, np.zeros(0))
 
 
 def _collected(rows: DataFrame, *more: str) -> tuple:
-    """Distinct values of ``v`` with the sums of other columns, or with one
-    other column and the number of rows; the sample bounds them."""
-    if len(more) == 1:
-        found = rows.groupBy("v", more[0]).agg(F.count("*").alias("n")).collect()
-        more = (*more, "n")
-    else:
-        found = rows.groupBy("v").agg(*[F.sum(c).alias(c) for c in more]).collect()
+    """Distinct values of ``v`` with the sums of other columns; the sample bounds them."""
+    found = rows.groupBy("v").agg(*[F.sum(c).alias(c) for c in more]).collect()
     return tuple(np.array([r[c] for r in found], dtype=np.float64) for c in ("v", *more))
 
 
@@ -302,9 +373,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     lists of words and the kernel values of sampled documents."""
     sample = materialize(training_documents(docs, labels, key, text, label, max_docs), "toxic-sample")
     split = F.pandas_udf(lambda part: part.map(_starts), "array<string>")
+    dense = F.pandas_udf(lambda part: part.map(_dense_starts), "array<string>")
     # Copies of a text count once.
     texts = materialize(sample.groupBy(F.xxhash64("t").alias("d")).agg(F.max("y").alias("y"), F.first("t").alias("t"))
-                        .select("d", "y", split("t").alias("w")), "toxic-words")
+                        .select("d", "y", split("t").alias("w"), dense("t").alias("dense")), "toxic-words")
     n_docs = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n_docs.get(1, 0), n_docs.get(0, 0)
     if not toxic or not clean:
@@ -313,6 +385,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     counts = materialize(rows.groupBy("w").agg(F.sum("y").alias("bad"), F.count("*").alias("n")), "toxic-counts")
     q = toxic / (toxic + clean)
     bad, good = F.col("bad"), F.col("n") - F.col("bad")
+    bad_docs = bad
     # Log-likelihood ratio of a word's toxic share against that of all documents.
     ratio = 2 * (bad * F.log(bad / (F.col("n") * q)) + F.when(good > 0, good * F.log(good / (F.col("n") * (1 - q)))).otherwise(0.0))
     suspects = counts.filter((bad >= MIN_TOXIC) & (bad >= PURE * F.col("n"))).select("w", ratio.alias("llr"))
@@ -325,10 +398,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # Witnesses: not much weaker than the strongest one of some document. Of
     # words that begin alike the strongest stays, of equal ones the longest.
     strong = {w: llr for d, w, llr in found if llr >= STRONG * top[d]}
-    chosen: list[str] = []
-    for w in sorted(strong, key=lambda w: (-strong[w], -len(w), w)):
-        if not any(w.startswith(c) or c.startswith(w) for c in chosen):
-            chosen.append(w)
+    chosen = _apart(sorted(strong, key=lambda w: (-strong[w], -len(w), w)))
     if not chosen:
         return _no_model(toxic, clean)
     landmarks = encode(["{" + w for w in chosen])
@@ -347,15 +417,28 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     x = np.vstack([raw[insult], raw[good > 0]])
     y = np.concatenate([np.ones(insult.sum()), -np.ones((good > 0).sum())])
     w, bias = _svm(x @ whiten, y, np.concatenate([bad[insult], good[good > 0]]))
-    model = Model(landmarks, norms, whiten @ w, bias, 1.0, 0.0)
-    margin, y, n = _collected(sample.select("y", margin_column("t", model).alias("v")), "y")
-    model.slope, model.offset = _logistic(margin, y, n)
+    # Beginnings whose share tells toxic documents; those stay that do so by the kernel too.
+    by_share = texts.select("y", F.explode("dense").alias("w")).groupBy("w").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    by_share = by_share.filter((bad_docs >= MIN_DENSE) & (bad_docs >= PURE_DENSE * F.col("n"))).select("w", ratio.alias("llr")).collect()
+    starts = _apart([r["w"] for r in sorted(by_share, key=lambda r: (-r["llr"], -len(r["w"]), r["w"]))])
+    dense_marks = encode(["{" + w for w in starts])
+    model = Model(landmarks, norms, whiten @ w, bias, 1.0, 0.0, dense_marks, subsequence_kernel(dense_marks, dense_marks))
+    if starts:
+        shown = sample.select("y", F.posexplode(evidence_column("t", model, whole=True)["d"]).alias("at", "share")).filter("share >= 1")
+        kept = {r["at"] for r in shown.groupBy("at").agg(F.sum("y").alias("bad"), F.count("*").alias("n")).collect()
+                if r["bad"] >= PURE_DENSE * r["n"]}
+        stay = np.array([i in kept for i in range(len(starts))])
+        model.dense, model.dense_norms = model.dense[stay], model.dense_norms[stay]
+    e = sample.select("y", evidence_column("t", model).alias("e")).groupBy("e.m", "e.d", "y").agg(F.count("*").alias("n")).collect()
+    fit = np.array([(r["m"], r["d"], r["y"], r["n"]) for r in e], dtype=np.float64)  # one row a sampled document at most
+    model.slope, model.dense_slope, model.offset = map(float, _logistic(fit[:, :2], fit[:, 2], fit[:, 3]))
     return model
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, ``held_out``, ``score`` and ``predicted``."""
-    logit = F.least(F.greatest(F.col("m") * model.slope + model.offset, F.lit(-40.0)), F.lit(40.0))
-    rows = docs.select(F.col(key), held_out(F.col(key)).alias("held_out"), margin_column(text, model).alias("m"))
+    logit = F.col("e.m") * model.slope + F.col("e.d") * model.dense_slope + model.offset
+    logit = F.least(F.greatest(logit, F.lit(-40.0)), F.lit(40.0))
+    rows = docs.select(F.col(key), held_out(F.col(key)).alias("held_out"), evidence_column(text, model).alias("e"))
     rows = rows.withColumn("score", 1 / (1 + F.exp(-logit)))
     return rows.select(key, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -268,6 +268,78 @@ def test_style_tree_importance(spark):
     assert deep[0] == pytest.approx(0, abs=1e-6) and deep[1] == pytest.approx(1)
 
 
+def test_parts_by_their_names_and_breaks():
+    def text(body):
+        return "\n".join(b[0] for b in html_extract.parse(f"<body>{body}</body>")[2])
+    for name in ("article-comments", "user-comments", "ad_300x250", "google-ads", "post-footer", "ad-728x90", "reader_comments2"):
+        assert text(f"<article><p>Own</p><div class='{name}'><p>Noise</p></div><p>story</p></article>") == "Own\nstory", name
+    assert text("<p>one<br>two<br/>three</p><p>four") == "one two three\nfour"
+    assert text("<p title='a > b'>x</p><p title=\"<i>\">y</p><a href='z>w") == "x\ny\n<a href='z>w"
+
+
+def test_parse_takes_linear_time_and_bounded_depth():
+    import time
+    pages = ["<a " * 350_000, "<a" * 500_000, "<a ' " * 200_000 + ">", "</script" * 125_000, "<script>" + "</script" * 125_000, "<p " * 300_000 + "<!-- x",
+             "<i>" * 300_000 + "</b>" * 50_000, "<p>x</i>" * 100_000]
+    for page in pages:
+        t = time.process_time()
+        html_extract.parse(page)
+        assert time.process_time() - t < 6, page[:10]
+    t = time.process_time()
+    assert len(html_extract.parse("<a " * 350_000)[2][0][0]) == 350_000 * 3 - 1 and time.process_time() - t < 1
+    nodes, _, blocks = html_extract.parse("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after")
+    assert len(nodes) <= html_extract.MAX_DEPTH + 1 and [b[0] for b in blocks] == ["deep", "after"]
+    assert html_extract.parse("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after")[2][1][1] in nodes
+
+
+def plain_importance(pages):
+    """Importance of every style node of one host by plain recursion."""
+    import math
+    from collections import Counter, defaultdict
+    parsed = [html_extract.parse(p) for p in dict.fromkeys(pages)]
+    sigs, ups, texts = defaultdict(Counter), {}, defaultdict(Counter)
+    for nodes, leaves, _ in parsed:
+        for h, (up, _, sig) in nodes.items():
+            sigs[h][sig] += 1
+            ups[h] = up
+        for h, t in set(leaves):
+            texts[h][t] += 1
+    kids = defaultdict(list)
+    for h, up in ups.items():
+        kids[up].append(h)
+
+    def value(h):
+        n = sum(sigs[h].values())
+        shown = -sum(c / n * math.log(c / n) for c in sigs[h].values()) / math.log(n) if n > 1 else 1.0
+        said = (1 - sum(math.log(c) for c in texts[h].values()) / len(texts[h]) / math.log(n) if n > 1 else 1.0) if h in texts else None
+        parts = [(value(k), sum(sigs[k].values())) for k in kids[h]] + ([(said, n)] if said is not None else [])
+        if not kids[h]:
+            return 1.0 if said is None else said
+        damped = html_extract.DAMPING ** len(sigs[h])
+        return (1 - damped) * shown + damped * sum(v * w for v, w in parts) / sum(w for _, w in parts)
+    return {h: value(h) for h in ups}
+
+
+def test_style_tree_equals_recursion(spark):
+    rnd = random.Random(8)
+    blocks = ["<div class=a><p>{t}</p><ul><li>{t}</li><li>{t}</li></ul></div>", "<section>{t}<div><p>Fixed</p></div></section>", "<p>Always</p>", "<div class=b>{t}</div>"]
+    hosts = {h: ["<body><div class=top><p>Same menu</p></div>" + "".join(rnd.choice(blocks).replace("{t}", rnd.choice("uvwxyz")) for _ in range(rnd.randint(1, 6)))
+                 for _ in range(n)] for h, n in (("h1", 30), ("h2", 9), ("h3", 1))}
+    rows = [(i, "u", h, p) for h, pages in hosts.items() for i, p in enumerate(pages + pages[:3])]
+    parsed = spark.createDataFrame(rows, "page long, url string, host string, html string").mapInArrow(html_extract._parse_batches, html_extract.PARSED)
+    tree = html_extract.style_tree(parsed)
+    got = {(r["host"], r["node"]): r["importance"] for r in tree.collect()}
+    want = {(h, n): v for h, pages in hosts.items() for n, v in plain_importance(pages).items()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    noisy = {r["host"]: set(r["noisy"]) for r in html_extract.noisy_branches(tree).collect()}
+    ups = {(r["host"], r["node"]): (r["up"], r["depth"], r["pages"]) for r in tree.collect()}
+
+    def out(k):
+        up, depth, pages = ups[k]
+        return (want[k] < html_extract.LOW and pages >= html_extract.MIN_PAGES and depth >= 3) or ((k[0], up) in ups and out((k[0], up)))
+    assert {(h, n) for h, ns in noisy.items() for n in ns} == {k for k in ups if out(k)} and noisy
+
+
 def test_subsequence_kernel_by_definition():
     def plain(a, b):
         n, lam = toxicity.ORDER, toxicity.DECAY
