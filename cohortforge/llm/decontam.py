@@ -97,12 +97,14 @@ def decontaminate(docs: DataFrame, bench: DataFrame, mode: str = "documents", te
     """The documents without test passages, columns unchanged. ``documents``
     drops every row with a hit; ``spans`` cuts the hit words (and what stands
     between them) out of the text."""
-    hits = scan(docs, bench, [], text, item_id, item_text, n).filter("n_hit > 0").select("text_hash", "spans")
-    names = docs.columns
-    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.xxhash64(text_of(text)).alias("text_hash"))
+    names, other = docs.columns, F.xxhash64(text_of(text), F.lit(n))  # with the first hash 128 bits of the text
+    texts = docs.select(F.col(text).alias("t"), other.alias("text_hash_2"))
+    hits = scan(texts, bench, ["text_hash_2"], "t", item_id, item_text, n).filter("n_hit > 0").select("text_hash", "text_hash_2", "spans")
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.xxhash64(text_of(text)).alias("text_hash"), other.alias("text_hash_2"))
+    on = ["text_hash", "text_hash_2"]
     if mode == "documents":
-        return rows.join(hits, "text_hash", "left_anti").select("row.*")
-    joined = rows.join(hits, "text_hash", "left").withColumn("body", F.col("row")[text])
+        return rows.join(hits, on, "left_anti").select("row.*")
+    joined = rows.join(hits, on, "left").withColumn("body", F.col("row")[text])
     cut = F.expr(f"""
         transform(array(struct(split(body, r'{WORD}') as g, array_remove(split(body, r'{NOT_WORD}'), '') as w)), p ->
           concat(get(p.g, 0), array_join(transform(p.w, (x, i) ->

@@ -5,10 +5,11 @@ addresses by octet, IBANs modulo 97, social-security numbers by range, dates by
 permuted by a keyed Feistel network inside their alphabet; punctuation, length
 and the parts that carry the format stay. Equal values get equal pseudonyms in
 every document and different values different ones, so records stay linked;
-whoever holds the key can invert the permutation.
+whoever holds the key can invert the permutation, and nobody else: the rounds use
+SHA-256 over the key and the other half. The caller names the key.
 
 A Feistel permutation works on two digit strings of fixed lengths u and v:
-round by round one half is shifted by a hash of the other half modulo its size.
+round by round one half is shifted by a keyed hash of the other half modulo its size.
 Values are mapped as follows:
 
     card     first 12-18 digits permuted, the Luhn digit set anew
@@ -31,10 +32,13 @@ result. Whole texts are read. Nothing is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROUNDS = 8
+ROUNDS, KEY_SETTING = 8, "spark.cohortforge.pii.key"
 EDGE = "(?<![0-9A-Za-z])"
 # Countries that issue IBANs.
 IBAN = ("A[DELTZ]|B[AEGHIRY]|C[HRYZ]|D[EJKO]|E[EGS]|F[IKOR]|G[BEILRT]|H[NRU]|I[ELQST]|JO|K[WZ]|L[BCITUVY]|M[CDEKNRTU]|N[ILO]|OM|P[KLST]|QA|"
@@ -58,10 +62,21 @@ FIRST_DAY, DAYS, LAST = "1900-01-01", 65536, 73049
 LATE = [(d, m) for m in range(1, 13) for d in range(13, [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][m - 1] + 1)]
 
 
-def _feistel(a: str, b: str, size_a: str, size_b: str, key: int, name: str) -> str:
+def _secret(key: str) -> str:
+    """The key as 64 hex digits, which may stand in SQL."""
+    return hashlib.sha256(key.encode()).hexdigest()
+
+
+def _keyed(key: str, name: str, *parts: str) -> str:
+    """SQL: hex digits of the keyed hash of some values."""
+    return f"sha2(concat_ws('|', '{key}', '{name}', {', '.join(parts)}), 256)"
+
+
+def _feistel(a: str, b: str, size_a: str, size_b: str, key: str, name: str) -> str:
     """SQL for a struct (a, b) after the rounds; ``a`` below ``size_a`` and ``b`` below ``size_b``."""
-    step = (f"if(r % 2 = 0, struct(pmod(s.a + pmod(xxhash64({key}L, '{name}', r, s.b), {size_a}), {size_a}) as a, s.b as b),"
-            f" struct(s.a as a, pmod(s.b + pmod(xxhash64({key}L, '{name}', r, s.a), {size_b}), {size_b}) as b))")
+    shift = lambda other: f"cast(conv(substr({_keyed(key, name, 'r', other)}, 1, 15), 16, 10) as bigint)"
+    step = (f"if(r % 2 = 0, struct((s.a + {shift('s.b')}) % {size_a} as a, s.b as b),"
+            f" struct(s.a as a, (s.b + {shift('s.a')}) % {size_b} as b))")
     return (f"aggregate(sequence(0, {ROUNDS - 1}), struct(cast({a} as bigint) as a, cast({b} as bigint) as b), (s, r) -> {step})")
 
 
@@ -70,16 +85,20 @@ def _let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _digits(text: str, alphabet: str, key: int, name: str) -> str:
+def _digits(text: str, alphabet: str, key: str, name: str) -> str:
     """SQL: a string over an alphabet, its characters shifted one by one in
     Feistel rounds over its halves; any length, characters outside stay."""
     n = len(alphabet)
     half = f"cast(length({text}) / 2 as int)"
-    # Each half moves by the stream that the other half and the key give.
-    move = ("array_join(transform(split({x}, ''), (c, i) -> if(instr('" + alphabet + "', c) = 0 or c = '', c, "
-            f"substr('{alphabet}', cast(pmod(instr('{alphabet}', c) - 1 + pmod(xxhash64({key}L, '{name}', r, i, {{y}}), {n}), {n}) as int) + 1, 1))), '')")
-    step = (f"if(r % 2 = 0, struct({move.format(x='s.a', y='s.b')} as a, s.b as b),"
-            f" struct(s.a as a, {move.format(x='s.b', y='s.a')} as b))")
+
+    def move(x: str, y: str) -> str:
+        """``x`` moved by the stream that ``y`` and the key give, four hex digits for each character."""
+        stream = f"array_join(transform(sequence(0, cast(length({x}) / 16 as int)), j -> {_keyed(key, name, 'r', 'j', y)}), '')"
+        place = f"cast((instr('{alphabet}', c) - 1 + cast(conv(substr(w, i * 4 + 1, 4), 16, 10) as bigint)) % {n} as int) + 1"
+        return _let(stream, "w", f"array_join(transform(split({x}, ''), (c, i) -> if(instr('{alphabet}', c) = 0 or c = '', c, "
+                    f"substr('{alphabet}', {place}, 1))), '')")
+    step = (f"if(r % 2 = 0, struct({move('s.a', 's.b')} as a, s.b as b),"
+            f" struct(s.a as a, {move('s.b', 's.a')} as b))")
     return _let(f"aggregate(sequence(0, {ROUNDS - 1}), struct(substr({text}, 1, {half}) as a, substr({text}, {half} + 1) as b),"
                 f" (s, r) -> {step})", "f", "concat(f.a, f.b)")
 
@@ -96,25 +115,25 @@ def _luhn_sum(digits: str) -> str:
             f" if(c >= '5', 2 * cast(c as int) - 9, 2 * cast(c as int))))), 0, (t, x) -> t + x)")
 
 
-def _card(m: str, key: int) -> str:
+def _card(m: str, key: str) -> str:
     body = _digits("substr(d, 1, length(d) - 1)", "0123456789", key, "card")
     check = f"cast(pmod(10 - pmod({_luhn_sum('concat(p, 0)')}, 10), 10) as string)"
     return _let(f"regexp_replace({m}, '[^0-9]', '')", "d", _let(body, "p", _refill(m, f"concat(p, {check})")))
 
 
-def _phone(m: str, key: int) -> str:
+def _phone(m: str, key: str) -> str:
     last = _feistel("substr(d, -7, 3)", "substr(d, -4)", "1000L", "10000L", key, "phone")
     return _let(f"regexp_replace({m}, '[^0-9]', '')", "d", _let(last, "f", _refill(
         m, "concat(substr(d, 1, length(d) - 7), lpad(cast(f.a as string), 3, '0'), lpad(cast(f.b as string), 4, '0'))")))
 
 
-def _ip(m: str, key: int) -> str:
+def _ip(m: str, key: str) -> str:
     part = lambda i: f"cast(split({m}, '[.]')[{i}] as bigint)"
     f = _feistel(f"{part(0)} * 256 + {part(1)}", f"{part(2)} * 256 + {part(3)}", "65536L", "65536L", key, "ip")
     return _let(f, "f", "concat_ws('.', f.a div 256, f.a % 256, f.b div 256, f.b % 256)")
 
 
-def _date(m: str, key: int) -> str:
+def _date(m: str, key: str) -> str:
     day = f"datediff(cast({m} as date), date'{FIRST_DAY}')"
     f = _feistel(f"{day} div 256", f"{day} % 256", "256L", "256L", key, "date")
     late = _feistel("(n - 65536) div 683", "(n - 65536) % 683", "11L", "683L", key, "late date")
@@ -123,7 +142,7 @@ def _date(m: str, key: int) -> str:
             + _let(day, "n", f"if(n >= {LAST}, {m}, cast(date_add(date'{FIRST_DAY}', cast({moved} as int)) as string))") + ")")
 
 
-def _day(m: str, key: int) -> str:
+def _day(m: str, key: str) -> str:
     pairs = "array(" + ",".join(str(d * 100 + n) for d, n in LATE) + ")"
     both = _feistel("(z.a - 1) * 12 + z.b - 1", "z.y", "144L", "200L", key, "day pair")
     late = _feistel("i - 1", "z.y", "221L", "200L", key, "late day")
@@ -150,7 +169,7 @@ def _mod97(text: str) -> str:
             " t * 100 + ascii(c) - 55) % 97))")
 
 
-def _iban(m: str, key: int) -> str:
+def _iban(m: str, key: str) -> str:
     account = _digits("substr(d, 5)", "0123456789", key, "iban")
     check = f"lpad(cast(98 - {_mod97("concat(p, substr(d, 1, 2), '00')")} as string), 2, '0')"
     fill = (f"aggregate(split({m}, ''), struct('' as t, 1 as i), (z, c) -> if(c = ' ', struct(concat(z.t, c) as t, z.i as i),"
@@ -163,7 +182,7 @@ def _iban(m: str, key: int) -> str:
     return _let(f"replace({m}, ' ', '')", "d", f"if({good}, {new}, {other})")
 
 
-def _ssn(m: str, key: int) -> str:
+def _ssn(m: str, key: str) -> str:
     area = f"cast(left({m}, 3) as int)"
     f = _feistel(f"({area} - if({area} > 666, 2, 1)) * 99 + cast(substr({m}, 5, 2) as int) - 1", f"cast(right({m}, 4) as int) - 1",
                  "88902L", "9999L", key, "ssn")
@@ -172,7 +191,7 @@ def _ssn(m: str, key: int) -> str:
                 " lpad(cast(f.b + 1 as string), 4, '0'))")
 
 
-def _pseudonym(m: str, key: int) -> str:
+def _pseudonym(m: str, key: str) -> str:
     """SQL: the pseudonym of a match, or the match itself if a check fails."""
     whole = {k: f"{m} rlike r'^(?:{p})$'" for k, p in KINDS.items()}
     alnum = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -197,9 +216,20 @@ def kind_counts(found: Column) -> Column:
     return F.struct(*[F.size(F.filter(found, lambda x, p=p: x.rlike(f"^(?:{p})$"))).cast("long").alias(k) for k, p in KINDS.items()])
 
 
-def pseudonymize(docs: DataFrame, text: str = "text", key: int = 20240229, n_found: str | None = None) -> DataFrame:
-    """The rows with personal data in ``text`` replaced; with ``n_found`` also
-    the number of replaced values."""
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``KEY_SETTING``; where it names none, one is
+    drawn and kept there, so that pseudonyms agree within the session only."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pseudonymize(docs: DataFrame, key: str, text: str = "text", n_found: str | None = None) -> DataFrame:
+    """The rows with personal data in ``text`` replaced under a secret ``key``; with
+    ``n_found`` also the number of replaced values."""
+    key = _secret(key)
     names = docs.columns
     rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"))
     body = F.col("row")[text]

@@ -101,7 +101,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of all documents with personal data replaced by pseudonyms."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymize(docs, n_found="n_replaced")
+    return pii.pseudonymize(docs, pii.session_key(spark), n_found="n_replaced")
 
 
 def byte_bpe() -> str:

@@ -1,6 +1,7 @@
 """Quality rules, decontamination, mixing and pseudonyms against plain Python."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -191,7 +192,7 @@ def test_pseudonyms_keep_format_and_link_values(spark):
              KEY_ID: "AKIA[0-9A-Z]{16}"}
     for value, form in forms.items():
         rows = [(1, f"see {value} here"), (2, f"({value}), {value}"), (3, value)]
-        out = {r["doc_id"]: r for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), n_found="n").collect()}
+        out = {r["doc_id"]: r for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "secret", n_found="n").collect()}
         new = out[3]["text"]
         assert new != value and re.fullmatch(form, new), (value, new)
         assert out[1]["text"] == f"see {new} here" and out[2]["text"] == f"({new}), {new}" and out[2]["n"] == 2
@@ -202,9 +203,9 @@ def test_pseudonyms_keep_format_and_link_values(spark):
 
 def test_pseudonyms_are_one_to_one(spark):
     rows = [(i, f"+1 (743) 555-{i:04d}") for i in range(2000)]
-    out = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "secret")
     assert out.select("text").distinct().count() == 2000
-    assert pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), key=7).intersect(out).count() < 20
+    assert pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "seven").intersect(out).count() < 20
 
 
 def test_pseudonyms_of_usual_national_forms(spark):
@@ -223,18 +224,18 @@ def test_pseudonyms_of_usual_national_forms(spark):
              "DE89 3704 0044 0532 0130 00": r"DE\d\d( \d{4}){4} \d\d", "GB82WEST12345698765432": r"GB\d\dWEST\d{14}",
              "123-45-6789": r"\d{3}-\d{2}-\d{4}", "AD12 4785 3805 9239 1139": r"AD12( \d{4}){4}"}
     rows = [(i, f"see {v}, ok") for i, v in enumerate(forms)]
-    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "secret").collect()}
     for i, (v, form) in enumerate(forms.items()):
         new = out[i].removeprefix("see ").removesuffix(", ok")
         assert new != v and re.fullmatch(form, new), (v, new)
         assert not v.startswith(("DE", "GB")) or iban_ok(new), new
         assert not re.search(r"[/.-](19|20)\d\d$", v) or day_ok(new), new
     stay = ["000-12-3456", "666-12-3456", "DE88 3704 0044 0532 0130 00", "31/04/1987", "29.02.2023", "0.5.1987", "123.4567890", "1.2.2000.4"]
-    kept = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(stay)], "doc_id long, text string")).orderBy("doc_id").collect()
+    kept = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(stay)], "doc_id long, text string"), "secret").orderBy("doc_id").collect()
     assert [r["text"] for r in kept] == stay
     every = [f"{d:02d}/{m:02d}/{y}" for y in (1960, 2001) for m in range(1, 32) for d in range(1, 32)]
     every += [f"{a:03d}-{g:02d}-0001" for a in range(660, 680) for g in (1, 99) if a != 666]
-    one = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(every)], "doc_id long, text string"))
+    one = pii.pseudonymize(spark.createDataFrame([(i, v) for i, v in enumerate(every)], "doc_id long, text string"), "secret")
     assert one.select("text").distinct().count() == len(every)
 
 
@@ -242,9 +243,9 @@ def test_pseudonyms_leave_other_text(spark):
     plain = [None, "", "no numbers", "4785380592391138 fails the check", "999.1.2.3", "2023-02-30", "version 3.11", "12345", "BY-NC 4.0", "a" * 20000]
     rows = [(i, t) + ("v",) * 6 for i, t in enumerate(plain)] * 2
     docs = spark.createDataFrame(rows, CLASH)
-    out = pii.pseudonymize(docs)
+    out = pii.pseudonymize(docs, "secret")
     assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
-    assert pii.pseudonymize(docs.limit(0)).count() == 0
+    assert pii.pseudonymize(docs.limit(0), "secret").count() == 0
 
 
 def test_item_digest(spark):
@@ -255,3 +256,89 @@ def test_item_digest(spark):
     none = hashlib.sha256(b"").hexdigest()
     rows = op4_decontamination(spark, "/root/testdata/sf0.001").collect()
     assert all((r["items_sha256"] == none) == (not r["contaminated"]) for r in rows)
+
+
+def plain_pseudonyms(key):
+    """A second form of the permutations: phone, card, e-mail and address."""
+    import hashlib
+    secret = hashlib.sha256(key.encode()).hexdigest()
+
+    def keyed(*parts):
+        return hashlib.sha256("|".join(map(str, (secret, *parts))).encode()).hexdigest()
+
+    def feistel(a, b, size_a, size_b, name):
+        for r in range(pii.ROUNDS):
+            if r % 2 == 0:
+                a = (a + int(keyed(name, r, b)[:15], 16)) % size_a
+            else:
+                b = (b + int(keyed(name, r, a)[:15], 16)) % size_b
+        return a, b
+
+    def moved(x, y, r, alphabet, name):
+        stream = "".join(keyed(name, r, j, y) for j in range(len(x) // 16 + 1))
+        return "".join(alphabet[(alphabet.index(c) + int(stream[4 * i:4 * i + 4], 16)) % len(alphabet)] if c in alphabet else c for i, c in enumerate(x))
+
+    def digits(text, alphabet, name):
+        a, b = text[:len(text) // 2], text[len(text) // 2:]
+        for r in range(pii.ROUNDS):
+            if r % 2 == 0:
+                a = moved(a, b, r, alphabet, name)
+            else:
+                b = moved(b, a, r, alphabet, name)
+        return a + b
+
+    def refill(form, new):
+        new = iter(new)
+        return "".join(next(new) if c.isdigit() else c for c in form)
+
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else 2 * int(c) - 9 * (c >= "5") for i, c in enumerate(reversed(d)))
+
+    def phone(m):
+        d = re.sub(r"\D", "", m)
+        a, b = feistel(int(d[-7:-4]), int(d[-4:]), 1000, 10000, "phone")
+        return refill(m, f"{d[:-7]}{a:03}{b:04}")
+
+    def card(m):
+        d = re.sub(r"\D", "", m)
+        new = digits(d[:-1], "0123456789", "card")
+        return refill(m, new + str(-luhn(new + "0") % 10))
+
+    def ip(m):
+        p = list(map(int, m.split(".")))
+        a, b = feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536, "ip")
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+
+    def email(m):
+        m = m.lower()
+        name, _, last = m.rpartition(".")
+        return digits(name, "0123456789abcdefghijklmnopqrstuvwxyz", "email") + "." + last
+    return {"phone": phone, "card": card, "ip": ip, "email": email}
+
+
+def test_pseudonyms_equal_second_form(spark):
+    rnd = random.Random(11)
+    plain = plain_pseudonyms("secret")
+    values = {"phone": [f"+1 {rnd.randint(200, 999)}-{rnd.randint(200, 999)}-{rnd.randint(0, 9999):04}" for _ in range(30)],
+              "ip": [".".join(str(rnd.randint(0, 255)) for _ in range(4)) for _ in range(30)],
+              "email": [f"{''.join(rnd.choices('abcxyz019._', k=rnd.randint(1, 40)))}q@Mail{rnd.randint(0, 99)}.example.org".lstrip("._") for _ in range(30)],
+              "card": []}
+    while len(values["card"]) < 30:
+        d = "4" + "".join(rnd.choices("0123456789", k=15))
+        if sum(int(c) if i % 2 == 0 else 2 * int(c) - 9 * (c >= "5") for i, c in enumerate(reversed(d))) % 10 == 0:
+            values["card"].append(" ".join(d[i:i + 4] for i in range(0, 16, 4)))
+    rows = [(f"{kind}{i}", f"see {v} now") for kind, vs in values.items() for i, v in enumerate(vs)]
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id string, text string"), "secret").collect()}
+    for kind, vs in values.items():
+        for i, v in enumerate(vs):
+            assert out[f"{kind}{i}"] == f"see {plain[kind](v)} now", v
+
+
+def test_the_session_names_the_key(spark):
+    before = spark.conf.get(pii.KEY_SETTING, None)
+    spark.conf.unset(pii.KEY_SETTING)
+    drawn = pii.session_key(spark)
+    assert len(drawn) == 64 and pii.session_key(spark) == drawn
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    assert pii.session_key(spark) == "mine"
+    spark.conf.unset(pii.KEY_SETTING) if before is None else spark.conf.set(pii.KEY_SETTING, before)
