@@ -41,7 +41,7 @@ from cohortforge.llm.common import materialize, new_scratch, text_of
 MASK_DELTA = 0xA282EAD8
 HAS_KEY, WIDE = 1, 2
 HEAD = struct.Struct("<Bq")
-MAX_CACHED, MAX_CACHED_CHARS, WORDS_AT_ONCE, GROUP_CHARS, ROWS_OUT = 400_000, 40, 2_000, 1 << 20, 10_000
+MAX_CACHED, MAX_CACHED_CHARS, WORDS_AT_ONCE, GROUP_CHARS, ROWS_OUT = 800_000, 40, 2_000, 1 << 22, 10_000
 MARKS = frozenset(PUNCTUATION)
 SPACE_RUN, CUT = re.compile(r" (?:\s|$)"), re.compile(r" (?=\S)")
 NEWLINE_RUN = re.compile(r"\n(?:\s|\Z|(?<=\s\n))")
@@ -91,7 +91,7 @@ class Encoder:
         return [self._pack(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text with the end id, in groups of about a megabyte of text."""
+        """Ids of each text with the end id, in groups of some megabytes of text."""
         group, size = [], 0
         for t in texts:
             group.append(t)
