@@ -667,9 +667,9 @@ def categorical_readings_onehot(charts: DataFrame, match: str = "urine",
                                 specs: Sequence[tuple[str, str]] = (("Urine Color", "ft_urine_color"),
                                                                     ("Urine Appearance", "ft_urine_appearance")),
                                 keep_prefix: str = "ft_", values: Mapping[str, Sequence[str]] | None = None,
-                                key: str = KEY) -> DataFrame:
+                                key: str = KEY, how: str = "full") -> DataFrame:
     """One-hot of the lower-cased text value for each exact label, max per
-    entity, sides outer-joined. Each side is aggregated before the join (the
+    entity, sides outer-joined (``how="left"``: entities of the first side only). Each side is aggregated before the join (the
     max over a many-to-many join equals the per-side max). A prefix without
     ``keep_prefix`` keeps only its keys (parity with the dropped columns)."""
     res = charts.where(contains_ci(F.col("label"), match) & F.col(key).isNotNull()) \
@@ -685,7 +685,7 @@ def categorical_readings_onehot(charts: DataFrame, match: str = "urine",
             agg = side.groupBy(key).agg(*onehot_max_exprs(val, vals, prefix)) if vals else side.select(key).distinct()
         else:
             agg = side.select(key).distinct()
-        out = agg if out is None else out.join(agg, key, "full")
+        out = agg if out is None else out.join(agg, key, how)
     return out
 
 

@@ -389,6 +389,14 @@ def q_demographics_v1(spark, d):
                            normalizer=normalize_ethnicity_v1)
 
 
+@query("demographics_dev", _demo_sql(norm=_ETH_NORM_V1, races=[r for r in _RACES_V1 if r not in _FOLD], fold_name="ft_race_missing_information"))
+def q_demographics_dev(spark, d):
+    """Development form: older normaliser, unknown classes folded under another name."""
+    from cohortforge.functions import normalize_ethnicity_v1
+    return fx.demographics(A.admissions(spark, d), A.patients(spark, d), fold_name="ft_race_missing_information",
+                           normalizer=normalize_ethnicity_v1)
+
+
 # ================================================================== chart features
 def _ph_sql(masked: bool, parts: bool = False, means: bool = True):
     low = "valuenum < 7.3"
@@ -519,7 +527,7 @@ def q_serial_audit(spark, d):
 _URINE_VALUES = ["clear", "red", "yellow"]
 
 
-def _urine_sql() -> str:
+def _urine_sql(how: str = "FULL OUTER") -> str:
     def side(label, prefix, alias):
         cols = ", ".join(f"max({fl(f'lower(value) = {chr(39)}{v}{chr(39)}')}) AS {prefix}_{v}" for v in _URINE_VALUES)
         return (f"{alias} AS (SELECT hadm_id, {cols} FROM dd WHERE {cci('label', 'urine')} AND hadm_id IS NOT NULL "
@@ -529,7 +537,7 @@ def _urine_sql() -> str:
     return with_ctes(S.EVENTS_CTES + [side("Urine Color", "ft_urine_color", "col"),
                                       side("Urine Appearance", "ft_urine_appearance", "app")], f"""
 SELECT coalesce(c.hadm_id, a.hadm_id) AS hadm_id, {sel}
-FROM col c FULL OUTER JOIN app a ON c.hadm_id = a.hadm_id""".lstrip())
+FROM col c {how} JOIN app a ON c.hadm_id = a.hadm_id""".lstrip())
 
 
 @query("categorical_readings_onehot", _urine_sql())
@@ -539,6 +547,13 @@ def q_urine(spark, d):
     return fx.categorical_readings_onehot(ev)
 
 
+@query("categorical_readings_left", _urine_sql("LEFT"))
+def q_urine_left(spark, d):
+    """Older form: sides left-joined, so entities of the later sides only are lost."""
+    ev = fx.dedupe_events(_clean(spark, d, item_filter=F.lower(F.col("label")).contains("urine")))
+    return fx.categorical_readings_onehot(ev, how="left")
+
+
 # =========================================================================== merges
 def _merge_sql() -> str:
     return with_ctes(S.LABEL_CTES + [A.SQL_PROCEDURES, S.LABS_CTES[0], S.LABS_CTES[1], S.LABS, f"""f1 AS (SELECT hadm_id, hcc_cd_135 FROM label_g),
