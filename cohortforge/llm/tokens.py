@@ -43,7 +43,12 @@ HAS_KEY, WIDE = 1, 2
 HEAD = struct.Struct("<Bq")
 MAX_CACHED, MAX_CACHED_CHARS, WORDS_AT_ONCE, GROUP_CHARS, ROWS_OUT = 800_000, 40, 2_000, 1 << 22, 10_000
 MARKS = frozenset(PUNCTUATION)
+# Letters that every Unicode version knows; marks after them are a piece of their own.
+LETTERS = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]{{1,{MAX_CACHED_CHARS}}}$"
 SPACE_RUN, CUT = re.compile(r" (?:\s|$)"), re.compile(r" (?=\S)")
+# The byte-level alphabet writes the bytes that are no printable Latin-1 character from U+0100 on:
+# 33 below 0x21, then 0x7F to 0xA0 and 0xAD.
+HIGH_BYTES = {b: 0x100 + 33 + i for i, b in enumerate([*range(0x7F, 0xA1), 0xAD])}
 NEWLINE_RUN = re.compile(r"\n(?:\s|\Z|(?<=\s\n))")
 
 
@@ -56,9 +61,14 @@ class Encoder:
     """Encodes texts with a tokenizer file and returns the ids as bytes.
 
     A byte-level tokenizer starts a new piece at every space that a non-space
-    follows. Such texts are encoded word by word, and the ids of short words are
-    remembered (at most two times ``MAX_CACHED``). A text with the string of an added
-    token goes to the library whole, as do all texts of any other tokenizer."""
+    follows. Such texts are encoded word by word: Arrow splits a group of texts and
+    finds its distinct words, the library encodes those not seen before, and one
+    ``take`` lays the ids of all words in a row. Words of Latin letters, less the
+    marks behind them, are one piece each and go to the library's model without its
+    pattern; they are remembered in an Arrow table (beyond ``MAX_CACHED`` only those
+    of the last group stay), other short words in a dict (at most two times
+    ``MAX_CACHED``). A text with the string of an added token goes to the library
+    whole, as do all texts of any other tokenizer."""
 
     def __init__(self, path: str, end_id: int):
         import os
@@ -77,12 +87,16 @@ class Encoder:
         if self.by_word:  # ids whose piece begins with a space, which the byte-level alphabet writes as U+0120
             import numpy as np
             self.newline = self.model.token_to_id("\u010a")
+            from tokenizers import Tokenizer, pre_tokenizers
+            self.pieces = Tokenizer(self.model.model)  # white space cuts the pieces, already in the byte-level alphabet
+            self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             self.opens = np.zeros(self.model.get_vocab_size(), dtype=bool)
             for piece, i in self.model.get_vocab().items():
                 self.opens[i] = piece.startswith("\u0120")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'I' if self.wide else 'H'}", *ids)
@@ -103,33 +117,111 @@ class Encoder:
             yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
+        import numpy as np
+        import pyarrow.compute as pc
         whole = [t for t in texts if not self.by_word or any(a in t for a in self.added)]
         if whole:  # strings of added tokens may reach over spaces
             whole = dict(zip(whole, self._batch(whole)))
-        cuts, heads, words = [], {}, set()
+        plan, heads, rests, odd, odd_ends = [], {}, [], [], [0]  # words after the first, by texts
         for t in texts:
             if whole and t in whole:
-                cuts.append((None, None))
+                plan.append((None, None))
                 continue
             if SPACE_RUN.search(t):
-                cut = CUT.split(t)
-            elif NEWLINE_RUN.search(t):
-                cut = t.split(" ")
-            else:  # a line feed between two words is a piece of its own
-                cut = t.replace("\n", " \n").split(" ")
-            head = cut.pop(0)
+                head, *cut = CUT.split(t)
+                odd += cut
+                odd_ends.append(len(odd))
+                place = -len(odd_ends) + 1
+            else:
+                if not NEWLINE_RUN.search(t):  # a line feed between two words is a piece of its own
+                    t = t.replace("\n", " \n")
+                head, space, rest = t.partition(" ")
+                place = 0
+                if space:
+                    rests.append(rest)
+                    place = len(rests)
             heads[head] = b""
-            words.update(cut)
-            cuts.append((head, cut))
+            plan.append((head, place))
         heads = dict(zip(heads, self._batch(list(heads))))
-        passing = self._learn(words)
-        get = self.known.__getitem__
-        for t, (head, cut) in zip(texts, cuts):
-            yield (whole[t] if cut is None else heads[head] + b"".join(map(get, cut))) + self.end
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        words = pa.concat_arrays([lists.values, pa.array(odd, pa.large_string())]).dictionary_encode()
+        ids = self._distinct(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64) if len(ids) else np.zeros(1, dtype=np.int64)
+        data = memoryview(ids.buffers()[2] or b"")
+        first = ends[lists.offsets.to_numpy()].tolist()
+        odd_first = ends[np.array(odd_ends) + len(lists.values)].tolist()
+        for t, (head, place) in zip(texts, plan):
+            if place is None:
+                yield whole[t] + self.end
+            elif place == 0:
+                yield heads[head] + self.end
+            else:
+                a, b = first[place - 1:place + 1] if place > 0 else odd_first[-place - 1:-place + 1]
+                yield b"".join((heads[head], data[a:b], self.end))
+
+    def _distinct(self, words: pa.Array) -> pa.Array:
+        """Ids of space + word, or of a word that begins with a line feed, for distinct words."""
+        import numpy as np
+        import pyarrow.compute as pc
+        stems = pc.utf8_rtrim(words, PUNCTUATION)
+        plain = pc.match_substring_regex(stems, LETTERS)
+        marks = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).filter(plain).to_numpy()
+        of_letters = stems.filter(plain).dictionary_encode()
+        ids = self._letters(of_letters.dictionary).take(of_letters.indices)
+        if marks.any():
+            rows = words.filter(plain)
+            tails = pa.array(np.zeros(len(rows), dtype="U1"), pa.large_string())
+            for n in np.unique(marks[marks > 0]).tolist():
+                some = pa.array(marks == n)
+                tails = pc.replace_with_mask(tails, some, pc.utf8_slice_codeunits(rows.filter(some), -n))
+            tails = tails.dictionary_encode()
+            of_tails = pa.array([self._tail(w) for w in tails.dictionary.to_pylist()], pa.large_binary())
+            ids = pc.binary_join_element_wise(ids, of_tails.take(tails.indices), pa.scalar(b"", pa.large_binary()))
+        others = words.filter(pc.invert(plain)).to_pylist()
+        passing = self._learn(set(others))
+        more = pa.array([self.known[w] for w in others], pa.large_binary())
         for w in passing:
             del self.known[w]
         if len(self.known) > MAX_CACHED:  # words that come again move over, the others go
-            self.known, self.older, self.tails = {}, self.known, {}
+            self.known, self.older = {}, self.known
+        if len(self.tails) > MAX_CACHED:
+            self.tails = {}
+        own = plain.to_numpy(zero_copy_only=False)
+        place = np.empty(len(words), dtype=np.int64)
+        place[own], place[~own] = np.arange(len(ids)), len(ids) + np.arange(len(more))
+        return pa.concat_arrays([ids, more]).take(pa.array(place))
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            self.tails[marks] = self._batch([marks])[0]
+        return self.tails[marks]
+
+    def _letters(self, words: pa.Array) -> pa.Array:
+        """Ids of space + word for distinct words of letters."""
+        import numpy as np
+        import pyarrow.compute as pc
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        narrow = pc.string_is_ascii(new)
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = len(self.words) + np.argsort(np.argsort(~narrow.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+        order, fresh = [self.words], [self.ids]
+        for some, wide in ((new.filter(narrow), False), (new.filter(pc.invert(narrow)), True)):
+            order.append(some)
+            for first in range(0, len(some), WORDS_AT_ONCE):
+                chunk = some.slice(first, WORDS_AT_ONCE)
+                text = " ".join(chunk.to_pylist())
+                if wide:
+                    text = text.encode().decode("latin-1").translate(HIGH_BYTES)
+                text = "\u0120" + text.replace(" ", " \u0120")
+                ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4" if self.wide else "<u2")
+                ends = np.append(np.flatnonzero(self.opens[ids]), len(ids)).astype(np.int64) * ids.itemsize
+                fresh.append(pa.Array.from_buffers(pa.large_binary(), len(chunk), [None, pa.py_buffer(ends), pa.py_buffer(ids)]))
+        self.words, self.ids = pa.concat_arrays(order), pa.concat_arrays(fresh)
+        ids = self.ids.take(pa.array(at))
+        if len(self.words) > MAX_CACHED:
+            self.words, self.ids = words, ids
+        return ids
 
     def _learn(self, words: set[str]) -> list[str]:
         """Makes the ids of space + word, or of a word that begins with a line feed,

@@ -183,6 +183,26 @@ def test_encoder_equals_library():
         assert np.frombuffer(ids, "<u2").tolist() == lib.encode(t, add_special_tokens=False).ids + [2]
 
 
+@pytest.mark.parametrize("remembered", [tokens.MAX_CACHED, 5])
+def test_encoder_words_and_marks_equal_library(monkeypatch, remembered):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(tokens, "MAX_CACHED", remembered)
+    path = P.path("byte_bpe_50k.json")
+    plain, mine = Tokenizer.from_file(path), tokens.Encoder(path, 2)
+    rnd = random.Random(4)
+
+    def word():
+        letters = "".join(chr(rnd.choice([rnd.randint(97, 122), rnd.randint(0xC0, 0x2FF)])) for _ in range(rnd.randint(1, 6)))
+        return letters + rnd.choice(["", "", ",", "...", "'s", ")\"", "9", "\xad", "\u0120", "x" * 45])
+    for _ in range(12):
+        texts = [rnd.choice([" ", "\n", "  "]).join(word() for _ in range(rnd.randint(0, 30))) for _ in range(40)]
+        got = list(mine.encode(texts))
+        assert len(got) == len(texts)
+        for t, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u2").tolist() == plain.encode(t, add_special_tokens=False).ids + [2], repr(t)
+    assert list(mine.encode([])) == [] and [len(x) for x in mine.encode(["", ""])] == [2, 2]
+
+
 def test_token_records_round_trip(spark):
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")
