@@ -361,12 +361,16 @@ SQL_LAB_ITEMS = "labitems_r AS (SELECT * FROM (VALUES " + ", ".join(
 
 
 # ------------------------------------------------------------- paired readings input
+PAIRED_LABELS = {"view": "Arterial BP [Systolic]", "click": "Arterial BP [Diastolic]",
+                 "purchase": "Non Invasive BP [Systolic]", "error": "Non Invasive BP [Diastolic]",
+                 "signup": "Pulmonary Artery Pressure systolic"}
+
+
 def paired_readings_input(spark, d):
-    """Chart-shaped rows from ``events``: 'view' readings play the systolic and
-    'click' readings the diastolic series; readings pair on user and day."""
-    e = table(spark, d, "events").where(F.col("event_type").isin("view", "click", "signup"))
-    label = _case(F.col("event_type"), {"view": "Arterial BP [Systolic]", "click": "Arterial BP [Diastolic]",
-                                        "signup": "Pulmonary Artery Pressure systolic"})
+    """Chart-shaped rows from all ``events``, one series per event type: two systolic,
+    two diastolic and an excluded one; readings pair on user and day."""
+    e = table(spark, d, "events")
+    label = _case(F.col("event_type"), PAIRED_LABELS)
     return e.select(
         F.col("user_id").alias("hadm_id"),
         F.date_trunc("DAY", F.col("ts")).cast("timestamp_ntz").alias("eventtime"),
@@ -377,13 +381,12 @@ def paired_readings_input(spark, d):
     )
 
 
-SQL_PAIRED = """paired_r AS (
+SQL_PAIRED = f"""paired_r AS (
   SELECT user_id AS hadm_id, date_trunc('day', ts) AS eventtime,
          TIMESTAMP '2024-01-01' + (user_id % 10) * INTERVAL 1 DAY AS admittime,
-         CASE event_type WHEN 'view' THEN 'Arterial BP [Systolic]' WHEN 'click' THEN 'Arterial BP [Diastolic]'
-              WHEN 'signup' THEN 'Pulmonary Artery Pressure systolic' END AS label,
+         {_sql_case("event_type", PAIRED_LABELS)} AS label,
          value AS valuenum
-  FROM events WHERE event_type IN ('view', 'click', 'signup'))"""
+  FROM events)"""
 
 
 # -------------------------------------------------------------------- model rows

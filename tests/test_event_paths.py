@@ -131,3 +131,13 @@ def test_every_preset_drug_flag_takes_both_values(spark):
     assert len(flags) == (1 + words + len(P.DRUG_GROUPS)) * 4
     row = rows.agg(*[F.count_if(F.col(c) == v).alias(f"{c}:{v}") for c in flags for v in (0, 1)]).first().asDict()
     assert not [k for k, n in row.items() if not n]
+
+
+def test_paired_readings_take_all_events(spark):
+    from cohortforge.sources import adapters as A
+    d = "/root/testdata/sf0.001"
+    rows = A.paired_readings_input(spark, d)
+    assert rows.count() == spark.read.parquet(f"{d}/events.parquet").count()
+    assert rows.filter("label IS NULL").count() == 0
+    bands = fx.paired_reading_bands(rows)
+    assert bands.count() > 0
