@@ -6,13 +6,11 @@ doubling: a run's rank is the number of runs sorted before it, by the ranks of
 its two halves. Runs that occur once drop out of every later round, as no
 repeated run can hold them. Suffixes with a common prefix of a given length form
 an interval of the suffix array; here that is a pair of ranks of two
-overlapping runs. With ``whole`` every line of a later copy of any repeated run
-of at least ``min_words`` words goes. Judged are the shortest such runs from each
-line on and up to each line: of the repeated runs that hold a line, one that
-cannot be shortened without losing the line or words below the minimum is either
-of these, and what repeats in a run repeats in its parts. Without ``whole`` only
-the runs from each line on are judged, so the last lines of a copy may stay.
-Judged runs that meet at the same distance to their first copy are one maximal run.
+overlapping runs. Every line of a later copy of any repeated run of at least
+``min_words`` words goes. Judged are the shortest such runs from each line on and
+up to each line: of the repeated runs that hold a line, one that cannot be
+shortened without losing the line or words below the minimum is either of these,
+and what repeats in a run repeats in its parts. Judged runs that meet at the same distance to their first copy are one maximal run.
 
 The first copy in corpus order (key, null last, then row) stays; lines of
 later copies are deleted, but never lines of the first copy itself where copies
@@ -34,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortforge.llm.common import materialize, text_of
+from cohortforge.llm.common import discard, materialize, text_of
 
 MIN_WORDS = 50
 LINE = "array<struct<p:int,raw:int,h:binary,r:int,s:int>>"
@@ -71,7 +69,9 @@ def _ranked(positions: DataFrame, by: list[str], name: str) -> DataFrame:
     inside = Window.partitionBy("part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     ranks = ordered.withColumn("low", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(sums), "part")
     ranks = ranks.select(*by, (F.col("base") + F.col("low")).alias("rank"))
-    return materialize(positions.join(ranks, by).drop(*by), name)
+    out = materialize(positions.join(ranks, by).drop(*by), name)
+    discard(ordered)
+    return out
 
 
 def _worth_it(repeated: DataFrame) -> DataFrame:
@@ -85,22 +85,30 @@ def _worth_it(repeated: DataFrame) -> DataFrame:
     return rows.withColumn("best", F.max("r").over(one)).filter("best > 0").drop("stretch", "best")
 
 
-def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """For a materialized frame (``d`` row number, ``k`` key, ``t`` text): the
     lines of later copies (``d``, ``raw``) and the maximal runs they belong to
     (``d``, ``start``, ``lines``, ``first_d``, ``first_start``, in lines with words)."""
+    gone, later = _later_copies(rows, min_words)
+    return gone, _maximal(later)
+
+
+def _later_copies(rows: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """The lines to delete (over the two written tables that are left) and the judged
+    runs they belong to: ``d``, ``p``, ``r`` lines, ``first_d``, ``first_p``."""
     @F.pandas_udf(LINE)
     def cut(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield pd.Series([[dict(zip(("p", "raw", "h", "r", "s"), x)) for x in _cut(t, min_words)] for t in part], dtype="object")
 
-    lines = materialize(rows.select("d", "k", F.explode_outer(cut("t")).alias("x")).filter("x is not null").select("d", "k", "x.*"), "lines")
-    lines = materialize(_worth_it(_ranked(lines, ["h"], "line-rank-1")), "repeated-lines")
-    judged = lines.select("d", "k", "p", "r")
-    if whole:
-        judged = judged.unionAll(lines.filter("s > 0").select("d", "k", (F.col("p") - F.col("s") + 1).alias("p"), F.col("s").alias("r")))
+    all_lines = materialize(rows.select("d", "k", F.explode_outer(cut("t")).alias("x")).filter("x is not null").select("d", "k", "x.*"), "lines")
+    known = _ranked(all_lines, ["h"], "line-rank-1")
+    lines = materialize(_worth_it(known), "repeated-lines")
+    discard(all_lines, known)
+    judged = lines.select("d", "k", "p", "r").unionAll(
+        lines.filter("s > 0").select("d", "k", (F.col("p") - F.col("s") + 1).alias("p"), F.col("s").alias("r")))
     longest = judged.agg(F.max("r")).first()[0] or 0
-    level, size, found = lines.select("d", "p", "rank"), 1, None
+    level, size, found, levels = lines.select("d", "p", "rank"), 1, None, []
     while size <= longest:
         # Runs of size .. 2 * size - 1 lines: the ranks of their first and of their last ``size`` lines.
         starts = judged.filter((F.col("r") >= size) & (F.col("r") < 2 * size))
@@ -113,27 +121,32 @@ def repeated_lines(rows: DataFrame, min_words: int = MIN_WORDS, whole: bool = Fa
             pairs = level.select("d", "p", F.col("rank").alias("a")).join(
                 level.select("d", (F.col("p") - size).alias("p"), F.col("rank").alias("b")), ["d", "p"])
             level = _ranked(pairs, ["a", "b"], f"line-rank-{2 * size}")
+            levels.append(level)
         size *= 2
     if found is None:
         found = lines.limit(0).select("d", "k", "p", "r", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
     found = materialize(found, "line-runs")
+    discard(*levels)
     place = F.struct(F.col("k").isNull().alias("no"), F.col("k").alias("k"), F.col("d").alias("d"), F.col("p").alias("p"))
     firsts = found.groupBy("r", "a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").select(
         "r", "a", "b", F.col("first.d").alias("first_d"), F.col("first.p").alias("first_p"))
     later = found.join(firsts, ["r", "a", "b"]).filter((F.col("d") != F.col("first_d")) | (F.col("p") != F.col("first_p")))
     later = materialize(later.select("d", "p", "r", "first_d", "first_p"), "later-copies")
+    discard(found)
     hit = later.select("d", "first_d", "first_p", "r", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("r") - 1)).alias("p"))
     hit = hit.filter((F.col("d") != F.col("first_d")) | (F.col("p") >= F.col("first_p") + F.col("r"))).select("d", "p").distinct()
-    gone = hit.join(lines.select("d", "p", "raw"), ["d", "p"]).select("d", "raw")
-    # Runs that meet at the same distance to their first copy are one maximal run.
+    return hit.join(lines.select("d", "p", "raw"), ["d", "p"]).select("d", "raw"), later
+
+
+def _maximal(later: DataFrame) -> DataFrame:
+    """Runs that meet at the same distance to their first copy are one maximal run."""
     chain = Window.partitionBy("d", "first_d", "shift").orderBy("p", "r")
     steps = later.withColumn("shift", F.col("p") - F.col("first_p"))
     reached = F.max(F.col("p") + F.col("r")).over(chain.rowsBetween(Window.unboundedPreceding, -1))
     steps = steps.withColumn("new", F.coalesce((F.col("p") > reached).cast("int"), F.lit(1)))
     steps = steps.withColumn("run", F.sum("new").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = steps.groupBy("d", "first_d", "shift", "run").agg(F.min("p").alias("start"), F.max(F.col("p") + F.col("r")).alias("end")).select(
+    return steps.groupBy("d", "first_d", "shift", "run").agg(F.min("p").alias("start"), F.max(F.col("p") + F.col("r")).alias("end")).select(
         "d", "start", (F.col("end") - F.col("start")).alias("lines"), "first_d", (F.col("start") - F.col("shift")).alias("first_start"))
-    return gone, runs
 
 
 def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
@@ -146,14 +159,16 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def dedupe_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
-                 n_removed: str | None = None, whole: bool = False) -> DataFrame:
-    """The rows with later copies of repeated line runs cut out of ``text``, up to
-    their last lines with ``whole``; with ``n_removed`` also the number of lines cut."""
+                 n_removed: str | None = None) -> DataFrame:
+    """The rows with later copies of repeated line runs cut out of ``text``; with
+    ``n_removed`` also the number of lines cut. Of the scratch tables two stay, which
+    the result reads."""
     names = docs.columns
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("d"), F.struct(*[docs[c] for c in names]).alias("row")), "line-documents")
     body = F.col("row")[text]
-    gone, _ = repeated_lines(rows.select("d", F.col("row")[key].alias("k"), text_of(body).alias("t")), min_words, whole)
-    gone = materialize(gone.groupBy("d").agg(F.collect_list("raw").alias("gone")), "lines-gone")
+    found, later = _later_copies(rows.select("d", F.col("row")[key].alias("k"), text_of(body).alias("t")), min_words)
+    gone = materialize(found.groupBy("d").agg(F.collect_list("raw").alias("gone")), "lines-gone")
+    discard(found, later)
     # The list grows with the documents, so it is never broadcast; the texts move once.
     both = rows.join(gone.hint("merge"), "d", "left")
     without = F.pandas_udf(_without, "string")

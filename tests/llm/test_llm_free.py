@@ -92,16 +92,14 @@ def test_near_duplicates_and_dedupe(spark):
 
 
 def runs_by_hand(rows, least):
+    """Lines of later copies of every run of enough words that occurs twice."""
     found, lines = {}, {}
     for at, (d, t) in sorted(enumerate(rows), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[0])):
         lines[at] = [(i, x.strip(), len(x.split())) for i, x in enumerate((t or "").split("\n")) if x.split()]
         for p in range(len(lines[at])):
-            n = 0
-            for e in range(p, len(lines[at])):
-                n += lines[at][e][2]
-                if n >= least:
-                    found.setdefault(tuple(x[1] for x in lines[at][p:e + 1]), []).append((at, p))
-                    break
+            for e in range(p + 1, len(lines[at]) + 1):
+                if sum(x[2] for x in lines[at][p:e]) >= least:
+                    found.setdefault(tuple(x[1] for x in lines[at][p:e]), []).append((at, p))
     gone = {at: set() for at in lines}
     for run, at in found.items():
         for d, p in at[1:]:
@@ -113,7 +111,7 @@ def test_line_dedup_matches_brute_force(spark):
     rnd = random.Random(8)
     pool = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 4))) for _ in range(9)] + ["", "  ", "long " * 12]
     rows = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14)))) for i in range(40)]
-    rows += [(99, None), (100, ""), (None, rows[0][1]), (101, "a b c d\n" * 12), (102, " a b c d \n" * 5 + "\nx"), (103, "z\n" * 4000)]
+    rows += [(99, None), (100, ""), (None, rows[0][1]), (101, "a b c d\n" * 12), (102, " a b c d \n" * 5 + "\nx")]
     docs = spark.createDataFrame([(d, t, "a", "b", "c", None) for d, t in rows], CLASH).coalesce(1)
     out = linededup.dedupe_lines(docs, min_words=10, n_removed="n_removed")
     gone, want = runs_by_hand(rows, 10), []
@@ -126,6 +124,13 @@ def test_line_dedup_matches_brute_force(spark):
     assert linededup.dedupe_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_a_long_text(spark):
+    """Of one line 4,000 times the first run of ten words stays."""
+    docs = spark.createDataFrame([(1, "z\n" * 4000), (2, "y")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in linededup.dedupe_lines(docs, min_words=10, n_removed="n").collect()}
+    assert (out[1]["text"], out[1]["n"], out[2]["text"], out[2]["n"]) == ("z\n" * 10, 3990, "y", 0)
+
+
 def test_line_runs_are_maximal(spark):
     block = "\n".join(f"line {i} of the passage" for i in range(12))
     rows = [(0, 1, f"own start\n{block}\nend one"), (1, 2, f"{block}\nother end"), (2, 3, "nothing here")]
@@ -133,22 +138,6 @@ def test_line_runs_are_maximal(spark):
     assert [tuple(r) for r in runs.collect()] == [(1, 0, 12, 0, 1)]
 
 
-def whole_runs_by_hand(rows, least):
-    """Every run of enough words, not only the shortest ones."""
-    found, lines = {}, {}
-    for at, (d, t) in enumerate(rows):
-        lines[at] = [(i, x.strip(), len(x.split())) for i, x in enumerate((t or "").split("\n")) if x.split()]
-        for p in range(len(lines[at])):
-            for e in range(p + 1, len(lines[at]) + 1):
-                if sum(x[2] for x in lines[at][p:e]) >= least:
-                    found.setdefault(tuple(x[1] for x in lines[at][p:e]), []).append((at, p))
-    gone = {at: set() for at in lines}
-    for run, at in found.items():
-        for d, p in at[1:]:
-            gone[d] |= {lines[d][q][0] for q in range(p, p + len(run)) if d != at[0][0] or q >= at[0][1] + len(run)}
-    return gone
-
-
 def test_whole_line_runs_go(spark):
     rnd = random.Random(11)
     pool = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 5))) for _ in range(7)] + ["", "long " * 12]
@@ -156,14 +145,14 @@ def test_whole_line_runs_go(spark):
     block = "\n".join(f"{i} " * n for i, n in enumerate([10, 22, 93, 2]))
     rows += [(100, block), (101, block), (102, "z\n" * 40), (103, "q " * 15 + "\nshort"), (104, "q " * 15 + "\nlast"), (105, "q " * 15 + "\nlast")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    out = {r["doc_id"]: r for r in linededup.dedupe_lines(docs, min_words=10, n_removed="n", whole=True).collect()}
-    gone = whole_runs_by_hand(rows, 10)
+    out = {r["doc_id"]: r for r in linededup.dedupe_lines(docs, min_words=10, n_removed="n").collect()}
+    gone = runs_by_hand(rows, 10)
     assert {d: out[d]["n"] for d, _ in rows} == {d: len(gone[at]) for at, (d, _) in enumerate(rows)}
     assert out[101]["text"] == "" and out[104]["text"] == "last" and out[105]["text"] == ""
     for at, (d, t) in enumerate(rows):
         kept = [x for i, x in enumerate(t.split("\n")) if i not in gone[at]]
         assert out[d]["text"] == (t if not gone[at] else "\n".join(kept) if any(x.strip() for x in kept) else "")
-    _, runs = linededup.repeated_lines(spark.createDataFrame([(0, 1, block), (1, 2, block)], "d long, k long, t string"), 10, True)
+    _, runs = linededup.repeated_lines(spark.createDataFrame([(0, 1, block), (1, 2, block)], "d long, k long, t string"), 10)
     assert [tuple(r) for r in runs.collect()] == [(1, 0, 4, 0, 0)]
 
 
