@@ -134,7 +134,6 @@ def test_every_preset_drug_flag_takes_both_values(spark):
 
 
 def test_paired_readings_take_all_events(spark):
-    from cohortforge.sources import adapters as A
     d = "/root/testdata/sf0.001"
     rows = A.paired_readings_input(spark, d)
     assert rows.count() == spark.read.parquet(f"{d}/events.parquet").count()
