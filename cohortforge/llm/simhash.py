@@ -105,7 +105,9 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     b = b.withColumnsRenamed({"bit": "bit_b", "rest": "rest_b"})
     on = ((F.col("bit") == F.col("bit_b")) & (F.col("rest") == F.col("rest_b")) & (F.col("u") < F.col("v"))
           & (F.bit_count(diff) <= distance) & first_meeting)
-    return a.join(b, on).select("u", "v")
+    # Spark sizes the index by its input, not by the 64 rows of each fingerprint, and
+    # would broadcast it: the hint keeps it shuffled at any size.
+    return a.hint("merge").join(b, on).select("u", "v")
 
 
 def components(rows: DataFrame, key: str, distance: int = DISTANCE) -> DataFrame:
